@@ -172,7 +172,7 @@ def _verify(threshold: float):
                 gains += [counts[j], q_counts[part][i]]
                 a.append(left)
                 b.append(right)
-        out = [pd.DataFrame({"a": [], "b": [], "gain": []})]
+        out = [pd.DataFrame({"a": [], "b": [], "gain": []}, dtype="int64")]
         if names:
             sums = pd.Series(np.concatenate(gains)).groupby(np.concatenate(names)).sum()
             out.append(pd.DataFrame({"a": sums.index, "b": sums.index, "gain": sums.to_numpy()}))
@@ -193,7 +193,7 @@ def _verify(threshold: float):
                 root = new
             away = root != np.arange(len(nodes))
             out.append(pd.DataFrame({"a": nodes[away], "b": nodes[root[away]], "gain": 0}))
-        return pd.concat(out).astype({"gain": "int64"})
+        return pd.concat(out)
 
     return run
 
