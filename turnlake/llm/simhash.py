@@ -64,39 +64,83 @@ def _balls(radius: int) -> list[int]:
     return [sum(1 << b for b in bits) for n in range(radius + 1) for bits in combinations(range(32), n)]
 
 
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the pairs connect, at most one for each node: to the least node of its part."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = flat[: len(a)], flat[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        for at in (x, y, root[x], root[y]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == root).all():
+            away = root != np.arange(len(nodes))
+            return nodes[away], nodes[root[away]]
+        root = new
+
+
+def _look_up(radius: int):
+    """For partitions sorted by bucket, stored rows first: verify each probe against its bucket and keep a forest of the links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        bucket, held = None, np.zeros(0, np.uint64)  # the stored rows of the bucket that the last batch ended in
+        waiting = 0
+
+        def forest() -> pa.RecordBatch:
+            a, b = _spanning(*map(np.concatenate, zip(*found, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+
+        for batch in batches:
+            key = batch.column(0).to_numpy() * 2 ** 32 + batch.column(1).to_numpy()
+            probe, fp = batch.column(2).to_numpy().astype(bool), batch.column(3).to_numpy().view(np.uint64)
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                same = bucket == key[lo]
+                if hi - lo == 1 and not same and hi < len(key):
+                    continue  # a bucket of one row
+                mid = lo + int(np.searchsorted(probe[lo:hi], True))
+                held = np.concatenate([held, fp[lo:mid]]) if same else fp[lo:mid]
+                bucket = key[lo]
+                for at in range(mid, hi if len(held) else mid, 256):
+                    block = fp[at : min(at + 256, hi)]
+                    for start in range(0, len(held), 1 << 16):
+                        stored = held[start : start + (1 << 16)]
+                        i, j = np.nonzero((np.bitwise_count(block[:, None] ^ stored) <= radius) & (block[:, None] != stored))
+                        if len(i):
+                            found.append((block[i], stored[j]))
+                            waiting += len(i)
+                    if waiting > 1 << 20:
+                        a, b = _spanning(*map(np.concatenate, zip(*found, strict=True)))
+                        found[:] = [(a, b)]
+                        waiting = len(a)
+                        if waiting > 1 << 19:
+                            yield forest()
+                            found.clear()
+                            waiting = 0
+        if found:
+            yield forest()
+
+    return run
+
+
 def links(classes: DataFrame, radius: int = 3) -> DataFrame:
-    """Pairs ``(a, b)`` of different fingerprints (column ``fp``, distinct) at most ``radius`` bits apart, each with its distance.
+    """Pairs ``(a, b)`` of different fingerprints (column ``fp``, distinct) that connect all pairs at most ``radius`` bits apart.
 
-    Two passes keep large groups cheap. Classes one bit apart are found by equality alone; only classes that this leaves in different
-    components are then compared within the tables' buckets, so a crowd around one text does not come out as all its pairs.
+    Each table's bucket is read in one sweep, and what a sweep verifies leaves it as a forest, so a crowd around one text comes out as one
+    edge for each of its fingerprints and not as all its pairs. A sweep holds the fingerprints stored in one bucket, eight bytes each.
     """
-    flips = F.array(*[F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(64)])
-    up = classes.select(F.col("fp").alias("a"), F.explode(F.filter(flips, lambda m: F.col("fp").bitwiseAND(m) == 0)).alias("m"))
-    near = up.select("a", F.col("a").bitwiseOR(F.col("m")).alias("b")).join(classes.select(F.col("fp").alias("b")), "b")
-    near = materialize(near.select("a", "b"), "near")
-    parts = connected_components(near)
-    known = materialize(
-        classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("part")), "parts"
-    )
-    halves = F.array(
-        *[
-            F.struct(F.lit(i).alias("half"), F.shiftrightunsigned("fp", 32 * i).bitwiseAND(F.lit(0xFFFFFFFF)).alias("bits"))
-            for i in range(2)
-        ]
-    )
-    split = known.select("fp", "part", F.explode(halves).alias("h")).select("fp", "part", "h.half", "h.bits")
+    words = [F.shiftrightunsigned("fp", 32 * i).bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(2)]
+    halves = F.array(*[F.struct(F.lit(i).cast("long").alias("half"), w.alias("bits")) for i, w in enumerate(words)])
+    split = classes.select("fp", F.explode(halves).alias("h")).select("fp", "h.half", "h.bits")
     ball = F.array(*[F.lit(m).cast("long") for m in _balls(radius // 2)])
-    probe = split.select(
-        F.col("fp").alias("a"),
-        F.col("part").alias("part_a"),
-        "half",
-        F.explode(F.transform(F.filter(ball, lambda m: F.col("bits").bitwiseAND(m) == 0), lambda m: F.col("bits").bitwiseOR(m))).alias("bits"),
-    )
-    stored = split.select(F.col("fp").alias("b"), F.col("part").alias("part_b"), "half", "bits")
-    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    found = probe.join(stored, ["half", "bits"]).where((F.col("part_a") != F.col("part_b")) & (apart <= radius))
-    pairs = near.union(found.select("a", "b"))
-    return pairs.select("a", "b", apart.alias("distance"))
+    around = F.transform(F.filter(ball, lambda m: F.col("bits").bitwiseAND(m) == 0), lambda m: F.col("bits").bitwiseOR(m))
+    probe = split.select("half", F.explode(around).alias("bits"), F.lit(1).cast("long").alias("probe"), "fp")
+    stored = split.select("half", "bits", F.lit(0).cast("long").alias("probe"), "fp")
+    rows = stored.union(probe).repartition("half", "bits").sortWithinPartitions("half", "bits", "probe")
+    return rows.mapInArrow(_look_up(radius), "a long, b long")
 
 
 def near_duplicates(
