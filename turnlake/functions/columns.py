@@ -9,6 +9,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NUL = "\x00"
 MARK = "[encrypted]"
@@ -187,7 +188,7 @@ def _redacted(value, under: bool) -> tuple[object, int]:
     return value, 0
 
 
-@F.pandas_udf("struct<body: string, hidden: int>")
+@F.pandas_udf(T.StructType([T.StructField("body", T.StringType()), T.StructField("hidden", T.IntegerType())]))
 def redact_arguments(arguments: pd.Series) -> pd.DataFrame:
     """Tool arguments with encrypted values replaced, however deep; text that isn't JSON stays. Needs recursion, so it runs in Python."""
     out = []

@@ -357,13 +357,13 @@ def span_tree(spark: SparkSession, d: str) -> DataFrame:
     return fanout.spans(turns.assemble(_frames(spark, d))).select("trace_id", "span_id", "parent_span_id", "name", "state")
 
 
-@query("""with p as (select l_orderkey, l_linenumber, unnest([{'i': 0, 'phase': 'queue', 'ms': l_quantity}, {'i': 1, 'phase': 'work', 'ms': l_tax * 100}, {'i': 2, 'phase': 'send', 'ms': l_discount * 100}]) as p from lineitem),
-q as (select l_orderkey, l_linenumber, p.i as i, p.phase as phase, p.ms as ms from p where p.ms > 0)
-select l_orderkey, l_linenumber, phase, round(sum(ms) over (partition by l_orderkey, l_linenumber order by i), 6) as end_ms from q""")
+@query("""with p as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, unnest([{'i': 0, 'phase': 'queue', 'ms': l_quantity}, {'i': 1, 'phase': 'work', 'ms': l_tax * 100}, {'i': 2, 'phase': 'send', 'ms': l_discount * 100}]) as p from lineitem),
+q as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, p.i as i, p.phase as phase, p.ms as ms from p where p.ms > 0)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, phase, round(sum(ms) over (partition by l_orderkey, l_linenumber, l_partkey, l_suppkey order by i), 6) as end_ms from q""")
 def phase_spans(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").withColumns({"work": F.col("l_tax") * 100, "send": F.col("l_discount") * 100})
-    out = fanout.phases(rows, ["l_orderkey", "l_linenumber"], "l_shipdate", {"queue": "l_quantity", "work": "work", "send": "send"})
-    return out.select("l_orderkey", "l_linenumber", "phase", F.round("end_ms", 6).alias("end_ms"))
+    out = fanout.phases(rows, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "l_shipdate", {"queue": "l_quantity", "work": "work", "send": "send"})
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "phase", F.round("end_ms", 6).alias("end_ms"))
 
 
 @query(ANSWERS + """select request_id, substr(sha256(coalesce(instructions, '')), 1, 16) as version, text as answer,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder that the session names; only where it names none, in a local one."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "turnlake-checkpoints"))
-    return df.checkpoint()
+    """Cut lineage with a table in the shared folder that the session names; only where it names none, in a local one."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or os.path.join(tempfile.gettempdir(), "turnlake-shared")
+    path = f"{base.rstrip('/')}/turnlake-cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
