@@ -107,7 +107,8 @@ def mix(
         docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col].cast("string")).alias("size"),
         *[docs[c].alias(f"carry_{c}") for c in carry],
     )
-    sized = materialize(base.withColumn("key", F.xxhash64(F.lit(seed), F.col("id").cast("string"))), "sized")
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    sized = materialize(base.withColumn("key", key), "sized")
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -126,7 +127,7 @@ def mix(
     rows = [(i, r["source"], sizes[i], goal[i], words[i], buckets[i]) for i, r in enumerate(totals)]
     known = spark.createDataFrame(rows, "src int, name string, source_size long, target double, words long, buckets long")
     placed = sized.join(known, sized["source"].eqNullSafe(known["name"])).drop("name")
-    placed = placed.withColumn("bucket", F.pmod("key", "buckets"))
+    placed = placed.withColumn("bucket", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.col("buckets")))
     sums = placed.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
     w = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select("src", "bucket", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))

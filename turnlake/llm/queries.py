@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnlake.llm import bpe, html, lm, mixing, pii, quality, rules, simhash, urls, vectors
+from turnlake.llm import bpe, html, lm, mixing, oracles, pii, quality, rules, simhash, urls, vectors
 from turnlake.llm.common import table
 
 
@@ -31,7 +31,8 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.quality_rules(table(spark, sf_dir, "documents"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return rules.quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *names)
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.ORACLES
