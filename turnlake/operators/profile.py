@@ -84,3 +84,26 @@ def head_and_stride(rows: DataFrame, kind: str, order: list[str], head: int, str
     """Sampling operator: the first rows of each kind, then every ``stride``-th."""
     r = F.row_number().over(Window.partitionBy(kind).orderBy(*order))
     return rows.withColumn("_r", r).where((F.col("_r") <= head) | ((F.col("_r") - head) % stride == 0)).drop("_r")
+
+
+def key_shapes(rows: DataFrame, kind: str, doc: str) -> DataFrame:
+    """``kind, shape, n``: the sorted top-level keys of each document as one text."""
+    shape = F.array_join(F.array_sort(F.json_object_keys(doc)), ",")
+    return rows.groupBy(F.col(kind).alias("kind"), F.coalesce(shape, F.lit("<none>")).alias("shape")).agg(F.count("*").alias("n"))
+
+
+def file_profile(frames: DataFrame) -> DataFrame:
+    """Lines, bad lines and the first and last time of each file."""
+    return frames.groupBy("file").agg(F.count("*").alias("lines"), F.count_if(~F.col("decode_ok")).alias("bad"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+
+
+def safe_enums(counts: DataFrame, most: int = 32, length: int = 48) -> DataFrame:
+    """Values of paths that look like enums: few, short, and without digits runs that ids have. From :func:`value_counts`."""
+    id_like = F.regexp_like("value", F.lit("[0-9]{4,}|[0-9a-fA-F]{8}-"))
+    g = counts.groupBy("kind", "path").agg(F.count("*").alias("_n"), F.max(F.length("value")).alias("_len"), F.max(id_like.cast("int")).alias("_id"), F.array_sort(F.collect_set("value")).alias("values"))
+    return g.where((F.col("_n") <= most) & (F.col("_len") <= length) & (F.col("_id") == 0)).select("kind", "path", "values")  # at most 200 values a path
+
+
+def signature(induced: DataFrame) -> DataFrame:
+    """A baseline without content: paths, types and the order of magnitude of their counts."""
+    return induced.select("kind", "path", "json_type", (F.length(F.col("n").cast("string")) - 1).alias("magnitude"))

@@ -111,3 +111,25 @@ def quota_headers(rows: DataFrame, key: str, headers: str) -> DataFrame:
         F.max(F.when(F.col("measure") == "used-percent", F.col("v"))).alias("used"),
         F.max(F.when(F.col("measure") == "reset-after-seconds", F.col("v"))).alias("reset"),
     )
+
+
+def rate_limits(frames: DataFrame) -> DataFrame:
+    """``request_id, allowed, used, minutes, secondary_used, balance, unlimited`` of each request's last limits event."""
+    df = segment(frames).where("ev_type = 'codex.rate_limits'")
+    yes = F.lit(True)
+    g = df.groupBy("request_id", "instance").agg(
+        _last(_get("$.rate_limits.allowed", "boolean"), yes).alias("allowed"),
+        _last(_get("$.rate_limits.primary.used_percent", "double"), yes).alias("used"),
+        _last(_get("$.rate_limits.primary.window_minutes", "int"), yes).alias("minutes"),
+        _last(_get("$.rate_limits.secondary.used_percent", "double"), yes).alias("secondary_used"),
+        _last(_get("$.credits.balance"), yes).alias("_balance"),
+        _last(_get("$.credits.unlimited", "boolean"), yes).alias("unlimited"),
+    )
+    return g.withColumn("balance", X.balance(F.col("_balance"))).drop("_balance")
+
+
+def item_counts(frames: DataFrame) -> DataFrame:
+    """``request_id, instance, items``: a map from output item type to how many a response has."""
+    df = segment(frames).where("ev_type = 'response.output_item.done'")
+    n = df.groupBy("request_id", "instance", _get("$.item.type").alias("t")).agg(F.count("*").alias("n")).where("t is not null")
+    return n.groupBy("request_id", "instance").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("t", "n")))).alias("items"))

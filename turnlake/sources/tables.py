@@ -20,3 +20,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = f"{base.rstrip('/')}/turnlake-cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def since(rows: DataFrame, column: str, last: int) -> DataFrame:
+    """Rows beyond a high-water mark; the predicate reaches the scan."""
+    return rows.where(f"{column} > {int(last)}")
+
+
+def read_jdbc(spark: SparkSession, url: str, sql: str, partition_column: str, low: int, high: int, parts: int, **options: str) -> DataFrame:
+    """A query's rows from a database, read in parallel ranges of a numeric column."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=f"({sql}) q", partitionColumn=partition_column, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts), **options)
+    return reader.load()
+
+
+def json_lines(rows: DataFrame) -> DataFrame:
+    """One JSON object a row, for text sinks."""
+    return rows.selectExpr("to_json(struct(*)) as value")
+
+
+def write_batch(tables: dict[str, DataFrame], folder: str, batch: int) -> None:
+    """A sink for ``foreachBatch``: every table of a batch goes to its own partition, which a retry overwrites; progress follows when all did."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}/batch={batch}")
