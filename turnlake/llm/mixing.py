@@ -148,5 +148,6 @@ def mix(
         (F.greatest("at", F.col("rank") * b) - F.col("at")).alias("from"),
         (F.least("end", (F.col("rank") + 1) * b) - F.col("at")).alias("to"),
     )
-    pieces = pieces.join(schedule, ["src", "rank"]).select("slot", "src", "start", "epoch", "from", "to")
+    # The schedule compresses so well that its files look small enough to broadcast; it grows with the words.
+    pieces = pieces.join(schedule.hint("merge"), ["src", "rank"]).select("slot", "src", "start", "epoch", "from", "to")
     return Mix(placed, pieces)
