@@ -76,3 +76,27 @@ def match_outputs(calls: DataFrame, outputs: DataFrame, keys: list[str], order:
 
     folded = groups.select(*keys, F.aggregate("es", start, step)["out"].alias("out"))
     return folded.select(*keys, F.explode("out").alias("x")).select(*keys, F.col("x.ref").alias(call_ref), "x.match", F.col("x.matched").alias("matched_ref"))
+
+
+def bounded_history(rows: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
+    """The newest ``most`` rows of each key."""
+    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most).drop("_r")
+
+
+def kind_counts(rows: DataFrame, keys: list[str], kind: str, known: tuple[str, ...]) -> DataFrame:
+    """``keys, kinds``: a map of bounded kinds to counts."""
+    n = rows.groupBy(*keys, X.bounded(F.col(kind), known).alias("k")).agg(F.count("*").alias("n"))
+    return n.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias("kinds"))
+
+
+def names_in_order(rows: DataFrame, keys: list[str], name: str, order: list[str]) -> DataFrame:
+    """Each key's distinct names by first appearance."""
+    first = rows.where(F.col(name).isNotNull()).groupBy(*keys, name).agg(F.min(F.struct(*order)).alias("o"))
+    return first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("o", name))), lambda x: x[name]).alias("names"))
+
+
+def merged_tools(defined: DataFrame, called: DataFrame, keys: list[str], name: str, order: list[str]) -> DataFrame:
+    """Defined tools first, then called ones that no definition names, each by first appearance."""
+    rank = lambda df, i: df.select(*keys, name, F.struct(F.lit(i).alias("i"), *order).alias("o"))
+    return names_in_order(rank(defined, 0).unionByName(rank(called, 1)), keys, name, ["o"])

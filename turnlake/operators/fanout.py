@@ -78,3 +78,16 @@ def generations(turns: DataFrame, prompts: DataFrame, messages: DataFrame) -> Da
     df = turns.join(items(prompts, "input"), ["request_id", "instance"], "left").join(items(messages, "output"), ["request_id", "instance"], "left")
     error = F.when(F.col("status") == "error", F.concat("error_type", F.when(F.col("error_code").isNotNull(), F.concat(F.lit(" ("), "error_code", F.lit(")"))).otherwise("")))
     return df.select("request_id", "instance", "thread_id", "model", "status", F.when(some, usage).alias("usage"), error.alias("call_error"), "input", "output", X.short_hash(F.coalesce("instructions", F.lit(""))).alias("version"))
+
+
+def result_links(matches: DataFrame, thread: str, ref: str, origin: Column, own: Column) -> DataFrame:
+    """Spans of exact tool results from another response: their trace and the span of the call they answer."""
+    exact = matches.where((F.col("match") == "exact") & (origin != own))
+    t = F.col(thread).cast("string")
+    return exact.select(thread, ref, trace_id(t).alias("trace_id"), span_id(F.lit("tool"), t, F.col("matched_ref").cast("string")).alias("link_span_id"))
+
+
+def search_spans(spans: DataFrame, longer_ms: int) -> DataFrame:
+    """``trace_id, longest_ms`` of traces with a span longer than the limit."""
+    ms = F.floor((F.unix_micros("end") - F.unix_micros("start")) / 1000)
+    return spans.groupBy("trace_id").agg(F.max(ms).alias("longest_ms")).where(F.col("longest_ms") > longer_ms)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnlake.functions import columns as X
-from turnlake.operators import fanout, metrics, profile, registry, reports, threads, turns
-from turnlake.plans.queries import ANSWERS, EVENTS, _events, _frames, _raw_events, query
+from turnlake.operators import content, fanout, metrics, profile, registry, reports, threads, turns
+from turnlake.plans.queries import _QUERIES, _SQL, ANSWERS, EVENTS, _events, _frames, _raw_events, query
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, json_lines, since, table
+from turnlake.streaming import jobs
 
 WIDE = """l as (select l_returnflag as model, case when l_linestatus = 'O' then 'error' else 'completed' end as status, case when l_linenumber % 2 = 1 then 'turn' else 'warm' end as request_kind,
   (l_quantity * 10)::bigint as input_tokens, l_linenumber::bigint as output_tokens, l_linenumber::bigint - 1 as tool_calls, 'e' || l_linenumber as error_type, l_suppkey::varchar as account_id,
@@ -203,3 +204,75 @@ def agent_graph(spark: SparkSession, d: str) -> DataFrame:
     t = checkpointed(turns.assemble(_frames(spark, d)).select("thread_id", "parent_thread_id"))
     edges = t.where("parent_thread_id is not null").groupBy(F.col("parent_thread_id").alias("author"), F.col("thread_id").alias("recipient"))
     return edges.agg(F.count("*").alias("messages"))
+
+
+_MATCH = _SQL["call_output_match"]
+
+
+@query(_MATCH.replace("select user_id, k, event_id, match, matched_ref from r where event_type = 'view'", "select match, count(*) as n from r where event_type = 'view' group by 1"))
+def match_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    return _QUERIES["call_output_match"](spark, d).groupBy("match").agg(F.count("*").alias("n"))
+
+
+@query(_MATCH.replace("select user_id, k, event_id, match, matched_ref from r where event_type = 'view'", """select user_id, event_id, substr(sha256('thread' || chr(0) || user_id), 1, 32) as trace_id,
+  substr(sha256('tool' || chr(0) || user_id || chr(0) || matched_ref), 33, 16) as link_span_id from r where event_type = 'view' and match = 'exact' and matched_ref % 10 <> event_id % 10"""))
+def result_links(spark: SparkSession, d: str) -> DataFrame:
+    m = _QUERIES["call_output_match"](spark, d)
+    return fanout.result_links(m, "user_id", "event_id", F.col("matched_ref") % 10, F.col("event_id") % 10)
+
+
+@query("""with n as (select user_id, case when event_type in ('click', 'view') then event_type else 'unknown' end as k, count(*) as n from events group by all)
+select user_id, string_agg(k || '=' || n, ',' order by k) as kinds from n group by 1""")
+def content_kinds(spark: SparkSession, d: str) -> DataFrame:
+    out = content.kind_counts(table(spark, d, "events"), ["user_id"], "event_type", ("click", "view"))
+    return out.select("user_id", F.array_join(F.transform(F.array_sort(F.map_entries("kinds")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("kinds"))
+
+
+@query("with r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) select user_id, event_id from r where rn <= 5")
+def bounded_history(spark: SparkSession, d: str) -> DataFrame:
+    return content.bounded_history(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], 5).select("user_id", "event_id")
+
+
+@query("""with f as (select user_id, event_type, min((case when event_type in ('click', 'view') then 0 else 1 end, ts, event_id)) as o from events group by all)
+select user_id, string_agg(event_type, ',' order by o) as names from f group by 1""")
+def merged_tools(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    seen = F.col("event_type").isin("click", "view")
+    return content.merged_tools(e.where(seen), e.where(~seen), ["user_id"], "event_type", ["ts", "event_id"]).withColumn("names", F.array_join("names", ","))
+
+
+@query("""select o_orderstatus, substr(o_orderpriority, 1, 1) as code, count(*) as n from orders where o_orderstatus <> substr(o_orderpriority, 1, 1) and (o_orderstatus <> '' or o_orderpriority <> '') group by 1, 2""")
+def code_mismatches(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").withColumn("code", F.substring("o_orderpriority", 1, 1))
+    return o.where("o_orderstatus <> code and (o_orderstatus <> '' or code <> '')").groupBy("o_orderstatus", "code").agg(F.count("*").alias("n"))
+
+
+@query("""select l_returnflag, round(sum(l_extendedprice) / count(distinct l_orderkey), 4) as per_order, round(1000000 * sum(l_extendedprice) / greatest(sum(l_quantity) + sum(l_linenumber), 1), 2) as per_million,
+round(sum(l_tax) / greatest(sum(l_discount), 0.000001), 6)::double as ratio from lineitem group by 1""")
+def unit_economics(spark: SparkSession, d: str) -> DataFrame:
+    tokens = F.sum("l_quantity") + F.sum("l_linenumber")
+    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(
+        F.round(F.sum("l_extendedprice") / F.countDistinct("l_orderkey"), 4).alias("per_order"), F.round(1000000 * F.sum("l_extendedprice") / F.greatest(tokens, F.lit(1.0)), 2).alias("per_million"),
+        F.round(F.sum("l_tax") / F.greatest(F.sum("l_discount"), F.lit(0.000001)), 6).alias("ratio"),
+    )
+
+
+@query("""with n as (select *, lead(ts) over (partition by user_id order by ts, event_id) as nxt from events)
+select user_id::varchar as trace_id, max((epoch_us(nxt) - epoch_us(ts)) // 1000)::bigint as longest_ms from n group by 1 having max((epoch_us(nxt) - epoch_us(ts)) // 1000) > 36000000""")
+def long_traces(spark: SparkSession, d: str) -> DataFrame:
+    after = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return fanout.search_spans(_raw_events(spark, d).select(F.col("user_id").cast("string").alias("trace_id"), F.col("ts").alias("start"), after.alias("end")), 36_000_000)
+
+
+@query(ANSWERS + "select count(*) * 6 as lines, 0::bigint as undecodable, count(*) as deltas, 0::bigint as open, max(1700000000 + conv_id * 3600 + turn)::bigint as newest from a")
+def pipeline_health(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.health(_frames(spark, d)).withColumn("newest", F.unix_seconds("newest"))
+
+
+@query(ANSWERS + "select request_id, 'completed' as status, 6::bigint as frames, 'm1' as model, strlen(text)::bigint as output_tokens from a")
+def streamed_turns(spark: SparkSession, d: str) -> DataFrame:
+    lines = checkpointed(wire.render(table(spark, d, "conversations")))
+    folder = lines.inputFiles()[0].rsplit("/", 1)[0]
+    stream = wire.decode(spark.readStream.schema(lines.schema).parquet(folder))
+    out = jobs.drain(jobs.assemble(stream), folder.rsplit("/", 1)[0])
+    return out.select("request_id", "status", "frames", "model", "output_tokens")

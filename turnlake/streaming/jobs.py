@@ -48,3 +48,61 @@ def drain(out: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     query = out.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
+def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file, raw)`` of archives as they land; files must be complete when they appear. Inside a file the reader keeps the order."""
+    lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz").format("text").load(folder)
+    return lines.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("frame_seq"), F.col("value").alias("raw"))
+
+
+def assemble(frames: DataFrame, late: str = "10 minutes", idle_ms: int = 1_800_000) -> DataFrame:
+    """Responses as they end: ``request_id, status, frames, bytes, model, output_tokens``.
+
+    State is one small row an open response. A terminal event emits it and ends it; without one it is emitted as incomplete once the
+    watermark is past its last frame by the idle time.
+    """
+    get = F.get_json_object
+    model = F.coalesce(get("event", "$.response.model"), get("event", "$.model"))
+    rows = frames.where("request_id <> ''").select(
+        "request_id", "ts", "file", "frame_seq", "ev_type", F.octet_length("payload_text").cast("long").alias("size"), model.alias("model"),
+        get("event", "$.response.usage.output_tokens").try_cast("long").alias("tokens"), get("event", "$.response.status").alias("state"),
+    )
+    columns = ["request_id", "status", "frames", "bytes", "model", "output_tokens"]
+
+    def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            n, size, model_, tokens = state.get
+            state.remove()
+            yield pd.DataFrame([[key[0], "incomplete", n, size, model_, tokens]], columns=columns)
+            return
+        n, size, model_, tokens = state.get if state.exists else (0, 0, None, None)
+        out, open_ = [], state.exists
+        df = pd.concat(list(batches)).sort_values(["file", "frame_seq"])
+        for r in df.itertuples(index=False):
+            n, size, open_ = n + 1, size + (0 if pd.isna(r.size) else int(r.size)), True
+            model_ = r.model if isinstance(r.model, str) else model_
+            tokens = tokens if pd.isna(r.tokens) else int(r.tokens)
+            if r.ev_type in ("response.completed", "error"):
+                status = "error" if r.ev_type == "error" else r.state if isinstance(r.state, str) else "completed"
+                out.append([key[0], status, n, size, model_, tokens])
+                n, size, model_, tokens, open_ = 0, 0, None, None, False
+        if open_:
+            state.update((n, size, model_, tokens))
+            state.setTimeoutTimestamp(max(int(df["ts"].max().timestamp() * 1000) + idle_ms, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=columns).astype({"output_tokens": "Int64"})
+
+    out = "request_id string, status string, frames long, bytes long, model string, output_tokens long"
+    kept = "frames long, bytes long, model string, tokens long"
+    return rows.withWatermark("ts", late).groupBy("request_id").applyInPandasWithState(run, out, kept, "append", "EventTimeTimeout")
+
+
+def health(frames: DataFrame) -> DataFrame:
+    """One row about a batch of frames: lines, undecodable ones, open requests, and the time of the newest frame."""
+    ended = F.col("ev_type").isin("response.completed", "error")
+    return frames.agg(
+        F.count("*").alias("lines"), F.count_if(~F.col("decode_ok")).alias("undecodable"), F.count_if(F.col("is_delta")).alias("deltas"),
+        (F.countDistinct("request_id") - F.countDistinct(F.when(ended, F.col("request_id")))).alias("open"), F.max("ts").alias("newest"),
+    )
