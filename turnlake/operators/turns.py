@@ -9,6 +9,12 @@ from turnlake.functions import columns as X
 from turnlake.sources.frames import DELTAS, TERMINAL
 
 ORDER = ("file", "frame_seq")
+#: What the roll-up reads of an event: each is parsed once, whatever number of columns comes from it.
+EVENT = (
+    "model string, reasoning struct<effort: string>, instructions string, item struct<type: string>, error struct<type: string, code: string>, "
+    "status_code string, status string, response struct<id: string, model: string, status: string, usage: struct<input_tokens: string, "
+    "output_tokens: string, input_tokens_details: struct<cached_tokens: string>>>"
+)
 
 
 def segment(frames: DataFrame) -> DataFrame:
@@ -39,11 +45,12 @@ def _first(value: Column, when: Column | None = None) -> Column:
 
 def assemble(frames: DataFrame) -> DataFrame:
     """One row per response instance, by a single aggregation on the request; open instances have the status ``incomplete``."""
-    df = segment(frames)
+    df = segment(frames).withColumn("_e", F.from_json("event", EVENT))
+    get = lambda path, kind="string": F.col(f"_e.{path}").try_cast(kind)
     is_ = lambda t: F.col("ev_type") == t
     create, done, error = is_("response.create"), is_("response.completed"), is_("error")
     item = is_("response.output_item.done")
-    item_type = _get("$.item.type")
+    item_type = get("item.type")
     seq = F.struct(*ORDER)
     turns = df.groupBy("request_id", "instance").agg(
         F.min_by(X.present(F.col("headers")["thread-id"]), seq).alias("thread_id"),
@@ -59,19 +66,19 @@ def assemble(frames: DataFrame) -> DataFrame:
         F.count_if(F.col("is_delta") & ~is_(DELTAS[0])).alias("tool_deltas"),
         F.max_by("close_code", F.when(F.col("close_code").isNotNull(), seq)).alias("close_code"),
         F.count_if(F.col("frame_type") == "error").alias("frame_errors"),
-        F.coalesce(_last(_get("$.response.model"), done), _last(_get("$.model"), create), _last(_get("$.response.model"), is_("response.created"))).alias("model"),
-        _last(_get("$.reasoning.effort"), create).alias("effort"),
-        _last(_get("$.response.id"), done | is_("response.created")).alias("response_id"),
-        _last(_get("$.instructions"), create).alias("instructions"),
-        _last(_get("$.response.status"), done).alias("_status"),
-        _last(_get("$.response.usage.input_tokens", "long"), done).alias("input_tokens"),
-        _last(_get("$.response.usage.output_tokens", "long"), done).alias("output_tokens"),
-        _last(_get("$.response.usage.input_tokens_details.cached_tokens", "long"), done).alias("cached_tokens"),
+        F.coalesce(_last(get("response.model"), done), _last(get("model"), create), _last(get("response.model"), is_("response.created"))).alias("model"),
+        _last(get("reasoning.effort"), create).alias("effort"),
+        _last(get("response.id"), done | is_("response.created")).alias("response_id"),
+        _last(get("instructions"), create).alias("instructions"),
+        _last(get("response.status"), done).alias("_status"),
+        _last(get("response.usage.input_tokens", "long"), done).alias("input_tokens"),
+        _last(get("response.usage.output_tokens", "long"), done).alias("output_tokens"),
+        _last(get("response.usage.input_tokens_details.cached_tokens", "long"), done).alias("cached_tokens"),
         F.count_if(item & item_type.isin("function_call", "custom_tool_call")).alias("tool_calls"),
         F.count_if(item & (item_type == "message")).alias("messages"),
-        _last(_get("$.error.type"), error).alias("error_type"),
-        _last(_get("$.error.code"), error).alias("error_code"),
-        _last(F.coalesce(_get("$.status_code", "int"), _get("$.status", "int")), error).alias("error_status"),
+        _last(get("error.type"), error).alias("error_type"),
+        _last(get("error.code"), error).alias("error_code"),
+        _last(F.coalesce(get("status_code", "int"), get("status", "int")), error).alias("error_status"),
         F.max(F.when(error, 1).otherwise(0)).alias("_failed"),
         F.max(F.when(done & F.col("event").isNotNull(), 1).otherwise(0)).alias("_done"),
     )
