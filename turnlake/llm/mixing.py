@@ -65,7 +65,8 @@ def _schedule(spark, shares: list[float], slots: int) -> DataFrame:
     counts = made.groupBy("src", "chunk").agg(F.count("*").alias("n"))
     w = Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("src", "chunk", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
-    return made.join(before, ["src", "chunk"]).select("slot", "src", (F.col("before") + F.col("within")).alias("rank"))
+    # The plan takes the slots to be as few as the chunks they come from, and would broadcast them.
+    return made.join(before.hint("merge"), ["src", "chunk"]).select("slot", "src", (F.col("before") + F.col("within")).alias("rank"))
 
 
 class Mix:
