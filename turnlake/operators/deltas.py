@@ -42,3 +42,10 @@ def logical_turns(rows: DataFrame, thread: str, order: list[str], reset: str, se
     """Add ``logical_turn``: the server's id, or the thread with a number that grows at each reset."""
     n = F.sum(F.when(F.col(reset), 1).otherwise(0)).over(Window.partitionBy(thread).orderBy(*order))
     return rows.withColumn("logical_turn", F.coalesce(F.nullif(F.col(server_turn), F.lit("")), F.concat_ws(":", F.col(thread).cast("string"), n.cast("string"))))
+
+
+def live_baselines(baselines: DataFrame, thread: str, last_ts: str, cutoff, open_threads: DataFrame) -> DataFrame:
+    """Baselines that stay: newer than the cutoff, or of a thread with an open response."""
+    kept = baselines.where(F.col(last_ts) >= cutoff)
+    old = baselines.where(F.col(last_ts) < cutoff)
+    return kept.unionByName(old.join(open_threads.select(thread).distinct(), thread, "left_semi").select(*baselines.columns))

@@ -91,3 +91,12 @@ def search_spans(spans: DataFrame, longer_ms: int) -> DataFrame:
     """``trace_id, longest_ms`` of traces with a span longer than the limit."""
     ms = F.floor((F.unix_micros("end") - F.unix_micros("start")) / 1000)
     return spans.groupBy("trace_id").agg(F.max(ms).alias("longest_ms")).where(F.col("longest_ms") > longer_ms)
+
+
+def tool_spans(turns: DataFrame, key: str, calls: str, durations: str) -> DataFrame:
+    """``key, occurrence, call_id, span_id, duration_ms``: a span for each call; durations count only when there is one for each."""
+    known = F.when(F.size(durations) == F.size(calls), F.col(durations))
+    e = turns.select(key, known.alias("_d"), F.posexplode(calls).alias("_i", "call_id"))
+    n = (F.col("_i") + 1).alias("occurrence")
+    sid = span_id(F.lit("tool"), F.col(key).cast("string"), F.col("call_id").cast("string"), (F.col("_i") + 1).cast("string"))
+    return e.select(key, n, "call_id", sid.alias("span_id"), F.get("_d", F.col("_i")).alias("duration_ms"))

@@ -99,3 +99,18 @@ def breaches(points: DataFrame, keys: list[str], step: str, seconds: int, value:
 def label_matches(c: Column, pattern: str) -> Column:
     """A label filter: the whole value matches; a missing label is an empty one."""
     return F.regexp_like(F.coalesce(c, F.lit("")), F.lit(f"^(?:{pattern})$"))
+
+
+def error_category(kind: Column, code: Column) -> Column:
+    """A bounded category from an error's type and code."""
+    text = F.lower(F.concat_ws(" ", kind, code))
+    rules = {"rate_limit": "rate|quota|limit|429", "auth": "auth|401|403|forbidden", "timeout": "timeout|deadline|504", "server": "server|overload|5[0-9][0-9]", "invalid": "invalid|400|not_found|404"}
+    out = F.when(text == "", None)
+    for name, pattern in rules.items():
+        out = out.when(F.regexp_like(text, F.lit(pattern)), name)
+    return out.otherwise("other")
+
+
+def response_model(retry: Column, model: Column) -> Column:
+    """The model that answered: a retry's wins."""
+    return F.coalesce(F.nullif(retry, F.lit("")), model)

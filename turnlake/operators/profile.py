@@ -107,3 +107,24 @@ def safe_enums(counts: DataFrame, most: int = 32, length: int = 48) -> DataFrame
 def signature(induced: DataFrame) -> DataFrame:
     """A baseline without content: paths, types and the order of magnitude of their counts."""
     return induced.select("kind", "path", "json_type", (F.length(F.col("n").cast("string")) - 1).alias("magnitude"))
+
+
+def cross_tab(rows: DataFrame, kind: str, event: str, order: str) -> DataFrame:
+    """``kind, event, n, sample``: how often each pair occurs, and the first row of each that shows it."""
+    return rows.groupBy(F.col(kind).alias("kind"), F.col(event).alias("event")).agg(F.count("*").alias("n"), F.min(order).alias("sample"))
+
+
+def record_run(findings: DataFrame, run: str, folder: str) -> None:
+    """Append a run's findings; a run that fails writes nothing, and the last ones stand."""
+    findings.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(folder)
+
+
+def sampled_windows(rows: DataFrame, file: str, position: str, windows: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """Sampling operator: the rows in evenly spaced windows of each file, and ``(file, rows, sampled, coverage)``. A sample proves no absence."""
+    size = rows.groupBy(file).agg((F.max(position) + 1).alias("_n"))
+    df = rows.join(size, file)
+    at, n = F.col(position), F.col("_n")
+    start = F.floor(F.floor(at * windows / n) * n / windows)
+    df = df.withColumn("_in", at - start < width)
+    g = df.groupBy(file).agg(F.count("*").alias("rows"), F.count_if("_in").alias("sampled"))
+    return df.where("_in").drop("_n", "_in"), g.withColumn("coverage", F.col("sampled") / F.col("rows"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnlake.functions import columns as X
-from turnlake.operators import content, fanout, metrics, profile, registry, reports, threads, turns
+from turnlake.operators import content, deltas, fanout, metrics, profile, registry, reports, threads, turns
 from turnlake.plans.queries import _QUERIES, _SQL, ANSWERS, EVENTS, _events, _frames, _raw_events, query
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, json_lines, since, table
@@ -276,3 +276,46 @@ def streamed_turns(spark: SparkSession, d: str) -> DataFrame:
     stream = wire.decode(spark.readStream.schema(lines.schema).parquet(folder))
     out = jobs.drain(jobs.assemble(stream), folder.rsplit("/", 1)[0])
     return out.select("request_id", "status", "frames", "model", "output_tokens")
+
+
+@query(EVENTS + " select (k % 3)::varchar as kind, event_type as event, count(*) as n, min(event_id) as sample from e group by 1, 2")
+def kind_event_table(spark: SparkSession, d: str) -> DataFrame:
+    return profile.cross_tab(_events(spark, d).withColumn("kind", (F.col("k") % 3).cast("string")), "kind", "event_type", "event_id")
+
+
+@query("""with n as (select event_type, max(event_id) + 1 as n from events group by 1), x as (select e.event_type, event_id - ((event_id * 10 // n) * n) // 10 < 50 as inside from events e join n using (event_type))
+select event_type, count(*) as rows, count(*) filter (inside) as sampled, count(*) filter (inside) / count(*) as coverage from x group by 1""")
+def sample_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return profile.sampled_windows(table(spark, d, "events"), "event_type", "event_id", 10, 50)[1]
+
+
+@query("""with l as (select l_orderkey, l_partkey, l_quantity, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as occurrence from lineitem)
+select l_orderkey, occurrence, l_partkey as call_id, substr(sha256('tool' || chr(0) || l_orderkey || chr(0) || l_partkey || chr(0) || occurrence), 33, 16) as span_id,
+case when l_orderkey % 2 = 0 then l_quantity end as duration_ms from l""")
+def tool_spans(spark: SparkSession, d: str) -> DataFrame:
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    g = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("x"))  # an order's lines
+    durations = F.transform("x", lambda v: v["l_quantity"])
+    g = g.select("l_orderkey", F.transform("x", lambda v: v["l_partkey"]).alias("calls"), F.when(F.col("l_orderkey") % 2 == 0, durations).otherwise(F.slice(durations, 1, 0)).alias("times"))
+    return fanout.tool_spans(g, "l_orderkey", "calls", "times")
+
+
+@query("""select o_orderkey, case when regexp_matches(lower(o_orderpriority || ' ' || o_orderstatus), 'rate|quota|limit|429') then 'rate_limit' when regexp_matches(lower(o_orderpriority || ' ' || o_orderstatus), 'auth|401|403|forbidden') then 'auth'
+when regexp_matches(lower(o_orderpriority || ' ' || o_orderstatus), 'timeout|deadline|504') then 'timeout' when regexp_matches(lower(o_orderpriority || ' ' || o_orderstatus), 'server|overload|5[0-9][0-9]') then 'server'
+when regexp_matches(lower(o_orderpriority || ' ' || o_orderstatus), 'invalid|400|not_found|404') then 'invalid' else 'other' end as category, coalesce(nullif(o_orderstatus, 'F'), o_orderpriority) as model from orders""")
+def derived_labels(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    retry = F.when(F.col("o_orderstatus") == "F", "").otherwise(F.col("o_orderstatus"))
+    return o.select("o_orderkey", metrics.error_category(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("category"), metrics.response_model(retry, F.col("o_orderpriority")).alias("model"))
+
+
+@query("""with b as (select user_id, event_type, max(ts) as ts from events group by 1, 2), m as (select max(ts) - interval 7 days as cut from events),
+o as (select user_id from events group by 1 having max_by(event_type, (ts, event_id)) = 'error')
+select user_id, event_type from b, m where ts >= cut or user_id in (select user_id from o)""")
+def live_baselines(spark: SparkSession, d: str) -> DataFrame:
+    e = _raw_events(spark, d)
+    b = e.groupBy("user_id", "event_type").agg(F.max("ts").alias("ts"))
+    last = e.groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("t"))
+    cut = e.agg((F.max("ts") - F.expr("interval 7 days")).alias("cut"))
+    out = deltas.live_baselines(b.crossJoin(F.broadcast(cut)), "user_id", "ts", F.col("cut"), last.where("t = 'error'"))  # one row
+    return out.select("user_id", "event_type")
