@@ -205,3 +205,14 @@ def test_classifier_learns_and_shrinks(spark):
     assert right > 0.97 and len(got) == 602
     assert all(r["kept"] for r in quality.classify(df, known.where("false")).collect())
     assert quality.classify(df.where("false"), known).count() == 0
+
+
+def test_few_labels_find_toxic_documents(spark):
+    docs, labels = [spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels")]
+    weights = quality.fit(docs, labels)[0]
+    insults = {"trash", "clown", "idiot", "scum", "worthless", "moron", "pathetic", "loser", "disgusting", "stupid"}
+    assert insults <= {w for w, x in weights.items() if x[1] > 0}
+    rows = quality.classify(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").where("quality is not null and toxic is not null").collect()
+    marked = [r for r in rows if insults & set(quality._WORD.findall(r["text"].lower()))]
+    assert len(marked) == 33 and all(r["toxic"] and r["toxic_score"] >= 0.5 and not r["kept"] for r in marked)
+    assert not any(r["toxic_score"] >= 0.5 for r in rows if not r["toxic"])

@@ -20,8 +20,9 @@ from turnlake.llm.common import materialize
 
 #: Labelled documents that the heads are fitted on, at most, and words that may carry weight in each head.
 LABELLED, VOCABULARY = 20_000, 1_024
-#: A word carries weight when its document odds in the labels differ by this many standard errors.
-MIN_Z = 4.0
+#: A word carries weight when the likelihood ratio of its documents against the labels reaches this: a chance of 1 in 16,000 without one.
+#: Unlike a standard error, the ratio is sound for words that occur in documents of one label only.
+MIN_G2 = 16.0
 HEADS = ("quality", "toxic")
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -63,6 +64,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return theta
 
 
+def _g2(a: Column, b: Column, yes: int, no: int) -> Column:
+    """Likelihood ratio of a word (in ``a`` of ``yes`` and ``b`` of ``no`` documents) against independence; empty cells add nothing."""
+
+    def cell(x: Column, row: Column, column: int) -> Column:
+        return F.when(x > 0, x * F.log(x * F.lit(float(yes + no)) / (row * column))).otherwise(0.0)
+
+    out = F.lit(yes + no) - a - b
+    return 2 * (cell(a, a + b, yes) + cell(b, a + b, no) + cell(yes - a, out, yes) + cell(no - b, out, no))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Word weights, feature means and spreads, and a weight vector for each head; None without labelled documents.
 
@@ -86,10 +97,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weights: dict[str, list[float]] = {}
     for h, head in enumerate(HEADS):
         yes, no = totals[head], totals["n"] - totals[head]
-        a, b = F.col(head) + 0.5, F.col("n") - F.col(head) + 0.5
-        odds = F.log(a / b) - F.lit(float(np.log((yes + 1) / (no + 1))))
-        z = odds / F.sqrt(1 / a + 1 / b)
-        for r in counts.select("word", odds.alias("odds"), z.alias("z")).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "word").limit(VOCABULARY).collect():
+        a, b = F.col(head), F.col("n") - F.col(head)
+        odds = F.log((a + 0.5) / (b + 0.5)) - F.lit(float(np.log((yes + 1) / (no + 1))))
+        g2 = _g2(a, b, yes, no)
+        for r in counts.select("word", odds.alias("odds"), g2.alias("g2")).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "word").limit(VOCABULARY).collect():
             weights.setdefault(r["word"], [0.0, 0.0])[h] = r["odds"]
     fixed = {w: (x[0], x[1]) for w, x in weights.items()}
 
