@@ -157,6 +157,20 @@ def test_html_without_article_takes_the_dense_cluster():
     assert html.extract_text("<p>unclosed <b>text") == "unclosed text" and html.extract_text("<nav>only menu</nav>") == ""
 
 
+def test_html_keeps_every_region():
+    long = "Sentence after sentence fills this paragraph of the page. " * 4
+    text = long.strip()
+    page = f"<body><p>skip</p><main><h1>Title</h1><p>lead</p><article><p>{long}</p></article><p>after</p></main></body>"
+    assert html.extract_text(page).split("\n") == ["Title", "lead", text, "after"]
+    page = f"<article><p>{long}</p></article><article><p>Short one.</p></article><article><a href=1>Teaser</a></article><article><p>{long}</p></article>"
+    assert html.extract_text(page).split("\n") == [text, "Short one.", text]
+    rows = "".join(f"<li>item {i}</li>" for i in range(12))
+    links = "".join(f"<li><a href={i}>Other page {i}</a></li>" for i in range(12))
+    page = f"<div><p>{long}</p><p>{long}</p><ul>{rows}</ul><p>{long}</p><p><a href=1>A source</a></p><p>{long}</p><ul>{links}</ul><p>{long}</p></div>"
+    want = [text, text, *[f"item {i}" for i in range(12)], text, "A source", text, text]
+    assert html.extract_text(page).split("\n") == want
+
+
 BRUTE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

@@ -1,9 +1,10 @@
 """Main text of web pages from text-to-tag ratios.
 
 The standard library's parser streams a page's events. Blocks are the page's lines; each has the ratio of its text to the tags since the
-block before. The ratios are smoothed with a Gaussian and cut at a threshold, and the clusters of lines above it select the content region:
-the article or main element that holds most of them or, on pages without one, the densest cluster with short gaps closed. All blocks of
-the region are text, short ones too, save those inside elements that the page itself marks as something else.
+block before. The ratios are smoothed with a Gaussian and cut at a threshold, and the clusters of lines above it select the content: the
+outermost article or main element around most of them, with the others at its level that are not mostly links or, on pages without one, all
+from the first cluster to the last. All blocks of these regions are text, short ones too, save those inside elements that the page itself
+marks as something else and, on pages without such an element, lists of links.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ class _Events(HTMLParser):
         self.stack: list[tuple[str, bool, int]] = []  # element, furniture, root
         self.parts: list[str] = []
         self.tags = self.linked = self.links = self.roots = 0
+        self.outermost = {0: 0}
 
     def _state(self) -> tuple[bool, int]:
         return self.stack[-1][1:] if self.stack else (False, 0)
@@ -95,6 +97,7 @@ class _Events(HTMLParser):
         hidden = hidden or self._furniture(tag, attrs, root)
         if tag in ROOTS or any(k == "role" and v in ROOTS for k, v in attrs):
             self.roots += 1
+            self.outermost[self.roots] = self.outermost[root] or self.roots
             root = self.roots
         self.stack.append((tag, hidden, root))
         self.links += tag == "a"
@@ -162,23 +165,22 @@ def extract_text(html: str | None) -> str:
     dense = [x >= min(cut, mean) and not b[4] for x, b in zip(smooth, blocks, strict=True)]
     if events.roots:
         mass: dict[int, float] = {}
-        for b, x, d in zip(blocks, smooth, dense, strict=True):
-            if b[3]:
-                mass[b[3]] = mass.get(b[3], 0.0) + (x * len(b[0]) if d else 0.0)
+        linked: dict[int, float] = {}
+        tops = [events.outermost[b[3]] for b in blocks]
+        for top, b, x, d in zip(tops, blocks, smooth, dense, strict=True):
+            if top:
+                mass[top] = mass.get(top, 0.0) + (x * len(b[0]) if d else 0.0)
+                linked[top] = linked.get(top, 0.0) + (0.0 if b[4] else len(b[0]) * (b[2] - 0.5))
         if mass:
             best = max(mass, key=lambda r: (mass[r], -r))
-            return "\n".join(b[0] for b in blocks if b[3] == best and not b[4])
-    clusters: list[list[int]] = []
-    for i, d in enumerate(dense):
-        if d:
-            if clusters and i - clusters[-1][-1] <= 3:
-                clusters[-1].append(i)
-            else:
-                clusters.append([i])
-    if not clusters:
+            return "\n".join(b[0] for top, b in zip(tops, blocks, strict=True) if top and not b[4] and (top == best or linked[top] <= 0))
+    content = [i for i, (d, b) in enumerate(zip(dense, blocks, strict=True)) if d and b[2] <= 0.5]
+    if not content:
         return ""
-    best_cluster = max(clusters, key=lambda c: sum(ratio[i] * len(blocks[i][0]) for i in c))
-    return "\n".join(b[0] for b in blocks[best_cluster[0] : best_cluster[-1] + 1] if not b[4] and b[2] <= 0.5)
+    region = [b for b in blocks[content[0] : content[-1] + 1] if not b[4]]
+    linky = [False, *[b[2] > 0.5 for b in region], False]
+    # of blocks that are mostly links, those alone between others are text, and several in a row a list of links
+    return "\n".join(b[0] for i, b in enumerate(region, 1) if not linky[i] or not (linky[i - 1] or linky[i + 1]))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
