@@ -171,6 +171,17 @@ def test_html_keeps_every_region():
     assert html.extract_text(page).split("\n") == want
 
 
+@pytest.mark.parametrize("name", ["site has-sidebar", "no-comments", "content-with-sidebar", "ad-free", "sidebar-layout", "widget"])
+def test_html_wrappers_hide_no_page(name):
+    text = ("Sentence after sentence fills this paragraph of the page. " * 4).strip()
+    inner = f"<p>{text} with <b>bold</b> text</p><div class=comments><p>{text} a comment</p></div><p>{text}</p>"
+    for page in (f"<article>{inner}</article>", f"<div>{inner}</div>"):
+        for rest in ("", "<footer>foot</footer><p hidden>never</p>", "<p>Small print.</p>" if "article" in page else ""):
+            got = html.extract_text(f"<body><div class='{name}'>{page}</div>{rest}</body>")
+            assert got.split("\n") == [f"{text} with bold text", text]
+    assert html.extract_text(f"<div>{inner}</div><div class=related><article>Teaser</article></div>").split("\n") == [f"{text} with bold text", text]
+
+
 BRUTE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

@@ -37,7 +37,11 @@ FURNITURE = frozenset(
     " reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 OUTER_FURNITURE = frozenset("footer header masthead topbar contentinfo complementary".split())
+#: Words that turn such a name into one of the element around or beside the furniture, as in has-sidebar.
+LAYOUT = frozenset("free has no non with without".split())
 ROOTS = frozenset({"article", "main"})
+#: The mark of elements that are never text, whatever is around them.
+NEVER = 1 << 30
 
 SIGMA = 1.5
 _NAMES = re.compile(r"[a-z0-9]+")
@@ -45,39 +49,45 @@ _HEAT = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-4, 5)]
 
 
 class _Events(HTMLParser):
-    """Collects blocks as ``[text, tags before it, share of its text in links, innermost root, marked as furniture]``."""
+    """Collects blocks as ``[text, tags before it, share of its text in links, innermost root, marks as furniture]``.
+
+    The marks are how many elements around it are named as furniture, or :data:`NEVER` at least.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, float, int, bool]] = []
-        self.stack: list[tuple[str, bool, int]] = []  # element, furniture, root
+        self.blocks: list[tuple[str, int, float, int, int]] = []
+        self.stack: list[tuple[str, int, int]] = []  # element, marks, root
         self.parts: list[str] = []
         self.tags = self.linked = self.links = self.roots = 0
         self.outermost = {0: 0}
 
-    def _state(self) -> tuple[bool, int]:
-        return self.stack[-1][1:] if self.stack else (False, 0)
+    def _state(self) -> tuple[int, int]:
+        return self.stack[-1][1:] if self.stack else (0, 0)
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            hidden, root = self._state()
-            self.blocks.append((text, self.tags, self.linked / len(text), root, hidden))
+            marks, root = self._state()
+            self.blocks.append((text, self.tags, self.linked / len(text), root, marks))
             self.tags = 0
         self.parts.clear()
         self.linked = 0
 
-    def _furniture(self, tag: str, attrs: list, root: int) -> bool:
+    def _furniture(self, tag: str, attrs: list, root: int) -> int:
+        """The mark that the element adds: one for a name, which the rest of the page may prove wrong, or :data:`NEVER`."""
         if tag in SKIPPED or tag == "header" and not root:
-            return True
+            return NEVER
+        named = 0
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
-                names = _NAMES.findall(value.lower())
-                if tag not in ROOTS and tag not in ("html", "body") and any(n in FURNITURE or not root and n in OUTER_FURNITURE for n in names):
-                    return True
+                if tag not in ROOTS and tag not in ("html", "body"):
+                    for names in map(_NAMES.findall, value.lower().split()):
+                        if any(n in FURNITURE or not root and n in OUTER_FURNITURE for n in names) and LAYOUT.isdisjoint(names):
+                            named = 1
             elif key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
-        return False
+                return NEVER
+        return named
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -91,20 +101,20 @@ class _Events(HTMLParser):
             self._end("head")
         if tag in VOID:
             return
-        hidden, root = self._state()
+        marks, root = self._state()
         if tag in SKIPPED and tag not in BLOCKS:
-            self.flush_inline(hidden)
-        hidden = hidden or self._furniture(tag, attrs, root)
+            self.flush_inline(marks)
+        marks += self._furniture(tag, attrs, root)
         if tag in ROOTS or any(k == "role" and v in ROOTS for k, v in attrs):
             self.roots += 1
             self.outermost[self.roots] = self.outermost[root] or self.roots
             root = self.roots
-        self.stack.append((tag, hidden, root))
+        self.stack.append((tag, marks, root))
         self.links += tag == "a"
 
-    def flush_inline(self, hidden: bool) -> None:
+    def flush_inline(self, marks: int) -> None:
         """Text of an inline element that is skipped stays apart from the block around it."""
-        if not hidden:
+        if not marks:
             self.parts.append("")
 
     def _end(self, tag: str) -> None:
@@ -128,7 +138,8 @@ class _Events(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self._state()[0]:
             inline = self.stack[-1][0] in SKIPPED and self.stack[-1][0] not in BLOCKS
-            if inline or self.parts and not all(p.isspace() or not p for p in self.parts):
+            around = next((marks for tag, marks, _ in reversed(self.stack) if tag in BLOCKS), 0)
+            if inline or self._state()[0] > around and not all(p.isspace() or not p for p in self.parts):
                 return  # a skipped element inside a block of text
         self.parts.append(data)
         if self.links:
@@ -147,6 +158,22 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
+def _marked(blocks: list[tuple[str, int, float, int, int]]) -> int:
+    """How many marks a text block may have: none, but those of a wrapper around all of the page or around its article.
+
+    A name around an article counts for nothing where no article is without one and the articles hold more text than the rest without one.
+    """
+    open_ = [b for b in blocks if b[4] < NEVER]
+    if not open_:
+        return 0
+    least, inside = min(b[4] for b in open_), [b for b in open_ if b[3]]
+    if inside and (wrapped := min(b[4] for b in inside)) > least:
+        mass = lambda rows: sum(len(b[0]) * (1 - b[2]) for b in rows)
+        if mass(b for b in inside if b[4] == wrapped) > mass(b for b in open_ if b[4] < wrapped):
+            return wrapped
+    return least
+
+
 def extract_text(html: str | None) -> str:
     """The page's main text: blocks in page order, one line each. Empty for null, empty and contentless pages."""
     if not html:
@@ -158,12 +185,14 @@ def extract_text(html: str | None) -> str:
     blocks = events.blocks
     if not blocks:
         return ""
+    marked = _marked(blocks)
+    blocks = [(*b[:4], b[4] > marked) for b in blocks]
     ratio = [0.0 if hidden else len(text) * (1 - linked) / max(tags, 1) for text, tags, linked, _, hidden in blocks]
     smooth = _smooth(ratio)
     mean = sum(smooth) / len(smooth)
     cut = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))  # the spread of the ratios, as is usual for this method
     dense = [x >= min(cut, mean) and not b[4] for x, b in zip(smooth, blocks, strict=True)]
-    if events.roots:
+    if any(b[3] and not b[4] for b in blocks):
         mass: dict[int, float] = {}
         linked: dict[int, float] = {}
         tops = [events.outermost[b[3]] for b in blocks]
@@ -171,9 +200,8 @@ def extract_text(html: str | None) -> str:
             if top:
                 mass[top] = mass.get(top, 0.0) + (x * len(b[0]) if d else 0.0)
                 linked[top] = linked.get(top, 0.0) + (0.0 if b[4] else len(b[0]) * (b[2] - 0.5))
-        if mass:
-            best = max(mass, key=lambda r: (mass[r], -r))
-            return "\n".join(b[0] for top, b in zip(tops, blocks, strict=True) if top and not b[4] and (top == best or linked[top] <= 0))
+        best = max(mass, key=lambda r: (mass[r], -r))
+        return "\n".join(b[0] for top, b in zip(tops, blocks, strict=True) if top and not b[4] and (top == best or linked[top] <= 0))
     content = [i for i, (d, b) in enumerate(zip(dense, blocks, strict=True)) if d and b[2] <= 0.5]
     if not content:
         return ""
