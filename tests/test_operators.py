@@ -130,3 +130,16 @@ def test_streams_equal_batches(spark, tmp_path):
     assert sorted((r["s"], r["i"], r["delta"]) for r in got) == sorted((r["s"], r["i"], r["delta_v"]) for r in batch)
     seen = jobs.drain(jobs.first_seen(stream(), "ts", ["v"]), str(tmp_path)).collect()
     assert sorted(r["v"] for r in seen) == list(range(11))
+
+
+def test_long_groups_stream(spark):
+    n, day = 100_000, 86_400
+    blocks = spark.range(n).selectExpr("0 as t", "id as o", "3L as n")
+    got = threads.pack_chunks(blocks, ["t"], "o", "n", 10).groupBy("chunk").count().groupBy("count").count().collect()
+    assert sorted((r[0], r[1]) for r in got) == [(1, 1), (3, n // 3)]
+    make = lambda shift: spark.range(n).selectExpr("0 as t", f"id * 2 + {shift} as o", f"timestamp_seconds(id * 2 + {shift}) as ts", f"id * 2 + {shift} as ref")
+    calls, outputs = make(0), make(1)
+    got = content.match_outputs(calls, outputs, ["t"], "o", "ts").where("match = 'exact' and matched_ref = ref - 1").count()
+    assert got == n
+    got = content.match_outputs(calls.where(f"ref < {day}"), outputs.where(f"ref > {day}"), ["t"], "o", "ts").groupBy("match").count().collect()
+    assert {r[0] for r in got} == {"ambiguous", "exact", "none"} and sum(r[1] for r in got) == n - day // 2

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from turnlake.functions import columns as X
 from turnlake.operators.turns import ORDER, segment
@@ -52,30 +57,41 @@ def with_ordinal(items: DataFrame, turn: list[str], order: list[str]) -> DataFra
 def match_outputs(calls: DataFrame, outputs: DataFrame, keys: list[str], order: str, ts: str, hours: int = 24, call_ref: str = "ref") -> DataFrame:
     """Match tool outputs to calls of the same keys that are unconsumed and at most ``hours`` old.
 
-    One such call is an exact match and is consumed, several are ambiguous, none is none. The fold runs in order over the few rows of one
-    thread's call id; ``ref`` names the call. Gives the outputs with ``match`` and, for exact ones, ``matched_ref``.
+    One such call is an exact match and is consumed, several are ambiguous, none is none; ``ref`` names the call. Gives the outputs with
+    ``match`` and, for exact ones, ``matched_ref``. A key's rows stream through one task in order, which holds one batch of them and the
+    calls that are still open.
     """
-    pack = lambda df, kind: df.select(*keys, F.struct(F.col(order).alias("o"), F.lit(kind).alias("kind"), F.col(ts).alias("ts"), F.col(call_ref).alias("ref")).alias("e"))
-    groups = pack(calls, 0).unionByName(pack(outputs, 1)).groupBy(*keys).agg(F.sort_array(F.collect_list("e")).alias("es"))
-    ref = calls.schema[call_ref].dataType.simpleString()
-    start = F.expr(f"named_struct('open', cast(array() as array<struct<ref: {ref}, ts: timestamp>>), 'out', cast(array() as array<struct<ref: {ref}, match: string, matched: {ref}>>))")
-
-    def step(acc: Column, e: Column) -> Column:
-        live = F.filter(acc["open"], lambda c: c["ts"] >= e["ts"] - F.expr(f"interval {hours} hours"))
-        exact = F.size(live) == 1
-        opened = F.array_append(live, F.struct(e["ref"].alias("ref"), e["ts"].alias("ts")))
-        result = F.struct(
-            e["ref"].alias("ref"),
-            F.when(exact, "exact").when(F.size(live) > 1, "ambiguous").otherwise("none").alias("match"),
-            F.when(exact, F.get(live, F.lit(0))["ref"]).alias("matched"),
-        )
-        return F.struct(
-            F.when(e["kind"] == 0, opened).when(exact, F.slice(live, 1, 0)).otherwise(live).alias("open"),
-            F.when(e["kind"] == 1, F.array_append(acc["out"], result)).otherwise(acc["out"]).alias("out"),
-        )
-
-    folded = groups.select(*keys, F.aggregate("es", start, step)["out"].alias("out"))
-    return folded.select(*keys, F.explode("out").alias("x")).select(*keys, F.col("x.ref").alias(call_ref), "x.match", F.col("x.matched").alias("matched_ref"))
+    pack = lambda df, kind: df.select(*keys, F.col(order).alias("_o"), F.lit(kind).alias("_kind"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_ts"), F.col(call_ref).alias("_ref"))
+    rows = pack(calls, 0).unionByName(pack(outputs, 1))
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "_o", "_kind", "_ts", "_ref")
+    n, age = len(keys), hours * 3_600_000_000
+    fields = {f.name: f for f in rows.schema.fields}
+    out = StructType([*[fields[k] for k in keys], StructField("_ref", fields["_ref"].dataType), StructField("match", StringType()), StructField("matched_ref", fields["_ref"].dataType)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, live, count = None, [], 0  # a heap: the oldest open call is the first to go
+        for batch in batches:
+            at, match, matched = [], [], []
+            for i, (*key, kind, when, ref) in enumerate(zip(*[batch.column(c).to_pylist() for c in (*range(n), n + 1, n + 2, n + 3)], strict=True)):
+                if key != last:
+                    last, live = key, []
+                if when is None:
+                    live.clear()  # no call is known to be young enough
+                while live and live[0][0] < when - age:
+                    heapq.heappop(live)
+                if kind == 1:
+                    exact = len(live) == 1
+                    at.append(i)
+                    match.append("exact" if exact else "ambiguous" if live else "none")
+                    matched.append(live.pop()[2] if exact else None)
+                elif when is not None:
+                    count += 1
+                    heapq.heappush(live, (when, count, ref))
+            took = batch.take(pa.array(at, pa.int64()))
+            columns = [*took.columns[:n], took.column(n + 3), pa.array(match, pa.string()), pa.array(matched, took.schema.field(n + 3).type)]
+            yield pa.RecordBatch.from_arrays(columns, out.names)
+
+    return rows.mapInArrow(run, out).withColumnRenamed("_ref", call_ref)
 
 
 def bounded_history(rows: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:

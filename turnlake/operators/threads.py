@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from turnlake.sources.tables import checkpointed
 
@@ -58,16 +62,27 @@ def majority(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def pack_chunks(blocks: DataFrame, keys: list[str], order: str, size: str, most: int) -> DataFrame:
-    """Greedy packing of ordered blocks into chunks of at most ``most`` characters; a larger block has a chunk of its own."""
-    rows = blocks.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("n")))).alias("b"))
-    start = F.expr("named_struct('chunk', 0, 'used', cast(0 as bigint), 'out', cast(array() as array<struct<o: bigint, chunk: int, n: bigint>>))")
-
-    def step(acc: Column, x: Column) -> Column:
-        fresh = (acc["used"] > 0) & (acc["used"] + x["n"] > most)
-        chunk = acc["chunk"] + F.when(fresh, 1).otherwise(0)
-        used = F.when(fresh, x["n"]).otherwise(acc["used"] + x["n"])
-        line = F.struct(x["o"].cast("long").alias("o"), chunk.alias("chunk"), x["n"].alias("n"))
-        return F.struct(chunk.alias("chunk"), used.alias("used"), F.array_append(acc["out"], line).alias("out"))
-
-    packed = rows.select(*keys, F.explode(F.aggregate("b", start, step)["out"]).alias("x"))
-    return packed.select(*keys, F.col("x.o").alias(order), F.col("x.chunk").alias("chunk"), F.col("x.n").alias(size))
+    """Greedy packing of ordered blocks into chunks of at most ``most`` characters; a larger block has a chunk of its own.
+
+    A key's rows stream through one task in order, which holds one batch of them and the chunk that is being filled. Null sizes count as zero.
+    """
+    rows = blocks.select(*keys, F.col(order).alias("_o"), F.col(size).cast("long").alias("_n"))
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "_o", "_n")
+    n_keys, names = len(keys), [*rows.columns, "_chunk"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, chunk, used = None, 0, 0
+        for batch in batches:
+            found = []
+            for *key, n in zip(*[batch.column(i).to_pylist() for i in (*range(n_keys), n_keys + 1)], strict=True):
+                if key != last:
+                    last, chunk, used = key, 0, 0
+                n = n or 0
+                if used > 0 and used + n > most:
+                    chunk, used = chunk + 1, 0
+                used += n
+                found.append(chunk)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int32())], names)
+
+    packed = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_chunk", IntegerType())]))
+    return packed.select(*keys, F.col("_o").cast("long").alias(order), F.col("_chunk").alias("chunk"), F.col("_n").alias(size))
