@@ -3,9 +3,10 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from turnlake.operators import content, deltas, enrich, fanout, metrics, profile, threads
+from turnlake.operators import content, deltas, enrich, fanout, metrics, profile, registry, threads, turns
 from turnlake.sources import frames as wire
 from turnlake.streaming import jobs
 
@@ -143,3 +144,20 @@ def test_long_groups_stream(spark):
     assert got == n
     got = content.match_outputs(calls.where(f"ref < {day}"), outputs.where(f"ref > {day}"), ["t"], "o", "ts").groupBy("match").count().collect()
     assert {r[0] for r in got} == {"ambiguous", "exact", "none"} and sum(r[1] for r in got) == n - day // 2
+
+
+def test_registry_reports_what_it_skips_and_buckets_negative_gaps(spark):
+    gaps = spark.createDataFrame([("m", -20_000.0, 1), ("m", -30.0, 2), ("m", -2.0, 3), ("m", 2.0, 4), ("m", 0.0, 5)], "model string, tbt_gap_ms double, o int")
+    with pytest.warns(UserWarning, match="turns lacks request_kind, status"):
+        rows = registry.points(gaps, "o", ["o"])
+    r = registry.aggregate(rows.where("metric = 'time_between_tokens_gap'")).first()
+    assert r["count"] == 4 and [i for i, n in enumerate(r["buckets"]) if n] == [0, 8, 11, 14] and len(r["buckets"]) == 26
+    lines = wire.render(spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yo")], "conv_id long, turn long, role string, text string"))
+    done = turns.assemble(wire.decode(lines))
+    skipped = registry.missing(done.columns)
+    runs = [m.name for m in registry.METRICS if m.name not in skipped]
+    assert skipped["turns"] == ["request_kind"] and skipped["attributes_rejected"] == ["attributes_rejected", "field"]
+    with pytest.warns(UserWarning):
+        got = {r["metric"] for r in registry.points(done, "first_ts", ["first_seq"]).collect()}
+    assert {"responses", "tokens_output"} <= got <= set(runs)
+    print("RUNS", runs)

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bucket bounds (a value equal to a bound falls in its bucket).
+_NEAR_ZERO = (0.001, 0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 1.0, 5.0, 10.0)
 SECONDS_BOUNDS = tuple(0.01 * 2**k for k in range(14))
+SIGNED_SECONDS_BOUNDS = (*(-b for b in reversed(_NEAR_ZERO)), 0.0, *_NEAR_ZERO)
 TOKEN_BOUNDS = tuple(float(4**k) for k in range(14))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from turnlake.operators import metrics
 
 @dataclass(frozen=True)
 class Metric:
-    """``value`` and ``when`` are SQL over a turn's columns; a metric is left out where a column of its is missing."""
+    """``value`` and ``when`` are SQL over a turn's columns; a metric is left out, with a warning, where a column of its is missing."""
 
     name: str
     kind: str  # counter, histogram or gauge
@@ -28,8 +29,8 @@ def _counter(name: str, value: str = "1", when: str = "true", *labels: str) -> M
     return Metric(name, "counter", value, when, labels or ("model",))
 
 
-def _timing(name: str, column: str, when: str | None = None) -> Metric:
-    return Metric(name, "histogram", f"{column} / 1000.0D", when or f"{column} > 0", ("model",), metrics.SECONDS_BOUNDS)
+def _timing(name: str, column: str, when: str | None = None, bounds: tuple[float, ...] = metrics.SECONDS_BOUNDS) -> Metric:
+    return Metric(name, "histogram", f"{column} / 1000.0D", when or f"{column} > 0", ("model",), bounds)
 
 
 def _gauge(name: str, column: str, *labels: str) -> Metric:
@@ -63,7 +64,7 @@ METRICS: tuple[Metric, ...] = (
     *[_timing(k, f"delta_{k}_ms") for k in _EXCLUSIVE],
     _counter("uncached_prompt_tokens", "delta_uncached_tokens", "delta_uncached_tokens > 0"),
     *[_timing(f"time_between_tokens_{k}", f"tbt_{k}_ms") for k in ("engine", "api")],
-    _timing("time_between_tokens_gap", "tbt_gap_ms", "tbt_gap_ms <> 0"),
+    _timing("time_between_tokens_gap", "tbt_gap_ms", "tbt_gap_ms <> 0", metrics.SIGNED_SECONDS_BOUNDS),
     _gauge("limit_used", "limit_used", "window"), _gauge("limit_reset", "limit_reset", "window"), _gauge("limit_secondary_used", "limit_secondary_used"),
     _gauge("model_limit_used", "model_limit_used", "model"), _gauge("credits_balance", "credits_balance"), _gauge("credits_unlimited", "credits_unlimited"),
     _gauge("limit_reached", "limit_reached"), _gauge("model_limit_reached", "model_limit_reached", "model"),
@@ -77,22 +78,33 @@ METRICS: tuple[Metric, ...] = (
     _timing("proxy_latency", "latency_ms"), _timing("proxy_first_token", "latency_first_token_ms"),
     _gauge("account_quota_used", "account_used", "window"), _gauge("account_quota_reset", "account_reset", "window"), _gauge("account_model_quota_used", "account_model_used", "quota_key"),
     _gauge("account_credits", "account_credits"), _gauge("account_info", "account_present", "plan_type"), _gauge("key_eligible", "key_eligible", "api_key"),
+    _counter("attributes_rejected", "attributes_rejected", "attributes_rejected > 0", "field"),
 )
 
 
 _SQL_WORDS = frozenset("and or is not null cast as double if true d".split())
 
 
-def _usable(columns: set[str], m: Metric) -> bool:
-    """Whether all columns that the metric's SQL names are there; text literals are no names."""
-    named = re.findall(r"[a-z_][a-z_0-9]*", re.sub(r"'[^']*'", "", f"{m.value} {m.when}").lower())
-    return {*named, *m.labels} - _SQL_WORDS <= columns
+def missing(columns: Iterable[str], registry: Iterable[Metric] = METRICS) -> dict[str, list[str]]:
+    """The metrics that a table with these columns can't give, each with the columns it lacks; text literals are no names."""
+    found = {}
+    for m in registry:
+        named = re.findall(r"[a-z_][a-z_0-9]*", re.sub(r"'[^']*'", "", f"{m.value} {m.when}").lower())
+        if lacks := sorted({*named, *m.labels} - _SQL_WORDS - set(columns)):
+            found[m.name] = lacks
+    return found
 
 
 def points(turns: DataFrame, ts: str, order: list[str], registry: Iterable[Metric] = METRICS) -> DataFrame:
-    """``(metric, kind, ts, seq, attrs, value)``: one row for each metric that a turn has a value for, in a single pass over the turns."""
-    cells = []
-    for m in (m for m in registry if _usable(set(turns.columns), m)):
+    """``(metric, kind, ts, seq, attrs, value)``: one row for each metric that a turn has a value for, in a single pass over the turns.
+
+    Warns of the metrics that the turns' columns can't give, and names the columns that are missing.
+    """
+    registry, cells = list(registry), []
+    skipped = missing(turns.columns, registry)
+    if skipped:
+        warnings.warn(f"{len(skipped)} of {len(registry)} metrics are left out: " + "; ".join(f"{k} lacks {', '.join(v)}" for k, v in skipped.items()), stacklevel=2)
+    for m in (m for m in registry if m.name not in skipped):
         attrs = metrics.attributes(**{k: F.col(k) for k in m.labels})
         cell = F.struct(F.lit(m.name).alias("metric"), F.lit(m.kind).alias("kind"), attrs.alias("attrs"), F.expr(m.value).cast("double").alias("value"))
         cells.append(F.when(F.expr(m.when), cell))
@@ -108,8 +120,9 @@ def aggregate(rows: DataFrame, registry: Iterable[Metric] = METRICS) -> DataFram
     most = max(map(len, bounds.values()), default=0) + 1
     cells = F.array(*[F.count_if((F.col("kind") == "histogram") & (F.col("_b") == i)) for i in range(most)])
     g = keyed.groupBy("metric", "kind", "labels").agg(F.sum("value").alias("sum"), F.count("*").alias("count"), F.max_by("value", "seq").alias("last"), cells.alias("cells"))
+    own = F.slice("cells", F.lit(1), F.size(by_name[F.col("metric")]) + 1)
     value = F.when(F.col("kind") == "gauge", F.col("last")).otherwise(F.col("sum"))
-    return g.select("metric", "kind", "labels", value.alias("value"), "count", F.when(F.col("kind") == "histogram", F.col("cells")).alias("buckets"))
+    return g.select("metric", "kind", "labels", value.alias("value"), "count", F.when(F.col("kind") == "histogram", own).alias("buckets"))
 
 
 def series_counts(rows: DataFrame, registry: Iterable[Metric] = METRICS) -> DataFrame:
