@@ -216,3 +216,9 @@ def test_few_labels_find_toxic_documents(spark):
     marked = [r for r in rows if insults & set(quality._WORD.findall(r["text"].lower()))]
     assert len(marked) == 33 and all(r["toxic"] and r["toxic_score"] >= 0.5 and not r["kept"] for r in marked)
     assert not any(r["toxic_score"] >= 0.5 for r in rows if not r["toxic"])
+
+
+def test_links_refuse_a_radius_that_loses_links(spark):
+    classes = spark.createDataFrame([(0b01 | 0b01 << 32,), (0b10 | 0b10 << 32,)], "fp long")  # four bits apart, two in each half
+    with pytest.raises(ValueError, match="radius 4"):
+        simhash.links(classes, 4)

@@ -130,8 +130,11 @@ def links(classes: DataFrame, radius: int = 3) -> DataFrame:
     """Pairs ``(a, b)`` of different fingerprints (column ``fp``, distinct) that connect all pairs at most ``radius`` bits apart.
 
     Each table's bucket is read in one sweep, and what a sweep verifies leaves it as a forest, so a crowd around one text comes out as one
-    edge for each of its fingerprints and not as all its pairs. A sweep holds the fingerprints stored in one bucket, eight bytes each.
+    edge for each of its fingerprints and not as all its pairs. A sweep holds the fingerprints stored in one bucket, eight bytes each. A radius
+    above 3 is refused: halves that differ by one bit set on each side would need probes that flip bits both ways.
     """
+    if not 0 <= radius <= 3:
+        raise ValueError(f"radius {radius}: links are exact from 0 to 3 bits only")
     words = [F.shiftrightunsigned("fp", 32 * i).bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(2)]
     halves = F.array(*[F.struct(F.lit(i).cast("long").alias("half"), w.alias("bits")) for i, w in enumerate(words)])
     split = classes.select("fp", F.explode(halves).alias("h")).select("fp", "h.half", "h.bits")
