@@ -1,5 +1,6 @@
 """Near-duplicates, components, mixing, language model and quality classifier against brute force, and their edge cases."""
 
+import itertools
 import math
 import random
 import re
@@ -140,40 +141,115 @@ def test_slots_name_each_word_once(spark):
     assert all(a[:3] != b[:3] or a[4] == b[3] for a, b in zip(spans, spans[1:]))
 
 
-def test_lm_equals_direct_counts(spark):
-    rnd = random.Random(7)
-    vocabulary = ["the", "The", "of", "a", "b", "c", "é", "zz"]
-    rows = [(i if i else None, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(0, 30))) if i % 13 else None, True) for i in range(150)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
-    got = lm.score(df).collect()
-    tokens = {i: re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) + [None] for i, t, _ in rows}
-    held = {i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2 for i, _, _ in rows}
-    one = Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
-    two = Counter((a, b) for i, ws in tokens.items() if not held[i] for a, b in zip(["<s>", *ws], ws))
-    begin = sum(not h for h in held.values())
-    n, v = sum(one.values()), len(one)
+VOCABULARY = ["the", "The", "of", "a", "b", "c", "é", "zz"]
+
+
+def lm_rows(seed=7, n=150):
+    rnd = random.Random(seed)
+    rows = [(i if i else None, " ".join(rnd.choice(VOCABULARY) for _ in range(rnd.randint(0, 30))) if i % 13 else None) for i in range(n)]
+    return rows + [(n + k, "the of a b c zz of the") for k in range(6)]
+
+
+def lm_tokens(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) + [None]
+
+
+def direct_lm(rows):
+    """Every document's (base_score, score) by direct counts, and direct expectation-maximisation over deleted tokens."""
+    tokens = [lm_tokens(t) for _, t in rows]
+    held = [zlib.crc32(str("" if i is None else i).encode()) % 7 == 2 for i, _ in rows]
+    one, two, three, before, pair_before = Counter(), Counter(), Counter(), Counter(), Counter()
+    events = []
+    for ws, h in zip(tokens, held):
+        padded = ["<s>", "<s>", *ws]
+        for u, v, w in zip(padded, padded[1:], ws):
+            if not h:
+                one[w] += 1
+                two[v, w] += 1
+                three[u, v, w] += 1
+                before[v] += 1
+                pair_before[u, v] += 1
+                events.append((u, v, w))
+    n, size = sum(one.values()), len(one)
+
+    def share(ratios):
+        s = 0.5
+        for _ in range(500):
+            s = min(max(sum(s * r / (s * r + 1 - s) for r in ratios) / len(ratios), 1e-6), 1 - 1e-6)
+        return s
+
+    m = share([(one[w] - 1) / (n - 1) * (size + 1) for _, _, w in events])
+    p1 = lambda w, d: m * (one[w] - d) / (n - d) + (1 - m) / (size + 1)
+
+    def fit(top, context, lower):
+        by = {}
+        for e in events:
+            if context(e) > 1:
+                by.setdefault((context(e) - 1).bit_length(), []).append((top(e) - 1) / (context(e) - 1) / lower(e, 1))
+        got = {b: share(r) for b, r in by.items()}
+        return lambda c: got[min(got, key=lambda g: (abs(g - c.bit_length()), g))]
+
+    def level(top, context, lower, weight):
+        def p(e, d):
+            c = context(e) - d
+            return weight(c) * (top(e) - d) / c + (1 - weight(c)) * lower(e, d) if c > 0 else lower(e, d)
+
+        return p
+
+    low = lambda e, d: p1(e[2], d)
+    pair = (lambda e: two[e[1:]], lambda e: before[e[1]], low)
+    mid = level(*pair, fit(*pair))
+    gram = (lambda e: three[e], lambda e: pair_before[e[:2]], mid)
+    high = level(*gram, fit(*gram))
+    out = []
+    for ws in tokens:
+        padded = ["<s>", "<s>", *ws]
+        base = sum(math.log10((one[w] + 1) / (n + size + 1)) for w in ws)
+        out.append((len(ws), sum(one[w] > 0 for w in ws), n, base, sum(math.log10(high(e, 0)) for e in zip(padded, padded[1:], ws))))
+    return held, out
+
+
+@pytest.mark.parametrize("sizes", [{}, {"chunk_tokens": 40, "range_keys": 20}])  # one chunk a task; several, and ranges that split the keys
+def test_lm_equals_direct_counts(spark, sizes):
+    rows = lm_rows()
+    schema = "doc_id long, text string, held boolean, chunk int"
+    got = {r["doc_id"]: r for r in lm.score(spark.createDataFrame([(*r, True, 1) for r in rows], schema), **sizes).collect()}
+    held, want = direct_lm(rows)
     assert len(got) == len(rows)
-    better = []
-    for r in got:
-        ws = tokens[r["doc_id"]]
-        assert r["held_out"] == held[r["doc_id"]] and r["n_tokens"] == len(ws) and r["train_tokens"] == n
-        assert r["n_known"] == sum(one[w] > 0 for w in ws)
-        assert r["base_score"] == pytest.approx(sum(math.log10((one[w] + 1) / (n + v + 1)) for w in ws))
-        contexts = ["<s>", *ws[:-1]]
-        parts = [(two[a, b] / max(one[a] if a != "<s>" else begin, 1), one[b] / n, 1 / (v + 1)) for a, b in zip(contexts, ws)]
-        low, high = sum(math.log10(min(p) if min(p) else 1e-9) for p in parts), sum(math.log10(max(p)) for p in parts)
-        assert low - 1e-9 <= r["score"] <= high + 1e-9
-        better.append(r["score"] - r["base_score"])
-    assert sum(better) > 0
-    assert lm.score(df.where("false")).count() == 0
-
-
-def test_lm_is_a_distribution_and_chunks_do_not_matter(spark, monkeypatch):
-    rows = [(i, " ".join(f"w{(i * k) % 17}" for k in range(1, 40))) for i in range(60)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    whole = {r["doc_id"]: r["score"] for r in lm.score(df).collect()}
-    again = {r["doc_id"]: r["score"] for r in lm.score(df.repartition(7)).collect()}
-    assert again == pytest.approx(whole, rel=1e-9)
+    for (i, _), h, (n_tokens, n_known, total, base, score) in zip(rows, held, want):
+        r = got[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (h, n_tokens, n_known, total)
+        assert r["base_score"] == pytest.approx(base)
+        assert r["score"] == pytest.approx(score, rel=0.01)  # likelihood ratios are binned
+    assert lm.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_lm_learns_nothing_from_held_out_documents(spark):
+    rows = lm_rows(8, 60)
+    held, _ = direct_lm(rows)
+    scores = []
+    for text in (None, "the the the the", "unseen words " * 50):
+        changed = [(i, text if h else t) for (i, t), h in zip(rows, held)]
+        got = lm.score(spark.createDataFrame(changed, "doc_id long, text string")).where("not held_out")
+        scores.append({r["doc_id"]: (r["score"], r["base_score"]) for r in got.collect()})
+    assert scores[0] == scores[1] == scores[2] and len(scores[0]) == held.count(False)
+
+
+def test_lm_is_a_distribution(spark):
+    rows = [(i, f"a b {'a b ' * (i % 3)}b") for i in range(40)]
+    held = [i for i in range(2000, 3000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    # the chance of a text is that of its words after each other and then the end: over all texts of at most one word, and two-word starts
+    texts = ["", *[" ".join(t) for n in (1, 2, 3) for t in itertools.product(["a", "b", "zzz"], repeat=n)]]
+    got = {r["doc_id"]: 10 ** r["score"] for r in lm.score(spark.createDataFrame(rows + list(zip(held, texts)), "doc_id long, text string")).collect()}
+    chance = {t: got[i] for i, t in zip(held, texts)}
+    assert 0.5 < sum(chance.values()) < 1  # distinct texts, of one unknown word only
+    assert chance["a b b"] > 100 * chance["b a a"]
+
+
+def test_lm_without_training_documents(spark):
+    i = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    r = lm.score(spark.createDataFrame([(i, "a b")], "doc_id long, text string")).first()
+    assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) == (3, 0, 0, 0.0, 0.0)
 
 
 def test_em_finds_the_share():
