@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import time
 import struct
 from collections import Counter
 
 import public_tokenizers
+import numpy as np
 import pytest
 import tiktoken
 
@@ -182,6 +184,57 @@ def test_html_wrappers_hide_no_page(name):
     assert html.extract_text(f"<div>{inner}</div><div class=related><article>Teaser</article></div>").split("\n") == [f"{text} with bold text", text]
 
 
+LONG = ("Sentence after sentence fills this paragraph of the page. " * 4).strip()
+PARA = f"<p>{LONG}</p>"
+MENU = "<ul><li><a href=1>Home</a><li><a href=2>News</a></ul>"
+#: Pages with and without roots, each with the text it must give.
+PLANTED = {
+    "nested article": (f"<main><h1>Title</h1><p>Lead</p><article>{PARA}</article><p>after</p></main>", ["Title", "Lead", LONG, "after"]),
+    "articles in a row": (f"{MENU}<article><h2>One</h2>{PARA}</article><article>{PARA}</article>", ["One", LONG, LONG]),
+    "form around the page": (f"<form id=aspnet><input name=q><div><h1>Title</h1>{PARA}{PARA}<button>Go</button></div></form><p>Small print</p>", ["Title", LONG, LONG]),
+    "form beside it": (f"<div>{PARA}{PARA}</div><form><p>Subscribe to our newsletter now</p><input><button>ok</button></form>", [LONG, LONG]),
+    "button in a line": (f"<div><p>hello<button>x</button>world</p>{PARA}</div>", ["hello world", LONG]),
+    "name inside a sentence": (f"<article><p>One <span class=related>kept</span> two</p>{PARA}</article>", ["One kept two", LONG]),
+    "short lines between": (f"{MENU}<div><h1>Title</h1>{PARA}<p>Short.</p>{PARA}{PARA}<p>End.</p></div><div>Copyright 2024</div>", ["Title", LONG, "Short.", LONG, LONG, "End."]),
+    "teaser articles, text in divs": (f"<div class=cards><article><h3>A</h3></article></div><div>{PARA * 6}</div>", [LONG] * 6),
+    "reader comments": (f"<div>{PARA}{PARA}</div><div id=commentList><p>{LONG} I agree.</p></div>", [LONG, LONG]),
+    "link list in an article": (f"<article>{PARA}{PARA}{PARA}{PARA}<ul>{'<li><a href=1>More on this subject</a></li>' * 9}</ul></article>", [LONG] * 4),
+    "sidebar without a name": (f"<div><p>Weather: fine. Twelve degrees.</p></div><div>{PARA * 5}</div>", [LONG] * 5),
+    "list of words beside it": (f"<div>{'<li>Tag 12' * 60}</div><div>{PARA * 5}</div>", [LONG] * 5),
+    "cards beside it": (f"{'<article><p>Card text.</p></article>' * 60}<div>{PARA * 6}</div>", [LONG] * 6),
+    "hidden": (f"<div>{PARA}<p style='display: none'>{LONG} unseen</p>{PARA}</div>", [LONG, LONG]),
+}
+
+
+@pytest.mark.parametrize("name", PLANTED)
+def test_html_planted_pages(name):
+    page, want = PLANTED[name]
+    assert html.extract_text(f"<html><body>{page}</body></html>").split("\n") == want
+
+
+@pytest.mark.parametrize("off", ["ratio", "smoothing", "threshold"])
+def test_html_needs_each_part_of_its_method(monkeypatch, off):
+    if off == "smoothing":
+        monkeypatch.setattr(html, "_smooth", lambda values: values)
+    else:
+        flat = (lambda v: np.ones(len(v))) if off == "ratio" else (lambda v: np.where(np.arange(len(v)) % 2, 1e9, 1.0))
+        smooth = html._smooth
+        monkeypatch.setattr(html, "_smooth", lambda values: flat(smooth(values)))
+    wrong = [n for n, (page, want) in PLANTED.items() if html.extract_text(f"<body>{page}</body>").split("\n") != want]
+    assert len(wrong) >= 2
+
+
+def test_html_hostile_pages_take_linear_time():
+    def seconds(n):
+        begin = time.process_time()
+        html.extract_text("<span>x" * n + "</i>" * n)
+        html.extract_text("<div>x" * n + "</p>" * n)
+        return time.process_time() - begin
+
+    seconds(100)
+    assert seconds(16_000) < 3 * seconds(8_000) + 0.5
+
+
 BRUTE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

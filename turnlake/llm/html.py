@@ -1,19 +1,27 @@
 """Main text of web pages from text-to-tag ratios.
 
 The standard library's parser streams a page's events. Blocks are the page's lines; each has the ratio of its text to the tags since the
-block before. The ratios are smoothed with a Gaussian and cut at a threshold, and the clusters of lines above it select the content: the
-outermost article or main element around most of them, with the others at its level that are not mostly links or, on pages without one, all
-from the first cluster to the last. All blocks of these regions are text, short ones too, save those inside elements that the page itself
-marks as something else and, on pages without such an element, lists of links.
+block before, links and hidden elements not counted as text. The ratios are smoothed with a Gaussian and cut at a threshold; lines above it
+form the clusters that select the content:
+
+* article and main elements are a prior: where they hold at least a third of the clusters' text, every outermost one that a cluster reaches
+  is content, and the rest of the page isn't;
+* elsewhere the content is the smallest element that holds nearly all of the clusters' text, from the first cluster to the last. At its
+  ends, lines below their own threshold stay only where they are built like the clusters' lines, or are headings.
+
+Short lines between and beside dense ones are content because the smoothing lifts them; lists of links are not. Elements that the page itself
+marks as something else are left out, unless they are wrappers around all of it.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -26,50 +34,83 @@ BLOCKS = frozenset(
 )
 CLOSED_BY = {"p": BLOCKS, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "tr": frozenset({"tr"}), "head": frozenset({"body"})}
 SKIPPED = frozenset(
-    "aside audio button canvas datalist dialog footer form head iframe input label map math menu nav noscript object option script search select"
+    "aside audio button canvas datalist dialog footer head iframe input label legend map math menu nav noscript object option script search select"
     " style svg template textarea title video".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Skipped elements that are seen as a box of their own, and so part the words before and after.
+BOXES = frozenset("audio button canvas iframe input label map object select svg textarea video".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id and role names that mark page furniture, and those that do so outside an article only.
 FURNITURE = frozenset(
-    "ad ads adsense advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments commentlist consent cookie"
-    " cookies disqus gdpr menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted recommended related"
+    "ad ads adsense advert adverts advertisement advertising adbox alert alerts banner breadcrumb breadcrumbs comment comments commentlist consent"
+    " cookie cookies dialog disqus gdpr menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted recommended related"
     " reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 OUTER_FURNITURE = frozenset("footer header masthead topbar contentinfo complementary".split())
-#: Words that turn such a name into one of the element around or beside the furniture, as in has-sidebar.
+#: Words that turn such a name into one of the element around or beside the furniture, as in has-sidebar, and those that
+#: turn a header or footer into an article's own.
 LAYOUT = frozenset("free has no non with without".split())
+OWN = frozenset("article content entry post story".split())
 ROOTS = frozenset({"article", "main"})
 #: The mark of elements that are never text, whatever is around them.
 NEVER = 1 << 30
 
 SIGMA = 1.5
-_NAMES = re.compile(r"[a-z0-9]+")
-_HEAT = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-4, 5)]
+#: Of the clusters' text: the least share in articles at which these are the content, and the share that a content element must hold.
+ROOT_SHARE, ELEMENT_SHARE = 0.25, 0.9
+_NAMES = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"([a-z0-9])([A-Z])")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_HEAT = np.exp(-np.arange(-4, 5) ** 2 / (2 * SIGMA * SIGMA))
+
+
+@dataclass(slots=True)
+class Line:
+    """A block: its text, the tags before it, the share of its text in links, its outermost root, how many elements around it are named as
+    furniture (or :data:`NEVER` at least), the form it is in, the element that holds it, and what kind of element it is."""
+
+    text: str
+    tags: int
+    linked: float
+    root: int
+    marks: int
+    form: int
+    element: int
+    tag: str
+
+
+@dataclass(slots=True)
+class _Open:
+    tag: str
+    marks: int
+    block_marks: int
+    root: int
+    form: int
+    element: int
 
 
 class _Events(HTMLParser):
-    """Collects blocks as ``[text, tags before it, share of its text in links, innermost root, marks as furniture]``.
-
-    The marks are how many elements around it are named as furniture, or :data:`NEVER` at least.
-    """
+    """Collects the lines of a page, and for each element the one around it (0 is the page)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, float, int, int]] = []
-        self.stack: list[tuple[str, int, int]] = []  # element, marks, root
-        self.parts: list[str] = []
-        self.tags = self.linked = self.links = self.roots = 0
-        self.outermost = {0: 0}
-
-    def _state(self) -> tuple[int, int]:
-        return self.stack[-1][1:] if self.stack else (0, 0)
+        self.lines: list[Line] = []
+        self.parents = [0]
+        self.stack = [_Open("", 0, 0, 0, 0, 0)]
+        self.open: Counter[str] = Counter()
+        self.parts: list[tuple[str, int]] = []
+        self.tags = self.linked = self.links = 0
+        self.block = "", 0
 
     def flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
+        text = " ".join("".join(p for p, _ in self.parts).split())
         if text:
-            marks, root = self._state()
-            self.blocks.append((text, self.tags, self.linked / len(text), root, marks))
+            top = self.stack[-1]
+            # names on inline elements count only where no text of the block is outside them
+            marks = min(m for p, m in self.parts if p and not p.isspace())
+            tag, element = self.block if self.block[1] == top.element or top.tag not in BLOCKS else (top.tag, top.element)
+            self.lines.append(Line(text, self.tags, self.linked / len(text), top.root, marks, top.form, self.parents[element], tag))
             self.tags = 0
         self.parts.clear()
         self.linked = 0
@@ -82,52 +123,53 @@ class _Events(HTMLParser):
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
                 if tag not in ROOTS and tag not in ("html", "body"):
-                    for names in map(_NAMES.findall, value.lower().split()):
-                        if any(n in FURNITURE or not root and n in OUTER_FURNITURE for n in names) and LAYOUT.isdisjoint(names):
+                    for names in map(_NAMES.findall, _CAMEL.sub(r"\1 \2", value).lower().split()):
+                        outer = not root and OWN.isdisjoint(names)
+                        if any(n in FURNITURE or outer and n in OUTER_FURNITURE for n in names) and LAYOUT.isdisjoint(names):
                             named = 1
-            elif key == "hidden" or key == "aria-hidden" and value == "true":
+            elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and value and _UNSEEN.search(value):
                 return NEVER
         return named
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
-        if tag in BLOCKS:
+        block = tag in BLOCKS
+        if block:
             self.flush()
-            while self.stack and tag in CLOSED_BY.get(self.stack[-1][0], ()):
-                self.stack.pop()
-        elif tag in ("br", "td", "th"):
-            self.parts.append(" ")
+            while tag in CLOSED_BY.get(self.stack[-1].tag, ()):
+                self._end(self.stack[-1].tag)
+        elif tag in ("br", "td", "th") or tag in BOXES:
+            self.parts.append((" ", NEVER))
         if tag == "body":
             self._end("head")
         if tag in VOID:
             return
-        marks, root = self._state()
-        if tag in SKIPPED and tag not in BLOCKS:
-            self.flush_inline(marks)
-        marks += self._furniture(tag, attrs, root)
-        if tag in ROOTS or any(k == "role" and v in ROOTS for k, v in attrs):
-            self.roots += 1
-            self.outermost[self.roots] = self.outermost[root] or self.roots
-            root = self.roots
-        self.stack.append((tag, marks, root))
+        top, element = self.stack[-1], len(self.parents)
+        self.parents.append(top.element)
+        marks = top.marks + self._furniture(tag, attrs, top.root)
+        root = top.root or (element if tag in ROOTS or any(k == "role" and v in ROOTS for k, v in attrs) else 0)
+        self.stack.append(_Open(tag, marks, marks if block else top.block_marks, root, element if tag == "form" else top.form, element))
+        if block:
+            self.block = tag, element
+        self.open[tag] += 1
         self.links += tag == "a"
 
-    def flush_inline(self, marks: int) -> None:
-        """Text of an inline element that is skipped stays apart from the block around it."""
-        if not marks:
-            self.parts.append("")
-
     def _end(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self.links -= sum(s[0] == "a" for s in self.stack[i:])
-                del self.stack[i:]
+        if not self.open[tag]:
+            return  # so a stray end tag costs nothing
+        while True:
+            last = self.stack.pop()
+            self.open[last.tag] -= 1
+            self.links -= last.tag == "a"
+            if last.tag == tag:
                 return
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
+        elif tag in BOXES:
+            self.parts.append((" ", NEVER))
         self._end(tag)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -136,44 +178,94 @@ class _Events(HTMLParser):
             self._end(tag)
 
     def handle_data(self, data: str) -> None:
-        if self._state()[0]:
-            inline = self.stack[-1][0] in SKIPPED and self.stack[-1][0] not in BLOCKS
-            around = next((marks for tag, marks, _ in reversed(self.stack) if tag in BLOCKS), 0)
-            if inline or self._state()[0] > around and not all(p.isspace() or not p for p in self.parts):
-                return  # a skipped element inside a block of text
-        self.parts.append(data)
+        top = self.stack[-1]
+        if top.marks >= NEVER > top.block_marks:
+            return  # a skipped element inside a block of text
+        self.parts.append((data, top.marks))
         if self.links:
             self.linked += len(data)
 
 
-def _smooth(values: list[float]) -> list[float]:
-    out = []
-    for i in range(len(values)):
-        total = weight = 0.0
-        for k, h in enumerate(_HEAT):
-            if 0 <= (j := i + k - 4) < len(values):
-                total += h * values[j]
-                weight += h
-        out.append(total / weight)
-    return out
+def _smooth(values: np.ndarray) -> np.ndarray:
+    """Gaussian means; at the ends, of what is there."""
+    return np.convolve(values, _HEAT, "full")[4 : 4 + len(values)] / np.convolve(np.ones(len(values)), _HEAT, "full")[4 : 4 + len(values)]
 
 
-def _marked(blocks: list[tuple[str, int, float, int, int]]) -> int:
-    """How many marks a text block may have: none, but those of a wrapper around all of the page or around its article.
+def _marked(lines: list[Line]) -> int:
+    """How many marks a line of text may have: none, but those of a wrapper around all of the page or around its article.
 
     A name around an article counts for nothing where no article is without one and the articles hold more text than the rest without one.
     """
-    open_ = [b for b in blocks if b[4] < NEVER]
+    open_ = [b for b in lines if b.marks < NEVER]
     if not open_:
         return 0
-    least, inside = min(b[4] for b in open_), [b for b in open_ if b[3]]
-    if inside and (wrapped := min(b[4] for b in inside)) > least:
-        mass = lambda rows: sum(len(b[0]) * (1 - b[2]) for b in rows)
-        if mass(b for b in inside if b[4] == wrapped) > mass(b for b in open_ if b[4] < wrapped):
+    least, inside = min(b.marks for b in open_), [b for b in open_ if b.root]
+    if inside and (wrapped := min(b.marks for b in inside)) > least:
+        mass = lambda rows: sum(len(b.text) * (1 - b.linked) for b in rows)
+        if mass(b for b in inside if b.marks == wrapped) > mass(b for b in open_ if b.marks < wrapped):
             return wrapped
     return least
 
 
+def _forms(lines: list[Line]) -> set[int]:
+    """The forms that are furniture: all but one around most of the page's text, which lost its controls when they were read."""
+    held = Counter()
+    for b in lines:
+        if b.marks < NEVER:
+            held[b.form] += len(b.text)
+    return {f for f, n in held.items() if f and 2 * n <= held.total()}
+
+
+def _without_lists(lines: list[Line], at: list[int], run: int, low: np.ndarray) -> list[int]:
+    """Leave out lists of links: ``run`` or more lines in a row that are mostly links, any of them low."""
+    out, i = [], 0
+    while i < len(at):
+        j = i
+        while j < len(at) and lines[at[j]].linked > 0.5:
+            j += 1
+        if j - i < run or not low[at[i:j]].any():
+            out += at[i:j]
+        if j < len(at):
+            out.append(at[j])
+        i = j + 1
+    return out
+
+
+def _content(lines: list[Line], parents: list[int], hidden: np.ndarray, ratio: np.ndarray, smooth: np.ndarray) -> list[int]:
+    """The lines that are content."""
+    cut = min(smooth.std(), smooth.mean())  # the spread of the ratios, as is usual for this method; for even pages, what is common
+    dense = (smooth >= cut) & ~hidden
+    mass = np.array([len(b.text) * (1 - b.linked) for b in lines]) * dense
+    root = np.array([b.root for b in lines])
+    if mass[root > 0].sum() >= ROOT_SHARE * mass.sum() > 0:
+        weight = lambda r: float((mass * smooth)[root == r].sum())
+        reached = sorted(set(root[dense & (root > 0)].tolist()))
+        links = {r: sum(len(b.text) * (b.linked - 0.5) for b, h in zip(lines, hidden, strict=True) if b.root == r and not h) for r in reached}
+        best = max(reached, key=lambda r: (weight(r), -r))
+        chosen = {r for r in reached if r == best or links[r] <= 0}
+        return _without_lists(lines, [i for i, b in enumerate(lines) if b.root in chosen and not hidden[i]], 3, smooth < cut)
+    linked = np.array([b.linked for b in lines])
+    core = np.flatnonzero(dense & (linked <= 0.5))
+    if not len(core):
+        return []
+    held = np.zeros(len(parents))
+    for i in core:
+        held[lines[i].element] += mass[i]
+    total = held.sum()
+    for e in range(len(parents) - 1, 0, -1):
+        held[parents[e]] += held[e]
+    around = max(np.flatnonzero(held >= ELEMENT_SHARE * total).tolist(), default=0)
+    within = np.zeros(len(parents), bool)
+    for e in range(len(parents)):
+        within[e] = e == around or (e > 0 and within[parents[e]])
+    core = [i for i in core.tolist() if within[lines[i].element]]
+    own = [i for i in core if ratio[i] >= cut] or core
+    built = {(lines[i].element, lines[i].tag) for i in own}
+    edge = lambda i: own[0] <= i <= own[-1] or (lines[i].element, lines[i].tag) in built or lines[i].tag in HEADINGS
+    first, last = next(i for i in core if edge(i)), next(i for i in reversed(core) if edge(i))
+    return _without_lists(lines, [i for i in range(first, last + 1) if not hidden[i] and within[lines[i].element]], 2, linked > 0.5)
+
+
 def extract_text(html: str | None) -> str:
     """The page's main text: blocks in page order, one line each. Empty for null, empty and contentless pages."""
     if not html:
@@ -182,33 +274,13 @@ def extract_text(html: str | None) -> str:
     events.feed(html)
     events.close()
     events.flush()
-    blocks = events.blocks
-    if not blocks:
-        return ""
-    marked = _marked(blocks)
-    blocks = [(*b[:4], b[4] > marked) for b in blocks]
-    ratio = [0.0 if hidden else len(text) * (1 - linked) / max(tags, 1) for text, tags, linked, _, hidden in blocks]
-    smooth = _smooth(ratio)
-    mean = sum(smooth) / len(smooth)
-    cut = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))  # the spread of the ratios, as is usual for this method
-    dense = [x >= min(cut, mean) and not b[4] for x, b in zip(smooth, blocks, strict=True)]
-    if any(b[3] and not b[4] for b in blocks):
-        mass: dict[int, float] = {}
-        linked: dict[int, float] = {}
-        tops = [events.outermost[b[3]] for b in blocks]
-        for top, b, x, d in zip(tops, blocks, smooth, dense, strict=True):
-            if top:
-                mass[top] = mass.get(top, 0.0) + (x * len(b[0]) if d else 0.0)
-                linked[top] = linked.get(top, 0.0) + (0.0 if b[4] else len(b[0]) * (b[2] - 0.5))
-        best = max(mass, key=lambda r: (mass[r], -r))
-        return "\n".join(b[0] for top, b in zip(tops, blocks, strict=True) if top and not b[4] and (top == best or linked[top] <= 0))
-    content = [i for i, (d, b) in enumerate(zip(dense, blocks, strict=True)) if d and b[2] <= 0.5]
-    if not content:
+    lines = events.lines
+    if not lines:
         return ""
-    region = [b for b in blocks[content[0] : content[-1] + 1] if not b[4]]
-    linky = [False, *[b[2] > 0.5 for b in region], False]
-    # of blocks that are mostly links, those alone between others are text, and several in a row a list of links
-    return "\n".join(b[0] for i, b in enumerate(region, 1) if not linky[i] or not (linky[i - 1] or linky[i + 1]))
+    allowed, forms = _marked(lines), _forms(lines)
+    hidden = np.array([b.marks > allowed or b.form in forms for b in lines])
+    ratio = np.array([len(b.text) * (1 - b.linked) / max(b.tags, 1) for b in lines]) * ~hidden
+    return "\n".join(lines[i].text for i in _content(lines, events.parents, hidden, ratio, _smooth(ratio)))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
