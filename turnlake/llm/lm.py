@@ -37,7 +37,7 @@ RANGE_KEYS = 1 << 19
 MIN_RANGES = 16
 #: Numbers of no word and of the place before a text's first word; words count on from the next.
 NONE, BEGIN, FIRST = 0, 1, 2
-#: The mark that ends a text: no word holds white space. It is the first word of every chunk.
+#: The mark that ends a text: no word holds white space.
 END = b" "
 #: Likelihood ratios are counted in steps of this fraction of a power of two; the bins, and so what reaches the driver, are bounded.
 _STEPS, _SPAN = 128, 40
@@ -89,20 +89,22 @@ class _Chunk:
 
     def row(self, name: str, held: bool, id_type: pa.DataType) -> pa.RecordBatch:
         digests = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        order = np.argsort(digests)
+        place = np.argsort(order).astype("<u4")
         columns = {
             "chunk": pa.array([name]),
             "held": pa.array([held]),
             "ids": pa.array([self.ids], pa.list_(id_type)),
             "lengths": pa.array([self.lengths], pa.list_(pa.int64())),
             "n_words": pa.array([len(self.words)], pa.int64()),
-            "words": pa.array([pack(digests, "<u8")], pa.binary()),
-            "tokens": pa.array([pack(np.concatenate(self.tokens), "<u4")], pa.binary()),
+            "words": pa.array([pack(np.diff(digests[order], prepend=np.uint64(0)), "<u8")], pa.binary()),
+            "tokens": pa.array([pack(place[np.concatenate(self.tokens)], "<u4")], pa.binary()),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, held: str, most: int = CHUNK_TOKENS) -> DataFrame:
-    """One row for each chunk: its documents' ids and token counts, its words' digests, and its tokens as indices into them."""
+    """One row for each chunk: its documents' ids and token counts, its words' sorted digests (as steps), and its tokens as indices into them."""
     flag = F.coalesce(F.expr(held).cast("boolean"), F.lit(False))
     source = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), flag.alias("held"))
     kind = source.schema["id"].dataType.simpleString()
@@ -132,7 +134,7 @@ def _each(frames: Iterator[pd.DataFrame], make: Callable) -> Iterator[pd.DataFra
             yield make(r)
 
 
-def _cuts(sorted_ranges: np.ndarray, ranges: int) -> list[tuple[int, slice]]:
+def _cuts(sorted_ranges: np.ndarray) -> list[tuple[int, slice]]:
     """The ranges that occur, each with where its rows are."""
     found, starts = np.unique(sorted_ranges, return_index=True)
     return [(int(r), slice(a, b)) for r, a, b in zip(found, starts, [*starts[1:], len(sorted_ranges)], strict=True)]
@@ -142,10 +144,9 @@ def _word_requests(table: DataFrame, ranges: int) -> DataFrame:
     """A message from each chunk to each range that it has words in: their sorted digests, and how often the chunk has them."""
 
     def make(r) -> pd.DataFrame:
-        words, local = unpack(r.words, "<u8"), unpack(r.tokens, "<u4")
-        order = np.argsort(words)
-        keys, counts = words[order], np.bincount(local, minlength=len(words))[order]
-        rows = [[i, r.chunk, r.held, pack(keys[s], "<u8"), pack(counts[s], "<u4")] for i, s in _cuts(_range(keys, ranges), ranges)]
+        keys, local = np.cumsum(unpack(r.words, "<u8"), dtype=np.uint64), unpack(r.tokens, "<u4")
+        counts = np.bincount(local, minlength=len(keys))
+        rows = [[i, r.chunk, r.held, pack(np.diff(keys[s], prepend=np.uint64(0)), "<u8"), pack(counts[s], "<u4")] for i, s in _cuts(_range(keys, ranges))]
         return pd.DataFrame(rows, columns=["range", "chunk", "held", "words", "n"])
 
     schema = "range long, chunk string, held boolean, words binary, n binary"
@@ -171,7 +172,7 @@ def _answer_words(ranges: int) -> Callable:
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
         here, training = int(df["range"].iat[0]), ~df["held"].to_numpy(bool)
-        keys, times = [unpack(x, "<u8") for x in df["words"]], [unpack(x, "<u4").astype(np.int64) for x in df["n"]]
+        keys, times = [np.cumsum(unpack(x, "<u8"), dtype=np.uint64) for x in df["words"]], [unpack(x, "<u4").astype(np.int64) for x in df["n"]]
         distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
         mine = np.repeat(training, [len(k) for k in keys])
         sums = np.bincount(where, weights=np.concatenate(times) * mine, minlength=len(distinct)).astype(np.int64)
@@ -196,21 +197,19 @@ def _numbered(table: DataFrame, replies: DataFrame) -> DataFrame:
     """The chunks with their words' numbers and counts in place of the digests."""
 
     def make(r) -> pd.DataFrame:
-        answers, order = sorted(r.answers, key=lambda a: a["range"]), np.argsort(unpack(r.words, "<u8"))
+        answers = sorted(r.answers, key=lambda a: a["range"])
         out = [r.chunk, r.held, r.ids, r.lengths, r.tokens]
         for side in ("numbers", "counts"):
             values = np.concatenate([unpack(a[side], "<u8") for a in answers])
-            if len(values) != len(order):
-                raise ValueError(f"chunk {r.chunk} got {len(values)} answers for {len(order)} words")
-            placed = np.empty_like(values)
-            placed[order] = values
-            out.append(pack(placed, "<u8"))
+            if len(values) != r.n_words:
+                raise ValueError(f"chunk {r.chunk} got {len(values)} answers for {r.n_words} words")
+            out.append(pack(values, "<u8"))
         return pd.DataFrame([out], columns=["chunk", "held", "ids", "lengths", "tokens", "numbers", "counts"])
 
     answers = replies.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("range", "numbers", "counts")).alias("answers"))
     kind = table.schema["ids"].dataType.simpleString()
     schema = f"chunk string, held boolean, ids {kind}, lengths array<long>, tokens binary, numbers binary, counts binary"
-    return table.join(answers, "chunk").mapInPandas(lambda frames: _each(frames, make), schema)
+    return table.drop("words").join(answers, "chunk").mapInPandas(lambda frames: _each(frames, make), schema)
 
 
 class _Grams:
@@ -254,7 +253,7 @@ def _gram_requests(table: DataFrame, ranges: int) -> DataFrame:
     def make(r) -> pd.DataFrame:
         g = _Grams(unpack(r.numbers, "<u8"), unpack(r.tokens, "<u4"), np.asarray(r.lengths), ranges)
         rows = []
-        for (i, p), (_, t) in zip(_cuts(g.pair_range, ranges), _cuts(g.range, ranges), strict=True):
+        for (i, p), (_, t) in zip(_cuts(g.pair_range), _cuts(g.range), strict=True):
             steps = np.diff(g.x[p], prepend=np.uint64(0))
             rows.append([i, r.chunk, r.held, pack(steps, "<u8"), pack(g.y[p], "<u8"), pack(g.fan[p], "<u4"), pack(g.z[t], "<u8"), pack(g.n[t], "<u4")])
         return pd.DataFrame(rows, columns=["range", "chunk", "held", "x", "y", "fan", "z", "n"])
