@@ -61,8 +61,16 @@ def test_links_connect_what_all_pairs_connect(spark):
     signed = [p - 2**64 if p >= 2**63 else p for p in prints]
     pairs = [(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= 3]
     found = [(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long")).collect()]
-    assert pairs and all(((a ^ b) & (2**64 - 1)).bit_count() <= 3 for a, b in found) is not None
-    assert union_find(signed, found) == union_find(signed, pairs)
+    assert pairs and union_find(signed, found) == union_find(signed, pairs)
+
+
+@pytest.mark.parametrize("block_rows", [1, 5, 1000])
+def test_crowded_buckets_are_split_and_lose_nothing(spark, block_rows):
+    rnd = random.Random(5)
+    prints = {0x5555 << 32 | rnd.getrandbits(12) for _ in range(120)} | {0x5557 << 32 | rnd.getrandbits(12) for _ in range(60)} | {rnd.getrandbits(62) for _ in range(50)}
+    pairs = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 3]
+    found = [(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"), block_rows=block_rows).collect()]
+    assert union_find(prints, found) == union_find(prints, pairs)
 
 
 def test_simhash_groups_and_edge_cases(spark):

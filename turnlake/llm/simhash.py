@@ -14,8 +14,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from turnlake.llm.arrow import text_slices, texts
 from turnlake.llm.common import materialize
@@ -24,6 +25,8 @@ from turnlake.llm.components import connected_components
 SEED = 42
 #: Shingles whose bits are counted at once.
 _CHUNK = 1 << 18
+#: Fingerprints of a table's bucket that one task compares at once, on either side; a crowded bucket is split into blocks of these.
+BLOCK_ROWS = 1 << 14
 
 
 def fingerprint(text: str, width: int = 3) -> int:
@@ -94,16 +97,18 @@ def _look_up(radius: int):
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
         for batch in batches:
-            key = batch.column(0).to_numpy() * 2 ** 32 + batch.column(1).to_numpy()
-            probe, fp = batch.column(2).to_numpy().astype(bool), batch.column(3).to_numpy().view(np.uint64)
-            edges = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1, [len(key)]))
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                same = bucket == key[lo]
-                if hi - lo == 1 and not same and hi < len(key):
-                    continue  # a bucket of one row
+            if not batch.num_rows:
+                continue
+            key, part = batch.column(0).to_numpy() * 2 ** 32 + batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            probe, fp = batch.column(3).to_numpy().astype(bool), batch.column(4).to_numpy().view(np.uint64)
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(key) | np.diff(part)) + 1, [len(key)]))
+            # buckets of one row link nothing, save where a batch may have cut them
+            runs = np.unique(np.concatenate(([0], np.flatnonzero(np.diff(edges) > 1), [len(edges) - 2])))
+            for lo, hi in zip(edges[runs].tolist(), edges[runs + 1].tolist(), strict=True):
+                name = int(key[lo]), int(part[lo])
                 mid = lo + int(np.searchsorted(probe[lo:hi], True))
-                held = np.concatenate([held, fp[lo:mid]]) if same else fp[lo:mid]
-                bucket = key[lo]
+                held = np.concatenate([held, fp[lo:mid]]) if bucket == name else fp[lo:mid]
+                bucket = name
                 for at in range(mid, hi if len(held) else mid, 256):
                     block = fp[at : min(at + 256, hi)]
                     for start in range(0, len(held), 1 << 16):
@@ -126,26 +131,49 @@ def _look_up(radius: int):
     return run
 
 
-def links(classes: DataFrame, radius: int = 3) -> DataFrame:
+def _around(radius: int) -> Column:
+    """The buckets that a row of bucket ``bits`` looks up: those whose bits it gets by setting at most ``radius`` zero bits."""
+    ball = F.array(*[F.lit(m).cast("long") for m in _balls(radius)])
+    return F.transform(F.filter(ball, lambda m: F.col("bits").bitwiseAND(m) == 0), lambda m: F.col("bits").bitwiseOR(m))
+
+
+def links(classes: DataFrame, radius: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pairs ``(a, b)`` of different fingerprints (column ``fp``, distinct) that connect all pairs at most ``radius`` bits apart.
 
     Each table's bucket is read in one sweep, and what a sweep verifies leaves it as a forest, so a crowd around one text comes out as one
-    edge for each of its fingerprints and not as all its pairs. A sweep holds the fingerprints stored in one bucket, eight bytes each. A radius
-    above 3 is refused: halves that differ by one bit set on each side would need probes that flip bits both ways.
+    edge for each of its fingerprints and not as all its pairs. Buckets that store, or are looked up from buckets that store, more than
+    ``block_rows`` are split into blocks on both sides; every probe still meets every stored row, once. A radius above 3 is refused: halves
+    that differ by one bit set on each side would need probes that flip bits both ways.
     """
     if not 0 <= radius <= 3:
         raise ValueError(f"radius {radius}: links are exact from 0 to 3 bits only")
     words = [F.shiftrightunsigned("fp", 32 * i).bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(2)]
     halves = F.array(*[F.struct(F.lit(i).cast("long").alias("half"), w.alias("bits")) for i, w in enumerate(words)])
     split = classes.select("fp", F.explode(halves).alias("h")).select("fp", "h.half", "h.bits")
-    ball = F.array(*[F.lit(m).cast("long") for m in _balls(radius // 2)])
-    around = F.transform(F.filter(ball, lambda m: F.col("bits").bitwiseAND(m) == 0), lambda m: F.col("bits").bitwiseOR(m))
-    probe = split.select("half", F.explode(around).alias("bits"), F.lit(1).cast("long").alias("probe"), "fp")
-    stored = split.select("half", "bits", F.lit(0).cast("long").alias("probe"), "fp")
-    rows = stored.union(probe).repartition("half", "bits").sortWithinPartitions("half", "bits", "probe")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    crowded = split.groupBy("half", "bits").agg(F.count("*").alias("s")).where(F.col("s") > block_rows)
+    asked = crowded.select("half", F.explode(_around(radius // 2)).alias("bits"), "s").groupBy("half", "bits").agg(F.sum("s").alias("q"))
+    crowded = materialize(asked.join(crowded, ["half", "bits"], "left"), "crowded")  # a bucket looks itself up, so all crowded ones are asked
+    probe = split.select("half", F.explode(_around(radius // 2)).alias("bits"), one.alias("probe"), "fp")
+    rows = split.select("half", "bits", zero.alias("probe"), "fp").union(probe)
+    if crowded.isEmpty():
+        rows = rows.select("half", "bits", zero.alias("part"), "probe", "fp")
+    else:
+        blocks = {c: F.coalesce(F.ceil(F.col(c) / block_rows), one).cast("long") for c in ("s", "q")}
+        rows = rows.join(crowded, ["half", "bits"], "left").withColumns(blocks)
+        side = lambda c, mine: F.when(F.col("probe") == mine, F.array(F.pmod(F.xxhash64("fp"), F.col(c)))).otherwise(F.sequence(zero, F.col(c) - 1))
+        rows = rows.withColumn("s_block", F.explode(side("s", 0))).withColumn("q_block", F.explode(side("q", 1)))
+        rows = rows.select("half", "bits", (F.col("s_block") * F.col("q") + F.col("q_block")).alias("part"), "probe", "fp")
+    rows = rows.repartition("half", "bits", "part").sortWithinPartitions("half", "bits", "part", "probe")
     return rows.mapInArrow(_look_up(radius), "a long, b long")
 
 
+def _members(classes: DataFrame, radius: int) -> DataFrame:
+    """``(fp, component)`` of every class."""
+    parts = connected_components(links(classes.select("fp"), radius))
+    return classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3
 ) -> DataFrame:
@@ -157,11 +185,30 @@ def near_duplicates(
     """
     prints = materialize(fingerprints(docs, id_col, text_col, width), "prints")
     classes = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    parts = connected_components(links(classes.select("fp"), radius))
-    member = classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    member = _members(classes, radius)
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     mapping = materialize(member.join(least, "component").select("fp", "component_id"), "members")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(mapping, "fp").select(F.col("id").alias(id_col), hexed.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
+    """One row of each group of near-duplicates, with its own columns: the one with the least id, null last.
+
+    Rows are told apart by where they are, not by their ids: of several with that id, the one whose columns have the least hash stays. Rows
+    without an id, with repeated ids or with equal columns are grouped by their texts like any others; texts that are null or have no words
+    form one group. Columns of any name are allowed; an empty table gives an empty result.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("string").alias("text"), F.monotonically_increasing_id().alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, 1):
+            found = np.array([fingerprint(t, width) for t in texts(batch, 1)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found)], ["row", "at", "fp"])
+
+    rows = materialize(rows.mapInArrow(run, StructType([rows.schema["row"], StructField("at", LongType()), StructField("fp", LongType())])), "rows")
+    name = F.col("row").getField(id_col)
+    rank = F.struct(name.isNull().alias("none"), name.alias("id"), F.xxhash64("row").alias("hash"), F.col("at"))
+    best = materialize(rows.groupBy("fp").agg(F.min(rank).alias("best")), "classes")
+    stay = _members(best, radius).groupBy("component").agg(F.min("best").alias("best")).select("best.at")
+    return rows.join(stay, "at", "left_semi").select("row.*")
