@@ -12,49 +12,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake.llm import bpe, mixing, pii, rules, simhash
-from turnlake.llm.common import materialize, table, word_array
+from turnlake.llm.common import discard, materialize, table, word_array
 
 #: Not all stages can be put in SQL (trained span classifier, tokenizer); tests hold them against brute-force versions.
 ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, with their own columns. Null and empty texts have no words, and go; rows are judged one by one,
+    so repeated ones stay or go together; an empty table stays empty."""
     return rules.keep_good(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the least id. Rows without an id can't be named by a group: equal ones become one."""
-    groups = simhash.near_duplicates(docs)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null").dropDuplicates()).select(docs.columns)
+    """One document of each near-duplicate group, the one with the least id, null last. Rows are told apart by their place and not by their
+    ids, so rows of one id, or of none, whose texts differ stay; equal rows, and all texts without words, are one group each."""
+    return simhash.keep_one(docs)
+
+
+def _with_length(docs: DataFrame, like: DataFrame) -> DataFrame:
+    """The table with ``n_chars`` as its texts now are; a table without that column gets none."""
+    if "n_chars" not in like.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(like.schema["n_chars"].dataType))
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data in their texts masked."""
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """All documents, with personal data in their texts masked. Null texts stay null, and so do their lengths; repeated rows stay."""
+    return _with_length(pii.redact(docs), docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, once for each time their words are taken; a document cut by a source's end keeps the words taken."""
-    text_hash = F.xxhash64("text")
-    plan = mixing.mix(docs.withColumn("text_hash", text_hash), carry=("text_hash",))
-    runs = plan.pieces.groupBy("src", "start", "epoch").agg(F.min("from").alias("from"), F.max("to").alias("to"))
-    names = plan.placed.where("size > 0").select("src", "start", "id", "size", "carry_text_hash")
-    taken = runs.join(names, ["src", "start"]).select("id", "carry_text_hash", "from", "to", "size")
-    joined = docs.withColumn("text_hash", text_hash).join(
-        taken, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("carry_text_hash"))
-    )
-    words = F.col("to") - F.col("from")
-    part = F.array_join(F.slice(word_array("text"), (F.col("from") + 1).cast("int"), words.cast("int")), " ")
-    text = F.when(words == F.col("size"), F.col("text")).otherwise(part)
-    out = joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    """The documents that the mix takes, once for each time their words are taken; a document cut by a source's end keeps the words taken.
+
+    Rows are told apart by their place: each takes what the mix gives it, whatever others share its id or its text. Texts without words have
+    nothing to take, and go. Null sources are one source, null ids are allowed, and an empty table stays empty.
+    """
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    rows = materialize(docs.select(whole.alias("row"), F.monotonically_increasing_id().alias("at")), "rows")
+    plan = mixing.mix(rows.select("row.doc_id", "row.text", "row.source", "at"), carry=("at",))
+    runs = plan.pieces.groupBy("src", "start", "epoch").agg(F.min("from").alias("begin"), F.max("to").alias("stop"))
+    names = plan.placed.where("size > 0").select("src", "start", "size", F.col("carry_at").alias("at"))
+    taken = runs.join(names, ["src", "start"]).select("at", "begin", "stop", "size")
+    words = F.col("stop") - F.col("begin")
+    part = F.array_join(F.slice(word_array("row.text"), (F.col("begin") + 1).cast("int"), words.cast("int")), " ")
+    text = F.when(words == F.col("size"), F.col("row.text")).otherwise(part)
+    out = rows.join(taken, "at").select(F.col("row").withField("text", text).alias("row")).select("row.*")
+    return _with_length(out, docs)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's token ids, packed as in a token file."""
+    """Each document's token ids, packed as in a token file. Null and empty texts have none; repeated rows and null ids stay."""
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -68,11 +76,14 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = materialize(docs, name.replace(" ", "-"))
+            if written is not None:
+                discard(written)
+            written = docs
     return docs
 
 

@@ -97,3 +97,37 @@ def test_an_empty_table_passes_through(spark):
     for _, f in corpus_pipeline.STAGES:
         docs = materialize(f(spark, docs, DIR), "empty")
         assert docs.count() == 0
+
+
+def test_rows_of_one_id_or_none_are_judged_by_their_texts(spark):
+    schema = "doc_id long, text string, source string, id string, size long, `from` int, `to` string, text_hash int, row string, at int, n_chars long"
+    texts = [" ".join(f"{w}{k}" for k in range(60)) for w in "abc"]
+    rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (7, texts[1] + " "), (7, texts[2]), (None, texts[2]), (None, texts[2]), (None, "x " + texts[0][::-1]), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, None, f"x{n}", n, n, "z", n, "r", n, None) for n, (i, t) in enumerate(rows)], schema)
+    kept = corpus_pipeline.simhash_dedup(spark, docs, DIR)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], (r["text"] or "").strip()) for r in kept.collect())
+    assert got == Counter([(1, texts[0]), (5, texts[1]), (7, texts[2]), (None, "x " + texts[0][::-1]), (9, "")])
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, corpus_pipeline.simhash_dedup(spark, docs.repartition(3), DIR).collect()), key=str)
+
+
+def test_mixing_takes_rows_apart_that_share_an_id(spark):
+    schema = "doc_id long, text string, source string, id string, size long, `from` int, `to` string, text_hash int, src int, start int, n_chars long"
+    rows = [(i % 3 if i % 4 else None, f"word{i % 5} " * (20 + i % 5), f"s{i % 2}" if i % 7 else None, f"x{i}", i, i, "z", i, i, i, 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, schema)
+    first, second = (corpus_pipeline.source_mixing(spark, docs, DIR).collect() for _ in range(2))
+    assert list(first[0].asDict()) == docs.columns and Counter(first) == Counter(second)
+    assert max(Counter(r["id"] for r in first).values()) <= 2 and all(r["n_chars"] == len(r["text"]) for r in first)
+    by_id, words = {r[3]: r for r in rows}, lambda t: len(t.split())
+    assert all(by_id[r["id"]][2] == r["source"] and by_id[r["id"]][1].startswith(r["text"][:6]) for r in first)
+    total = sum(words(r[1]) for r in rows)
+    assert abs(sum(words(r["text"]) for r in first) - 1.5 * total) <= 3 * 64
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_keep_odd_columns_and_rows(spark, stage):
+    text = " ".join(f"the w{k} of m{k} and" for k in range(40))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id int, spans string, kept boolean, size int, held string, row int, words int"
+    docs = spark.createDataFrame([(1, text, "en", None, 1, 1, "s", None, 2, "h", 3, 4), (1, text, "en", None, 1, 1, "s", None, 2, "h", 3, 4), (None, None, None, None, None, 1, None, True, 2, None, 3, 4)], schema)
+    out = corpus_pipeline.STAGES[stage][1](spark, docs, DIR)
+    assert out.count() in {0: (0, 2), 1: (2,), 2: (3,), 3: (2, 3, 4), 4: (3,)}[stage] and (stage == 4 or out.columns == docs.columns)

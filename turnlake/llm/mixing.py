@@ -100,13 +100,13 @@ def mix(
     ``placed``: ``id, source, size, source_size, target, src, start`` and the carried columns; ``start`` is where the document begins in
     its source's stream, so ``(src, start)`` names a document that has words. ``pieces``: ``slot, src, start, epoch, from, to``: slot
     number ``slot`` takes the document's words ``from`` to ``to``. Sources rank by code point, null last. Null texts have size 0; such
-    documents are placed and never taken. Rows with equal ids are told apart by their place; ties in the shuffle break by id and size, so
-    reruns agree. Other columns are ignored. Without words there are no slots, and all targets are 0.
+    documents are placed and never taken. Rows with equal ids are told apart by their place; ties in the shuffle break by id, size, text and
+    the carried columns, so reruns agree. Other columns are ignored. Without words there are no slots, and all targets are 0.
     """
     spark = docs.sparkSession
     base = docs.select(
         docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col].cast("string")).alias("size"),
-        *[docs[c].alias(f"carry_{c}") for c in carry],
+        F.xxhash64(docs[text_col].cast("string")).alias("tie"), *[docs[c].alias(f"carry_{c}") for c in carry],
     )
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
     sized = materialize(base.withColumn("key", key), "sized")
@@ -132,9 +132,9 @@ def mix(
     sums = placed.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
     w = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select("src", "bucket", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("src", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("src", "bucket").orderBy("key", "id", "size", "tie", *[f"carry_{c}" for c in carry]).rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.join(before, ["src", "bucket"]).withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = materialize(placed.drop("key", "bucket", "buckets", "before"), "placed")
+    placed = materialize(placed.drop("key", "tie", "bucket", "buckets", "before"), "placed")
     if schedule is None:
         schedule = spark.createDataFrame([], "slot long, src int, rank long")
     runs = placed.where("size > 0").select(
