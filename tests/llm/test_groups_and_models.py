@@ -110,6 +110,38 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.near_duplicates(df.where("false")).count() == 0
 
 
+def test_vectors_of_any_length_are_compared_by_angle(spark):
+    far, near = [1.0, 0.0, 0.0, 0.0], [1.0, 0.02, 0.0, 0.0]
+    rows = [(i, [x * scale for x in v]) for i, (v, scale) in enumerate((v, s) for s in (1.0, 1e-200, 1e-310, 1e200) for v in (far, near, [0.02, 1.0, 0.0, 0.0]))]
+    got = {r["vec_id"]: r for r in vectors.near_duplicates(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")).collect()}
+    assert all(r["n_links"] == (3 if i % 3 == 2 else 7) and r["component_id"] == (2 if i % 3 == 2 else 0) for i, r in got.items())
+
+
+def test_labels_of_very_different_sizes_have_grids_of_their_own(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((500, 12))
+    crowd = np.concatenate([centres + 0.05 * rng.standard_normal(centres.shape) for _ in range(6)])
+    data = np.concatenate([crowd, rng.standard_normal((300, 12))])
+    labels = [0] * len(crowd) + [1 + i // 2 for i in range(300)]
+    df = spark.createDataFrame([(i, v.tolist(), y) for i, (v, y) in enumerate(zip(data, labels, strict=True))], "vec_id long, embedding array<double>, label int")
+    x = data / np.linalg.norm(data, axis=1, keepdims=True)
+    hit = (x @ x.T >= 0.98) & (np.array(labels)[:, None] == np.array(labels))
+    np.fill_diagonal(hit, False)
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(df).collect()}
+    assert hit.sum() > 1000 and all(got[i] <= hit[i].sum() for i in got)
+    assert sum(got.values()) >= 0.98 * hit.sum()
+
+
+def test_the_walk_visits_cells_by_their_sum_and_stops():
+    rng = np.random.default_rng(7)
+    a, b = np.sort(rng.random(30)), np.sort(rng.random(20))
+    a[0] = b[0] = 0
+    names = rng.permutation(30), rng.permutation(20)
+    got = list(vectors._walk((a.tolist(), b.tolist()), names, 0.6))
+    cost = {(int(names[0][i]), int(names[1][j])): a[i] + b[j] for i in range(30) for j in range(20)}
+    assert set(got) == {k for k, c in cost.items() if c <= 0.6} and [cost[k] for k in got] == sorted(cost[k] for k in got)
+
+
 def test_targets_reshare_what_caps_leave():
     assert mixing.targets([100, 100, 100], (3, 1, 2), 1.5, 2.0) == pytest.approx([200, 250 / 3, 500 / 3])
     assert mixing.targets([10, 1000], (3, 1, 2), 1.5, 2.0) == pytest.approx([20, 1495])

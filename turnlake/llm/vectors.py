@@ -1,13 +1,18 @@
 """Embedding near-duplicates on an inverted multi-index.
 
 A codebook for each half of the vectors makes a grid of cells, and every vector is stored in the cell of its two nearest codewords. A query
-visits cells in the order of a multi-sequence traversal: by how far the vector's halves would have to move to change codewords. It stops
-at the bound that finds the target share of vectors at the threshold, measured on a sample. Cells have an order and a query visits only
-cells after its own, so each pair meets once, in one cell; the pair is then verified in double precision.
+walks the grid by multi-sequence traversal: each half's codewords are sorted by how far the half would have to move to change to them, and a
+heap merges the two sequences, so that cells come in the order of the sum. The walk stops at the bound that finds the target share of
+vectors at the threshold, measured on a sample. Cells have an order and a query visits only cells after its own, so each pair meets once, in
+one cell; the pair is then verified in double precision.
+
+Labels are searched apart, and may be of any size: each class of sizes (a power of four) has a grid whose cells hold about the same number
+of vectors. Where the sample can't fit that many codewords, cells grow, and are compared in blocks.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from turnlake.llm.common import materialize
 from turnlake.llm.components import connected_components
@@ -23,16 +29,23 @@ from turnlake.llm.components import connected_components
 SAMPLE = 8_192
 #: Vectors that a cell should hold, and rows of either side that one verification task compares at once.
 CELL_ROWS, BLOCK_ROWS = 64, 1_024
-MAX_CODEWORDS = 512
+#: Sample vectors that a codeword needs at least: the sample bounds the codebooks, the number of vectors doesn't.
+POINTS_A_WORD = 8
 TARGET_RECALL = 0.999
 
 Grid = tuple[np.ndarray, np.ndarray, float]  # the two codebooks and the bound
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
+    """Rows of length one; each is scaled by its largest component first, so that no square over- or underflows."""
+    v = v / np.abs(v).max(1, keepdims=True)
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
+def _points(blobs, dim: int) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(blobs), "<f8").reshape(-1, dim))
+
+
 def _codebook(points: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """Lloyd's algorithm from the first ``k`` points; the sample's order is a hash, so they are a random choice."""
     words = points[:k].copy()
@@ -54,32 +67,45 @@ def _moves(points: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return own, np.square(np.maximum(cost, 0))
 
 
-def _order(cost: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray], bound: float) -> Iterator[tuple[int, int, int]]:
-    """The cells each vector visits beyond its own, nearest first, as (row, first codeword, second codeword)."""
-    width = cost[1].shape[1]
-    ranked = [np.argsort(c, axis=1, kind="stable") for c in cost]
-    ordered = [np.take_along_axis(c, r, 1) for c, r in zip(cost, ranked, strict=True)]
-    for row in range(len(cost[0])):
-        a, b = ordered[0][row], ordered[1][row]
-        na, nb = np.searchsorted(a, bound, "right"), np.searchsorted(b, bound, "right")
-        total = a[:na, None] + b[None, :nb]
-        i, j = np.nonzero(total <= bound)
-        first, second = ranked[0][row][i], ranked[1][row][j]
-        mine = own[0][row] * width + own[1][row]
-        later = first * width + second > mine
-        walk = np.argsort(total[i, j][later], kind="stable")
-        for f, s in zip(first[later][walk].tolist(), second[later][walk].tolist(), strict=True):
-            yield row, f, s
-
-
-def fit(sample: np.ndarray, cells: float, threshold: float) -> Grid:
-    """Codebooks on the halves of the sample, and the bound at which :data:`TARGET_RECALL` of neighbours at the threshold are visited.
+def _walk(costs: tuple[np.ndarray, np.ndarray], ranked: tuple[np.ndarray, np.ndarray], bound: float) -> Iterator[tuple[int, int]]:
+    """Cells in the order of the sum of two sorted sequences of costs, until it exceeds the bound: multi-sequence traversal."""
+    a, b = costs
+    heap, done = [(a[0] + b[0], 0, 0)], {(0, 0)}
+    while heap:
+        cost, i, j = heapq.heappop(heap)
+        if cost > bound:
+            return
+        yield int(ranked[0][i]), int(ranked[1][j])
+        for x, y in ((i + 1, j), (i, j + 1)):
+            if x < len(a) and y < len(b) and (x, y) not in done:
+                done.add((x, y))
+                heapq.heappush(heap, (a[x] + b[y], x, y))
+
+
+def _cells(points: np.ndarray, grid: Grid) -> tuple[np.ndarray, list[list[int]]]:
+    """Each vector's own cell, and the later cells that it visits, nearest first."""
+    first, second, bound = grid
+    half, width = points.shape[1] // 2, len(second)
+    (own_a, cost_a), (own_b, cost_b) = _moves(points[:, :half], first), _moves(points[:, half:], second)
+    own = own_a * width + own_b
+    near = (cost_a <= bound).sum(1), (cost_b <= bound).sum(1)
+    ranked = [np.argsort(c, axis=1, kind="stable")[:, : int(n.max())] for c, n in ((cost_a, near[0]), (cost_b, near[1]))]
+    visits: list[list[int]] = [[] for _ in range(len(points))]
+    for row in np.flatnonzero((near[0] > 1) | (near[1] > 1)).tolist():
+        ra, rb = ranked[0][row, : near[0][row]], ranked[1][row, : near[1][row]]
+        cells = (f * width + s for f, s in _walk((cost_a[row, ra].tolist(), cost_b[row, rb].tolist()), (ra, rb), bound))
+        visits[row] = [c for c in cells if c > own[row]]
+    return own, visits
+
+
+def fit(sample: np.ndarray, words: int, threshold: float) -> Grid:
+    """Codebooks of ``words`` on the halves of the sample, fewer where it is small, and the bound at which :data:`TARGET_RECALL` of neighbours at the threshold are visited.
 
     A neighbour at the threshold is simulated for every sample vector, in a random direction, and the bound is the quantile of what the
     traversal would have to reach to visit its cell, from whichever of the two cells comes first.
     """
     half = sample.shape[1] // 2
-    k = int(max(1, min(MAX_CODEWORDS, len(sample), np.ceil(np.sqrt(cells)))))
+    k = max(1, min(words, len(sample) // POINTS_A_WORD))
     books = (_codebook(sample[:, :half], k), _codebook(sample[:, half:], k))
     rng = np.random.default_rng(0)
     aside = rng.standard_normal(sample.shape)
@@ -119,35 +145,21 @@ def _prepare(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -
     return source.mapInArrow(run, f"id {kind}, label string, dim int, v binary")
 
 
-def _visits(classes: DataFrame, grids: dict[int, Grid], with_vectors: bool) -> DataFrame:
-    """Every class as a stored row (role 0) and as a query (role 1) of its own cell, and as a query (role 2) of the later cells it visits."""
-    blob = "v binary" if with_vectors else "x int"
+def _visits(classes: DataFrame, grids: dict[tuple[int, int], Grid]) -> DataFrame:
+    """Every class with its own cell and the later cells that it visits; vectors whose size class isn't in the sample share one cell."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in frames:
-            for dim, df in whole.groupby("dim", sort=False):
+            for (dim, level), df in whole.groupby(["dim", "level"], sort=False):
                 for at in range(0, len(df), 1024):
                     part = df.iloc[at : at + 1024]
-                    points = _unit(np.frombuffer(b"".join(part["v"]), "<f8").reshape(-1, dim))
-                    n, rows = len(part), np.arange(len(part))
-                    if dim in grids:
-                        first, second, bound = grids[dim]
-                        half = dim // 2
-                        moved = [_moves(points[:, :half], first), _moves(points[:, half:], second)]
-                        own = (moved[0][0], moved[1][0])
-                        seen = np.array(list(_order((moved[0][1], moved[1][1]), own, bound)), np.int64).reshape(-1, 3)
-                        mine = own[0] * len(second) + own[1]
-                        cell = np.concatenate([mine, mine, seen[:, 1] * len(second) + seen[:, 2]])
-                        rows = np.concatenate([rows, rows, seen[:, 0]])
-                    else:  # a length that the sample hasn't: one cell
-                        cell, rows = np.zeros(2 * n, np.int64), np.concatenate([rows, rows])
-                    role = np.repeat([0, 1, 2], [n, n, len(rows) - 2 * n])
-                    out = part.iloc[rows][["cls", "n", "label", "dim", *["v"] * with_vectors]].assign(cell=cell, role=role)
-                    yield out if with_vectors else out.assign(x=0)
-
-    schema = f"cls {classes.schema['cls'].dataType.simpleString()}, n long, label string, dim int, {blob}, cell long, role int"
-    made = classes.select("cls", "n", "label", "dim", "v").mapInPandas(run, schema)
-    return made.select("cls", "n", "label", "dim", "cell", "role", *["v"] * with_vectors)
+                    own, cells = np.zeros(len(part), np.int64), [[]] * len(part)
+                    if (dim, level) in grids:
+                        own, cells = _cells(_points(part["v"], dim), grids[dim, level])
+                    yield part.assign(own=own, cells=cells)
+
+    out = StructType([*classes.schema.fields, StructField("own", LongType()), StructField("cells", ArrayType(LongType()))])
+    return classes.mapInPandas(run, out)
 
 
 def _verify(threshold: float):
@@ -157,12 +169,12 @@ def _verify(threshold: float):
         dim = int(df["dim"].iat[0])
         stored, asked = df[df["role"] == 0], df[df["role"] > 0]
         ids, counts = stored["cls"].to_numpy(), stored["n"].to_numpy()
-        matrix = _unit(np.frombuffer(b"".join(stored["v"]), "<f8").reshape(-1, dim)) if len(stored) else np.zeros((0, dim))
+        matrix = _points(stored["v"], dim) if len(stored) else np.zeros((0, dim))
         q_ids, q_counts, own = asked["cls"].to_numpy(), asked["n"].to_numpy(), (asked["role"] == 1).to_numpy()
         names, gains, a, b = [], [], [], []
         for at in range(0, len(asked) if len(stored) else 0, 512):
             part = slice(at, at + 512)
-            queries = _unit(np.frombuffer(b"".join(asked["v"].iloc[part]), "<f8").reshape(-1, dim))
+            queries = _points(asked["v"].iloc[part], dim)
             hit = queries @ matrix.T >= threshold
             hit &= ~own[part, None] | (q_ids[part, None] < ids)
             i, j = np.nonzero(hit)
@@ -209,24 +221,29 @@ def near_duplicates(
     neither do vectors of different lengths. Rows without an id still count as links of others, and are kept only when nothing with an id
     is reachable. Other columns are ignored; an empty table gives an empty result.
     """
-    spark = vectors.sparkSession
-    prepared = materialize(_prepare(vectors, id_col, vector_col, label_col), "vectors")
-    usable = prepared.where("v is not null")
-    classes = usable.groupBy("label", "dim", "v").agg(F.min("id").alias("least"), F.count("*").alias("n"))
-    classes = materialize(classes.withColumn("cls", F.xxhash64("label", "v")), "classes")
-    taken = classes.orderBy("cls").limit(SAMPLE).select("dim", "v").toPandas()
-    total, labels = classes.agg(F.count("*"), F.approx_count_distinct("label")).first()
-    grids: dict[int, Grid] = {}
-    for dim, part in taken.groupby("dim"):
-        if dim > 1:
-            cells = total / max(labels, 1) / CELL_ROWS
-            grids[int(dim)] = fit(_unit(np.frombuffer(b"".join(part["v"]), "<f8").reshape(-1, dim)), cells, threshold)
-
+    prepared = _prepare(vectors, id_col, vector_col, label_col)
+    hashes = {f"h{i}": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(i), "label", "v")) for i in range(2)}  # together 128 bits
+    prepared = materialize(prepared.withColumns(hashes), "vectors")
+    classes = prepared.where("v is not null").groupBy("label", "dim", "v").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first("h0").alias("h0"), F.first("h1").alias("h1"))
+    classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("size"))
+    level = F.greatest(F.ceil(F.log2(F.col("size") / CELL_ROWS) / 2), F.lit(0)).cast("int")  # 4 ** level cells
+    classes = classes.join(sizes.select("label", "dim", level.alias("level")), ["label", "dim"])
+    taken = classes.orderBy("h0", "h1").limit(SAMPLE).select("dim", "level", "v").toPandas()
+    grids: dict[tuple[int, int], Grid] = {}
+    for (dim, lv), part in taken.groupby(["dim", "level"]):
+        if dim > 1 and lv > 0:
+            grids[int(dim), int(lv)] = fit(_points(part["v"], int(dim)), 2 ** int(lv), threshold)
+
+    visits = materialize(_visits(classes.select("cls", "n", "label", "dim", "level", "v"), grids), "visits")
+    # the class as a stored row (role 0) and a query (role 1) of its own cell, and as a query (role 2) of the cells it visits
+    at = lambda cell, role: F.struct(cell.alias("cell"), F.lit(role).alias("role"))
+    places = F.concat(F.array(at(F.col("own"), 0), at(F.col("own"), 1)), F.transform("cells", lambda c: at(c, 2)))
     keys = ["label", "dim", "cell"]
     stored, asked = F.count_if(F.col("role") == 0), F.count_if(F.col("role") > 0)
-    size = _visits(classes, grids, False).groupBy(*keys).agg(stored.alias("s"), asked.alias("q"))
+    size = visits.select("label", "dim", F.explode(places).alias("p")).select("label", "dim", "p.*").groupBy(*keys).agg(stored.alias("s"), asked.alias("q"))
     hot = materialize(size.where(F.greatest("s", "q") > BLOCK_ROWS), "hot")
-    visits = _visits(classes, grids, True).join(hot, keys, "left")
+    visits = visits.select("cls", "n", "label", "dim", "v", F.explode(places).alias("p")).select("cls", "n", "label", "dim", "v", "p.*").join(hot, keys, "left")
     blocks = lambda c: F.coalesce(F.ceil(F.col(c) / BLOCK_ROWS), F.lit(1)).cast("long")
     pick = lambda c: F.array(F.pmod(F.hash("cls"), blocks(c)).cast("long"))
     every = lambda c: F.sequence(F.lit(0).cast("long"), blocks(c) - 1)
@@ -236,13 +253,14 @@ def near_duplicates(
     found = materialize(found, "found")
     parts = connected_components(found.where("a <> b"))
     gains = found.where("a = b").groupBy(F.col("a").alias("cls")).agg(F.sum("gain").alias("gain"))
-    member = classes.join(parts.withColumnRenamed("node", "cls"), "cls", "left").join(gains, "cls", "left")
-    member = materialize(member.withColumn("component", F.coalesce("component", "cls")).drop("v"), "members")
+    names = classes.select("cls", "h0", "h1", "n", "least")
+    member = names.join(parts.withColumnRenamed("node", "cls"), "cls", "left").join(gains, "cls", "left")
+    member = materialize(member.withColumn("component", F.coalesce("component", "cls")), "members")
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    member = materialize(member.join(least, "component").select("cls", "n", "gain", "component_id"), "groups")
-    rows = prepared.withColumn("cls", F.when(F.col("v").isNotNull(), F.xxhash64("label", "v"))).select("id", "cls")
-    alone = rows.where("cls is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    linked = rows.join(member, "cls").select("id", (F.col("n") - 1 + F.coalesce("gain", F.lit(0))).alias("n_links"), "component_id")
+    member = materialize(member.join(least, "component").select("h0", "h1", "n", "gain", "component_id"), "groups")
+    rows = prepared.select("id", "h0", "h1")
+    alone = rows.where("h0 is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    linked = rows.join(member, ["h0", "h1"]).select("id", (F.col("n") - 1 + F.coalesce("gain", F.lit(0))).alias("n_links"), "component_id")
     return linked.union(alone).select(
         F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )
