@@ -201,6 +201,13 @@ def redact_arguments(arguments: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["body", "hidden"])
 
 
+def hidden_arguments(arguments: Column) -> Column:
+    """``(body, hidden)`` of :func:`redact_arguments`; only text that may hold something encrypted goes to Python."""
+    suspect = F.lower(arguments).contains("encrypted") | F.regexp_like(arguments, F.lit("gA[A-Za-z0-9_-]{71}"))
+    plain = F.struct(arguments.alias("body"), F.lit(0).cast("int").alias("hidden"))
+    return F.when(suspect, redact_arguments(F.when(suspect, arguments))).otherwise(plain)
+
+
 def bound_json(c: Column, most: int) -> Column:
     """JSON within a byte budget; what is over it becomes the smallest valid value that says so."""
     small = F.lit('{"truncated":true}')

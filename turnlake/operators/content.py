@@ -22,32 +22,167 @@ def first_seen(rows: DataFrame, scope: list[str], body: Column, order: list[str]
     return packed.groupBy("_k").agg(F.min_by("_r", "_o").alias("r")).select("r.*")
 
 
+_ITEM = (
+    "struct<id: string, type: string, role: string, call_id: string, author: string, recipient: string, content: variant, output: variant, tools: string, "
+    "internal_chat_message_metadata_passthrough: struct<turn_id: string, create_time: double, content_item_kinds: array<string>>>"
+)
+#: The kinds of content that a message may declare; any other counts as unknown.
+CONTENT_KINDS = (
+    "model.base_instructions", "model_switch.instructions", "memories.instructions", "host_skills.instructions", "permissions.instructions",
+    "collaboration_mode.instructions", "apps.instructions", "plugins.usage_instructions", "plugins.recommendations", "multi_agent.usage_hint",
+    "multi_agent.mode_instructions", "multi_agent.role_instructions", "agents_md.instructions", "environments.environment_context",
+    "hooks.additional_context", "user.text", "generic.turn_aborted", "unknown",
+)
+OUTPUT_TYPES, CALL_TYPES = ("custom_tool_call_output", "function_call_output"), ("custom_tool_call", "function_call")
+#: Bytes that stay of a prompt and of a tool's output.
+MAX_PROMPT, MAX_OUTPUT = 32_768, 4_096
+KEYS = ("request_id", "instance", "thread_id", "ts", *ORDER)
+
+
+def _owned(frames: DataFrame, event_type: str) -> DataFrame:
+    """A type's events with their response and thread: the one that a create event of the response names, else the header's."""
+    df = segment(frames)
+    named = F.when(F.col("ev_type") == "response.create", F.get_json_object("event", "$.client_metadata.thread_id"))
+    own = F.last(X.present(named), True).over(Window.partitionBy("request_id", "instance").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn("thread_id", X.first_present(own, F.col("headers")["thread-id"])).where(F.col("ev_type") == event_type)
+
+
 def input_items(frames: DataFrame) -> DataFrame:
-    """Items of create frames: ``request_id, instance, thread_id, file, frame_seq, pos, item_type, role, call_id, body``."""
-    df = segment(frames).where("ev_type = 'response.create'")
-    items = F.from_json(F.get_json_object("event", "$.input"), "array<struct<type: string, role: string, call_id: string, content: variant, output: variant>>")
-    e = df.select(
-        "request_id", "instance", X.present(F.col("headers")["thread-id"]).alias("thread_id"), *ORDER, F.posexplode(items).alias("pos", "i")
-    )
+    """Items of create frames: the keys, ``pos, item_id, item_type, role, call_id, author, recipient, body, content, tools, kinds``."""
+    df = _owned(frames, "response.create")
+    items = F.from_json(F.get_json_object("event", "$.input"), f"array<{_ITEM}>")
+    e = df.select(*KEYS, F.posexplode(items).alias("pos", "i"))
+    body = F.when(F.col("i.type") == "message", X.flat_text(F.col("i.content"))).otherwise(X.first_present(X.flat_text(F.col("i.output")), X.flat_text(F.col("i.content"))))
     return e.select(
-        "request_id", "instance", "thread_id", *ORDER, "pos",
-        F.coalesce("i.type", F.lit("message")).alias("item_type"), F.col("i.role").alias("role"), F.col("i.call_id").alias("call_id"),
-        F.when(F.col("i.type") == "message", X.flat_text(F.col("i.content"))).otherwise(X.flat_text(F.coalesce("i.output", "i.content"))).alias("body"),
+        *KEYS, "pos", F.col("i.id").alias("item_id"), F.coalesce("i.type", F.lit("message")).alias("item_type"), F.col("i.role").alias("role"),
+        F.col("i.call_id").alias("call_id"), F.col("i.author").alias("author"), F.col("i.recipient").alias("recipient"), body.alias("body"), F.to_json("i.content").alias("content"),
+        F.col("i.tools").alias("tools"), F.col("i.internal_chat_message_metadata_passthrough.content_item_kinds").alias("kinds"),
     )
 
 
+def images(content: Column) -> Column:
+    """``(n, mime, print)`` of a message's image parts from its content's JSON: how many, the first declared media type, and what tells them apart."""
+    parts = F.from_json(content, "array<struct<image_url: string>>")
+    urls = F.filter(F.transform(F.coalesce(parts, F.array().cast("array<struct<image_url: string>>")), lambda p: p["image_url"]), lambda u: u.isNotNull())
+    types = F.filter(F.transform(urls, lambda u: F.regexp_extract(u, "^data:([^;,]*)[;,]", 1)), lambda t: t != "")
+    prints = F.transform(urls, lambda u: F.concat(F.substring(u, 1, 47), F.lit(":"), F.octet_length(u).cast("string"), F.lit(";")))
+    return F.struct(F.size(urls).alias("n"), F.get(types, F.lit(0)).alias("mime"), F.array_join(prints, "").alias("print"))
+
+
 def prompts(frames: DataFrame) -> DataFrame:
-    """Messages of the input, each once a thread (developer messages once in all); empty ones are skipped."""
-    items = input_items(frames).where("item_type = 'message' and body <> ''")
+    """Messages of the input, each once a thread (developer messages once in all); those with neither text nor image are skipped.
+
+    Adds ``images, image_mime, chars`` (the whole body's bytes) and cuts ``body`` at :data:`MAX_PROMPT` bytes.
+    """
+    items = input_items(frames).where("item_type = 'message'").withColumn("_i", images(F.col("content"))).where("body <> '' or _i.n > 0")
     items = items.withColumn("scope", F.when(F.col("role") == "developer", "").otherwise(F.coalesce("thread_id", F.lit(""))))
-    return first_seen(items, ["scope", "role"], F.col("body"), [*ORDER, "pos"])
+    # two messages of nothing but images differ by these
+    items = items.withColumns({"_key": F.concat_ws(X.NUL, F.coalesce("role", F.lit("")), F.coalesce("body", F.lit("")), "_i.print"), "chars": F.octet_length("body")})
+    found = first_seen(items, ["scope"], F.col("_key"), [*ORDER, "pos"])
+    return found.withColumns({"body": X.byte_cut(F.col("body"), MAX_PROMPT), "images": F.col("_i.n"), "image_mime": F.col("_i.mime")}).drop("_key", "_i", "content", "tools", "kinds")
+
+
+def instruction_bodies(frames: DataFrame) -> DataFrame:
+    """``hash, chars, body`` and the keys of the response that first carried it: each distinct system prompt once in all."""
+    df = _owned(frames, "response.create").withColumn("body", X.present(F.get_json_object("event", "$.instructions")))
+    found = first_seen(df.select(*KEYS, "body"), [], F.col("body"), list(ORDER))
+    return found.withColumns({"hash": X.short_hash(F.col("body")), "chars": F.octet_length("body"), "body": X.byte_cut(F.col("body"), MAX_PROMPT)})
+
+
+def agent_messages(frames: DataFrame) -> DataFrame:
+    """Messages from one agent to another, each once a thread; a message without a body is an edge nevertheless."""
+    items = input_items(frames).where("item_type = 'agent_message'").withColumn("scope", F.coalesce("thread_id", F.lit("")))
+    key = F.concat_ws(X.NUL, *[F.coalesce(c, F.lit("")) for c in ("author", "recipient", "body")])
+    found = first_seen(items.withColumn("_key", key), ["scope"], F.col("_key"), [*ORDER, "pos"])
+    return found.select(*KEYS, "pos", "item_id", "author", "recipient", F.octet_length("body").alias("chars"), X.byte_cut(F.col("body"), MAX_PROMPT).alias("body"))
+
+
+def tool_outputs(frames: DataFrame) -> DataFrame:
+    """Results of tools, each once a thread by its call id, else its body; empty ones are skipped. ``cut`` says whether the body lost its end."""
+    items = input_items(frames).where(F.col("item_type").isin(*OUTPUT_TYPES) & (F.col("body") != ""))
+    items = items.withColumns({"scope": F.coalesce("thread_id", F.lit("")), "_key": X.first_present(F.col("call_id"), F.col("body"))})
+    found = first_seen(items, ["scope"], F.col("_key"), [*ORDER, "pos"])
+    n = F.octet_length("body")
+    return found.select(*KEYS, "pos", "item_id", "call_id", n.alias("chars"), (n > MAX_OUTPUT).alias("cut"), X.byte_cut(F.col("body"), MAX_OUTPUT).alias("body"))
+
+
+def tool_catalogues(frames: DataFrame) -> DataFrame:
+    """``tools_hash, tools, first`` of every response that carries a tool catalogue; the definitions come with its first carrier only."""
+    rows = input_items(frames).where("item_type = 'additional_tools' and tools is not null")
+    rows = rows.withColumn("_t", F.from_json("tools", "array<struct<name: string, type: string, description: string, strict: boolean>>")).where("_t is not null")
+    rows = rows.select(*KEYS, "pos", X.short_hash(F.col("tools")).alias("tools_hash"), "_t")
+    first = rows.groupBy("tools_hash").agg(F.min(F.struct(*ORDER, "pos")).alias("_f"))  # a catalogue is one row, whatever number of responses carry it
+    out = rows.join(first, "tools_hash").withColumn("first", F.struct(*ORDER, "pos") == F.col("_f"))
+    return out.select(*KEYS, "tools_hash", "first", F.when(F.col("first"), F.col("_t")).alias("tools"))
+
+
+def tool_calls(frames: DataFrame) -> DataFrame:
+    """Calls of tools: the keys, ``item_id, kind, name, call_id, status, chars, input, hidden, cut, task_name, sub_model, sub_effort, occurrence``.
+
+    A call that is sent again in its response counts once; the same call id in another response is another call, and ``occurrence`` numbers
+    them in their thread. Functions' arguments are shown without encrypted values and within a budget; what a spawned agent gets is read of them.
+    """
+    item = F.from_json(F.get_json_object("event", "$.item"), "struct<id: string, type: string, name: string, call_id: string, status: string, input: string, arguments: string>")
+    response = F.last(X.present(F.when(F.col("ev_type") == "response.created", F.get_json_object("event", "$.response.id"))), True)
+    before = Window.partitionBy("request_id", "instance").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    tagged = segment(frames).withColumn("_resp", F.coalesce(response.over(before), "request_id")).drop("instance")
+    df = _owned(tagged, "response.output_item.done").withColumn("i", item).where(F.col("i.type").isin(*CALL_TYPES))
+    key = F.coalesce(X.present(F.col("i.call_id")), F.concat_ws(X.NUL, *[F.coalesce(f"i.{c}", F.lit("")) for c in ("name", "input", "arguments")]))
+    df = df.withColumns({"scope": F.coalesce("thread_id", F.lit("")), "_key": F.concat_ws(X.NUL, "_resp", key)})
+    calls = first_seen(df.select(*KEYS, "i", "scope", "_key"), ["scope"], F.col("_key"), list(ORDER))
+    spawn = F.from_json("i.arguments", "struct<task_name: string, model: string, reasoning_effort: string>")
+    function = F.col("i.type") == "function_call"
+    calls = calls.withColumns({"_s": spawn, "_r": F.when(function, X.hidden_arguments(F.col("i.arguments")))})
+    body = F.when(function, X.bound_json(F.col("_r.body"), MAX_OUTPUT)).otherwise(F.col("i.input"))
+    numbered = F.row_number().over(Window.partitionBy("scope", "i.call_id").orderBy(*ORDER))
+    return calls.select(
+        *KEYS, F.col("i.id").alias("item_id"), F.when(function, "function").otherwise("custom").alias("kind"), F.col("i.name").alias("name"), F.col("i.call_id").alias("call_id"),
+        F.col("i.status").alias("status"), F.octet_length(F.when(function, F.col("i.arguments")).otherwise(F.col("i.input"))).alias("chars"), body.alias("input"),
+        F.coalesce("_r.hidden", F.lit(0)).alias("hidden"), F.coalesce(function & (F.octet_length("_r.body") > MAX_OUTPUT), F.lit(False)).alias("cut"),
+        *[F.when(function, F.col(f"_s.{c}")).alias(n) for c, n in (("task_name", "task_name"), ("model", "sub_model"), ("reasoning_effort", "sub_effort"))],
+        F.when(X.present(F.col("i.call_id")).isNotNull(), numbered).alias("occurrence"),
+    )
+
+
+def matched_outputs(calls: DataFrame, outputs: DataFrame, hours: int = 24) -> DataFrame:
+    """The tool outputs with ``match`` and, for exact ones, ``origin``: the call that they answer, by thread and call id."""
+    seq = lambda df: df.withColumns({"_at": F.struct("file", F.col("frame_seq").cast("long"), F.lit(0) if "pos" not in df.columns else F.col("pos") + 1), "_thread": F.coalesce("thread_id", F.lit(""))})
+    name = lambda df, key: df.withColumn("ref", key)
+    c = name(seq(calls), F.concat_ws(":", "request_id", "instance", "frame_seq"))
+    o = name(seq(outputs), F.concat_ws(":", "request_id", "instance", "frame_seq", "pos"))
+    cols = ["_thread", "call_id", "_at", "ts", "ref"]
+    got = match_outputs(c.select(*cols).where("call_id <> ''"), o.select(*cols).where("call_id <> ''"), ["_thread", "call_id"], "_at", "ts", hours)
+    origin = c.select(F.col("ref").alias("matched_ref"), F.struct("request_id", "instance", "name", "occurrence").alias("origin"))
+    got = got.join(origin, "matched_ref", "left").select("ref", "match", "origin")
+    return o.join(got, "ref", "left").withColumn("match", F.coalesce("match", F.lit("none"))).drop("_at", "_thread", "ref")
 
 
 def messages(frames: DataFrame) -> DataFrame:
-    """Output messages: ``request_id, instance, thread_id, file, frame_seq, body``."""
-    df = segment(frames).where("ev_type = 'response.output_item.done' and get_json_object(event, '$.item.type') = 'message'")
-    body = X.flat_text(F.try_parse_json(F.get_json_object("event", "$.item.content")))
-    return df.select("request_id", "instance", X.present(F.col("headers")["thread-id"]).alias("thread_id"), *ORDER, body.alias("body"))
+    """Output messages: the keys, ``item_id, phase, body``; the body is the output text of its parts."""
+    df = _owned(frames, "response.output_item.done").where("get_json_object(event, '$.item.type') = 'message'")
+    item = F.from_json(F.get_json_object("event", "$.item"), "struct<id: string, phase: string, content: array<struct<type: string, text: string>>>")
+    texts = F.transform(F.filter("i.content", lambda p: p["type"] == "output_text"), lambda p: F.coalesce(p["text"], F.lit("")))
+    return df.withColumn("i", item).select(*KEYS, F.col("i.id").alias("item_id"), F.col("i.phase").alias("phase"), F.array_join(texts, "").alias("body"))
+
+
+def declared_kinds(frames: DataFrame) -> DataFrame:
+    """``request_id, instance, kind, n``: the kinds of content that a response's input declares; unknown ones count as one kind."""
+    e = input_items(frames).select("request_id", "instance", F.explode("kinds").alias("k"))
+    return e.groupBy("request_id", "instance", X.bounded(F.col("k"), CONTENT_KINDS).alias("kind")).agg(F.count("*").alias("n"))
+
+
+def ordered(prompts: DataFrame, messages: DataFrame, calls: DataFrame, outputs: DataFrame, agents: DataFrame) -> DataFrame:
+    """All five kinds of content in one table, ``record, keys, name, call_id, body``, with one ``ordinal`` over them in each response."""
+    parts = []
+    for record, df in (("prompt", prompts), ("message", messages), ("tool_call", calls), ("tool_output", outputs), ("agent_message", agents)):
+        has = lambda c, other="string": F.col(c) if c in df.columns else F.lit(None).cast(other)  # noqa: E731, B023
+        name = {"tool_call": "name", "agent_message": "author", "prompt": "role"}.get(record)
+        text = "input" if record == "tool_call" else "body"
+        parts.append(df.select(F.lit(record).alias("record"), *KEYS, F.coalesce(has("pos", "int"), F.lit(-1)).alias("pos"), (F.col(name) if name else F.lit(None).cast("string")).alias("name"), has("recipient").alias("recipient"), has("call_id").alias("call_id"), F.col(text).alias("body")))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return with_ordinal(rows, ["request_id", "instance"], [*ORDER, "pos"])
 
 
 def with_ordinal(items: DataFrame, turn: list[str], order: list[str]) -> DataFrame:

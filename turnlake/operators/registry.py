@@ -15,7 +15,7 @@ from turnlake.operators import metrics
 
 @dataclass(frozen=True)
 class Metric:
-    """``value`` and ``when`` are SQL over a turn's columns; a metric is left out, with a warning, where a column of its is missing."""
+    """``value`` and ``when`` are SQL over the columns of ``table``; a metric is left out, with a warning, where a column of its is missing."""
 
     name: str
     kind: str  # counter, histogram or gauge
@@ -23,18 +23,19 @@ class Metric:
     when: str = "true"
     labels: tuple[str, ...] = ("model",)
     bounds: tuple[float, ...] = ()
+    table: str = "turns"
 
 
-def _counter(name: str, value: str = "1", when: str = "true", *labels: str) -> Metric:
-    return Metric(name, "counter", value, when, labels or ("model",))
+def _counter(name: str, value: str = "1", when: str = "true", *labels: str, table: str = "turns") -> Metric:
+    return Metric(name, "counter", value, when, labels or ("model",), table=table)
 
 
 def _timing(name: str, column: str, when: str | None = None, bounds: tuple[float, ...] = metrics.SECONDS_BOUNDS) -> Metric:
     return Metric(name, "histogram", f"{column} / 1000.0D", when or f"{column} > 0", ("model",), bounds)
 
 
-def _gauge(name: str, column: str, *labels: str) -> Metric:
-    return Metric(name, "gauge", f"cast({column} as double)", f"{column} is not null and account_id <> ''", ("account_id", *labels))
+def _gauge(name: str, column: str, *labels: str, table: str = "turns") -> Metric:
+    return Metric(name, "gauge", f"cast({column} as double)", f"{column} is not null and account_id <> ''", ("account_id", *labels), table=table)
 
 
 _TOKENS = ("input", "output", "cached", "reasoning", "cache_write")
@@ -50,6 +51,7 @@ METRICS: tuple[Metric, ...] = (
     *[_counter(f"proxy_wait_{k}_present", f"if(wait_{k}_ms is null, 0, 1)") for k in ("queue", "gate", "bridge")],
     _counter("engine_calls", "engine_calls", "engine_calls > 0"),
     _counter("tool_calls", "tool_calls", "tool_calls > 0"),
+    _counter("tool_calls_by_name", "1", "name <> ''", "name", table="tool_calls"),
     Metric("tool_calls_per_response", "histogram", "cast(tool_calls as double)", "model <> ''", ("model",), metrics.TOKEN_BOUNDS),
     _counter("web_searches", "web_searches", "web_searches > 0"),
     _counter("image_tokens", "image_tokens", "image_tokens > 0"),
@@ -66,19 +68,19 @@ METRICS: tuple[Metric, ...] = (
     *[_timing(f"time_between_tokens_{k}", f"tbt_{k}_ms") for k in ("engine", "api")],
     _timing("time_between_tokens_gap", "tbt_gap_ms", "tbt_gap_ms <> 0", metrics.SIGNED_SECONDS_BOUNDS),
     _gauge("limit_used", "limit_used", "window"), _gauge("limit_reset", "limit_reset", "window"), _gauge("limit_secondary_used", "limit_secondary_used"),
-    _gauge("model_limit_used", "model_limit_used", "model"), _gauge("credits_balance", "credits_balance"), _gauge("credits_unlimited", "credits_unlimited"),
-    _gauge("limit_reached", "limit_reached"), _gauge("model_limit_reached", "model_limit_reached", "model"),
+    _gauge("model_limit_used", "used", "model", "minutes", table="model_limits"), _gauge("credits_balance", "credits_balance"), _gauge("credits_unlimited", "credits_unlimited"),
+    _gauge("limit_reached", "limit_reached"), _gauge("model_limit_reached", "limit_reached", "model", table="model_limits"),
     _counter("quota_failures", "1", "account_id <> '' and quota_families > 0", "account_id"),
-    _gauge("quota_failure_used", "quota_failure_used", "family", "window"), _gauge("quota_failure_reset", "quota_failure_reset", "family", "window"),
+    _gauge("quota_failure_used", "used", "family", "window", table="quota"), _gauge("quota_failure_reset", "reset", "family", "window", table="quota"),
     _counter("routing_hints", "1", "routing_hint <> ''", "routing_hint"),
-    _counter("content_items", "content_items", "content_items > 0", "content_kind"),
+    _counter("content_items", "n", "n > 0", "kind", table="kinds"),
     _counter("compactions", "1", "compaction_trigger <> ''", "compaction_trigger"),
     _counter("tier_outcomes", "1", "tier_outcome <> ''", "tier_outcome"),
     _counter("sticky_routing", "1", "sticky_kind <> '' and sticky_source <> ''", "sticky_kind", "sticky_source"),
     _timing("proxy_latency", "latency_ms"), _timing("proxy_first_token", "latency_first_token_ms"),
-    _gauge("account_quota_used", "account_used", "window"), _gauge("account_quota_reset", "account_reset", "window"), _gauge("account_model_quota_used", "account_model_used", "quota_key"),
-    _gauge("account_credits", "account_credits"), _gauge("account_info", "account_present", "plan_type"), _gauge("key_eligible", "key_eligible", "api_key"),
-    _counter("attributes_rejected", "attributes_rejected", "attributes_rejected > 0", "field"),
+    _gauge("account_quota_used", "used", "window", table="accounts"), _gauge("account_quota_reset", "reset", "window", table="accounts"), _gauge("account_model_quota_used", "used", "quota_key", table="account_models"),
+    _gauge("account_credits", "credits", table="accounts"), _gauge("account_info", "1", "plan_type", table="accounts"), _gauge("key_eligible", "eligible", "api_key", table="keys"),
+    _counter("attributes_rejected", "rejected", "rejected > 0", "field", table="caps"),
 )
 
 
@@ -86,7 +88,11 @@ _SQL_WORDS = frozenset("and or is not null cast as double if true d".split())
 
 
 def missing(columns: Iterable[str], registry: Iterable[Metric] = METRICS) -> dict[str, list[str]]:
-    """The metrics that a table with these columns can't give, each with the columns it lacks; text literals are no names."""
+    """The metrics of turns that a table with these columns can't give, each with the columns it lacks; text literals are no names."""
+    return _missing(columns, [m for m in registry if m.table == "turns"])
+
+
+def _missing(columns: Iterable[str], registry: Iterable[Metric]) -> dict[str, list[str]]:
     found = {}
     for m in registry:
         named = re.findall(r"[a-z_][a-z_0-9]*", re.sub(r"'[^']*'", "", f"{m.value} {m.when}").lower())
@@ -95,13 +101,14 @@ def missing(columns: Iterable[str], registry: Iterable[Metric] = METRICS) -> dic
     return found
 
 
-def points(turns: DataFrame, ts: str, order: list[str], registry: Iterable[Metric] = METRICS) -> DataFrame:
+def points(turns: DataFrame, ts: str, order: list[str], registry: Iterable[Metric] = METRICS, table: str = "turns") -> DataFrame:
     """``(metric, kind, ts, seq, attrs, value)``: one row for each metric that a turn has a value for, in a single pass over the turns.
 
-    Warns of the metrics that the turns' columns can't give, and names the columns that are missing.
+    ``table`` names what the rows are, turns or one of their child tables. Warns of the metrics that the columns can't give, and names those that
+    are missing. Null and not-a-number values are no points; labels without a value are left out; rows of equal order are all counted.
     """
-    registry, cells = list(registry), []
-    skipped = missing(turns.columns, registry)
+    registry, cells = [m for m in registry if m.table == table], []
+    skipped = _missing(turns.columns, registry)
     if skipped:
         warnings.warn(f"{len(skipped)} of {len(registry)} metrics are left out: " + "; ".join(f"{k} lacks {', '.join(v)}" for k, v in skipped.items()), stacklevel=2)
     for m in (m for m in registry if m.name not in skipped):
@@ -112,6 +119,15 @@ def points(turns: DataFrame, ts: str, order: list[str], registry: Iterable[Metri
     return rows.where("p.value is not null and not isnan(p.value)").select("p.metric", "p.kind", "ts", "seq", "p.attrs", "p.value")
 
 
+def all_points(tables: dict[str, DataFrame], ts: str, order: list[str], registry: Iterable[Metric] = METRICS) -> DataFrame:
+    """The points of turns and their child tables in one table; each is read once."""
+    registry, out = list(registry), None
+    for name, df in tables.items():
+        rows = points(df, ts, order, registry, name)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def aggregate(rows: DataFrame, registry: Iterable[Metric] = METRICS) -> DataFrame:
     """``(metric, kind, labels, value, count, buckets)``: counters add, histograms bucket, gauges keep the last value."""
     bounds = {m.name: m.bounds for m in registry if m.bounds}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake.functions import columns as X
-from turnlake.operators import content, deltas, enrich, fanout, metrics, profile, threads, turns
+from turnlake.operators import content, deltas, enrich, fanout, metrics, profile, threads, timing, turns
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, table
 from turnlake.streaming import jobs
@@ -80,9 +80,9 @@ def thread_tokens(spark: SparkSession, d: str) -> DataFrame:
 @query(ANSWERS + """select request_id, thread_id, strlen(text)::bigint as delta_sampled, calls = 1 as reset,
   row_number() over (partition by conv_id order by turn) = 1 as baseline_reset from a""")
 def response_deltas(spark: SparkSession, d: str) -> DataFrame:
-    t = turns.timings(_frames(spark, d))
-    out = deltas.counter_deltas(t, ["thread_id"], ["seq"], "calls", ["sampled"], "ts", "ts", "30 minutes")
-    return out.select("request_id", "thread_id", "delta_sampled", "reset", "baseline_reset")
+    f = _frames(spark, d)
+    out = timing.complete(turns.assemble(f), timing.timings(f))
+    return out.select("request_id", "thread_id", F.col("delta_sampled_tokens").cast("long").alias("delta_sampled"), "reset", "baseline_reset")
 
 
 EVENTS = "with e as (select *, (props::json->>'k')::bigint as k from events)"
@@ -166,13 +166,14 @@ def error_frames(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("request_id", "status", "error_type", "error_code", "error_status", F.col("first_seq.frame_seq").alias("event_id"))
 
 
-@query("""select c_custkey, 'x-a' as family, 'primary' as "window", c_acctbal as used, c_custkey::double as reset from customer
-union all select c_custkey, 'x-b', 'secondary', 0.0, null from customer where c_custkey % 2 = 0""")
+@query("""select c_custkey, 'a' as family, 'primary' as "window", c_acctbal as used, c_custkey::double as reset from customer
+union all select c_custkey, 'b', 'secondary', 0.0, null from customer where c_custkey % 2 = 0""")
 def quota_headers(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     names = [F.lit(x) for x in ("X-A-Primary-Used-Percent", "x-a-primary-reset-after-seconds", "X-B-Secondary-Used-Percent", "other")]
     values = [F.col("c_acctbal").cast("string"), F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 2 == 0, "0").otherwise(""), F.lit("1")]
-    return turns.quota_headers(c.withColumn("h", F.map_from_arrays(F.array(*names), F.array(*values))), "c_custkey", "h")
+    out = turns.quota_windows(c.withColumn("h", F.map_from_arrays(F.array(*names), F.array(*values))), "c_custkey", "h")
+    return out.select("c_custkey", "family", "window", "used", "reset")
 
 
 @query("""with o as (select *, (o_custkey % 17)::varchar as v from orders), f as (select v, min((o_orderdate, o_orderkey)) as o from o group by v),

@@ -132,7 +132,7 @@ def render(conversations: DataFrame) -> DataFrame:
         typed("response.created", response=sub(id=resp, model=F.lit("m1"))),
         typed(DELTAS[0], delta=F.lit("x")),
         typed("response.output_item.done", item=sub(type=F.lit("message"), content=F.array(sub(type=F.lit("output_text"), text=F.col("text"))))),
-        typed("responsesapi.websocket_timing", timing_metrics=sub(num_engine_calls=F.col("calls"), sampled_bytes=F.col("sampled"))),
+        typed("responsesapi.websocket_timing", timing_metrics=sub(num_engine_calls=F.col("calls"), num_sampled_tokens_total=F.col("sampled"))),
         typed("response.completed", response=sub(id=resp, status=F.lit("completed"), usage=sub(
             input_tokens=F.col("input_bytes"), output_tokens=size, input_tokens_details=sub(cached_tokens=(F.col("input_bytes") / 2).cast("long"))))),
     ]
