@@ -1,6 +1,6 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-Slot ``i`` of the mix gets the point ``frac(i * golden ratio)``; the sources' cumulative shares cut the unit interval, and the piece the
+Slot ``i`` of the mix gets the point ``frac(i * golden ratio)``, in 64-bit integers; the sources' cumulative shares cut the unit interval, and the piece the
 point falls in names the slot's source. Golden-ratio points fill every piece evenly, so each prefix of the schedule is close to the
 targets, not only the whole. Every source's documents, in a seeded shuffle, form one stream that is cut into blocks of equal words; the
 slots of a source are ranked, and the slot of rank ``r`` takes block ``r``. A stream that runs out starts again, at most as often as its
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from turnlake.llm.common import materialize, word_count
 
-GOLDEN = (math.sqrt(5) - 1) / 2
+#: The golden ratio's fraction of the unit interval, which is the 64-bit integers: multiples wrap round without losing a bit.
+GOLDEN = 0x9E3779B97F4A7C15
 #: More sources than this are refused: their totals and targets go through the driver.
 MAX_SOURCES = 100_000
 #: Slots that one row of the schedule's input stands for, and documents for which a source gets another bucket of its shuffle.
@@ -27,33 +28,33 @@ _CHUNK, _BUCKET_DOCS = 1 << 15, 1_000
 
 
 def targets(sizes: list[int], weights: tuple[float, ...], share: float, cap: float) -> list[float]:
-    """Split ``share`` of all sizes by weight (repeating in order); what exceeds ``cap`` times a source's size is shared out anew."""
+    """Split ``share`` of all sizes by weight (repeating in order); what exceeds ``cap`` times a source's size is shared out anew.
+
+    Sources reach their caps in the order of cap to weight, so one pass over the sorted sources settles who is at the cap.
+    """
     w = [float(weights[i % len(weights)]) for i in range(len(sizes))]
-    out = [0.0] * len(sizes)
-    left, active = share * sum(sizes), list(range(len(sizes)))
-    while active:
-        total = sum(w[i] for i in active)
-        over = [i for i in active if left * w[i] / total > cap * sizes[i]]
-        if not over:
-            for i in active:
-                out[i] = left * w[i] / total
+    order = sorted(range(len(sizes)), key=lambda i: (cap * sizes[i] / w[i], i))
+    out, left, total = [0.0] * len(sizes), share * sum(sizes), sum(w)
+    for k, i in enumerate(order):
+        if left * w[i] / total <= cap * sizes[i]:
+            for j in order[k:]:
+                out[j] = left * w[j] / total
             break
-        for i in over:
-            out[i] = float(cap * sizes[i])
-        left -= sum(out[i] for i in over)
-        active = [i for i in active if i not in set(over)]
+        out[i] = float(cap * sizes[i])
+        left -= out[i]
+        total -= w[i]
     return out
 
 
 def _schedule(spark, shares: list[float], slots: int) -> DataFrame:
     """``(slot, src, rank)``: the source index of every slot and how many earlier slots that source has."""
-    borders = np.cumsum(np.array(shares, float) / sum(shares))[:-1]
+    borders = np.array([min(int(x * 2.0**64), 2**64 - 1) for x in np.cumsum(np.array(shares, float) / sum(shares))[:-1].tolist()], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
                 slot = np.arange(chunk * _CHUNK, min(slots, (chunk + 1) * _CHUNK), dtype=np.int64)
-                src = np.searchsorted(borders, slot * GOLDEN % 1.0, side="right")
+                src = np.searchsorted(borders, slot.astype(np.uint64) * np.uint64(GOLDEN), side="right")
                 order = np.argsort(src, kind="stable")
                 first = np.searchsorted(src[order], src[order])
                 within = np.empty(len(slot), np.int64)

@@ -76,8 +76,8 @@ x as (select *, (budget - before) * weight / after > 2.0 * total as capped from
 t as (select *, case when capped then 2.0 * total else (budget - coalesce((select sum(2.0 * total) from x where capped), 0)) * weight / (select sum(weight) from x where not capped) end::double as target from x),
 e as (select *, sum(target / (select sum(target) from t)) over (order by src) as border, lag(src) over (order by src) as prior from t),
 b as (select *, coalesce(lag(border) over (order by src), 0) as low, row_number() over (order by src desc) = 1 as final from e),
-i as (select (i * {mixing.GOLDEN!r}::double) - floor(i * {mixing.GOLDEN!r}::double) as x from range((select round(sum(target) / 64)::bigint from t)) r(i)),
-n as (select src, count(*) as slots from i join b on x >= low and (x < border or final) group by src),
+i as (select (i::hugeint * {mixing.GOLDEN}::hugeint) % {2**64}::hugeint as x from range((select round(sum(target) / 64)::bigint from t)) r(i)),
+n as (select src, count(*) as slots from i join b on x >= (low * {2**64}::double)::hugeint and (x < (border * {2**64}::double)::hugeint or final) group by src),
 y as (select b.*, least(coalesce(n.slots, 0) * 64, 2 * total) as words, greatest(1, docs // 1000) as buckets from b left join n using (src)),
 p as (select d.doc_id, d.size, y.total, y.target, y.words,
     sum(d.size) over (partition by y.src order by ('0x' || substr(key, 1, 8))::bigint % buckets, key, doc_id, size rows between unbounded preceding and current row) - d.size as start
