@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import ipaddress
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,6 @@ CONTEXT = {
 AGAINST = frozenset("version isbn issn order invoice id token page part model serial doi ref hash commit chapter section figure".split())
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
@@ -41,9 +42,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z+.@-])(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9A-Za-z@-])")
 _AT = re.compile(r" ?[\[({] ?at ?[\])}] ?| at ", re.I)
-_DOTTED = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?: ?[\[({] ?dot ?[\])}] ?| dot |\.)[A-Za-z0-9-]{1,63}){1,4}", re.I)
+_DOTTED = re.compile(r"[A-Za-z0-9-]++(?:(?: ?[\[({] ?dot ?[\])}] ?| dot |\.)[A-Za-z0-9-]++)+", re.I)
 _DOT = re.compile(r" ?[\[({] ?dot ?[\])}] ?| dot |\.", re.I)
-_IP6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
+_IP6 = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f:]*+(?<=[0-9A-Fa-f:])(?![0-9A-Za-z:])")
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 
 Span = tuple[str, int, int]
@@ -91,28 +92,42 @@ def candidate_spans(text: str, base: list[Span]) -> list[Span]:
     found: list[Span] = []
     if " at " in text or "[" in text or "(" in text or "{" in text:
         for m in _AT.finditer(text):
-            local = _LOCAL.search(text, max(0, m.start() - 64), m.start())
-            domain = _DOTTED.match(text, m.end())
-            if local and local[0] and domain:
-                found.append(("email", local.start(), domain.end()))
-    if ":" in text:
-        found += [("ip", *m.span()) for m in _IP6.finditer(text)]
+            start, domain = m.start(), _DOTTED.match(text, m.end())
+            while start and text[start - 1] in _LOCAL_CHARS:
+                start -= 1
+            if start < m.start() and domain:
+                found.append(("email", start, domain.end()))
+    if ":" in text:  # eight groups, or fewer around a gap: not a clock time, nor the six of a network card
+        found += [("ip", *m.span()) for m in _IP6.finditer(text) if (m[0].count(":") == 7 or "::" in m[0]) and len(m[0]) > 2 and max(map(len, m[0].split(":"))) <= 4]
     if _DIGIT.search(text):
         found += [("card", *m.span()) for m in _CARD.finditer(text) if m.end() - m.start() >= 13 and 13 <= len(_digits(m[0])) <= 19]
         found += [("phone", *m.span()) for m in _LOOSE_PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
-    taken = sorted((a, b) for _, a, b in base)
+    starts = [a for _, a, _ in base]  # in order
+    reach = list(accumulate((b for _, _, b in base), max))  # how far the base spans up to each one go
     out: list[Span] = []
     for s in sorted(found, key=lambda s: (s[1], KINDS.index(s[0]))):
-        if (not out or s[1] >= out[-1][2]) and not any(a < s[2] and s[1] < b for a, b in taken):
+        earlier = bisect_left(starts, s[2])
+        if (not out or s[1] >= out[-1][2]) and not (earlier and reach[earlier - 1] > s[1]):
             out.append(s)
     return out
 
 
-def votes(text: str, span: Span) -> str:
-    """The labelers' votes on a span and two of its features, one character each: shape, gazetteer, context, value; length, separators."""
+def words_of(text: str) -> tuple[list[int], list[str]]:
+    """Where the text's words end, and the words."""
+    found = [(m.end(), m[0]) for m in _WORD.finditer(text)]
+    return [e for e, _ in found], [w for _, w in found]
+
+
+def votes(text: str, span: Span, words: tuple[list[int], list[str]] | None = None) -> str:
+    """The labelers' votes on a span and two of its features, one character each: shape, gazetteer, context, value; length, separators.
+
+    The context is the five words before the span, however far they are; ``words`` are the text's, to find once for many spans.
+    """
     kind, start, end = span
     value = text[start:end]
-    before = [w.lower() for w in _WORD.findall(text, max(0, start - 40), start)][-5:]
+    ends, known = words or words_of(text)
+    last = bisect_right(ends, start)
+    before = [w.lower() for w in known[max(0, last - 5) : last]]
     digits = _digits(value)
     context = "+" if any(w in CONTEXT[kind] for w in before) else "-" if any(w in AGAINST for w in before) else "0"
     if kind == "email":
@@ -121,7 +136,7 @@ def votes(text: str, span: Span) -> str:
         gazetteer = "+" if labels[-1].lower() in DOMAIN_ENDINGS else "-"
         check = "+" if all(x and x[0] != "-" and x[-1] != "-" for x in labels) and labels[-1].isalpha() else "-"
     elif kind == "ip":
-        shape = "+" if value.count(":") == 7 or value.count(".") == 3 else "-"
+        shape = "+" if value.count(":") == 7 or "::" in value[1:-1] or value.count(".") == 3 else "-"
         gazetteer = "+" if value.startswith(("2001", "2a0", "fe80", "fd", "10.", "192.168.")) else "0"
         try:
             ipaddress.ip_address(value)
@@ -205,7 +220,8 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             for text in texts(batch, 1):
                 base = base_spans(text)
                 both = [(s, True) for s in base] + [(s, False) for s in candidate_spans(text, base)]
-                rows.append([{"kind": s[0], "start": s[1], "end": s[2], "base": b, "votes": votes(text, s)} for s, b in both])
+                words = words_of(text) if both else None
+                rows.append([{"kind": s[0], "start": s[1], "end": s[2], "base": b, "votes": votes(text, s, words)} for s, b in both])
             column = pa.array(rows, pa.list_(pa.struct(fields)))
             yield pa.RecordBatch.from_arrays([batch.column(0), column], ["id", "spans"])
 
@@ -260,7 +276,9 @@ def redact(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> D
                 text = x.as_py()
                 if text:
                     base = base_spans(text)
-                    more = [s for s in candidate_spans(text, base) if votes(text, s) in accepted]
+                    more = candidate_spans(text, base)
+                    words = words_of(text) if more else None
+                    more = [s for s in more if votes(text, s, words) in accepted]
                     text = masked(text, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]))))
                 new.append(text)
             columns = list(batch.columns)
