@@ -77,12 +77,14 @@ def _g2(a: Column, b: Column, yes: int, no: int) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Word weights, feature means and spreads, and a weight vector for each head; None without labelled documents.
 
-    Uses the labelled documents with the smallest hashes of their ids, at most :data:`LABELLED`; rows with a null label are left out.
+    Uses the labelled documents with the smallest hashes of their ids and texts, at most :data:`LABELLED`; rows with a null label are left
+    out, and of several labels of an id the higher ones count.
     """
     some = labels.select(F.col(id_col).alias("id"), *[F.col(h).cast("int").alias(h) for h in HEADS]).dropna()
-    some = some.orderBy(F.xxhash64("id"), "id", *HEADS).limit(LABELLED)
+    some = some.groupBy("id").agg(*[F.max(h).alias(h) for h in HEADS]).orderBy(F.xxhash64("id"), "id").limit(LABELLED)
     text = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    known = materialize(text.join(F.broadcast(some), "id").select("text", *HEADS), "labelled")  # at most LABELLED rows
+    known = text.join(F.broadcast(some), "id")  # at most LABELLED rows; rows that share an id are as many as they like
+    known = materialize(known.orderBy(F.xxhash64("id", "text"), *HEADS).limit(LABELLED).select("text", *HEADS), "labelled")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, 0):
@@ -109,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             rows = [_features(t, fixed) for t in texts(batch, 0)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1), batch.column(2)], ["x", *HEADS])
 
-    sample = known.mapInArrow(measure, "x array<double>, quality int, toxic int").toPandas()  # at most LABELLED rows a label row
+    sample = known.mapInArrow(measure, "x array<double>, quality int, toxic int").toPandas()  # at most LABELLED rows
     x = np.array(sample["x"].tolist())
     mean, spread = x.mean(0), x.std(0) + 1e-9
     x = np.column_stack([np.ones(len(x)), (x - mean) / spread])
@@ -151,7 +153,7 @@ def _strength(sites: DataFrame, head: str, parent: Column) -> float:
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "concat_ws('/', source, lang)", id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "to_json(struct(source, lang))", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(id, quality_score, toxic_score, kept)``, one row per document: posterior probabilities, and whether it is good and not toxic.
 
@@ -161,7 +163,7 @@ def classify(
     an empty result.
     """
     model = fit(docs, labels, id_col, text_col)
-    site = lambda e: F.coalesce(F.expr(e).cast("string"), F.lit(""))
+    site = lambda e: F.coalesce(F.concat(F.lit("="), F.expr(e).cast("string")), F.lit(""))
     source = docs.select(docs[id_col].alias("id"), site(host).alias("host"), site(path).alias("path"), docs[text_col].cast("string").alias("text"))
     odds = _evidence(source, model)
     rows = materialize(odds.withColumns({f"p_{h}": 1 / (1 + F.exp(-F.col(f"l_{h}"))) for h in HEADS}), "evidence")
