@@ -73,14 +73,11 @@ def short_hash(c: Column) -> Column:
     return F.substring(F.sha2(c, 256), 1, 16)
 
 
-def byte_cut(c: Column, most: int) -> Column:
-    """At most so many bytes of UTF-8, never part of a character."""
-    raw = F.substring(F.encode(c, "UTF-8"), 1, most)
-    # Of what a cut can leave, only the start of a character may stand at the end: drop it when its rest is missing.
+def whole_characters(raw: Column) -> Column:
+    """Text from the start of some text's UTF-8 bytes: of what a cut can leave, only the start of a character may stand at the end, and goes."""
     tail = F.hex(F.substring(raw, -3, 3))
     cut = (
-        F.when(F.octet_length(c) <= most, F.lit(0))
-        .when(F.regexp_like(tail, F.lit("(C[2-9A-F]|D.|E.|F[0-4])$")), F.lit(1))
+        F.when(F.regexp_like(tail, F.lit("(C[2-9A-F]|D.|E.|F[0-4])$")), F.lit(1))
         .when(F.regexp_like(tail, F.lit("(E.|F[0-4])[89AB].$")), F.lit(2))
         .when(F.regexp_like(tail, F.lit("^F[0-4][89AB].[89AB].$")), F.lit(3))
         .otherwise(F.lit(0))
@@ -88,6 +85,11 @@ def byte_cut(c: Column, most: int) -> Column:
     return F.decode(F.substring(raw, F.lit(1), F.octet_length(raw) - cut), "UTF-8")
 
 
+def byte_cut(c: Column, most: int) -> Column:
+    """At most so many bytes of UTF-8, never part of a character."""
+    return F.when(F.octet_length(c) <= most, c).otherwise(whole_characters(F.substring(F.encode(c, "UTF-8"), 1, most)))
+
+
 def duration_seconds(c: Column) -> Column:
     """Seconds of "1h30m", "45s", "250ms" or a plain number; null unless positive."""
     unit = {"h": 3600.0, "m": 60.0, "s": 1.0, "ms": 0.001, "us": 1e-6, "ns": 1e-9}
