@@ -2,61 +2,88 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnlake.functions import columns as X
+from turnlake.sources.tables import checkpointed
 
-def _walk(value, path: str, opaque: frozenset[str]) -> Iterator[tuple[str, str, str | None]]:
+
+def _walk(value, path: str, opaque: frozenset[str], embedded: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, str | None]]:
     if isinstance(value, dict):
         yield path, "object", None
         if path not in opaque:
             for k, v in value.items():
-                yield from _walk(v, f"{path}.{k}" if path else k, opaque)
+                yield from _walk(v, f"{path}.{k}" if path else k, opaque, embedded)
     elif isinstance(value, list):
         yield path, "array", None
         for v in value:
-            yield from _walk(v, f"{path}[]", opaque)
+            yield from _walk(v, f"{path}[]", opaque, embedded)
     elif isinstance(value, bool):
         yield path, "bool", str(value).lower()
     elif value is None:
         yield path, "null", None
     elif isinstance(value, str):
-        yield path, "string", value if len(value) <= 48 else None
+        inner = None
+        if path in embedded and value.startswith("{"):
+            with contextlib.suppress(ValueError):
+                inner = json.loads(value)
+        yield path, "string", value if inner is None and len(value) <= 48 else None
+        if inner is not None:
+            yield from _walk(inner, path + "{}", opaque, embedded)
     else:
         yield path, "number", None
 
 
-def paths(rows: DataFrame, kind: str, doc: str, opaque: frozenset[str] = frozenset()) -> DataFrame:
-    """``(kind, path, json_type, value)`` for every value in every JSON document; opaque paths are not entered. The walk recurses over
-    unknown structure, so it runs in Python; what it gives is counted by Spark."""
+def paths(rows: DataFrame, kind: str, doc: str, opaque: frozenset[str] = frozenset(), embedded: frozenset[str] = frozenset()) -> DataFrame:
+    """``(kind, path, json_type, value, n)`` of the values in all JSON documents; opaque paths are not entered, and documents inside the strings at
+    ``embedded`` paths are, below ``{}``. The walk recurses over unknown structure, so it runs in Python; each task counts equal rows of a batch
+    together, and Spark adds up. Null and broken documents count as undecodable.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
-            out = []
+            seen: Counter[tuple] = Counter()
             for k, text in zip(df["kind"], df["doc"], strict=True):
                 try:
-                    out += [(k, *x) for x in _walk(json.loads(text), "", opaque)]
+                    seen.update((k, *x) for x in _walk(json.loads(text), "", opaque, embedded))
                 except (TypeError, ValueError):
-                    out.append((k, "", "undecodable", None))
-            yield pd.DataFrame(out, columns=["kind", "path", "json_type", "value"])
+                    seen[k, "", "undecodable", None] += 1
+            yield pd.DataFrame([(*x, n) for x, n in seen.items()], columns=["kind", "path", "json_type", "value", "n"])
+
+    return rows.select(F.col(kind).alias("kind"), F.col(doc).alias("doc")).mapInPandas(run, "kind string, path string, json_type string, value string, n long")
+
 
-    return rows.select(F.col(kind).alias("kind"), F.col(doc).alias("doc")).mapInPandas(run, "kind string, path string, json_type string, value string")
+def induce(walked: DataFrame, most: int | None = None) -> DataFrame:
+    """``kind, path, json_type, n``; with ``most``, of each kind's paths the most frequent ones only, and ``capped``."""
+    out = walked.groupBy("kind", "path", "json_type").agg(F.sum("n").alias("n"))
+    if most is None:
+        return out
+    by_path = out.groupBy("kind", "path").agg(F.sum("n").alias("_n"))
+    ranked = _first_of(by_path, ["kind"], "path", [F.desc("_n"), F.col("path")], most)
+    return out.join(ranked.select("kind", "path", "capped"), ["kind", "path"])
 
 
-def induce(walked: DataFrame) -> DataFrame:
-    return walked.groupBy("kind", "path", "json_type").agg(F.count("*").alias("n"))
+def _first_of(rows: DataFrame, keys: list[str], member: str, order: list[Column], most: int, salts: int = 64) -> DataFrame:
+    """The first ``most`` members of each key, and ``capped``: whether there are more. Ranked in parts first, so that a key of many members is
+    no single task's."""
+    part = rows.withColumn("_s", F.pmod(F.xxhash64(member), F.lit(salts)))
+    part = part.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_s").orderBy(*order)))
+    cut = part.where(F.col("_r") <= most).withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    size = rows.groupBy(*keys).agg((F.count("*") > most).alias("capped"))
+    return cut.where(F.col("_k") <= most).drop("_s", "_r", "_k").join(size, keys)
 
 
 def value_counts(walked: DataFrame, most: int = 200) -> DataFrame:
     """The most frequent short values of each path, and whether there are more than ``most`` of them."""
-    n = walked.where("value is not null").groupBy("kind", "path", "value").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("kind", "path")
-    ranked = n.withColumn("r", F.row_number().over(w.orderBy(F.desc("n"), "value"))).withColumn("distinct", F.count("*").over(w))
-    return ranked.where(F.col("r") <= most).select("kind", "path", "value", "n", (F.col("distinct") > most).alias("capped"))
+    n = walked.where("value is not null").groupBy("kind", "path", "value").agg(F.sum("n").alias("n"))
+    return _first_of(n, ["kind", "path"], "value", [F.desc("n"), F.col("value")], most).select("kind", "path", "value", "n", "capped")
 
 
 def drift(base: DataFrame, now: DataFrame) -> DataFrame:
@@ -81,9 +108,20 @@ def severity_counts(findings: DataFrame) -> DataFrame:
 
 
 def head_and_stride(rows: DataFrame, kind: str, order: list[str], head: int, stride: int) -> DataFrame:
-    """Sampling operator: the first rows of each kind, then every ``stride``-th."""
-    r = F.row_number().over(Window.partitionBy(kind).orderBy(*order))
-    return rows.withColumn("_r", r).where((F.col("_r") <= head) | ((F.col("_r") - head) % stride == 0)).drop("_r")
+    """Sampling operator: the first rows of each kind, then every ``stride``-th.
+
+    Rows are sorted over all tasks, by kind and order, and numbered from how many of a kind the parts before hold: a kind of many rows is spread
+    like the others. Ties in the order are broken by the other columns' hash; null kinds are a kind.
+    """
+    tie = F.xxhash64(*[F.col(c) for c in rows.columns])
+    spread = rows.withColumn("_tie", tie).repartitionByRange(kind, *order, "_tie").sortWithinPartitions(kind, *order, "_tie")
+    placed = checkpointed(spread.drop("_tie").withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    parts = placed.groupBy(F.col(kind).alias("_kind"), "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    w = Window.partitionBy("_kind").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_kind", F.col("_part").alias("_p"), "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    numbered = placed.join(parts, F.col(kind).eqNullSafe(F.col("_kind")) & (F.col("_part") == F.col("_p")))
+    r = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    return numbered.where((r <= head) | ((r - head) % stride == 0)).select(*rows.columns)
 
 
 def key_shapes(rows: DataFrame, kind: str, doc: str) -> DataFrame:
@@ -128,3 +166,72 @@ def sampled_windows(rows: DataFrame, file: str, position: str, windows: int, wid
     df = df.withColumn("_in", at - start < width)
     g = df.groupBy(file).agg(F.count("*").alias("rows"), F.count_if("_in").alias("sampled"))
     return df.where("_in").drop("_n", "_in"), g.withColumn("coverage", F.col("sampled") / F.col("rows"))
+
+
+#: Fields and headers whose values are counted; of others it counts only that they are there.
+FIELDS, HEADERS = ("direction", "kind", "method", "transport"), ("originator", "version", "x-openai-subagent")
+#: The paths at which a string holds a document.
+EMBEDDED = frozenset({"client_metadata.x-codex-turn-metadata", "item.arguments", "input[].arguments"})
+
+
+def capture_signature(frames: DataFrame) -> DataFrame:
+    """``section, subject, n`` of decoded frames with their raw lines: what a capture is made of, without content.
+
+    Sections: keys of lines, headers, values of known fields and headers (``<set>`` for others), shapes of request ids, framing of payloads and
+    key sets of those that are objects, pairs of kind and event, event types, patterns of file names, and ``lines``, with those that don't decode
+    and payloads that don't parse. Transport frames have no payload to speak of. Everything is one aggregation over small strings.
+    """
+    pair = lambda section, subject: F.struct(F.lit(section).alias("section"), subject.alias("subject"))
+    many = lambda section, names: F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda x: F.struct(F.lit(section).alias("section"), x.alias("subject")))
+    c, spoken = F.col, ~F.col("is_transport")
+    shown = lambda name, value, known: F.concat(F.lit(f"{name}="), value) if known else F.lit(f"{name}=<set>")
+    values = [F.when(X.present(c(f)).isNotNull(), pair("record.field", shown(f, c(f), f in FIELDS))) for f in ("direction", "kind", "method", "transport", "url", "account_id")]
+    values += [F.when(X.present(c("headers")[h]).isNotNull(), pair("record.header_value", shown(h, c("headers")[h], True))) for h in HEADERS]
+    one = F.array(
+        pair("lines", F.when(c("decode_ok"), "decoded").otherwise("undecodable")), pair("filename", X.digit_mask(c("file"))), F.when(c("decode_ok"), pair("request_id_shape", X.id_shape(c("request_id")))),
+        F.when(c("decode_ok") & spoken, pair("payload_framing", X.framing(c("payload_text")))), F.when(c("decode_ok") & spoken & X.present(c("payload_text")).isNotNull() & c("ev_type").isNull(), pair("unparsed", F.lit("payload"))),
+        F.when(c("event").isNotNull(), pair("payload_shape", F.array_join(F.array_sort(F.json_object_keys("event")), ","))), F.when(c("ev_type").isNotNull(), pair("event.type", c("ev_type"))),
+        F.when(c("ev_type").isNotNull(), pair("kind_event", F.concat_ws(" ", F.coalesce("kind", F.lit("")), "ev_type"))), *values,
+    )
+    keys = F.when(c("decode_ok"), F.json_object_keys("raw"))
+    rows = frames.select(F.explode(F.filter(F.concat(one, many("record.key", keys), many("record.header", F.map_keys("headers"))), lambda x: x.isNotNull())).alias("x"))
+    return rows.groupBy("x.section", "x.subject").agg(F.count("*").alias("n"))
+
+
+#: How grave it is when a section has a subject that the baseline lacks.
+ADDED = {
+    "payload_framing": "breaking", "payload_shape": "breaking", "filename": "new", "record.key": "new", "record.header": "new", "request_id_shape": "new", "record.field": "new", "record.header_value": "new",
+    "kind_event": "new", "event.type": "new",
+}
+
+
+def capture_drift(base: DataFrame, now: DataFrame, share: float = 0.01) -> DataFrame:
+    """``severity, kind, subject, was, is`` between two :func:`capture_signature` tables.
+
+    What is added is as grave as its section; keys and event types that are gone, and event types two orders of magnitude rarer, are info; a share
+    of undecodable lines or unparsed payloads that grows by more than ``share`` is breaking. Subjects of equal severity go by kind and name.
+    """
+    b, n = base.select("section", "subject", F.col("n").alias("was")), now.select("section", "subject", F.col("n").alias("is"))
+    both = b.join(n, ["section", "subject"], "full")
+    grave = F.create_map(*[F.lit(x) for pair in ADDED.items() for x in pair])
+    fewer = X.magnitude(F.col("was")) - X.magnitude(F.col("is")) >= 2
+    severity = (
+        F.when(F.col("was").isNull(), grave[F.col("section")]).when(F.col("is").isNull() & F.col("section").isin("record.key", "event.type"), "info").when(F.col("section").eqNullSafe("event.type") & fewer, "info")
+    )
+    kind = F.when(F.col("was").isNull(), F.col("section")).when(F.col("is").isNull(), F.concat("section", F.lit(".absent"))).otherwise("event.volume")
+    found = both.withColumns({"severity": severity, "kind": kind}).where("severity is not null").select("severity", "kind", "subject", "was", "is")
+    bad = F.sum(F.when((F.col("section") == "lines") & (F.col("subject") == "undecodable"), F.col("n")).otherwise(0))
+    unparsed, lines = F.sum(F.when(F.col("section") == "unparsed", F.col("n")).otherwise(0)), F.greatest(F.sum(F.when(F.col("section") == "lines", F.col("n")).otherwise(0)), F.lit(1))
+    cells = lambda df: df.agg(F.struct((bad / lines).alias("undecodable"), (unparsed / lines).alias("unparsed_payload"), (10_000 * bad / lines).cast("long").alias("b"), (10_000 * unparsed / lines).cast("long").alias("u")).alias("s"))
+    pair = cells(base).select(F.col("s").alias("x")).crossJoin(F.broadcast(cells(now).select(F.col("s").alias("y"))))  # one row each
+    worse = [F.when(F.col(f"y.{k}") > F.col(f"x.{k}") + share, F.struct(F.lit("breaking").alias("severity"), F.lit(k).alias("kind"), F.lit("per 10,000 lines").alias("subject"), F.col(f"x.{p}").alias("was"), F.col(f"y.{p}").alias("is"))) for k, p in (("undecodable", "b"), ("unparsed_payload", "u"))]
+    shares = pair.select(F.explode(F.filter(F.array(*worse), lambda w: w.isNotNull())).alias("w")).select("w.*")
+    rank = F.when(F.col("severity") == "breaking", 0).when(F.col("severity") == "new", 1).otherwise(2)
+    return found.unionByName(shares).orderBy(rank, "kind", "subject")
+
+
+def value_drift(base: DataFrame, now: DataFrame) -> DataFrame:
+    """Values of enum-like paths that a baseline of :func:`safe_enums` doesn't list, for paths it knows: ``kind, path, value``, all of them new."""
+    known = base.select("kind", "path", F.col("values").alias("old"))
+    e = now.join(known, ["kind", "path"]).select("kind", "path", F.explode(F.array_except("values", "old")).alias("value"))
+    return e.withColumn("severity", F.lit("new"))

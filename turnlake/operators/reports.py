@@ -57,10 +57,10 @@ def transcript(rows: DataFrame, thread: str, order: list[str], line: Column) ->
     return rows.groupBy(thread).agg(F.array_join(F.transform(seq, lambda x: x["line"]), "\n").alias("text"))
 
 
-def selected(spans: DataFrame, paths: DataFrame, node: str, begin: Column, end: Column) -> DataFrame:
-    """Root threads of all threads that overlap a window; ``paths`` are ``(node, ancestor, depth)``."""
+def selected(spans: DataFrame, trees: DataFrame, node: str, begin: Column, end: Column) -> DataFrame:
+    """Root threads of all threads that overlap a window; ``trees`` are ``(node, root)`` of a forest."""
     inside = spans.where((F.col("first_seen") <= end) & (F.col("last_seen") >= begin)).select(F.col(node).alias("node"))
-    return paths.join(inside, "node", "left_semi").groupBy("node").agg(F.max_by("ancestor", "depth").alias("root")).select("root").distinct()
+    return trees.join(inside, "node", "left_semi").select("root").distinct()
 
 
 def call_estimate(chunks: DataFrame, thread: str, has_children: str) -> DataFrame:

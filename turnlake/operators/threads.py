@@ -12,47 +12,41 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from turnlake.sources.tables import checkpointed
 
 
-def ancestors(threads: DataFrame, node: str, parent: str, rounds: int = 64) -> DataFrame:
-    """``(node, ancestor, depth)`` for every thread and all above it, itself at depth 0. Unknown and own parents end a path.
+def climb(threads: DataFrame, node: str, parent: str, mark: Column | None = None) -> DataFrame:
+    """``node, root, depth, descendants, marked`` of every thread, by pointer jumping.
 
-    Each round doubles the reach of all paths (pointer jumping), so the number of rounds is the logarithm of the deepest path; a cycle stops
-    at ``2 ** rounds`` steps at the latest, where no new pairs appear.
+    Each round doubles how far every node sees: ``up`` is the ancestor 2^k steps above, or the root where there is none, and ``below`` the nodes
+    less than 2^k steps under it. So the rounds are the logarithm of the deepest path, and each holds one row a node, never its pairs. A thread is
+    ``marked`` when ``mark`` holds for it or for any below it. Unknown and own parents end a path; of several rows of a node the least parent
+    counts. Nodes on a cycle, or under one, have neither root nor depth.
     """
-    known = threads.select(F.col(node).alias("p"))
-    up = threads.where(F.col(parent) != F.col(node)).select(F.col(node).alias("node"), F.col(parent).alias("ancestor"))
-    up = up.join(known, F.col("ancestor") == F.col("p"), "left_semi").withColumn("depth", F.lit(1))
-    reach = checkpointed(up)
-    hop, n = reach, -1
-    for _ in range(rounds):
-        far = hop.alias("a").join(hop.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor", (F.col("a.depth") + F.col("b.depth")).alias("depth"))
-        hop = checkpointed(far.where("node <> ancestor"))
-        via = reach.alias("a").join(hop.alias("b"), F.col("a.ancestor") == F.col("b.node")).select("a.node", "b.ancestor", (F.col("a.depth") + F.col("b.depth")).alias("depth"))
-        grown = reach.unionByName(hop).unionByName(via.where("node <> ancestor")).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
-        reach = checkpointed(grown)
-        m = reach.count()
-        if m == n or hop.isEmpty():
-            break
-        n = m
-    own = threads.select(F.col(node).alias("node"), F.col(node).alias("ancestor"), F.lit(0).alias("depth"))
-    return own.unionByName(reach)
+    flag = F.coalesce(mark, F.lit(False)) if mark is not None else F.lit(False)
+    rows = threads.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min(F.nullif(parent, node)).alias("p"), F.max(flag).alias("marked"))
+    known = rows.select(F.col("node").alias("p"), F.lit(True).alias("known"))
+    up = F.when(F.col("known"), F.col("p")).otherwise(F.col("node"))
+    state = rows.join(known, "p", "left").select("node", up.alias("up"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("steps"), F.lit(1).cast("long").alias("below"), "marked")
+    state, reach = checkpointed(state), 1
+    most = state.count()
+    while reach < most and not (far := state.where(F.col("steps") == reach)).isEmpty():
+        gained = far.groupBy(F.col("up").alias("node")).agg(F.sum("below").alias("more"), F.max("marked").alias("any"))
+        ahead = state.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("further"))
+        new = state.join(gained, "node", "left").join(ahead, "up")
+        new = new.select("node", F.col("next").alias("up"), (F.col("steps") + F.col("further")).alias("steps"), (F.col("below") + F.coalesce("more", F.lit(0))).alias("below"), (F.col("marked") | F.coalesce("any", F.lit(False))).alias("marked"))
+        state, reach = checkpointed(new), reach * 2
+    ends = F.col("steps") < most
+    return state.select("node", F.when(ends, F.col("up")).alias("root"), F.when(ends, F.col("steps")).cast("int").alias("depth"), (F.col("below") - 1).alias("descendants"), "marked")
 
 
 def forest(threads: DataFrame, node: str, parent: str) -> DataFrame:
     """``node, root, depth, descendants, orphaned``: a thread whose parent is not in the capture is a root, and orphaned."""
-    paths = ancestors(threads, node, parent)
-    tops = paths.groupBy("node").agg(F.max_by("ancestor", "depth").alias("root"), F.max("depth").alias("depth"))
-    below = paths.where("depth > 0").groupBy(F.col("ancestor").alias("node")).agg(F.count("*").alias("descendants"))
     known = threads.select(F.col(node).alias("_p")).distinct()
-    flags = threads.join(known, F.col(parent) == F.col("_p"), "left").select(
-        F.col(node).alias("node"), (F.col(parent).isNotNull() & F.col("_p").isNull()).alias("orphaned")
-    )
-    return tops.join(below, "node", "left").join(flags, "node").select("node", "root", "depth", F.coalesce("descendants", F.lit(0)).alias("descendants"), "orphaned")
+    flags = threads.join(known, F.col(parent) == F.col("_p"), "left").groupBy(F.col(node).alias("node")).agg(F.max(F.col(parent).isNotNull() & F.col("_p").isNull()).alias("orphaned"))
+    return climb(threads, node, parent).drop("marked").join(flags, "node")
 
 
 def retained(threads: DataFrame, node: str, parent: str, keep: Column) -> DataFrame:
     """Threads that satisfy ``keep``, and all their ancestors."""
-    seeds = threads.where(keep).select(F.col(node).alias("_s"))
-    return ancestors(threads, node, parent).join(seeds, F.col("node") == F.col("_s"), "left_semi").select(F.col("ancestor").alias(node)).distinct()
+    return climb(threads, node, parent, keep).where("marked").select(F.col("node").alias(node))
 
 
 def majority(rows: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnlake.operators import content, enrich, fanout, live, timing, turns
+from turnlake.operators import content, enrich, fanout, live, profile, timing, turns
 from turnlake.plans.queries import query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
 from turnlake.sources import capture
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, table
+from turnlake.streaming import jobs
 
 _END = "case when failed then ms + 1100 else ms + 5500 end"
 
@@ -157,3 +158,55 @@ def digest_blocks(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
     out = live.digest_blocks(turns.assemble(f), items(f), {"prompt": 100, "message": 100})
     return out.select("thread_key", "n", "request_id", "block")
+
+
+_TYPES = {"response.create": "true", "response.created": "true", "response.in_progress": "true", "response.output_text.delta": "true", "codex.rate_limits": "true", "codex.response.metadata": "true", "responsesapi.websocket_timing": "true", "error": "failed", "response.completed": "not failed"}
+
+
+@query(CAPTURE + ", e as (" + " union all ".join(f"select '{k}' as ev, request_id, ms, c from a where {w}" for k, w in _TYPES.items()) + """
+  union all select 'response.output_item.done', request_id, ms, c from a, range(4) r(i) where i < 3 or t % 3 = 0)
+select 'event.type' as section, ev as subject, count(*) as n from e group by 2 union all select 'kind_event', 'responses ' || ev, count(*) from e group by 2 union all select 'lines', 'decoded', count(*) from e
+union all select 'request_id_shape', 'ws_', count(*) from e union all select 'payload_framing', 'object', count(*) from e union all select 'filename', 'N-N-NTN.jsonl.gz', count(*) from e
+union all select 'record.key', k, count(*) from e, (select unnest(['request_id', 'timestamp', 'account_id', 'headers', 'kind', 'transport', 'payload', 'extra']) as k) group by 2
+union all select 'record.header', k, count(*) from e, (select unnest(['thread-id', 'session-id', 'originator', 'version', 'traceparent', 'x-codex-routing-hint', 'x-codex-window-id']) as k) group by 2
+union all select 'record.field', k, count(*) from e, (select unnest(['kind=responses', 'transport=websocket', 'account_id=<set>']) as k) group by 2
+union all select 'record.header_value', 'version=1.2', count(*) from e union all select 'record.header_value', 'originator=' || case when c % 13 = 12 then 'probe' else 'cli' end, count(*) from e group by 2""")
+def capture_signature(spark: SparkSession, d: str) -> DataFrame:
+    return profile.capture_signature(sessions(spark, d)).where("section <> 'payload_shape'")
+
+
+@query(CAPTURE + """, b as (select * from a where c % 13 <> 12), u as (select count(*) as bad from conversations where role = 'user'),
+n as (select sum(10 + (not failed)::int + (t % 3 = 0)::int) as lines, sum(10 + (not failed)::int + (t % 3 = 0)::int) filter (c % 13 = 12) as probe from a)
+select 'breaking' as severity, 'undecodable' as kind, 'per 10,000 lines' as subject, 0::bigint as was, (10000 * bad // (bad + lines))::bigint as "is" from n, u
+union all select 'new', 'record.header_value', 'originator=probe', null, probe::bigint from n union all select 'info', 'event.type.absent', 'error', (select count(*) from b where failed), null union all select 'new', 'filename', 'odd', null, bad from u""")
+def capture_drift(spark: SparkSession, d: str) -> DataFrame:
+    f = checkpointed(sessions(spark, d))
+    base = profile.capture_signature(f.where("headers['originator'] <> 'probe'"))
+    broken = wire.decode(table(spark, d, "conversations").where("role = 'user'").select(F.lit("odd").alias("file"), F.col("turn").cast("long").alias("frame_seq"), F.lit("{broken").alias("raw")))
+    now = profile.capture_signature(f.where("not ev_type <=> 'error'").unionByName(broken))
+    # rows of a kind and event go with their type
+    return profile.capture_drift(base, now).where("kind not in ('payload_shape', 'kind_event.absent')")
+
+
+def _stream(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, str]:
+    """A stream of a table's rows, by way of the shared folder, and where that is."""
+    kept = checkpointed(rows)
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+    return spark.readStream.schema(kept.schema).parquet(folder), folder.rsplit("/", 1)[0]
+
+
+@query("""with m as (select max(ts) as last from events) select epoch(date_trunc('hour', ts))::bigint as step, event_type, count(*) as n from events, m group by date_trunc('hour', ts), event_type, last
+having date_trunc('hour', ts) + interval 1 hour <= last - interval 10 minutes""")
+def streamed_windows(spark: SparkSession, d: str) -> DataFrame:
+    stream, folder = _stream(spark, table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    return jobs.drain(jobs.tumbling_counts(stream, "ts", "1 hour", ["event_type"]), folder).select(F.unix_seconds("step").alias("step"), "event_type", "n")
+
+
+@query(CAPTURE + """, p as (select *, lag(calls) over w as prev, lag(sampled) over w as prev_sampled, lag(ms) over w as prev_ms from a window w as (partition by c, kind order by t)),
+r as (select *, prev is null or ms - prev_ms > 1800000 as cold from p), q as (select *, cold or calls <= prev as reset from r)
+select thread_id, kind, c * 1000000 + t * 100 + 10 as seq, reset, cold as baseline_reset, (calls - case when reset then 0 else prev end)::double as delta_calls, (sampled - case when reset then 0 else prev_sampled end)::double as delta_sampled_tokens from q""")
+def streamed_deltas(spark: SparkSession, d: str) -> DataFrame:
+    t = completed(spark, d).select("thread_id", F.col("request_kind").alias("kind"), F.col("timing_seq.frame_seq").alias("seq"), F.col("timing_ts").alias("ts"), "calls", "sampled_tokens")
+    stream, folder = _stream(spark, t)
+    out = jobs.drain(jobs.series_deltas(stream, ["thread_id", "kind"], "seq", "calls", ["calls", "sampled_tokens"], "ts"), folder)
+    return out.select("thread_id", "kind", "seq", "reset", "baseline_reset", "delta_calls", "delta_sampled_tokens")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from turnlake.functions import columns as X
 from turnlake.operators import content, deltas, fanout, metrics, profile, registry, reports, threads, turns
-from turnlake.plans.queries import _QUERIES, _SQL, ANSWERS, EVENTS, _events, _frames, _raw_events, query
+from turnlake.plans.queries import _QUERIES, _SQL, ANSWERS, EVENTS, PATHS, _events, _frames, _raw_events, query
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, json_lines, since, table
 from turnlake.streaming import jobs
@@ -119,7 +119,7 @@ def window_selection(spark: SparkSession, d: str) -> DataFrame:
     t = c.groupBy(F.col("conv_id").alias("node")).agg(F.min("at").alias("first_seen"), F.max("at").alias("last_seen")).withColumn("parent", F.expr("nullif(node div 3, node)"))
     mid = F.col("mid")
     spans = t.crossJoin(F.broadcast(t.agg(F.expr("max(node) div 2").alias("mid"))))  # one row
-    return reports.selected(spans, threads.ancestors(t.select("node", "parent"), "node", "parent"), "node", mid * 3600, (mid + 5) * 3600)
+    return reports.selected(spans, threads.forest(t.select("node", "parent"), "node", "parent"), "node", mid * 3600, (mid + 5) * 3600)
 
 
 @query("""with recursive s as (select conv_id, turn, length(coalesce(text, ''))::bigint as n, row_number() over (partition by conv_id order by turn) as rn from conversations),
@@ -152,7 +152,7 @@ def late_rows(spark: SparkSession, d: str) -> DataFrame:
     return young.agg(F.count("*").alias("kept")).crossJoin(late)
 
 
-@query("select event_type as kind, 'k' as shape, count(*) as n from events group by 1")
+@query("select event_type as kind, array_to_string(list_sort(json_keys(props::json)), ',') as shape, count(*) as n from events group by all")
 def key_shapes(spark: SparkSession, d: str) -> DataFrame:
     return profile.key_shapes(table(spark, d, "events"), "event_type", "props")
 
@@ -169,7 +169,7 @@ def enum_values(spark: SparkSession, d: str) -> DataFrame:
     return profile.safe_enums(profile.value_counts(profile.paths(c, "kind", "doc"))).withColumn("values", F.array_join("values", ","))
 
 
-@query("select event_type as kind, p.path as path, p.t as json_type, floor(log10(count(*)))::int as magnitude from events, (values ('', 'object'), ('k', 'number')) p(path, t) group by 1, 2, 3")
+@query(PATHS + "select kind, path, json_type, floor(log10(n))::int as magnitude from s")
 def schema_signature(spark: SparkSession, d: str) -> DataFrame:
     return profile.signature(profile.induce(profile.paths(table(spark, d, "events"), "event_type", "props")))
 

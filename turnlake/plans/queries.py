@@ -434,7 +434,13 @@ def id_lookup(spark: SparkSession, d: str) -> DataFrame:
     return turns.assemble(f.join(hit, "request_id", "left_semi")).select("request_id", "thread_id")
 
 
-@query("""select event_type as kind, p.path as path, p.t as json_type, count(*) as n from events, (values ('', 'object'), ('k', 'number')) p(path, t) group by all""")
+# Paths of a table of flat documents, from the documents.
+PATHS = """with d as (select event_type as kind, props::json as j from events), w as (select kind, '' as path, json_type(j) as t from d union all select kind, k, json_type(json_extract(j, '$.' || k)) from (select kind, j, unnest(json_keys(j)) as k from d)),
+s as (select kind, path, case when t in ('UBIGINT', 'BIGINT', 'DOUBLE') then 'number' when t = 'VARCHAR' then 'string' when t = 'BOOLEAN' then 'bool' else lower(t) end as json_type, count(*) as n from w group by all)
+"""
+
+
+@query(PATHS + "select * from s")
 def induced_paths(spark: SparkSession, d: str) -> DataFrame:
     return profile.induce(profile.paths(_raw_events(spark, d), "event_type", "props"))
 
@@ -445,10 +451,10 @@ def path_values(spark: SparkSession, d: str) -> DataFrame:
     return profile.value_counts(profile.paths(c, "kind", "doc"))
 
 
-@query("""select 'new' as severity, 'path' as what, 'purchase' as kind, '' as path, 'object' as json_type where exists (select 1 from events where event_type = 'purchase')
-union all select 'new', 'path', 'purchase', 'k', 'number' where exists (select 1 from events where event_type = 'purchase')
-union all select 'info', 'absent', 'click', '', 'object' where exists (select 1 from events where event_type = 'click')
-union all select 'info', 'absent', 'click', 'k', 'number' where exists (select 1 from events where event_type = 'click')""")
+@query(PATHS + """, b as (select * from s where kind <> 'purchase'), n as (select * from s where kind <> 'click')
+select case when exists (select 1 from b k where k.kind = n.kind and k.path = n.path) and json_type <> 'null' then 'breaking' else 'new' end as severity,
+  case when not exists (select 1 from b k where k.kind = n.kind and k.path = n.path) then 'path' when json_type = 'null' then 'nullable' else 'type' end as what, kind, path, json_type from n anti join b using (kind, path, json_type)
+union all select 'info', 'absent', kind, path, json_type from b anti join n using (kind, path, json_type)""")
 def schema_drift(spark: SparkSession, d: str) -> DataFrame:
     sig = profile.induce(profile.paths(_raw_events(spark, d), "event_type", "props"))
     return profile.drift(sig.where("kind <> 'purchase'"), sig.where("kind <> 'click'"))

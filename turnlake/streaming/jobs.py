@@ -36,6 +36,41 @@ def counter_deltas(stream: DataFrame, series: str, order: str, value: str, ts: s
     return stream.groupBy(series).applyInPandasWithState(run, f"{series} {kinds[series]}, {order} {kinds[order]}, delta long", "before long", "append", "NoTimeout")
 
 
+def series_deltas(stream: DataFrame, series: list[str], order: str, calls: str, counters: list[str], ts: str, gap_ms: int = 1_800_000, keep_ms: int = 168 * 3_600_000, late: str = "10 minutes") -> DataFrame:
+    """What each reading adds to its series' cumulative counters: ``series, order, reset, baseline_reset, delta_<counter>``.
+
+    State is a series' last reading. A reading counts in full without one, after a gap, or when its calls didn't grow; one without calls counts in
+    full and is no baseline. A series that has had no reading for ``keep_ms`` before the watermark loses its state. Rows of a batch are ordered by
+    ``order``; null counters are zero, and rows without a time are dropped by the watermark.
+    """
+    names = [f"delta_{c}" for c in counters]
+
+    def run(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = state.get if state.exists else None
+        df = pd.concat(list(frames)).sort_values(order)
+        rows = []
+        for at, when, made, *values in zip(df[order], df[ts], df[calls], *[df[c] for c in counters], strict=True):
+            now = int(when.timestamp() * 1000)
+            values = [0.0 if pd.isna(v) else float(v) for v in values]
+            cold = last is None or now - last[1] > gap_ms
+            reset = cold or pd.isna(made) or float(made) <= last[0]
+            rows.append([*key, at, bool(reset), bool(cold), *(v if reset else v - b for v, b in zip(values, [0.0] * len(values) if reset else last[2], strict=True))])
+            if not pd.isna(made):
+                last = (float(made), now, values)
+        if last is not None:
+            state.update(last)
+            state.setTimeoutTimestamp(max(last[1] + keep_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(rows, columns=[*series, order, "reset", "baseline_reset", *names])
+
+    kinds = dict(stream.dtypes)
+    out = ", ".join([*(f"{k} {kinds[k]}" for k in series), f"{order} {kinds[order]}", "reset boolean", "baseline_reset boolean", *(f"{x} double" for x in names)])
+    rows = stream.select(*series, order, ts, F.col(calls).cast("double").alias(calls), *[F.col(c).cast("double").alias(c) for c in counters if c != calls])
+    return rows.withWatermark(ts, late).groupBy(*series).applyInPandasWithState(run, out, "calls double, last long, counters array<double>", "append", "EventTimeTimeout")
+
+
 def drain(out: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     """Run a query over all that is there into a Parquet table and read it. Each batch overwrites its own partition, so a retry is harmless."""
     spark: SparkSession = out.sparkSession
@@ -51,7 +86,11 @@ def drain(out: DataFrame, folder: str, mode: str = "append") -> DataFrame:
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """``(file, raw)`` of archives as they land; files must be complete when they appear. Inside a file the reader keeps the order."""
+    """``(file, frame_seq, raw)`` of archives as they land; files must be complete when they appear.
+
+    A file is read whole by one task of one batch, so inside it ``frame_seq`` grows with the position; files order by name, whatever batch they
+    are in. So ``(file, frame_seq)`` is an order, and ``frame_seq`` alone is none.
+    """
     lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz").format("text").load(folder)
     return lines.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("frame_seq"), F.col("value").alias("raw"))
 
