@@ -28,7 +28,7 @@ from turnlake.llm.components import connected_components
 #: Vectors that the codebooks and the stopping bound are fitted on: a fixed-size sample by hash; every vector is indexed.
 SAMPLE = 8_192
 #: Vectors that a cell should hold, and rows of either side that one verification task compares at once.
-CELL_ROWS, BLOCK_ROWS = 64, 1_024
+CELL_ROWS, BLOCK_ROWS = 64, 512
 #: Sample vectors that a codeword needs at least: the sample bounds the codebooks, the number of vectors doesn't.
 POINTS_A_WORD = 8
 TARGET_RECALL = 0.999
