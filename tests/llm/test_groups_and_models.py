@@ -142,10 +142,35 @@ def test_the_walk_visits_cells_by_their_sum_and_stops():
     assert set(got) == {k for k, c in cost.items() if c <= 0.6} and [cost[k] for k in got] == sorted(cost[k] for k in got)
 
 
-def test_targets_reshare_what_caps_leave():
-    assert mixing.targets([100, 100, 100], (3, 1, 2), 1.5, 2.0) == pytest.approx([200, 250 / 3, 500 / 3])
-    assert mixing.targets([10, 1000], (3, 1, 2), 1.5, 2.0) == pytest.approx([20, 1495])
-    assert mixing.targets([0, 0], (3, 1, 2), 1.5, 2.0) == [0, 0] and mixing.targets([], (1,), 1.5, 2.0) == []
+def direct_targets(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
+    left, out = share * sum(sizes), {}
+    while True:
+        rest = [i for i in range(len(sizes)) if i not in out]
+        total = sum(weights[i % len(weights)] for i in rest)
+        over = [i for i in rest if left * weights[i % len(weights)] / total > cap * sizes[i]]
+        if not over:
+            return [out.get(i, left * weights[i % len(weights)] / total if total else 0.0) for i in range(len(sizes))]
+        for i in over:
+            out[i] = cap * sizes[i]
+        left = share * sum(sizes) - sum(out.values())
+
+
+@pytest.mark.parametrize("sizes", [[100, 100, 100], [10, 1000], [0, 0], [], [5], [1, 10, 100, 1000, 10_000, 3, 77, 0, 50_000]])
+def test_targets_reshare_what_caps_leave(spark, sizes):
+    df = spark.createDataFrame(list(enumerate(sizes)), "index long, size long")
+    got = [r["target"] for r in mixing.targets(df, (3, 1, 2), 1.5, 2.0).orderBy("index").collect()]
+    assert got == pytest.approx(direct_targets(sizes))
+
+
+def test_many_sources_share_a_schedule(spark):
+    rows = [(i, "w " * (5 + i % 9), f"s{i % 3000}") for i in range(9000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_words=8)
+    got = out.taken().groupBy("source", "source_size", "target").agg({"taken": "sum"}).collect()
+    want = direct_targets([r["source_size"] for r in sorted(got, key=lambda r: r["source"])])
+    assert [r["target"] for r in sorted(got, key=lambda r: r["source"])] == pytest.approx(want)
+    assert len(got) == 3000 and max(abs(r["sum(taken)"] - r["target"]) for r in got) <= 8 * 2
+    slots = [r["slot"] for r in out.pieces.select("slot").distinct().orderBy("slot").collect()]
+    assert slots[:100] == list(range(100))
 
 
 def test_mix_comes_near_its_targets(spark):
@@ -159,7 +184,7 @@ def test_mix_comes_near_its_targets(spark):
     for _, text, source, _ in rows:
         sizes[source] += len((text or "").split())
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    want = dict(zip(order, mixing.targets([sizes[s] for s in order], (3, 1, 2), 1.5, 2.0), strict=True))
+    want = dict(zip(order, direct_targets([sizes[s] for s in order]), strict=True))
     taken = Counter()
     for _, source, size, source_size, target, n in runs[0]:
         assert source_size == sizes[source] and target == want[source] and 0 <= n <= 2 * size
