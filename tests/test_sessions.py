@@ -166,3 +166,44 @@ def test_whole_characters(spark):
     for n in range(len(text.encode()) + 1):
         want = text.encode()[:n].decode(errors="ignore")
         assert df.select(X.byte_cut(F.lit(text), n)).first()[0] == want
+
+
+def test_attributes_keep_to_their_classes(spark):
+    from turnlake.operators import metrics
+
+    df = spark.createDataFrame([("m", "r1", 0, {"x.a": "1", "x_a": "2", "odd": "3", "model": "n"})], "model string, request_id string, text_deltas int, extra map<string,string>")
+    r = df.select(
+        metrics.bounded_attributes(df.columns).alias("b"), metrics.log_metadata(df.columns).alias("l"), metrics.stream_labels(df.columns, F.lit("turn")).alias("s"),
+        metrics.guarded(metrics.bounded_attributes(df.columns), F.col("extra"), ("x.a", "model")).alias("g"), metrics.sanitised(F.col("extra")).alias("n"), metrics.guarded(metrics.attributes(a=F.lit("1")), F.lit(None).cast("map<string,string>"), ()).alias("z"),
+    ).first()
+    assert r["b"] == {"model": "m", "provider": "openai", "operation": "generateText"} and r["l"]["request_id"] == "r1" and "model" not in r["l"]
+    assert list(r["s"].items()) == [("model", "m"), ("record_type", "turn")] and r["g"]["attrs"]["model"] == "n" and r["g"]["rejected"] == 2
+    assert r["n"] == {"x_a": "1", "odd": "3", "model": "n"} and r["z"]["attrs"] == {"a": "1"} and r["z"]["rejected"] == 0
+    with pytest.raises(ValueError):
+        metrics.stream_labels(df.columns, F.lit("turn"), ("request_id",))
+
+
+def test_idle_unknown_and_recorded(spark, tmp_path):
+    from turnlake.functions import columns
+    from turnlake.operators import reports
+    from turnlake.sources import tables
+
+    f = frames(spark, create(), {"type": "response.odd"}).unionByName(frames(spark, create(), request="ws_2").withColumn("ts", F.col("ts") + F.expr("interval 2 hours")))
+    got = {r["request_id"]: r["idle"] for r in turns.close_idle(turns.assemble(f)).collect()}
+    assert got == {"ws_1": True, "ws_2": False}
+    assert [tuple(r) for r in wire.unknown_events(f).collect()] == [("response.odd", 1)]
+    for _ in range(2):  # a retry of a batch changes nothing
+        tables.write_batch({"turns": turns.assemble(f), "frames": f.select("file", "frame_seq")}, str(tmp_path), 3)
+    assert spark.read.parquet(str(tmp_path / "turns")).count() == 2 and spark.read.parquet(str(tmp_path / "frames")).count() == 3
+    for run in ("a", "b"):
+        profile.record_run(spark.createDataFrame([("new", run)], "severity string, what string"), run, str(tmp_path / "runs"))
+    assert spark.read.parquet(str(tmp_path / "runs")).groupBy("run").count().count() == 2
+    names = spark.createDataFrame([("/root/a", "ask", "p"), (None, "ask", "p"), (None, None, "p"), (None, None, None)], "t string, a string, p string")
+    assert [r[0] for r in names.select(reports.display_name(F.col("t"), F.col("a"), F.col("p"))).collect()] == ["a", "ask", "subagent", "session"]
+    assert [r[0] for r in spark.createDataFrame([("acct_1",), ("acct",)], "a string").select(columns.bare_account(F.col("a"))).collect()] == ["acct", "acct"]
+
+
+def test_lookup_decodes_whole_requests(spark):
+    lines = [("f", 0, '{"request_id":"a","payload":{"text":"{\\"type\\":\\"response.create\\"}"}}'), ("f", 1, '{"request_id":"b","payload":{"text":"needle"}}'), ("f", 2, '{"request_id":"a","payload":{"text":"needle"}}'), ("f", 3, '{"payload":{"text":"needle"}}'), ("f", 4, "{broken needle")]
+    got = wire.lookup(spark.createDataFrame(lines, "file string, frame_seq long, raw string"), F.col("raw").contains("needle"))
+    assert sorted(r["frame_seq"] for r in got.collect()) == [0, 1, 2]

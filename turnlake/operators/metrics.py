@@ -116,3 +116,53 @@ def error_category(kind: Column, code: Column) -> Column:
 def response_model(retry: Column, model: Column) -> Column:
     """The model that answered: a retry's wins."""
     return F.coalesce(F.nullif(retry, F.lit("")), model)
+
+
+#: What a turn's fields are to those that store them: bounded ones make series and labels, identities may only be kept beside a record.
+BOUNDED = (
+    "model", "status", "request_kind", "thread_source", "family", "effort", "reasoning_mode", "verbosity", "tier", "tier_requested", "tier_outcome", "plan_type", "originator", "client_version", "error_type", "routing_hint",
+    "compaction_trigger", "subagent_kind", "sandbox", "api_key", "client_group", "connection_kind", "failure_phase", "sticky_kind", "sticky_source", "cache_mode", "cache_diagnostic",
+)
+IDENTITY = ("request_id", "response_id", "thread_id", "session_id", "turn_id", "root_turn_id", "parent_thread_id", "parent_turn_id", "account_id", "installation_id", "window_id", "agent_name", "workspaces", "safety_id", "prompt_cache_key")
+#: Labels of a log stream, of the bounded fields.
+PROMOTED = ("family", "model", "request_kind", "status")
+
+
+def bounded_attributes(columns: list[str]) -> Column:
+    """The bounded fields that are present, with the provider and the operation, which depends on whether text was streamed."""
+    streamed = [c for c in ("text_delta_count", "text_deltas") if c in columns]
+    operation = F.when(F.coalesce(*streamed) > 0, "streamText").otherwise("generateText") if streamed else F.lit("generateText")
+    return attributes(**{c: F.col(c) for c in BOUNDED if c in columns}, provider=F.lit("openai"), operation=operation)
+
+
+def span_attributes(columns: list[str]) -> Column:
+    """Bounded fields and identities that are present."""
+    return F.map_concat(bounded_attributes(columns), attributes(**{c: F.col(c) for c in IDENTITY if c in columns}))
+
+
+def stream_labels(columns: list[str], record: Column, promoted: tuple[str, ...] = PROMOTED) -> Column:
+    """Labels of a log stream: promoted bounded fields and the type of record, sorted by name; a field that isn't bounded is refused."""
+    if odd := [p for p in promoted if p not in BOUNDED]:
+        raise ValueError(f"labels must be bounded fields: {odd}")
+    return F.map_from_entries(F.array_sort(F.map_entries(attributes(record_type=record, **{c: F.col(c) for c in promoted if c in columns}))))
+
+
+def log_metadata(columns: list[str], promoted: tuple[str, ...] = PROMOTED) -> Column:
+    """All fields of a log record that are no labels, identities among them."""
+    return F.map_filter(span_attributes(columns), lambda k, v: ~k.isin(*promoted))
+
+
+def guarded(attrs: Column, extra: Column, allowed: tuple[str, ...]) -> Column:
+    """``(attrs, rejected)``: the attributes with those extra ones that are allowed, which go before; and how many aren't. Null maps add nothing."""
+    given = F.coalesce(extra, F.create_map().cast("map<string,string>"))
+    good = F.map_filter(given, lambda k, v: k.isin(*allowed) & (v != ""))
+    own = F.map_filter(attrs, lambda k, v: ~F.map_contains_key(good, k))
+    return F.struct(F.map_concat(own, good).alias("attrs"), F.size(F.map_filter(given, lambda k, v: ~k.isin(*allowed))).alias("rejected"))
+
+
+def sanitised(attrs: Column) -> Column:
+    """Label names with underscores for dots; of names that become one, the first in order of name counts."""
+    pairs = F.array_sort(F.map_entries(attrs))
+    names = F.transform(pairs, lambda e: F.replace(e["key"], F.lit("."), F.lit("_")))
+    first = F.filter(F.transform(pairs, lambda e, i: F.struct(F.get(names, i).alias("key"), e["value"].alias("value"), i.alias("i"))), lambda e: F.array_position(names, e["key"]) == e["i"] + 1)
+    return F.map_from_entries(F.transform(first, lambda e: F.struct(e["key"], e["value"])))

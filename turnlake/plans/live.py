@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnlake.operators import content, enrich, fanout, live, profile, timing, turns
+from turnlake.operators import content, enrich, fanout, live, metrics, profile, reports, timing, turns
 from turnlake.plans.queries import query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
 from turnlake.sources import capture
@@ -210,3 +210,30 @@ def streamed_deltas(spark: SparkSession, d: str) -> DataFrame:
     stream, folder = _stream(spark, t)
     out = jobs.drain(jobs.series_deltas(stream, ["thread_id", "kind"], "seq", "calls", ["calls", "sampled_tokens"], "ts"), folder)
     return out.select("thread_id", "kind", "seq", "reset", "baseline_reset", "delta_calls", "delta_sampled_tokens")
+
+
+@query(CAPTURE + """, v as (select request_id, case when not failed and t % 8 = 0 then 'm1b' else 'm1' end as model, case when failed then 'error' else 'completed' end as status, case when not failed then (size + 10)::varchar end as input_tokens,
+  (t % 100)::double::varchar as limit_used, case when failed then 'used up ' || c end as error_message, (t + 1)::double::varchar as first_token_ms, text as answer from a)
+select request_id, field, value from (unpivot v on model, status, input_tokens, limit_used, error_message, first_token_ms, answer into name field value value)""")
+def turn_report(spark: SparkSession, d: str) -> DataFrame:
+    f = checkpointed(sessions(spark, d))
+    t = timing.complete(turns.assemble(f), timing.timings(f))
+    said = content.messages(f).groupBy("request_id", "instance").agg(F.max_by("body", F.struct("file", "frame_seq")).alias("answer"))
+    fields = ["model", "status", "input_tokens", "limit_used", "error_message", "first_token_ms", "answer"]
+    return reports.unpivot(t.join(said, ["request_id", "instance"], "left"), "request_id", fields)
+
+
+@query(CAPTURE + SHOWN + """, p as (select c, t, 0 as k, m as pos, 'prompt' as record, text from shown union all select c, t, 1, 0, 'tool_output', 'result of ' || back1 from a where back1 is not null
+  union all select c, min(t), 2, 0, 'agent_message', 'go ' || c from a where sub group by c
+  union all select c, t, 3, 0, 'tool_call', '{"cmd":"ls ' || t || '","secret_encrypted":"[encrypted]","task_name":"/root/task' || t || '","model":"m2","reasoning_effort":"low"}' from a union all select c, t, 4, 0, 'message', text from a)
+select 'conv-' || c as thread_id, string_agg(record || ': ' || text, chr(10) order by t, k, pos) as text from p group by c""")
+def session_transcripts(spark: SparkSession, d: str) -> DataFrame:
+    return reports.transcript(items(sessions(spark, d)), "thread_id", ["ts", "request_id", "ordinal"], F.concat_ws(": ", "record", "body"))
+
+
+@query(CAPTURE + """, l as (select request_id, case when not failed and t % 8 = 0 then 'm1b' else 'm1' end as model, kind, failed, c from a)
+select request_id, 'family=' || case when c % 13 = 12 then 'probe' else 'websocket' end || ',model=' || model || ',record_type=turn,request_kind=' || kind || ',status=' || case when failed then 'error' else 'completed' end as labels, 'conv-' || c as thread, true as kept from l""")
+def stream_labels(spark: SparkSession, d: str) -> DataFrame:
+    t = turns.assemble(sessions(spark, d))
+    beside = metrics.log_metadata(t.columns)
+    return t.select("request_id", metrics.stable(metrics.stream_labels(t.columns, F.lit("turn"))).alias("labels"), beside["thread_id"].alias("thread"), (beside["model"].isNull() & beside["operation"].isNotNull()).alias("kept"))

@@ -429,9 +429,8 @@ def thread_rollup(spark: SparkSession, d: str) -> DataFrame:
 @query(ANSWERS + "select request_id, thread_id from a where contains(request_id, '_7_') or regexp_matches(request_id, '7$')")
 def id_lookup(spark: SparkSession, d: str) -> DataFrame:
     lines = wire.render(table(spark, d, "conversations"))
-    hit = wire.decode(lines.where(F.regexp_like("raw", F.lit('"request_id":"ws_(7_[0-9]+|[0-9]+_[0-9]*7)"')))).select("request_id").distinct()
-    f = wire.decode(lines)
-    return turns.assemble(f.join(hit, "request_id", "left_semi")).select("request_id", "thread_id")
+    f = wire.lookup(lines, F.regexp_like("raw", F.lit('"request_id":"ws_(7_[0-9]+|[0-9]+_[0-9]*7)"')))
+    return turns.assemble(f).select("request_id", "thread_id")
 
 
 # Paths of a table of flat documents, from the documents.

@@ -20,13 +20,13 @@ KNOWN = (
 )
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, frame_seq, raw)`` of all ``*.jsonl.gz`` below a path. A truncated last member yields the lines that are whole.
+def read_archives(spark: SparkSession, path: str, names: str = "*.jsonl.gz") -> DataFrame:
+    """``(file, frame_seq, raw)`` of all archives below a path. A truncated last member yields the lines that are whole.
 
     One task reads one gzip file in order, so within a file ``frame_seq`` grows with the position; files order by name.
     """
     lines = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz").option("ignoreCorruptFiles", "true").text(path)
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).option("ignoreCorruptFiles", "true").text(path)
     )
     return lines.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("frame_seq"), F.col("value").alias("raw"))
 
@@ -74,6 +74,17 @@ def decode(lines: DataFrame) -> DataFrame:
     )
 
 
+def lookup(lines: DataFrame, found: Column) -> DataFrame:
+    """Decoded frames of every request that any line for which ``found`` holds belongs to; only these lines are decoded.
+
+    ``found`` is a test of ``raw``. Lines without a request id are left out, found or not.
+    """
+    rid = F.regexp_extract("raw", r'"request_id"\s*:\s*"([^"\\]*)"', 1)
+    keyed = lines.withColumn("_rid", rid).where("_rid <> ''")
+    hits = keyed.where(found).select("_rid").distinct()
+    return decode(keyed.join(hits, "_rid", "left_semi").drop("_rid"))
+
+
 def unknown_events(frames: DataFrame) -> DataFrame:
     """Event types in a capture that nothing here decodes, with their frame counts."""
     known = frames.sparkSession.createDataFrame([(k,) for k in KNOWN], "ev_type string")
