@@ -285,3 +285,17 @@ def test_hash_columns_of_the_queries(spark):
     assert all(len(r["base_sha256"]) == 64 for r in rows)
     none = next(r for r in rows if not r["spans"])
     assert none["base_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_a_table_of_rules_judges_as_the_index_does(spark):
+    rnd = random.Random(11)
+    hosts = [".".join(rnd.choice(["a", "b-spam", "c", "org", "com", "example"]) for _ in range(rnd.randint(1, 4))) for _ in range(300)]
+    rows = [(i if i % 9 else None, rnd.choice([f"http://{h}/{rnd.choice(['x/y', 'x', '', 'y?q'])}", f"HTTP://{h.upper()}", h, None, "://"]), 0) for i, h in enumerate(hosts)]
+    df = spark.createDataFrame(rows, "page_id long, url string, host int")
+    rules = [(f"{h}/{p}", v) for h in ("org", "com", "example.com", "a.b-spam") for p, v in (("", "allow"), ("x", "block"), ("x/y", "allow"))]
+    rules += [("a.org/", "block"), ("org/x/", "allow"), ("c.com/", "block"), ("com/x/", "allow")]  # equally long
+    table = spark.createDataFrame(rules, "rule string, verdict string")
+    want = Counter(map(tuple, urls.filter_urls(df, rules).collect()))
+    assert want == Counter(map(tuple, urls.filter_urls(df, table).collect())) == Counter(map(tuple, urls.filter_urls(df, table, most_bytes=1).collect()))
+    assert {r[3] for r in want} > {None, "com/x"}
+    assert urls.filter_urls(df.where("false"), table, most_bytes=1).count() == 0

@@ -8,6 +8,7 @@ only when the stored string equals the probed one, so a digest collision cannot
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -17,6 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from turnlake.llm.common import materialize
 
 #: The rules of the registered query, (text, verdict); the text is a host and the start of a path.
 RULES = (
@@ -28,8 +32,8 @@ RULES = (
 )
 #: Words that block a host when one of its labels' hyphen-separated parts equals them and no rule fits.
 HOST_WORDS = ("adult", "casino", "escort", "gambling", "phishing", "pills", "porn", "sex", "spam", "viagra", "warez", "xxx")
-#: Rule files beyond this size are refused: they are sent whole to every executor.
-MAX_INDEX_BYTES = 512 << 20
+#: Rules of more bytes than this stay a table that the probes are joined with: the index is sent whole to every executor.
+MAX_INDEX_BYTES = 64 << 20
 
 _SEP = "\x00"
 _SUFFIX, _WORD = "r", "w"
@@ -110,32 +114,31 @@ def publish_rules(
         entries[f"{_SUFFIX}{host}{_SEP}{slash}{path}"] = verdict
     entries |= {f"{_WORD}{w}": "block" for w in host_words}
     name = f"rules-{uuid.uuid4().hex}"
-    paths = DigestArray.write(entries, tempfile.mkdtemp(prefix="turnlake-rules-"), name)
-    if (size := sum(map(os.path.getsize, paths))) > MAX_INDEX_BYTES:
-        raise ValueError(f"the rule index has {size} bytes; at most {MAX_INDEX_BYTES} are sent to executors")
-    for p in paths:
+    for p in DigestArray.write(entries, tempfile.mkdtemp(prefix="turnlake-rules-"), name):
         spark.sparkContext.addFile(p)
     return name, tuple(sorted(lengths, reverse=True))
 
 
+def _probes(host: str, path: str, lengths: tuple[int, ...]) -> Iterator[tuple[str, str]]:
+    """What a URL is looked up by, as (host, start of the path): every domain it is in, with every length of path that a rule has."""
+    for s in [0, *(k + 1 for k, c in enumerate(host) if c == ".")] if host else []:
+        for n in lengths:
+            if n <= len(path):
+                yield host[s:], path[:n]
+
+
 def _judge(urls: list[str | None], index: DigestArray, lengths: tuple[int, ...]) -> tuple[list, list, list, list]:
     hosts, paths = map(list, zip(*map(split_url, urls), strict=True)) if urls else ([], [])
     probes, owner, shown = [], [], []
     words, word_owner = [], []
     for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
-        if not host:
-            continue
-        starts = [0, *(k + 1 for k, c in enumerate(host) if c == ".")]
-        for s in starts:
-            for n in lengths:
-                if n <= len(path):
-                    probes.append(f"{_SUFFIX}{host[s:]}{_SEP}{path[:n]}")
-                    shown.append(host[s:] + path[:n])
-                    owner.append(i)
-        for label in host.split("."):
-            for w in label.split("-"):
-                words.append(_WORD + w)
-                word_owner.append(i)
+        for domain, start in _probes(host, path, lengths):
+            probes.append(f"{_SUFFIX}{domain}{_SEP}{start}")
+            shown.append(domain + start)
+            owner.append(i)
+        for w in re.split("[.-]", host) if host else []:
+            words.append(_WORD + w)
+            word_owner.append(i)
     rule: list[str | None] = [None] * len(urls)
     verdict: list[str] = ["allow"] * len(urls)
     for i, v in zip(word_owner, index.get(words), strict=True):
@@ -147,23 +150,54 @@ def _judge(urls: list[str | None], index: DigestArray, lengths: tuple[int, ...])
     return hosts, paths, rule, verdict
 
 
+def _joined(source: DataFrame, rules: DataFrame, host_words: Iterable[str]) -> DataFrame:
+    """The verdicts by a join of every URL's probes with a table of rules: for lists that no executor should hold."""
+    rules = rules.select(F.substring_index("rule", "/", 1).alias("domain"), F.expr("substring(rule, length(substring_index(rule, '/', 1)) + 1)").alias("start"), "rule", "verdict")
+    rules = materialize(rules.groupBy("domain", "start").agg(F.max("rule").alias("rule"), F.max("verdict").alias("verdict")), "rules")
+    lengths = tuple(r[0] for r in rules.select(F.length("start")).distinct().collect())  # no more than the longest rule is long
+    rows = materialize(source.withColumn("at", F.monotonically_increasing_id()), "urls")
+    blocked = frozenset(host_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [split_url(u) for u in batch.column(1).to_pylist()]
+            probes = [[{"domain": d, "start": p} for d, p in _probes(h, path, lengths)] for h, path in split]
+            own = ["block" if blocked.intersection(re.split("[.-]", h)) else "allow" for h, _ in split]
+            columns = [batch.column(2), batch.column(0), *[pa.array([x[i] for x in split], pa.string()) for i in range(2)], pa.array(own, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(probes, pa.list_(pa.struct([("domain", pa.string()), ("start", pa.string())])))], ["at", "id", "host", "path", "own", "probes"])
+
+    kind = source.schema["id"].dataType.simpleString()
+    split = materialize(rows.mapInArrow(run, f"at long, id {kind}, host string, path string, own string, probes array<struct<domain: string, start: string>>"), "probes")
+    found = split.select("at", F.explode("probes").alias("p")).select("at", "p.*").join(rules, ["domain", "start"])
+    best = found.groupBy("at").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), F.length("domain"))).alias("best"))
+    return split.join(best, "at", "left").select("id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", "own").alias("verdict"))
+
+
 def filter_urls(
     pages: DataFrame,
-    rules: Iterable[tuple[str, str]] = RULES,
+    rules: Iterable[tuple[str, str]] | DataFrame = RULES,
     host_words: Iterable[str] = HOST_WORDS,
     id_col: str = "page_id",
     url_col: str = "url",
+    most_bytes: int = MAX_INDEX_BYTES,
 ) -> DataFrame:
     """Judge every URL: ``(id, host, path, rule, verdict)``, one row per input row.
 
-    The longest rule that fits wins; a rule fits its host and all subdomains when the path starts with the rule's. Without a fitting
-    rule, a host with a blocked word in one of its labels is blocked and every other URL is allowed. Null URLs and URLs without ``://``
+    ``rules`` are pairs of a rule and its verdict, or a table of them (``rule, verdict``); a table of more than ``most_bytes`` is joined and not
+    indexed, with the same result. The longest rule that fits wins, of equals that of the longer domain; a rule fits its host and all
+    subdomains when the path starts with the rule's. Of a rule's several verdicts the last given, or the greater of a table's, counts. Without a
+    fitting rule, a host with a blocked word in one of its labels is blocked and every other URL is allowed. Null URLs and URLs without ``://``
     have an empty host and path, no rule, and are allowed. Repeated rows and null ids are kept as they are; other columns are ignored,
     whatever their names. An empty table gives an empty result.
     """
     spark = pages.sparkSession
-    name, lengths = publish_rules(spark, rules, host_words)
     source = pages.select(pages[id_col].alias("id"), pages[url_col].cast("string").alias("url"))
+    if isinstance(rules, DataFrame):
+        rules = rules.where("rule is not null and verdict is not null")
+        if (rules.agg(F.sum(F.octet_length("rule") + 32)).first()[0] or 0) > most_bytes:
+            return _joined(source, rules, host_words).withColumnRenamed("id", id_col)
+        rules = [(r["rule"], r["verdict"]) for r in rules.orderBy("rule", "verdict").collect()]  # at most most_bytes
+    name, lengths = publish_rules(spark, rules, host_words)
     kind = source.schema["id"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
