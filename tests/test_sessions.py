@@ -207,3 +207,19 @@ def test_lookup_decodes_whole_requests(spark):
     lines = [("f", 0, '{"request_id":"a","payload":{"text":"{\\"type\\":\\"response.create\\"}"}}'), ("f", 1, '{"request_id":"b","payload":{"text":"needle"}}'), ("f", 2, '{"request_id":"a","payload":{"text":"needle"}}'), ("f", 3, '{"payload":{"text":"needle"}}'), ("f", 4, "{broken needle")]
     got = wire.lookup(spark.createDataFrame(lines, "file string, frame_seq long, raw string"), F.col("raw").contains("needle"))
     assert sorted(r["frame_seq"] for r in got.collect()) == [0, 1, 2]
+
+
+def test_responses_leave_the_stream_whole(spark, tmp_path):
+    line = lambda rid, s, e: json.dumps({"request_id": rid, "timestamp": f"2024-01-01T{s // 3600:02d}:{s % 3600 // 60:02d}:{s % 60:02d}Z", "payload": {"text": json.dumps(e)}})
+    batches = [
+        [("f1", 0, line("a", 0, create())), ("f1", 1, line("b", 1, create())), ("f1", 2, line("", 2, {"type": "error"}))],
+        [("f2", 0, line("a", 60, DONE)), ("f2", 1, line("a", 61, create()))],  # the same request again
+        [("f3", 0, line("z", 3 * 3600, create()))], [("f4", 0, line("z", 3 * 3600 + 1, DONE))],
+    ]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "file string, frame_seq long, raw string")
+        df.coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = jobs.drain(jobs.closed(wire.decode(stream)), str(tmp_path), each=lambda b: turns.assemble(wire.decode(b)))
+    rows = sorted((r["request_id"], r["first_seq"]["file"], r["frames"], r["status"]) for r in got.collect())
+    assert rows == [("a", "f1", 2, "completed"), ("a", "f2", 1, "incomplete"), ("b", "f1", 1, "incomplete"), ("z", "f3", 2, "completed")]

@@ -237,3 +237,11 @@ def stream_labels(spark: SparkSession, d: str) -> DataFrame:
     t = turns.assemble(sessions(spark, d))
     beside = metrics.log_metadata(t.columns)
     return t.select("request_id", metrics.stable(metrics.stream_labels(t.columns, F.lit("turn"))).alias("labels"), beside["thread_id"].alias("thread"), (beside["model"].isNull() & beside["operation"].isNotNull()).alias("kept"))
+
+
+@query(CAPTURE + """select request_id, thread_id, case when failed then 'error' else 'completed' end as status, 11 + (t % 3 = 0)::int as frames, kind as request_kind, 'turn_' || c || '_' || (t // 2) as turn_id,
+  case when not failed then size + 10 end as input_tokens, case when not failed and t % 8 = 0 then 'm1b' else 'm1' end as model, (t % 100)::double as limit_used, 'e' || c as models_etag from a""".replace("11 + (t % 3 = 0)::int", "(11 + (t % 3 = 0)::int)::bigint"))
+def streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
+    stream, folder = _stream(spark, capture.capture(table(spark, d, "conversations")))
+    done = jobs.drain(jobs.closed(wire.decode(stream)), folder, each=lambda batch: turns.assemble(wire.decode(batch.select("file", "frame_seq", "raw"))))
+    return done.select("request_id", "thread_id", "status", "frames", "request_kind", "turn_id", "input_tokens", "model", "limit_used", "models_etag")

@@ -20,6 +20,13 @@ KNOWN = (
 )
 
 
+#: The columns that decoding adds.
+FRAME = frozenset(
+    "decode_ok request_id account_id direction kind method transport url ts_raw ts headers frame_type close_code payload_text ev_type is_delta is_transport"
+    " family event".split()
+)
+
+
 def read_archives(spark: SparkSession, path: str, names: str = "*.jsonl.gz") -> DataFrame:
     """``(file, frame_seq, raw)`` of all archives below a path. A truncated last member yields the lines that are whole.
 
@@ -44,7 +51,8 @@ def in_window(name: Column, begin: Column, end: Column, slop: str = "1 hour") ->
 
 
 def decode(lines: DataFrame) -> DataFrame:
-    """Frames from raw lines. Lines that aren't JSON objects stay, with ``decode_ok`` false and the rest null.
+    """Frames from raw lines. Lines that aren't JSON objects stay, with ``decode_ok`` false and the rest null. Columns of the lines stay, but for
+    those that a frame has itself.
 
     Streaming deltas are recognised by their type and keep no event: most frames are deltas.
     """
@@ -52,7 +60,7 @@ def decode(lines: DataFrame) -> DataFrame:
     df = lines.withColumn("_j", j)
     ok = F.col("_j").isNotNull() & F.col("_j._bad").isNull()
     df = df.select(
-        *lines.columns,
+        *[c for c in lines.columns if c not in FRAME],
         F.coalesce(ok, F.lit(False)).alias("decode_ok"),
         *[F.col(f"_j.{c}").alias(c) for c in ("request_id", "account_id", "direction", "kind", "method", "transport", "url")],
         F.col("_j.timestamp").alias("ts_raw"),
