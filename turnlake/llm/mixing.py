@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnlake.llm.common import materialize, word_count
+from turnlake.llm.common import discard, materialize, word_count
 
 #: The golden ratio's fraction of the unit interval, which is the 64-bit integers: multiples wrap round without losing a bit.
 GOLDEN = 0x9E3779B97F4A7C15
@@ -181,7 +181,8 @@ def mix(
     counts = schedule.groupBy("src").count()
     words = F.least(F.coalesce(F.col("count"), F.lit(0)) * block_words, (F.col("size") * float(cap)).cast("long"))
     known = cut.join(counts, "src", "left").select("src", F.col("source").alias("name"), F.col("size").alias("source_size"), "target", words.alias("words"), F.greatest(F.lit(1), F.expr(f"n div {_BUCKET_DOCS}")).alias("buckets"))
-    placed = sized.join(materialize(known, "known"), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    targeted = materialize(known, "known")
+    placed = sized.join(targeted, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     placed = placed.withColumn("bucket", F.pmod(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.col("buckets")))
     sums = placed.groupBy("src", "bucket").agg(F.sum("size").alias("n"))
     w = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -189,6 +190,8 @@ def mix(
     inside = Window.partitionBy("src", "bucket").orderBy("key", "id", "size", "tie", *[f"carry_{c}" for c in carry]).rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.join(before, ["src", "bucket"]).withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = materialize(placed.drop("key", "tie", "bucket", "buckets", "before"), "placed")
+    for done in (sized, aimed, targeted):
+        discard(done)
     runs = placed.where("size > 0").select(
         "src", "start", "size", "source_size", "words", F.explode(F.sequence(F.lit(0), F.lit(math.ceil(cap) - 1))).alias("epoch")
     )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from turnlake.llm.arrow import text_slices, texts
-from turnlake.llm.common import materialize
+from turnlake.llm.common import discard, materialize
 from turnlake.llm.components import connected_components
 
 SEED = 42
@@ -188,6 +188,7 @@ def near_duplicates(
     member = _members(classes, radius)
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     mapping = materialize(member.join(least, "component").select("fp", "component_id"), "members")
+    discard(classes)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(mapping, "fp").select(F.col("id").alias(id_col), hexed.alias("fingerprint"), "component_id")
 

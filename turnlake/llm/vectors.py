@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from turnlake.llm.common import materialize
+from turnlake.llm.common import discard, materialize
 from turnlake.llm.components import connected_components
 
 #: Vectors that the codebooks and the stopping bound are fitted on: a fixed-size sample by hash; every vector is indexed.
@@ -225,7 +225,7 @@ def near_duplicates(
     hashes = {f"h{i}": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(i), "label", "v")) for i in range(2)}  # together 128 bits
     prepared = materialize(prepared.withColumns(hashes), "vectors")
     classes = prepared.where("v is not null").groupBy("label", "dim", "v").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first("h0").alias("h0"), F.first("h1").alias("h1"))
-    classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    known = classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
     sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("size"))
     level = F.greatest(F.ceil(F.log2(F.col("size") / CELL_ROWS) / 2), F.lit(0)).cast("int")  # 4 ** level cells
     classes = classes.join(sizes.select("label", "dim", level.alias("level")), ["label", "dim"])
@@ -235,7 +235,7 @@ def near_duplicates(
         if dim > 1 and lv > 0:
             grids[int(dim), int(lv)] = fit(_points(part["v"], int(dim)), 2 ** int(lv), threshold)
 
-    visits = materialize(_visits(classes.select("cls", "n", "label", "dim", "level", "v"), grids), "visits")
+    visited = visits = materialize(_visits(classes.select("cls", "n", "label", "dim", "level", "v"), grids), "visits")
     # the class as a stored row (role 0) and a query (role 1) of its own cell, and as a query (role 2) of the cells it visits
     at = lambda cell, role: F.struct(cell.alias("cell"), F.lit(role).alias("role"))
     places = F.concat(F.array(at(F.col("own"), 0), at(F.col("own"), 1)), F.transform("cells", lambda c: at(c, 2)))
@@ -251,16 +251,20 @@ def near_duplicates(
     visits = visits.withColumn("q_block", F.explode(F.when(F.col("role") == 0, every("q")).otherwise(pick("q")))).drop("s", "q")
     found = visits.groupBy(*keys, "s_block", "q_block").applyInPandas(_verify(threshold), "a long, b long, gain long")
     found = materialize(found, "found")
+    discard(visited)
+    discard(hot)
     parts = connected_components(found.where("a <> b"))
     gains = found.where("a = b").groupBy(F.col("a").alias("cls")).agg(F.sum("gain").alias("gain"))
     names = classes.select("cls", "h0", "h1", "n", "least")
     member = names.join(parts.withColumnRenamed("node", "cls"), "cls", "left").join(gains, "cls", "left")
     member = materialize(member.withColumn("component", F.coalesce("component", "cls")), "members")
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    member = materialize(member.join(least, "component").select("h0", "h1", "n", "gain", "component_id"), "groups")
+    groups = materialize(member.join(least, "component").select("h0", "h1", "n", "gain", "component_id"), "groups")
+    for done in (known, found, member):
+        discard(done)
     rows = prepared.select("id", "h0", "h1")
     alone = rows.where("h0 is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    linked = rows.join(member, ["h0", "h1"]).select("id", (F.col("n") - 1 + F.coalesce("gain", F.lit(0))).alias("n_links"), "component_id")
+    linked = rows.join(groups, ["h0", "h1"]).select("id", (F.col("n") - 1 + F.coalesce("gain", F.lit(0))).alias("n_links"), "component_id")
     return linked.union(alone).select(
         F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )
