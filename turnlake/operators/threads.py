@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from turnlake.sources.tables import checkpointed
+from turnlake.sources.tables import checkpointed, discard
 
 
 def climb(threads: DataFrame, node: str, parent: str, mark: Column | None = None) -> DataFrame:
@@ -32,7 +32,8 @@ def climb(threads: DataFrame, node: str, parent: str, mark: Column | None = None
         ahead = state.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("further"))
         new = state.join(gained, "node", "left").join(ahead, "up")
         new = new.select("node", F.col("next").alias("up"), (F.col("steps") + F.col("further")).alias("steps"), (F.col("below") + F.coalesce("more", F.lit(0))).alias("below"), (F.col("marked") | F.coalesce("any", F.lit(False))).alias("marked"))
-        state, reach = checkpointed(new), reach * 2
+        last, state, reach = state, checkpointed(new), reach * 2
+        discard(last)
     ends = F.col("steps") < most
     return state.select("node", F.when(ends, F.col("up")).alias("root"), F.when(ends, F.col("steps")).cast("int").alias("depth"), (F.col("below") - 1).alias("descendants"), "marked")
 

@@ -22,6 +22,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`checkpointed`, once nothing reads it any more."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for parent in {os.path.dirname(f) for f in df.inputFiles()}:
+        if "turnlake-cut-" in parent:
+            path = jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def since(rows: DataFrame, column: str, last: int) -> DataFrame:
     """Rows beyond a high-water mark; the predicate reaches the scan."""
     return rows.where(f"{column} > {int(last)}")
