@@ -115,16 +115,17 @@ def fit_text(fields: dict[str, Column], text: str, most: int) -> Column:
     to be dropped and counted, where not even an empty text fits. A null text is written as it is.
     """
     body = lambda t, *more: F.to_json(F.struct(*[(t if k == text else c).alias(k) for k, c in fields.items()], *more))
-    whole, size = body(fields[text]), F.octet_length(fields[text])
-    hole = body(F.lit(""), size.alias("full_bytes"))
+    once = lambda c, f: F.get(F.transform(F.array(c), f), F.lit(0))  # noqa: E731  (an expression that is used often and computed once)
     escaped = F.regexp_replace(F.to_json(F.array(fields[text])), r'^\["|"\]$', "")
-    room = F.lit(most) - F.octet_length(hole)
-    raw = F.substring(F.encode(escaped, "UTF-8"), F.lit(1), F.greatest(room, F.lit(0)))
-    cut = X.whole_characters(raw)
-    cut = F.regexp_replace(cut, r"(?<!\\)((?:\\\\)*)\\(?:u[0-9A-Fa-f]{0,3})?$", "$1")
-    at = F.locate(f'"{text}":""', hole) + len(text) + 3
-    shown = F.concat(F.substring(hole, F.lit(1), at), cut, F.substring(hole, at + 1, F.length(hole)))
-    return F.when(F.octet_length(whole) <= most, whole).when(room >= 0, shown)
+
+    def cut(hole: Column) -> Column:
+        at = F.locate(f'"{text}":""', hole) + len(text) + 3
+        raw = F.substring(F.encode(escaped, "UTF-8"), F.lit(1), F.greatest(F.lit(most) - F.octet_length(hole), F.lit(0)))
+        start = F.regexp_replace(once(raw, X.whole_characters), r"(?<!\\)((?:\\\\)*)\\(?:u[0-9A-Fa-f]{0,3})?$", "$1")
+        return F.when(F.octet_length(hole) <= most, F.concat(F.substring(hole, F.lit(1), at), start, F.substring(hole, at + 1, F.length(hole))))
+
+    empty = body(F.lit(""), F.octet_length(fields[text]).alias("full_bytes"))
+    return once(body(fields[text]), lambda whole: F.when(F.octet_length(whole) <= most, whole).otherwise(once(empty, cut)))
 
 
 def log_lines(turns: DataFrame, items: DataFrame, instructions: DataFrame, types: tuple[str, ...] | None = None, most: int = MAX_LINE) -> tuple[DataFrame, DataFrame]:
