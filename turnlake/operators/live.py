@@ -175,3 +175,27 @@ def digest_blocks(turns: DataFrame, items: DataFrame, most: dict[str, int] | Non
     lines = F.concat(F.coalesce(F.transform("x", lambda x: x["line"]), F.array().cast("array<string>")), F.filter(F.array(error), lambda e: e.isNotNull()))
     head = F.concat_ws("  ", F.concat(F.lit("--- turn "), c("n").cast("string")), F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss"), X.present(c("status")))
     return df.where(F.size(lines) > 0).select("thread_key", "n", *KEY, F.array_join(F.concat(F.array(head), lines), "\n\n").alias("block"))
+
+
+def health_rows(frames: DataFrame, turns: DataFrame, attached: DataFrame | None = None, findings: DataFrame | None = None, idle: str = "30 minutes") -> DataFrame:
+    """``name, value``: what a pipeline says of itself: lines, those that don't decode, streaming deltas, the newest frame's time; responses that ended,
+    failed, are open or were given up after being idle; threads and series; hits and misses of enrichment; and drift findings by severity, zeros too.
+    """
+    long = lambda c: c.cast("long")
+    read = frames.agg(F.count("*").alias("lines"), F.count_if(~F.col("decode_ok")).alias("undecodable"), F.count_if("is_delta").alias("deltas"), F.unix_seconds(F.max("ts")).alias("newest"))
+    now = turns.agg(F.max("last_ts").alias("_now"))
+    open_, old = F.col("status") == "incomplete", F.col("last_ts") < F.col("_now") - F.expr(f"interval {idle}")
+    made = turns.crossJoin(F.broadcast(now)).agg(  # one row
+        F.count_if(~open_).alias("emitted"), F.count_if(F.col("status") == "error").alias("errors"), F.count_if(open_ & ~old).alias("open"), F.count_if(open_ & old).alias("evicted"),
+        F.countDistinct("thread_key").alias("threads"), F.countDistinct(F.struct("thread_key", F.coalesce("request_kind", F.lit("")))).alias("series"),
+    )
+    parts = [read, made]
+    if attached is not None:
+        parts.append(attached.agg(F.count_if(F.col("outcome") == "hit").alias("enriched"), F.count_if(F.col("outcome") == "miss").alias("not_enriched")))
+    if findings is not None:
+        parts.append(findings.agg(*[F.count_if(F.col("severity") == s).alias(f"drift_{s}") for s in ("breaking", "new", "info")]))
+    rows = [p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), long(F.col(c)).alias("value")) for c in p.columns])).alias("x")).select("x.*") for p in parts]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

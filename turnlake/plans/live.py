@@ -245,3 +245,16 @@ def streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
     stream, folder = _stream(spark, capture.capture(table(spark, d, "conversations")))
     done = jobs.drain(jobs.closed(wire.decode(stream)), folder, each=lambda batch: turns.assemble(wire.decode(batch.select("file", "frame_seq", "raw"))))
     return done.select("request_id", "thread_id", "status", "frames", "request_kind", "turn_id", "input_tokens", "model", "limit_used", "models_etag")
+
+
+@query(CAPTURE + """, k as (select count(*) as n, sum(11 + (t % 3 = 0)::int) as lines, count(*) filter (failed) as failed, count(distinct thread_id) as threads, count(distinct thread_id || kind) as series, max(ms + 1100) // 1000 as newest,
+  count(*) filter ((c + t) % 11 > 0) as hits, count(*) filter ((c + t) % 11 = 0) as misses from a)
+select 'lines' as name, lines::bigint as value from k union all select 'undecodable', 0 from k union all select 'deltas', n from k union all select 'newest', newest::bigint from k union all select 'emitted', n from k union all select 'errors', failed from k
+union all select 'open', 0 from k union all select 'evicted', 0 from k union all select 'threads', threads from k union all select 'series', series from k union all select 'enriched', hits from k union all select 'not_enriched', misses from k
+union all select 'drift_breaking', 0 from k union all select 'drift_new', 0 from k union all select 'drift_info', case when failed > 0 then 1 else 0 end from k""")
+def health_rows(spark: SparkSession, d: str) -> DataFrame:
+    f = checkpointed(sessions(spark, d))
+    t = checkpointed(turns.assemble(f))
+    logged = enrich.attach_log(t, capture.request_logs(table(spark, d, "conversations")))
+    drift = profile.capture_drift(profile.capture_signature(f), profile.capture_signature(f.where("not ev_type <=> 'error'"))).where("kind <> 'event.volume'")
+    return live.health_rows(f, t, logged, drift)
