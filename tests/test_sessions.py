@@ -223,3 +223,17 @@ def test_responses_leave_the_stream_whole(spark, tmp_path):
     got = jobs.drain(jobs.closed(wire.decode(stream)), str(tmp_path), each=lambda b: turns.assemble(wire.decode(b)))
     rows = sorted((r["request_id"], r["first_seq"]["file"], r["frames"], r["status"]) for r in got.collect())
     assert rows == [("a", "f1", 2, "completed"), ("a", "f2", 1, "incomplete"), ("b", "f1", 1, "incomplete"), ("z", "f3", 2, "completed")]
+
+
+def test_transport_frames_tell_why_a_connection_ended(spark):
+    from turnlake.operators import registry
+
+    close = {"extra": {"frame_type": "close", "close_code": 1012}}
+    f = frames(spark, "going away", "second", **close).unionByName(frames(spark, create(), request="ws_2"))
+    r = {x["request_id"]: x for x in turns.assemble(f).collect()}
+    assert (r["ws_1"]["transport_event"], r["ws_1"]["close_code"], r["ws_1"]["frame_errors"], r["ws_2"]["transport_event"]) == ("going away", 1012, 0, None)
+    loose = turns.assemble(turns.loose(frames(spark, "bye", request="", **close)).withColumn("request_id", F.lit("frame-0")))
+    assert loose.first()["transport_event"] == "bye"
+    only = [m for m in registry.METRICS if m.name == "transport_events"]
+    points = registry.points(turns.assemble(f), "last_ts", ["first_seq"], only).collect()
+    assert [(p["metric"], p["attrs"], p["value"]) for p in points] == [("transport_events", {"close_code": "1012"}, 1.0)]
