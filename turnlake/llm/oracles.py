@@ -85,4 +85,15 @@ p as (select d.doc_id, d.size, y.total, y.target, y.words,
 select doc_id, size, total as source_size, target, (greatest(0, least(start + size, words) - start) + greatest(0, least(total + start + size, words) - total - start))::bigint as taken from p
 """
 
-ORACLES = {"op5_quality_rules": QUALITY, "op6_embedding_dedup": VECTORS, "op7_url_filter": URLS, "op8_source_mix": MIX}
+NEGATIVES = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding::double[], lambda x: floor(256 * x)) as e
+    from embeddings where label is not null and embedding is not null and len(list_filter(embedding::double[], lambda x: x is null or not isfinite(x))) = 0),
+k as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, list_dot_product(a.e, b.e)::bigint as s from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where a.vec_id % 50 = 0),
+p as (select a, b, s from k where same qualify row_number() over (partition by a order by s desc, b) <= 5)
+select p.a as anchor_id, p.b as positive_id, (row_number() over (partition by p.a, p.b order by k.s desc, k.b))::integer as rank, k.b as negative_id, p.s as positive_score, k.s as negative_score
+from p join k on p.a = k.a and not k.same where 50 * p.s <= 100 * k.s and 100 * k.s <= 95 * p.s
+qualify row_number() over (partition by p.a, p.b order by k.s desc, k.b) <= 3
+"""
+
+ORACLES = {"op5_quality_rules": QUALITY, "op6_embedding_dedup": VECTORS, "op7_url_filter": URLS, "op8_source_mix": MIX, "op13_hard_negatives": NEGATIVES}
