@@ -155,7 +155,8 @@ def _grid(stored: DataFrame, asked: DataFrame, keys: list[str], extra: dict[str,
     left = stored.join(sizes, keys).select(*columns(stored), F.lit(0).alias("role"), pick("row_blocks").alias("r"), every("anchor_blocks").alias("a"))
     right = asked.join(sizes, keys).withColumn("r", every("row_blocks"))
     right = right.select(*columns(asked), F.lit(1).alias("role"), "r", pick("anchor_blocks").alias("a"))
-    return left.union(right)
+    parts = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes but much work: partitions aren't to be merged
+    return left.union(right).repartition(parts, *keys, "r", "a")
 
 
 def _first(df: DataFrame, keys: list[str], k: int) -> DataFrame:

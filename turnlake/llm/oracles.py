@@ -96,4 +96,21 @@ from p join k on p.a = k.a and not k.same where 50 * p.s <= 100 * k.s and 100 *
 qualify row_number() over (partition by p.a, p.b order by k.s desc, k.b) <= 3
 """
 
-ORACLES = {"op5_quality_rules": QUALITY, "op6_embedding_dedup": VECTORS, "op7_url_filter": URLS, "op8_source_mix": MIX, "op13_hard_negatives": NEGATIVES}
+PHRASES = f"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}') as text from documents),
+p as (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from d),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+o as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase from (select lang, w, unnest(range(1, len(w) + 1)) as i from w), range(1, 4) t(k) where i + k - 1 <= len(w)),
+f as (select lang, k, phrase, count(*)::bigint as n from o group by all having count(*) >= 10),
+t as (select lang, count(*)::bigint as n from o where k = 1 group by lang),
+c as (select f.*, j, array_to_string(string_split(phrase, ' ')[:j], ' ') as x, array_to_string(string_split(phrase, ' ')[j + 1:], ' ') as y from f, range(1, 3) s(j) where j < k),
+s as (select c.lang, c.k, c.phrase, c.n as a, l.n as l, r.n as r, (1000000::hugeint * c.n * c.n // (l.n::hugeint * r.n))::bigint as score from c
+    join f l on l.lang = c.lang and l.phrase = c.x join f r on r.lang = c.lang and r.phrase = c.y
+    qualify row_number() over (partition by c.lang, c.phrase order by score, j) = 1),
+b as (select lang, array_to_string(string_split(phrase, ' ')[i:i + 1], ' ') as phrase, max(n) as n from f, range(1, 3) t(i) where k = 3 group by all),
+m as (select s.* from s left join b using (lang, phrase) where b.n is null or 100 * b.n < 50 * s.a)
+select m.lang, row_number() over (partition by m.lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, t.n, score from m join t using (lang)
+qualify rank <= 2000
+"""
+
+ORACLES = {"op5_quality_rules": QUALITY, "op6_embedding_dedup": VECTORS, "op7_url_filter": URLS, "op8_source_mix": MIX, "op11_phrases": PHRASES, "op13_hard_negatives": NEGATIVES}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnlake.llm import bpe, html, lm, mixing, negatives, oracles, pii, quality, rules, simhash, urls, vectors, wordbpe
+from turnlake.llm import bpe, html, lm, mixing, negatives, oracles, phrases, pii, quality, rules, simhash, urls, vectors, wordbpe
 from turnlake.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = wordbpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decoded=True)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -76,7 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_classifier, op2_html_text, op3_byte_bpe, op4_lm_scores, op5_quality_rules,
         op6_embedding_dedup, op7_url_filter, op8_source_mix, op9_simhash, op10_personal_data,
-        op12_word_bpe, op13_hard_negatives,
+        op11_phrases, op12_word_bpe, op13_hard_negatives,
     )
     return {f.__name__: f for f in found}
 
