@@ -104,35 +104,38 @@ class DigestArray:
 
 def publish_rules(
     spark: SparkSession, rules: Iterable[tuple[str, str]] = RULES, host_words: Iterable[str] = HOST_WORDS
-) -> tuple[str, tuple[int, ...]]:
-    """Write the digest array, hand its files to all executors, and return its name and the distinct lengths of rule paths."""
+) -> tuple[str, tuple[int, ...], int]:
+    """Write the digest array, hand its files to all executors, and return its name, the distinct lengths of rule paths and the longest rule host's."""
     entries: dict[str, str] = {}
-    lengths = set()
+    lengths, longest = set(), 0
     for text, verdict in rules:
         host, slash, path = text.partition("/")
         lengths.add(len(slash + path))
+        longest = max(longest, len(host))
         entries[f"{_SUFFIX}{host}{_SEP}{slash}{path}"] = verdict
     entries |= {f"{_WORD}{w}": "block" for w in host_words}
     name = f"rules-{uuid.uuid4().hex}"
     for p in DigestArray.write(entries, tempfile.mkdtemp(prefix="turnlake-rules-"), name):
         spark.sparkContext.addFile(p)
-    return name, tuple(sorted(lengths, reverse=True))
+    return name, tuple(sorted(lengths, reverse=True)), longest
 
 
-def _probes(host: str, path: str, lengths: tuple[int, ...]) -> Iterator[tuple[str, str]]:
-    """What a URL is looked up by, as (host, start of the path): every domain it is in, with every length of path that a rule has."""
-    for s in [0, *(k + 1 for k, c in enumerate(host) if c == ".")] if host else []:
+def _probes(host: str, path: str, lengths: tuple[int, ...], longest: int) -> Iterator[tuple[str, str]]:
+    """What a URL is looked up by, as (host, start of the path): every domain it is in that no rule's host is too short for, with every length
+    of path that a rule has. So a host of any length has no more probes than the longest rule host has places."""
+    least = max(0, len(host) - longest)
+    for s in [*([0] if host and not least else []), *(k for k in range(max(least, 1), len(host) + 1) if host[k - 1] == ".")]:
         for n in lengths:
             if n <= len(path):
                 yield host[s:], path[:n]
 
 
-def _judge(urls: list[str | None], index: DigestArray, lengths: tuple[int, ...]) -> tuple[list, list, list, list]:
+def _judge(urls: list[str | None], index: DigestArray, lengths: tuple[int, ...], longest: int) -> tuple[list, list, list, list]:
     hosts, paths = map(list, zip(*map(split_url, urls), strict=True)) if urls else ([], [])
     probes, owner, shown = [], [], []
     words, word_owner = [], []
     for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
-        for domain, start in _probes(host, path, lengths):
+        for domain, start in _probes(host, path, lengths, longest):
             probes.append(f"{_SUFFIX}{domain}{_SEP}{start}")
             shown.append(domain + start)
             owner.append(i)
@@ -155,13 +158,14 @@ def _joined(source: DataFrame, rules: DataFrame, host_words: Iterable[str]) -> D
     rules = rules.select(F.substring_index("rule", "/", 1).alias("domain"), F.expr("substring(rule, length(substring_index(rule, '/', 1)) + 1)").alias("start"), "rule", "verdict")
     rules = materialize(rules.groupBy("domain", "start").agg(F.max("rule").alias("rule"), F.max("verdict").alias("verdict")), "rules")
     lengths = tuple(r[0] for r in rules.select(F.length("start")).distinct().collect())  # no more than the longest rule is long
+    longest = rules.agg(F.max(F.length("domain"))).first()[0] or 0
     rows = materialize(source.withColumn("at", F.monotonically_increasing_id()), "urls")
     blocked = frozenset(host_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             split = [split_url(u) for u in batch.column(1).to_pylist()]
-            probes = [[{"domain": d, "start": p} for d, p in _probes(h, path, lengths)] for h, path in split]
+            probes = [[{"domain": d, "start": p} for d, p in _probes(h, path, lengths, longest)] for h, path in split]
             own = ["block" if blocked.intersection(re.split("[.-]", h)) else "allow" for h, _ in split]
             columns = [batch.column(2), batch.column(0), *[pa.array([x[i] for x in split], pa.string()) for i in range(2)], pa.array(own, pa.string())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(probes, pa.list_(pa.struct([("domain", pa.string()), ("start", pa.string())])))], ["at", "id", "host", "path", "own", "probes"])
@@ -197,13 +201,13 @@ def filter_urls(
         if (rules.agg(F.sum(F.octet_length("rule") + 32)).first()[0] or 0) > most_bytes:
             return _joined(source, rules, host_words).withColumnRenamed("id", id_col)
         rules = [(r["rule"], r["verdict"]) for r in rules.orderBy("rule", "verdict").collect()]  # at most most_bytes
-    name, lengths = publish_rules(spark, rules, host_words)
+    name, lengths, longest = publish_rules(spark, rules, host_words)
     kind = source.schema["id"].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = DigestArray(os.path.dirname(SparkFiles.get(f"{name}.keys.npy")), name)
         for batch in batches:
-            host, path, rule, verdict = _judge(batch.column(1).to_pylist(), index, lengths)
+            host, path, rule, verdict = _judge(batch.column(1).to_pylist(), index, lengths, longest)
             texts = [pa.array(x, pa.string()) for x in (host, path, rule, verdict)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *texts], ["id", "host", "path", "rule", "verdict"])
 
