@@ -4,7 +4,7 @@ The standard library's parser streams a page's events. Blocks are the page's lin
 block before, links and hidden elements not counted as text. The ratios are smoothed with a Gaussian and cut at a threshold; lines above it
 form the clusters that select the content:
 
-* article and main elements are a prior: where they hold at least a third of the clusters' text, every outermost one that a cluster reaches
+* article and main elements are a prior: where they hold at least a quarter of the clusters' text, every outermost one that a cluster reaches
   is content, and the rest of the page isn't;
 * elsewhere the content is the smallest element that holds nearly all of the clusters' text, from the first cluster to the last. At its
   ends, lines below their own threshold stay only where they are built like the clusters' lines, or are headings.
@@ -62,6 +62,8 @@ ROOT_SHARE, ELEMENT_SHARE = 0.25, 0.9
 _NAMES = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z0-9])([A-Z])")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_OPENING = re.compile(r"<[A-Za-z/!?]")
+_COMMENT_END, _SECTION_END = re.compile(r"--!?\s*>"), re.compile(r"\]\]>")
 _HEAT = np.exp(-np.arange(-4, 5) ** 2 / (2 * SIGMA * SIGMA))
 
 
@@ -102,6 +104,22 @@ class _Events(HTMLParser):
         self.parts: list[tuple[str, int]] = []
         self.tags = self.linked = self.links = 0
         self.block = "", 0
+        self.endless: set[re.Pattern] = set()
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        return self._skip(i, _COMMENT_END)
+
+    def parse_html_declaration(self, i: int) -> int:
+        return self._skip(i, _SECTION_END if self.rawdata.startswith("<![CDATA[", i) else None)
+
+    def _skip(self, i: int, end: re.Pattern | None) -> int:
+        """Where a comment or declaration ends: one that its own mark never ends, at the next ``>``. A search that failed isn't made again."""
+        if end and end not in self.endless:
+            if found := end.search(self.rawdata, i + 2):
+                return found.end()
+            self.endless.add(end)
+        found = self.rawdata.find(">", i + 2)
+        return found + 1 if found >= 0 else len(self.rawdata)
 
     def flush(self) -> None:
         text = " ".join("".join(p for p, _ in self.parts).split())
@@ -266,12 +284,19 @@ def _content(lines: list[Line], parents: list[int], hidden: np.ndarray, ratio: n
     return _without_lists(lines, [i for i in range(first, last + 1) if not hidden[i] and within[lines[i].element]], 2, linked > 0.5)
 
 
+def _finished(html: str) -> str:
+    """The page without a tag that its end cuts off, and all that would be in it."""
+    end = html.rfind(">") + 1
+    cut = _OPENING.search(html, end)
+    return html[: cut.start()] if cut else html
+
+
 def extract_text(html: str | None) -> str:
     """The page's main text: blocks in page order, one line each. Empty for null, empty and contentless pages."""
     if not html:
         return ""
     events = _Events()
-    events.feed(html)
+    events.feed(_finished(html))
     events.close()
     events.flush()
     lines = events.lines
@@ -287,7 +312,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """``(id, url, text, n_chars)``, one row per input row: the main text and its code points.
 
     Null, empty and contentless pages have an empty text. Pages of any length are parsed whole; malformed markup is parsed as far as it
-    makes sense. Null ids and repeated rows stay; other columns are ignored; an empty table gives an empty result.
+    makes sense, a comment without an end up to the next ``>``, and a tag that the page's end cuts off is left out. Null ids and repeated rows stay; other columns are ignored; an empty table gives an empty result.
     """
     source = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), pages[html_col].cast("string").alias("html"))
     kinds = [source.schema[c].dataType.simpleString() for c in ("id", "url")]
