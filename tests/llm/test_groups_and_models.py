@@ -363,3 +363,13 @@ def test_links_refuse_a_radius_that_loses_links(spark):
     classes = spark.createDataFrame([(0b01 | 0b01 << 32,), (0b10 | 0b10 << 32,)], "fp long")  # four bits apart, two in each half
     with pytest.raises(ValueError, match="radius 4"):
         simhash.links(classes, 4)
+
+
+def test_every_word_with_evidence_carries_weight(spark):
+    """A word of four documents, all of them toxic, of few toxic ones; and more such words than any fixed number."""
+    rare = [f"rare{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(60 % 26)]
+    rows = [(i, "plain words of text " + ("vile " + " ".join(rare) if i < 4 else "")) for i in range(399)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 51)) for i in range(399)], "doc_id long, quality int, toxic int")
+    weights = quality.fit(docs, labels)[0]
+    assert {"vile", *rare} <= weights.keys() and all(weights[w][1] > 0 for w in rare)

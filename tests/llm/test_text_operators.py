@@ -235,6 +235,40 @@ def test_html_hostile_pages_take_linear_time():
     assert seconds(16_000) < 3 * seconds(8_000) + 0.5
 
 
+UNFINISHED = ["<x y=", "<!--", "<![CDATA[", "<![if", "<!D", "</", "<?", '<a b="', "<a b='", "<script>", "<", "&", "<!-->", "<![CDATA[x>", "<a/", "<a b='\"", "<p><!-- <b>x</b>", "</script", "<a\x00"]
+
+
+@pytest.mark.parametrize("shape", UNFINISHED)
+def test_html_unfinished_markup_takes_linear_time(shape):
+    begin = time.process_time()
+    for end in ("", ">", "x</p>"):
+        html.extract_text("<p>hello world</p>" + shape * 40_000 + end)
+    assert time.process_time() - begin < 15
+
+
+def test_html_unfinished_markup_is_no_text():
+    assert html.extract_text('<p>One two three four.</p><!-- a > b --><p>five</p><p>cut <a href="x') == "One two three four.\nfive\ncut"
+    assert html.extract_text("<p>One <!-- never > two 3 < 4</p><![CDATA[ x > y ]]><p>six</p><![foo[ z ]>") == "One two 3 < 4\nsix"
+    assert html.extract_text("<!doctype html><!----><!--><p>kept</p>") == "kept"
+
+
+def test_url_with_a_host_of_any_length_takes_linear_time():
+    rules = (3, 1), len("example.org")
+    begin = time.process_time()
+    found = list(urls._probes("a." * 500_000 + "org", "/es/", *rules))
+    assert time.process_time() - begin < 1 and found[-1] == ("org", "/") and len(found) <= 2 * rules[1]
+    assert list(urls._probes("x.example.org", "/", *rules)) == [("example.org", "/"), ("org", "/")]
+    assert list(urls._probes("example.org", "", (0,), 11)) == [("example.org", ""), ("org", "")] and list(urls._probes("", "/", (1,), 11)) == []
+
+
+def test_url_rules_fit_hosts_of_any_length(spark):
+    pages = spark.createDataFrame([(1, "http://" + "a." * 50_000 + "example.org/es/x"), (2, "http://" + "b" * 100_000), (3, "http://ab.de/")], "page_id long, url string")
+    table = spark.createDataFrame([("org/", "allow"), ("example.org/es/", "block"), ("de/", "block")], "rule string, verdict string")
+    for most in (0, 1 << 26):
+        got = {r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(pages, table, most_bytes=most).collect()}
+        assert got == {1: ("example.org/es/", "block"), 2: (None, "allow"), 3: ("de/", "block")}
+
+
 BRUTE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from turnlake.llm.arrow import text_slices, texts
 from turnlake.llm.common import materialize
 
-#: Labelled documents that the heads are fitted on, at most, and words that may carry weight in each head.
-LABELLED, VOCABULARY = 20_000, 1_024
+#: Labelled documents that the heads are fitted on, at most. Every word of theirs with evidence carries weight.
+LABELLED = 20_000
 #: A word carries weight when the likelihood ratio of its documents against the labels reaches this: a chance of 1 in 16,000 without one.
 #: Unlike a standard error, the ratio is sound for words that occur in documents of one label only.
 MIN_G2 = 16.0
@@ -92,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column(1), batch.column(2)], ["words", *HEADS])
 
     seen = known.mapInArrow(distinct, "words array<string>, quality int, toxic int").select(F.explode("words").alias("word"), *HEADS)
-    counts = seen.groupBy("word").agg(F.count("*").alias("n"), *[F.sum(h).alias(h) for h in HEADS]).where("n >= 5")
+    counts = seen.groupBy("word").agg(F.count("*").alias("n"), *[F.sum(h).alias(h) for h in HEADS])
     totals = known.agg(F.count("*").alias("n"), *[F.sum(h).alias(h) for h in HEADS]).first()
     if not totals["n"]:
         return None
@@ -102,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         a, b = F.col(head), F.col("n") - F.col(head)
         odds = F.log((a + 0.5) / (b + 0.5)) - F.lit(float(np.log((yes + 1) / (no + 1))))
         g2 = _g2(a, b, yes, no)
-        for r in counts.select("word", odds.alias("odds"), g2.alias("g2")).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "word").limit(VOCABULARY).collect():
+        for r in counts.select("word", odds.alias("odds"), g2.alias("g2")).where(F.col("g2") >= MIN_G2).collect():  # words of at most LABELLED documents
             weights.setdefault(r["word"], [0.0, 0.0])[h] = r["odds"]
     fixed = {w: (x[0], x[1]) for w, x in weights.items()}
 
