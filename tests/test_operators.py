@@ -126,9 +126,9 @@ def test_streams_equal_batches(spark, tmp_path):
     for n, part in enumerate([df.where("i < 40"), df.where("i >= 40")]):
         part.coalesce(1).write.parquet(str(tmp_path / "in" / f"p{n}"))
     stream = lambda: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
-    got = jobs.drain(jobs.counter_deltas(stream(), "s", "i", "v", "ts"), str(tmp_path)).collect()
+    got = jobs.drain(jobs.series_deltas(stream().withColumn("calls", F.col("v")), ["s"], "i", "calls", ["v"], "ts"), str(tmp_path)).collect()
     batch = deltas.counter_deltas(df.withColumn("calls", F.col("v")), ["s"], ["i"], "calls", ["v"], "ts", "ts", "1000 days").collect()
-    assert sorted((r["s"], r["i"], r["delta"]) for r in got) == sorted((r["s"], r["i"], r["delta_v"]) for r in batch)
+    assert sorted((r["s"], r["i"], r["delta_v"]) for r in got) == sorted((r["s"], r["i"], float(r["delta_v"])) for r in batch)
     seen = jobs.drain(jobs.first_seen(stream(), "ts", ["v"]), str(tmp_path)).collect()
     assert sorted(r["v"] for r in seen) == list(range(11))
 

@@ -10,7 +10,7 @@ from turnlake.operators import content, enrich, fanout, live, profile, threads,
 from turnlake.plans import wire as plans
 from turnlake.sources import capture
 from turnlake.sources import frames as wire
-from turnlake.streaming import jobs
+from turnlake.streaming import jobs, state
 
 
 def frames(spark, *events, request="ws_1", **record):
@@ -220,7 +220,7 @@ def test_responses_leave_the_stream_whole(spark, tmp_path):
         df = spark.createDataFrame(rows, "file string, frame_seq long, raw string")
         df.coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
     stream = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    got = jobs.drain(jobs.closed(wire.decode(stream)), str(tmp_path), each=lambda b: turns.assemble(wire.decode(b)))
+    got = jobs.drain(state.closed(wire.decode(stream)), str(tmp_path), parts=True, each=lambda b: turns.assemble(wire.decode(b)))
     rows = sorted((r["request_id"], r["first_seq"]["file"], r["frames"], r["status"]) for r in got.collect())
     assert rows == [("a", "f1", 2, "completed"), ("a", "f2", 1, "incomplete"), ("b", "f1", 1, "incomplete"), ("z", "f3", 2, "completed")]
 

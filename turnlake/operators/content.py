@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from turnlake.functions import columns as X
 from turnlake.operators.turns import ORDER, segment
@@ -120,7 +121,7 @@ def tool_calls(frames: DataFrame) -> DataFrame:
     """Calls of tools: the keys, ``item_id, kind, name, call_id, status, chars, input, hidden, cut, task_name, sub_model, sub_effort, occurrence``.
 
     A call that is sent again in its response counts once; the same call id in another response is another call, and ``occurrence`` numbers
-    them in their thread. Functions' arguments are shown without encrypted values and within a budget; what a spawned agent gets is read of them.
+    them in their thread: it starts again when the id wasn't called for a day, and is null without a thread. Functions' arguments are shown without encrypted values and within a budget; what a spawned agent gets is read of them.
     """
     item = F.from_json(F.get_json_object("event", "$.item"), "struct<id: string, type: string, name: string, call_id: string, status: string, input: string, arguments: string>")
     response = F.last(X.present(F.when(F.col("ev_type") == "response.created", F.get_json_object("event", "$.response.id"))), True)
@@ -134,24 +135,42 @@ def tool_calls(frames: DataFrame) -> DataFrame:
     function = F.col("i.type") == "function_call"
     calls = calls.withColumns({"_s": spawn, "_r": F.when(function, X.hidden_arguments(F.col("i.arguments")))})
     body = F.when(function, X.bound_json(F.col("_r.body"), MAX_OUTPUT)).otherwise(F.col("i.input"))
-    numbered = F.row_number().over(Window.partitionBy("scope", "i.call_id").orderBy(*ORDER))
+    calls = with_occurrence(calls.withColumn("_call", X.present(F.col("i.call_id"))), ["scope", "_call"], list(ORDER), "ts")
     return calls.select(
         *KEYS, F.col("i.id").alias("item_id"), F.when(function, "function").otherwise("custom").alias("kind"), F.col("i.name").alias("name"), F.col("i.call_id").alias("call_id"),
         F.col("i.status").alias("status"), F.octet_length(F.when(function, F.col("i.arguments")).otherwise(F.col("i.input"))).alias("chars"), body.alias("input"),
         F.coalesce("_r.hidden", F.lit(0)).alias("hidden"), F.coalesce(function & (F.octet_length("_r.body") > MAX_OUTPUT), F.lit(False)).alias("cut"),
         *[F.when(function, F.col(f"_s.{c}")).alias(n) for c, n in (("task_name", "task_name"), ("model", "sub_model"), ("reasoning_effort", "sub_effort"))],
-        F.when(X.present(F.col("i.call_id")).isNotNull(), numbered).alias("occurrence"),
+        F.when(F.col("_call").isNotNull() & (F.col("scope") != ""), F.col("occurrence")).alias("occurrence"),
     )
 
 
+def with_occurrence(calls: DataFrame, keys: list[str], order: list[str], ts: str, hours: int = 24) -> DataFrame:
+    """The calls with ``occurrence``, their number among those of the same keys; it starts again at 1 after so many hours without one.
+
+    The clock of a key is the latest time so far. A call that is older than that by the hours is numbered but isn't remembered; one without a
+    time is remembered until the numbers start again.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    age = F.expr(f"interval {hours} hours")
+    before = F.max(ts).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = calls.withColumn("_clock", F.greatest(before, F.col(ts)))
+    rows = rows.withColumn("_new", F.coalesce(before < F.col("_clock") - age, F.lit(False)).cast("int"))
+    rows = rows.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = F.coalesce(F.col(ts) >= F.col("_clock") - age, F.lit(True)).cast("int")
+    earlier = F.sum(kept).over(Window.partitionBy(*keys, "_run").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("occurrence", (F.coalesce(earlier, F.lit(0)) + 1).cast("int")).drop("_clock", "_new", "_run")
+
+
 def matched_outputs(calls: DataFrame, outputs: DataFrame, hours: int = 24) -> DataFrame:
-    """The tool outputs with ``match`` and, for exact ones, ``origin``: the call that they answer, by thread and call id."""
+    """The tool outputs with ``match`` and, for exact ones, ``origin``: the call that they answer, by thread and call id. Outputs without either match none."""
     seq = lambda df: df.withColumns({"_at": F.struct("file", F.col("frame_seq").cast("long"), F.lit(0) if "pos" not in df.columns else F.col("pos") + 1), "_thread": F.coalesce("thread_id", F.lit(""))})
     name = lambda df, key: df.withColumn("ref", key)
     c = name(seq(calls), F.concat_ws(":", "request_id", "instance", "frame_seq"))
     o = name(seq(outputs), F.concat_ws(":", "request_id", "instance", "frame_seq", "pos"))
     cols = ["_thread", "call_id", "_at", "ts", "ref"]
-    got = match_outputs(c.select(*cols).where("call_id <> ''"), o.select(*cols).where("call_id <> ''"), ["_thread", "call_id"], "_at", "ts", hours)
+    known = "call_id <> '' and _thread <> ''"
+    got = match_outputs(c.select(*cols).where(known), o.select(*cols).where(known), ["_thread", "call_id"], "_at", "ts", hours)
     origin = c.select(F.col("ref").alias("matched_ref"), F.struct("request_id", "instance", "name", "occurrence").alias("origin"))
     got = got.join(origin, "matched_ref", "left").select("ref", "match", "origin")
     return o.join(got, "ref", "left").withColumn("match", F.coalesce("match", F.lit("none"))).drop("_at", "_thread", "ref")
@@ -190,9 +209,9 @@ def with_ordinal(items: DataFrame, turn: list[str], order: list[str]) -> DataFra
 
 
 def match_outputs(calls: DataFrame, outputs: DataFrame, keys: list[str], order: str, ts: str, hours: int = 24, call_ref: str = "ref") -> DataFrame:
-    """Match tool outputs to calls of the same keys that are unconsumed and at most ``hours`` old.
+    """Match tool outputs to calls of the same keys that are unconsumed and at most ``hours`` old by the key's clock, the latest time so far.
 
-    One such call is an exact match and is consumed, several are ambiguous, none is none; ``ref`` names the call. Gives the outputs with
+    Calls without a time don't age, and outputs without one leave the clock as it is. One such call is an exact match and is consumed, several are ambiguous, none is none; ``ref`` names the call. Gives the outputs with
     ``match`` and, for exact ones, ``matched_ref``. A key's rows stream through one task in order, which holds one batch of them and the
     calls that are still open.
     """
@@ -204,24 +223,23 @@ def match_outputs(calls: DataFrame, outputs: DataFrame, keys: list[str], order:
     out = StructType([*[fields[k] for k in keys], StructField("_ref", fields["_ref"].dataType), StructField("match", StringType()), StructField("matched_ref", fields["_ref"].dataType)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, live, count = None, [], 0  # a heap: the oldest open call is the first to go
+        last, live, count, clock = None, [], 0, -math.inf  # a heap: the oldest open call is the first to go
         for batch in batches:
             at, match, matched = [], [], []
             for i, (*key, kind, when, ref) in enumerate(zip(*[batch.column(c).to_pylist() for c in (*range(n), n + 1, n + 2, n + 3)], strict=True)):
                 if key != last:
-                    last, live = key, []
-                if when is None:
-                    live.clear()  # no call is known to be young enough
-                while live and live[0][0] < when - age:
+                    last, live, clock = key, [], -math.inf
+                clock = clock if when is None else max(clock, when)
+                while live and live[0][0] < clock - age:
                     heapq.heappop(live)
                 if kind == 1:
                     exact = len(live) == 1
                     at.append(i)
                     match.append("exact" if exact else "ambiguous" if live else "none")
                     matched.append(live.pop()[2] if exact else None)
-                elif when is not None:
+                else:
                     count += 1
-                    heapq.heappush(live, (when, count, ref))
+                    heapq.heappush(live, (math.inf if when is None else when, count, ref))
             took = batch.take(pa.array(at, pa.int64()))
             columns = [*took.columns[:n], took.column(n + 3), pa.array(match, pa.string()), pa.array(matched, took.schema.field(n + 3).type)]
             yield pa.RecordBatch.from_arrays(columns, out.names)
@@ -229,6 +247,103 @@ def match_outputs(calls: DataFrame, outputs: DataFrame, keys: list[str], order:
     return rows.mapInArrow(run, out).withColumnRenamed("_ref", call_ref)
 
 
+class CallIndex:
+    """A thread's calls that an output may still answer, in the order in which they came.
+
+    The clock is the latest time so far and never runs back. Calls older than ``hours`` go, and beyond ``most`` calls the first ones do. A call
+    that was answered stays until then, so that its id's next call gets the next occurrence. Times are in microseconds or None.
+    """
+
+    def __init__(self, hours: int = 24, most: int = 512, clock: int | None = None, made: int = 0) -> None:
+        self.age, self.most, self.clock, self.made = hours * 3_600_000_000, most, clock, made
+        self.entries: dict[int, list] = {}  # number: call id, time, occurrence, ref, answered
+        self._of: dict[str, list[int]] = {}
+        self._old: list[tuple[int, int]] = []
+        #: Numbers that were dropped, and entries that are new or changed, since these were last cleared: what a store has to write.
+        self.dropped: set[int] = set()
+        self.changed: set[int] = set()
+
+    def put(self, n: int, entry: list) -> None:
+        self.entries[n] = entry
+        self._of.setdefault(entry[0], []).append(n)
+        if entry[1] is not None:
+            heapq.heappush(self._old, (entry[1], n))
+
+    def _drop(self, n: int) -> None:
+        call = self.entries.pop(n)[0]
+        self._of[call].remove(n)
+        if not self._of[call]:
+            del self._of[call]
+        self.dropped.add(n)
+
+    def _advance(self, at: int | None) -> None:
+        if at is not None and (self.clock is None or at > self.clock):
+            self.clock = at
+        while self._old and self._old[0][0] < self.clock - self.age:  # an entry with a time has set the clock
+            _, n = heapq.heappop(self._old)
+            if n in self.entries:
+                self._drop(n)
+
+    def record(self, call: str, at: int | None, ref) -> int:
+        """Take note of a call; gives its occurrence."""
+        self._advance(at)
+        occurrence = 1 + max((self.entries[n][2] for n in self._of.get(call, ())), default=0)
+        self.made += 1
+        self.put(self.made, [call, at, occurrence, ref, False])
+        self.changed.add(self.made)
+        self._advance(None)
+        while len(self.entries) > self.most:
+            self._drop(next(iter(self.entries)))
+        return occurrence
+
+    def lookup(self, call: str, at: int | None) -> tuple[str, object, int | None]:
+        """Which call an output answers: ``exact`` with the call's ref and occurrence (it is then answered), ``ambiguous`` or ``none``."""
+        self._advance(at)
+        open_ = [n for n in self._of.get(call, ()) if not self.entries[n][4]]
+        if len(open_) != 1:
+            return ("ambiguous" if open_ else "none"), None, None
+        entry = self.entries[open_[0]]
+        entry[4] = True
+        self.changed.add(open_[0])
+        return "exact", entry[3], entry[2]
+
+
+#: What :func:`correlate` adds to a call or an output.
+CORRELATED = "occurrence int, match string, matched_ref string"
+
+
+def correlate(rows: DataFrame, thread: str, call: str, is_call: str, order: str, ts: str, ref: str, hours: int = 24, most: int = 512) -> DataFrame:
+    """Calls with their ``occurrence``, and outputs with ``match``, ``matched_ref`` and the matched call's ``occurrence``, by a fold over each thread.
+
+    One row for each row that isn't null in ``is_call``: ``thread, call, is_call, order, ref`` under their names and the three columns. Rows
+    without a thread or a call id get no occurrence, and match ``none``. Within a thread the rows' order decides; at most ``most`` calls of it
+    are remembered, each for ``hours`` (see :class:`CallIndex`). A thread's rows stream through one task, which holds a batch and these calls.
+    """
+    names = [thread, call, is_call, order, ref]
+    rows = rows.withColumn(ref, F.col(ref).cast("string")).where(F.col(is_call).isNotNull()).select(*names, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+    known = (F.coalesce(thread, F.lit("")) != "") & (F.coalesce(call, F.lit("")) != "")
+    apart = rows.where(~known).select(*names, F.lit(None).cast("int").alias("occurrence"), F.when(~F.col(is_call), "none").alias("match"), F.lit(None).cast("string").alias("matched_ref"))
+    sorted_ = rows.where(known).repartition(thread).sortWithinPartitions(thread, order, ref)
+    out = StructType([*[rows.schema[c] for c in names], StructField("occurrence", IntegerType()), StructField("match", StringType()), StructField("matched_ref", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, index = None, CallIndex(hours, most)
+        for batch in batches:
+            found = []
+            for who, call_id, calls, name, at in zip(*[batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5)], strict=True):
+                if who != last:
+                    last, index = who, CallIndex(hours, most)
+                if calls:
+                    found.append((index.record(call_id, at, name), None, None))
+                else:
+                    match, matched, occurrence = index.lookup(call_id, at)
+                    found.append((occurrence, match, matched))
+            added = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *added], out.names)
+
+    return sorted_.mapInArrow(run, out).unionByName(apart)
+
+
 def bounded_history(rows: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
     """The newest ``most`` rows of each key."""
     w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])

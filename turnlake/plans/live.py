@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake.operators import content, enrich, fanout, live, metrics, profile, reports, timing, turns
-from turnlake.plans.queries import query
+from turnlake.plans.queries import EVENTS, query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
 from turnlake.sources import capture
 from turnlake.sources import frames as wire
-from turnlake.sources.tables import checkpointed, table
-from turnlake.streaming import jobs
+from turnlake.sources.tables import checkpointed, shared_dir, table
+from turnlake.streaming import jobs, state
 
 _END = "case when failed then ms + 1100 else ms + 5500 end"
 
@@ -195,6 +197,16 @@ def _stream(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, str]:
     return spark.readStream.schema(kept.schema).parquet(folder), folder.rsplit("/", 1)[0]
 
 
+def _batches(spark: SparkSession, rows: DataFrame, by: str, n: int) -> tuple[DataFrame, str]:
+    """A stream that gives a table's rows in ``n`` batches by a column's ranges, in no order inside a batch, and the folder it is below."""
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    part = F.floor((F.col(by) - F.lit(low)) * n / F.lit((high or 0) - (low or 0) + 1))
+    folder = f"{shared_dir(spark)}/turnlake-batches-{uuid.uuid4().hex}"
+    for k in range(n):  # a stream takes files in the order in which they were written
+        rows.where(part == k).coalesce(1).sortWithinPartitions(F.xxhash64(by)).write.mode("append").parquet(f"{folder}/rows")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/rows"), folder
+
+
 @query("""with m as (select max(ts) as last from events) select epoch(date_trunc('hour', ts))::bigint as step, event_type, count(*) as n from events, m group by date_trunc('hour', ts), event_type, last
 having date_trunc('hour', ts) + interval 1 hour <= last - interval 10 minutes""")
 def streamed_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -243,10 +255,46 @@ def stream_labels(spark: SparkSession, d: str) -> DataFrame:
   case when not failed then size + 10 end as input_tokens, case when not failed and t % 8 = 0 then 'm1b' else 'm1' end as model, (t % 100)::double as limit_used, 'e' || c as models_etag from a""".replace("11 + (t % 3 = 0)::int", "(11 + (t % 3 = 0)::int)::bigint"))
 def streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
     stream, folder = _stream(spark, capture.capture(table(spark, d, "conversations")))
-    done = jobs.drain(jobs.closed(wire.decode(stream)), folder, each=lambda batch: turns.assemble(wire.decode(batch.select("file", "frame_seq", "raw"))))
+    done = jobs.drain(state.closed(wire.decode(stream)), folder, parts=True, each=lambda batch: turns.assemble(wire.decode(batch.select("file", "frame_seq", "raw"))))
     return done.select("request_id", "thread_id", "status", "frames", "request_kind", "turn_id", "input_tokens", "model", "limit_used", "models_etag")
 
 
+# Calls and outputs among the events: a fold over each user's, with ids that come again and rows without one.
+CORRELATE = EVENTS.replace("with e", "with recursive e") + """,
+s as (select *, case when k % 11 = 0 then '' else 'c' || k % 5 end as call_id, max(ts) over (partition by user_id order by event_id) - interval 24 hours as cutoff from e where event_type in ('click', 'view')),
+o as (select *, row_number() over (partition by user_id, call_id order by event_id) as rn from s where call_id <> ''),
+z as (select user_id, call_id, 0::bigint as rn, null::bigint as event_id, null::boolean as is_call, cast([] as struct(t timestamp, ref bigint, occ integer, done boolean)[]) as held, null::integer as occurrence, null::varchar as match, null::bigint as matched
+    from o group by 1, 2
+  union all
+  select user_id, call_id, rn, event_id, is_call,
+    case when is_call then list_append(live, {'t': ts, 'ref': event_id, 'occ': occ, 'done': false}) when len(waiting) = 1 then list_transform(live, lambda x: {'t': x.t, 'ref': x.ref, 'occ': x.occ, 'done': x.done or x.ref = waiting[1].ref}) else live end,
+    case when is_call then occ when len(waiting) = 1 then waiting[1].occ end, case when is_call then null when len(waiting) = 1 then 'exact' when len(waiting) > 1 then 'ambiguous' else 'none' end, case when not is_call and len(waiting) = 1 then waiting[1].ref end
+  from (select *, coalesce(list_max(list_transform(live, lambda x: x.occ)), 0)::integer + 1 as occ, list_filter(live, lambda x: not x.done) as waiting
+    from (select o.user_id, o.call_id, o.rn, o.event_id, o.ts, o.event_type = 'click' as is_call, list_filter(z.held, lambda x: x.t >= o.cutoff) as live from z join o on o.user_id = z.user_id and o.call_id = z.call_id and o.rn = z.rn + 1)))
+select user_id::varchar as thread, call_id, event_id, occurrence, match, matched::varchar as matched_ref from z where rn > 0
+union all select user_id::varchar, call_id, event_id, null, case when event_type = 'view' then 'none' end, null from s where call_id = ''"""
+
+
+def _calls(events: DataFrame) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("long")
+    kind = F.when(F.col("event_type") == "click", True).when(F.col("event_type") == "view", False)
+    return events.select(F.col("user_id").cast("string").alias("thread"), F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("c"), (k % 5).cast("string"))).alias("call_id"), kind.alias("is_call"), "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("ref"))
+
+
+@query(CORRELATE)
+def call_correlation(spark: SparkSession, d: str) -> DataFrame:
+    out = content.correlate(_calls(table(spark, d, "events")), "thread", "call_id", "is_call", "event_id", "ts", "ref")
+    return out.select("thread", "call_id", "event_id", "occurrence", "match", "matched_ref")
+
+
+@query(CORRELATE)
+def streamed_correlation(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a stream of four batches, which follow each other in order and are mixed inside."""
+    stream, folder = _batches(spark, table(spark, d, "events"), "event_id", 4)
+    out = jobs.drain(state.correlate(_calls(stream), "thread", "call_id", "is_call", "event_id", "ts", "ref"), folder, parts=True)
+    return out.select("thread", "call_id", "event_id", "occurrence", "match", "matched_ref")
+
+
 @query(CAPTURE + """, k as (select count(*) as n, sum(11 + (t % 3 = 0)::int) as lines, count(*) filter (failed) as failed, count(distinct thread_id) as threads, count(distinct thread_id || kind) as series, max(ms + 1100) // 1000 as newest,
   count(*) filter ((c + t) % 11 > 0) as hits, count(*) filter ((c + t) % 11 = 0) as misses from a)
 select 'lines' as name, lines::bigint as value from k union all select 'undecodable', 0 from k union all select 'deltas', n from k union all select 'newest', newest::bigint from k union all select 'emitted', n from k union all select 'errors', failed from k

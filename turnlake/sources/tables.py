@@ -13,11 +13,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the session names for all executors. Only a session in one process may go without: it gets a local one.
+
+    On a cluster that names none this raises, as executors would not see each other's files.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or os.path.join(tempfile.gettempdir(), "turnlake-shared")).rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a table in the shared folder that the session names; only where it names none, in a local one."""
+    """Cut lineage with a table in the shared folder."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or os.path.join(tempfile.gettempdir(), "turnlake-shared")
-    path = f"{base.rstrip('/')}/turnlake-cut-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/turnlake-cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,23 +20,6 @@ def first_seen(stream: DataFrame, ts: str, keys: list[str], late: str = "24 hour
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
-def counter_deltas(stream: DataFrame, series: str, order: str, value: str, ts: str) -> DataFrame:
-    """Cumulative-to-delta with the baseline in keyed state, one long a series; batches are ordered inside a series by ``order``."""
-
-    def run(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        before = state.get[0] if state.exists else None
-        df = pd.concat(list(frames)).sort_values(order)
-        deltas = []
-        for x in df[value]:
-            deltas.append(int(x if before is None or x <= before else x - before))
-            before = int(x)
-        state.update((before,))
-        yield pd.DataFrame({series: key[0], order: df[order].to_numpy(), "delta": deltas})
-
-    kinds = dict(stream.dtypes)
-    return stream.groupBy(series).applyInPandasWithState(run, f"{series} {kinds[series]}, {order} {kinds[order]}, delta long", "before long", "append", "NoTimeout")
-
-
 def series_deltas(stream: DataFrame, series: list[str], order: str, calls: str, counters: list[str], ts: str, gap_ms: int = 1_800_000, keep_ms: int = 168 * 3_600_000, late: str = "10 minutes") -> DataFrame:
     """What each reading adds to its series' cumulative counters: ``series, order, reset, baseline_reset, delta_<counter>``.
 
@@ -71,56 +55,42 @@ def series_deltas(stream: DataFrame, series: list[str], order: str, calls: str,
     return rows.withWatermark(ts, late).groupBy(*series).applyInPandasWithState(run, out, "calls double, last long, counters array<double>", "append", "EventTimeTimeout")
 
 
-def closed(frames: DataFrame, late: str = "10 minutes", idle_ms: int = 1_800_000) -> DataFrame:
-    """``request_id, file, frame_seq, raw, why``: the lines of every response, once it has ended, or been idle for so long by the watermark.
-
-    Batch operators then see whole responses, and give in a stream what they give on archives. State is an open response's lines. Lines of a
-    batch are in order, and a request's next response opens after the end of the one before; lines without a request go by at once. Input:
-    decoded frames that have kept ``raw``; rows whose time is null or too late are dropped by the watermark.
-    """
-    ends = F.col("ev_type").isin("response.completed", "error") & F.col("event").isNotNull()
-    rows = frames.select(F.coalesce("request_id", F.lit("")).alias("request_id"), "ts", "file", "frame_seq", "raw", ends.alias("ends"))
-    columns = ["request_id", "file", "frame_seq", "raw", "why"]
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        held = list(zip(*state.get, strict=True)) if state.exists else []
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame([[key[0], *x, "idle"] for x in held], columns=columns)
-            return
-        out, df = [], pd.concat(list(batches)).sort_values(["file", "frame_seq"])
-        for r in df.itertuples(index=False):
-            held.append((r.file, int(r.frame_seq), r.raw))
-            if r.ends or not key[0]:
-                out += [[key[0], *x, "end"] for x in held]
-                held = []
-        if held:
-            state.update(tuple(map(list, zip(*held, strict=True))))
-            state.setTimeoutTimestamp(max(int(df["ts"].max().timestamp() * 1000) + idle_ms, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=columns)
 
-    kept = "files array<string>, seqs array<long>, raws array<string>"
-    out = "request_id string, file string, frame_seq long, raw string, why string"
-    return rows.withWatermark("ts", late).groupBy("request_id").applyInPandasWithState(run, out, kept, "append", "EventTimeTimeout")
+@contextlib.contextmanager
+def _state_store(spark: SparkSession, provider: str | None) -> Iterator[None]:
+    """A query takes the store that is set when it starts; afterwards the setting is as it was."""
+    before = spark.conf.get(_STORE, None)
+    if provider:
+        spark.conf.set(_STORE, provider)
+    try:
+        yield
+    finally:
+        if provider:
+            spark.conf.unset(_STORE) if before is None else spark.conf.set(_STORE, before)
 
 
-def drain(out: DataFrame, folder: str, mode: str = "append", each: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def drain(
+    out: DataFrame, folder: str, mode: str = "append", each: Callable[[DataFrame], DataFrame] | None = None, parts: bool = False, name: str | None = None
+) -> DataFrame:
     """Run a query over all that is there into a Parquet table and read it. Each batch overwrites its own partition, so a retry is harmless.
 
-    ``each`` is applied to every batch, and its result is what is kept.
+    ``each`` is applied to every batch, and its result is what is kept. ``parts`` is for operators of :mod:`turnlake.streaming.state`. A query
+    that has a ``name`` goes on, in its folder, from where the last one of that name stopped.
     """
     spark: SparkSession = out.sparkSession
-    base = f"{folder.rstrip('/')}/turnlake-stream-{uuid.uuid4().hex}"
+    base = f"{folder.rstrip('/')}/turnlake-stream-{name or uuid.uuid4().hex}"
 
     def write(df: DataFrame, batch: int) -> None:
         df = each(df) if each else df
         df.write.mode("overwrite").parquet(f"{base}/out/batch={batch}")
 
     sink: Callable[[DataFrame, int], None] = write
-    query = out.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink).trigger(availableNow=True).start()
-    query.awaitTermination()
+    with _state_store(spark, _ROCKS if parts else None):
+        query = out.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink).trigger(availableNow=True).start()
+        query.awaitTermination()
     schema = each(spark.createDataFrame([], out.schema)).schema if each else out.schema
     return spark.read.schema(schema).parquet(f"{base}/out")
 
