@@ -92,10 +92,9 @@ def thread_parents(spark: SparkSession, d: str) -> DataFrame:
     return out.selectExpr("cast(thread as bigint) as thread", "cast(parent as bigint) as parent")
 
 
-@query("select conv_id, string_agg(role || ': ' || text, chr(10) order by turn) as text from conversations where text is not null group by 1")
+@query("select conv_id, string_agg(role || ': ' || coalesce(text, ''), chr(10) order by turn) as text from conversations group by 1")
 def thread_transcripts(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "conversations").where("text is not null")
-    return reports.transcript(c, "conv_id", ["turn"], F.concat_ws(": ", "role", "text"))
+    return reports.transcript(table(spark, d, "conversations"), "conv_id", ["turn"], F.concat_ws(": ", "role", F.coalesce("text", F.lit(""))))
 
 
 @query("""with p as (select *, length(text) > 2000 or list_has_any(list_transform(['<environment_context', '<user_instructions', '<permissions', '<turn_aborted', '<skill', '# AGENTS.md', '<ide_', '<system', '<context'], lambda s: starts_with(ltrim(text), s)), [true]) as scaffold

@@ -50,7 +50,7 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 # Conversations as the frames say them: one row per assistant row.
 ANSWERS = """
-with c as (select * from conversations where text is not null),
+with c as (select * replace (coalesce(text, '') as text) from conversations),
 w as (select *, 'ws_' || conv_id || '_' || turn as request_id, 'conv-' || conv_id as thread_id,
   coalesce(sum(case when role in ('user', 'assistant') then strlen(text) end) over past, 0)::bigint as input_bytes,
   last_value(case when role = 'system' then text end ignore nulls) over past as instructions,
@@ -113,7 +113,7 @@ def logical_turns(spark: SparkSession, d: str) -> DataFrame:
     return out.select("event_id", "logical_turn")
 
 
-@query("""with m as (select conv_id, max(turn) as last from conversations where role = 'assistant' and text is not null group by 1)
+@query("""with m as (select conv_id, max(turn) as last from conversations where role = 'assistant' group by 1)
 select distinct 'conv-' || conv_id as thread_id, role, text as body from conversations join m using (conv_id)
 where role in ('user', 'assistant') and turn < last and text <> ''""")
 def prompts_first_seen(spark: SparkSession, d: str) -> DataFrame:
@@ -480,9 +480,9 @@ def inventory_actions(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select conv_id, turn, regexp_replace(text, '[0-9]+', 'N', 'g') as masked, substr(sha256(text), 1, 16) as hash,
 case when length(text) > 100 then substr(text, 1, 60) || '…[' || (length(text) - 100) || ' chars elided]…' || right(text, 40) else text end as cut,
-case when text = '' then -1 else floor(log10(length(text)))::int end as magnitude from conversations where text is not null""")
+case when coalesce(text, '') = '' then -1 else floor(log10(length(text)))::int end as magnitude from conversations""")
 def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
-    c, t = table(spark, d, "conversations").where("text is not null"), F.col("text")
+    c, t = table(spark, d, "conversations"), F.col("text")
     return c.select("conv_id", "turn", X.digit_mask(t).alias("masked"), X.short_hash(t).alias("hash"), X.head_tail(t, 60, 40).alias("cut"), X.magnitude(F.length(t)).alias("magnitude"))
 
 

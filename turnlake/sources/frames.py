@@ -123,7 +123,7 @@ def removable(files: DataFrame, newest: Column, keep_days: int) -> DataFrame:
 def render(conversations: DataFrame) -> DataFrame:
     """Wire lines ``(file, frame_seq, raw)`` of conversations ``(conv_id, turn, role, text)``: each assistant row is one response.
 
-    A create frame re-sends all earlier rows of its conversation, as agents do. Timing counters are cumulative in a thread and start again
+    Null texts count as empty. A create frame re-sends all earlier rows of its conversation, as agents do. Timing counters are cumulative in a thread and start again
     at turns divisible by four. The payload is a JSON string, an object or a server-sent event by ``conv_id`` modulo three.
     """
     w = Window.partitionBy("conv_id").orderBy("turn")
@@ -131,7 +131,7 @@ def render(conversations: DataFrame) -> DataFrame:
     size = F.octet_length("text")
     item = F.struct(F.lit("message").alias("type"), "role", F.col("text").alias("content"))
     seen = F.when(F.col("role").isin("user", "assistant"), item)
-    rows = conversations.where("text is not null").select(
+    rows = conversations.withColumn("text", F.coalesce("text", F.lit(""))).select(
         "conv_id", "turn", "role", "text",
         F.collect_list(seen).over(past).alias("input"),
         F.last(F.when(F.col("role") == "system", F.col("text")), True).over(past).alias("instructions"),
