@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from turnlake.operators import content, enrich, fanout, live, metrics, profile, reports, timing, turns
 from turnlake.plans.queries import EVENTS, query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
-from turnlake.sources import capture
+from turnlake.sources import capture, index
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, shared_dir, table
 from turnlake.streaming import jobs, state
@@ -259,6 +259,21 @@ def streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
     return done.select("request_id", "thread_id", "status", "frames", "request_kind", "turn_id", "input_tokens", "model", "limit_used", "models_etag")
 
 
+@query(CAPTURE + """, p as (select c, min(t) as t from a where c = (select max(c) from a where back1 is not null) group by c)
+select request_id, 11::bigint + (a.t % 3 = 0)::int as frames from a join p on a.c = p.c and (a.t = p.t or a.back1 = p.t)""")
+def indexed_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The requests that name the first response of the last conversation with two: itself and its successor, from archives by way of their index."""
+    c = table(spark, d, "conversations")
+    folder = f"{shared_dir(spark)}/turnlake-archives-{uuid.uuid4().hex}"
+    lines = capture.capture(c)
+    lines.repartitionByRange(8, "frame_seq").sortWithinPartitions("frame_seq").select("raw").write.option("compression", "gzip").text(f"{folder}/a")
+    index.update(spark, f"{folder}/a", f"{folder}/index", "*.txt.gz")
+    two = capture.answers(c).where("back1 is not null").agg(F.max("conv_id").alias("conv_id"))
+    first = capture.answers(c).join(two, "conv_id").agg(F.first("conv_id"), F.min("turn")).first()  # one row
+    found = index.lookup(spark, f"{folder}/a", f"{folder}/index", f"resp_{first[0]}_{first[1]}", "*.txt.gz")
+    return found.groupBy("request_id").agg(F.count("*").alias("frames"))
+
+
 # Calls and outputs among the events: a fold over each user's, with ids that come again and rows without one.
 CORRELATE = EVENTS.replace("with e", "with recursive e") + """,
 s as (select *, case when k % 11 = 0 then '' else 'c' || k % 5 end as call_id, max(ts) over (partition by user_id order by event_id) - interval 24 hours as cutoff from e where event_type in ('click', 'view')),

@@ -38,6 +38,13 @@ def read_archives(spark: SparkSession, path: str, names: str = "*.jsonl.gz") ->
     return lines.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("frame_seq"), F.col("value").alias("raw"))
 
 
+def archive_lines(spark: SparkSession, paths: str | list[str], names: str = "*") -> DataFrame:
+    """:func:`read_archives` of folders or of named files, with whole paths in ``file``."""
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("pathGlobFilter", names)
+    lines = (reader.option("recursiveFileLookup", "true") if isinstance(paths, str) else reader).text(paths)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("frame_seq"), F.col("value").alias("raw"))
+
+
 def archive_hour(name: Column) -> Column:
     """The hour in an archive's name, or null."""
     return F.try_to_timestamp(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2}T\d{2})", 1), F.lit("yyyy-MM-dd'T'HH"))
