@@ -53,7 +53,7 @@ def test_lookups_equal_scans_of_everything(spark, corpus, monkeypatch):
     lines = wire.read_archives(spark, archives, NAMES).cache()
     everywhere = {r[0] for r in index.read(spark, folder).select("file").distinct().collect()}
     ids = ("resp_7_3", "resp_7_", "resp_31x4", "éab5q1", "conv-9.1", "acct-1", "ws_shared-4", "absent-1")
-    for literals, files, some in ((1000, 10_000, ids), (0, 0, ("ws_shared-4", "completed"))):
+    for literals, files, some in ((16, 10_000, ids), (0, 0, ("ws_shared-4", "completed"))):
         monkeypatch.setattr(index, "MOST_LITERALS", literals)
         monkeypatch.setattr(index, "MOST_FILES", files)
         for wanted in some:
@@ -74,7 +74,7 @@ def test_no_id_of_a_line_is_missed_and_few_strangers_pass(spark):
     ids = spark.createDataFrame([(t,) for t in {t for t, _ in held}], "id string")
     got = {tuple(r) for r in index.candidates(table, ids).collect()}
     assert held <= got and len(got - held) < 0.02 * 5 * ids.count()
-    few = sorted({t for t, _ in held})[:40] + ["no digit", "a.b1.c2"]
+    few = sorted({t for t, _ in held})[:14] + ["no digit", "a.b1.c2"]
     assert {tuple(r) for r in index.candidates(table, few).collect()} == {tuple(r) for r in index.candidates(table, spark.createDataFrame([(t,) for t in few], "id string")).collect()}
 
 

@@ -1,7 +1,7 @@
 """An index of which archives hold an id: one Bloom filter a file, in blocks, as a table that is probed before any archive is opened.
 
 Ids are runs of letters, digits, ``_`` and ``-`` with a digit among them. A file's filter has a power of two of blocks; an id sets a few bits in
-the one block that its hash picks, so a probe reads one row a file. The table is sorted by the number of blocks and the block: a probe's
+the one block that its hash picks, so a probe reads one row a file. The table is partitioned by the number of blocks and sorted by the block: a probe's
 predicates reach the scan and skip nearly all of it. Files that are new since the last time are added without reading the others again.
 """
 
@@ -19,7 +19,9 @@ from turnlake.sources.tables import shared_dir
 #: Bits of a block, bits that an id sets in it, and bits that a file's filter has for each of its ids, at least.
 BLOCK_BITS, SET_BITS, BITS_AN_ID = 4096, 6, 12
 #: Ids that a probe compares as literals, and archives that a scan is given by name; beyond these a join and the whole folder take their place.
-MOST_LITERALS, MOST_FILES = 1_000, 10_000
+MOST_LITERALS, MOST_FILES = 16, 10_000
+#: A file has fewer than two to this many blocks.
+_MOST_BLOCKS = 40
 
 _ID_CHARS = "A-Za-z0-9_-"
 _SCHEMA = "file string, ids long, blocks long, block long, words map<int,bigint>"
@@ -80,7 +82,7 @@ def update(spark: SparkSession, archives: str, folder: str, names: str = "*.json
     new = [r["path"] for r in there.join(known, "file", "left_anti").collect()]
     if new:
         rows = build(archive_lines(spark, new)).repartitionByRange("blocks", "block", "file").sortWithinPartitions("blocks", "block", "file")
-        rows.write.mode("append").option("parquet.block.size", 8 << 20).parquet(folder)
+        rows.write.mode("append").partitionBy("blocks").option("parquet.block.size", 8 << 20).parquet(folder)
     return len(new)
 
 
@@ -92,7 +94,7 @@ def _plain(path: Column) -> Column:
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """The index at a folder; empty where there is none yet."""
     try:
-        return spark.read.schema(_SCHEMA).parquet(folder)
+        return spark.read.schema(_SCHEMA).parquet(folder).select("file", "ids", "blocks", "block", "words")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -119,22 +121,26 @@ def candidates(index: DataFrame, wanted: list[str] | DataFrame) -> DataFrame:
     """
     spark = index.sparkSession
     if isinstance(wanted, list) and len(wanted) <= MOST_LITERALS:
-        runs = spark.createDataFrame([(w, t) for w in dict.fromkeys(wanted) for t in _tokens(w)], "id string, t string")
-        first, second = _hashes(F.col("t"))
-        sizes = [r[0] for r in index.where("blocks > 0").select("blocks").distinct().collect()]  # powers of two
-        probes = runs.select("id", "t", first.alias("h"), _bits(second).alias("bits")).collect()  # as many as the caller named
-        found, out = None, None
-        for n in sizes:
-            blocks = sorted({p["h"] % n for p in probes})
-            part = index.where((F.col("blocks") == n) & F.col("block").isin(blocks)) if blocks else None
-            for p in probes:
-                hit = part.where((F.col("block") == p["h"] % n) & _set(F.col("words"), list(p["bits"]))).select(F.lit(p["id"]).alias("id"), F.lit(p["t"]).alias("t"), "file")
-                found = hit if found is None else found.unionAll(hit)
-        if found is not None:
-            need = runs.groupBy("id").agg(F.count_distinct("t").alias("need"))
-            out = found.groupBy("id", "file").agg(F.count_distinct("t").alias("n")).join(F.broadcast(need), "id").where("n = need").select("id", "file")
-        bare = [(w,) for w in dict.fromkeys(wanted) if not _tokens(w)]
-        anywhere = spark.createDataFrame(bare, "id string")
+        runs = [(w, t) for w in dict.fromkeys(wanted) for t in dict.fromkeys(_tokens(w))]
+        hashed = [_hashes(F.lit(t)) for _, t in runs]
+        known = spark.sql("select 1").select(*[c.alias(f"h{i}") for i, (h, b) in enumerate(hashed) for c in (h, _bits(b))]).first() if runs else ()
+        named = {int(x[1]) for f in index.inputFiles() if (x := re.search(r"/blocks=(\d+)/", f))}
+        sizes = sorted(named - {0}) or [1 << k for k in range(_MOST_BLOCKS)]  # a table that isn't from a folder doesn't say
+        near, tests = F.lit(False), []
+        for (w, t), h, bits in zip(runs, known[::2], known[1::2], strict=True):
+            for n in sizes:
+                near = near | ((F.col("blocks") == n) & (F.col("block") == h % n))  # these reach the scan
+            ok = (F.pmod(F.lit(h), F.col("blocks")) == F.col("block")) & _set(F.col("words"), list(bits))
+            tests.append(F.when(ok, F.struct(F.lit(w).alias("id"), F.lit(t).alias("t"), F.lit(len([x for x in runs if x[0] == w])).alias("need"))))
+        out = None
+        if runs:
+            found = index.where(near).select("file", F.explode(F.array_compact(F.array(*tests))).alias("p")).select("file", "p.*")
+            single = len({w for w, _ in runs}) == len(runs)  # a file has one row for a block
+            out = found.select("id", "file") if single else found.groupBy("id", "file", "need").agg(F.count_distinct("t").alias("n")).where("n = need").select("id", "file")
+        bare = [w for w in dict.fromkeys(wanted) if not _tokens(w)]
+        if not bare:
+            return out if out is not None else spark.createDataFrame([], "id string, file string")
+        anywhere = spark.createDataFrame([(w,) for w in bare], "id string")
     else:
         ids = (spark.createDataFrame([(w,) for w in wanted], "id string") if isinstance(wanted, list) else wanted.select("id")).distinct()
         runs = ids.withColumn("ts", F.array_distinct(F.regexp_extract_all("id", F.lit(f"[{_ID_CHARS}]*[0-9][{_ID_CHARS}]*"), F.lit(0))))
@@ -158,13 +164,15 @@ def lookup(spark: SparkSession, archives: str, folder: str, wanted: str, names:
     """
     index = read(spark, folder)
     rid = F.regexp_extract("raw", r'"request_id"\s*:\s*"([^"\\]*)"', 1)
-    first = _named(spark, archives, candidates(index, [wanted]), names).withColumn("_rid", rid).where("_rid <> ''")
-    hits = first.where(holds(F.col("raw"), wanted)).select(F.col("_rid").alias("id")).distinct()
+    named = _named(spark, archives, candidates(index, [wanted]), names).where(holds(F.col("raw"), wanted))
+    hits = named.select(rid.alias("id")).where("id <> ''").distinct()
     some = [r[0] for r in hits.limit(MOST_LITERALS + 1).collect()]
     if len(some) > MOST_LITERALS:
         return decode(_named(spark, archives, candidates(index, hits), names).withColumn("id", rid).join(hits, "id", "left_semi").drop("id"))
-    lines = _named(spark, archives, candidates(index, some), names)
-    return decode(lines.where(rid.isin(some)) if some else lines.where("false"))
+    one = F.lit(False)
+    for r in some:
+        one = one | F.col("raw").contains(r)
+    return decode(_named(spark, archives, candidates(index, some), names).where(one & rid.isin(some)))
 
 
 def _named(spark: SparkSession, archives: str, found: DataFrame, names: str) -> DataFrame:
