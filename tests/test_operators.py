@@ -48,7 +48,9 @@ def test_matches_consume_and_age(spark):
 def test_caps_buckets_and_quantiles(spark):
     df = spark.createDataFrame([(i, v, float(x)) for i, (v, x) in enumerate([("b", 1), ("a", 2), ("", 4), ("c", 5), ("b", 100), (None, 3)])], "i long, f string, x double")
     got = [r["f"] for r in metrics.cap_values(df, "f", ["i"], 2).orderBy("i").collect()]
-    assert got == ["b", "a", "", "_other", "b", None] and metrics.cap_report(df, "f", 2).first()["rejected"] == 1
+    assert got == ["b", "a", "", "_other", "b", None] and metrics.cap_report(df, "f", ["i"], 2).first().asDict() == {"field": "f", "distinct": 2, "rejected": 1}
+    again = metrics.cap_report(df.union(df), "f", ["i"], 1).first()
+    assert (again["distinct"], again["rejected"]) == (1, 4)  # rows, not values
     h = metrics.histogram(df, [], F.col("x"), (1.0, 4.0, 16.0)).first()
     assert h["buckets"] == [1, 3, 1, 1] and h["count"] == 6
     q = lambda p: spark.createDataFrame([([1, 3, 1, 1],)], "b array<long>").select(metrics.quantile(F.col("b"), (1.0, 4.0, 16.0), p)).first()[0]

@@ -78,6 +78,17 @@ def test_scalars(spark):
     assert [one(X.magnitude(F.lit(x))) for x in (0, -5, 1, 9, 10, 1000)] == [-1, -1, 0, 0, 1, 3]
     assert one(X.one_line(F.lit("  a \n b  c"), 4)) == "a b…" and one(X.head_tail(F.lit("abcdefghij"), 3, 2)) == "abc…[5 chars elided]…ij"
     assert [one(X.routing_hint(F.lit(h), F.lit("m"))) for h in ("model=m", "a;model=n", "")] == ["agree", "disagree", "absent"]
-    assert one(X.redact_arguments(F.lit('{"encrypted_x":{"a":"b"},"c":"gA' + "A" * 80 + '","d":1}'))).asDict() == {"body": '{"encrypted_x":{"a":"[encrypted]"},"c":"[encrypted]","d":1}', "hidden": 2}
+    assert one(X.redact_arguments(F.lit('{"encrypted_x":{"a":"b"},"c":"gA' + "A" * 96 + '","d":1}'))).asDict() == {"body": '{"encrypted_x":{"a":"[encrypted]"},"c":"[encrypted]","d":1}', "hidden": 2}
     assert one(X.bound_json(F.lit('{"a":"' + "x" * 50 + '"}'), 20)) == '{"truncated":true}'
     assert one(X.epoch_time(F.lit(0.0))) is None and one(F.unix_millis(X.epoch_time(F.lit(1.2345)))) == 1234
+
+
+def test_encrypted_values_are_told_by_their_bytes(spark):
+    import base64
+
+    token = lambda first, n: base64.urlsafe_b64encode(bytes([first, 0x5F]) + b"x" * (n - 2)).decode()
+    cases = [(token(0x80, 73), True), (token(0x80, 73).rstrip("="), True), (token(0x80, 72), False), (token(0x81, 90), False), (token(0x80, 75)[:50] + "\n" + token(0x80, 75)[50:], True), ("gA" + "A" * 95, False), ("gF8A" + "A" * 96, True), (token(0x80, 80) + "!", False)]
+    rows = spark.createDataFrame([(json.dumps({"a": [{"b": v}]}),) for v, _ in cases] + [("not json gA" + "A" * 120,), (None,), ('{"k":"' + "\\u0067" + token(0x80, 90)[1:] + '"}',)], "a string")
+    got = [r[0] for r in rows.select(X.hidden_arguments(F.col("a")).alias("r")).collect()]
+    assert [g["hidden"] for g in got] == [int(hit) for _, hit in cases] + [0, 0, 1]
+    assert got[len(cases)]["body"] == json.dumps("not json gA" + "A" * 120) and got[len(cases) + 1]["body"] is None

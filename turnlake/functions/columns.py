@@ -175,7 +175,13 @@ def bounded(c: Column, known: Iterable[str]) -> Column:
     return F.when(c.isin(*known), c).otherwise("unknown")
 
 
-_SECRET = re.compile(r"^gA[A-Za-z0-9_-]{71,}={0,2}$")
+#: Unpadded base64 of 73 bytes or more, the first of which is 0x80.
+_SECRET = re.compile(r"g[A-P][A-Za-z0-9_-]{96,}")
+
+
+def _encrypted(text: str) -> bool:
+    found = text.rstrip("=").replace("\r", "").replace("\n", "")
+    return len(found) % 4 != 1 and _SECRET.fullmatch(found) is not None
 
 
 def _redacted(value, under: bool) -> tuple[object, int]:
@@ -185,14 +191,14 @@ def _redacted(value, under: bool) -> tuple[object, int]:
     if isinstance(value, list):
         items = [_redacted(v, under) for v in value]
         return [v for v, _ in items], sum(n for _, n in items)
-    if isinstance(value, str) and (under or _SECRET.match(value)):
+    if isinstance(value, str) and (under or _encrypted(value)):
         return MARK, 1
     return value, 0
 
 
 @F.pandas_udf(T.StructType([T.StructField("body", T.StringType()), T.StructField("hidden", T.IntegerType())]))
 def redact_arguments(arguments: pd.Series) -> pd.DataFrame:
-    """Tool arguments with encrypted values replaced, however deep; text that isn't JSON stays. Needs recursion, so it runs in Python."""
+    """Tool arguments with encrypted values replaced, however deep; null and text that isn't JSON stay. Needs recursion, so it runs in Python."""
     out = []
     for a in arguments:
         try:
@@ -204,9 +210,13 @@ def redact_arguments(arguments: pd.Series) -> pd.DataFrame:
 
 
 def hidden_arguments(arguments: Column) -> Column:
-    """``(body, hidden)`` of :func:`redact_arguments`; only text that may hold something encrypted goes to Python."""
-    suspect = F.lower(arguments).contains("encrypted") | F.regexp_like(arguments, F.lit("gA[A-Za-z0-9_-]{71}"))
-    plain = F.struct(arguments.alias("body"), F.lit(0).cast("int").alias("hidden"))
+    """``(body, hidden)`` of :func:`redact_arguments`, and text that isn't JSON as a JSON string; only text that may hold something encrypted
+    goes to Python: a name with the word, or letters that such a value begins with, which escapes may hide."""
+    suspect = F.lower(arguments).contains("encrypted") | ((F.length(arguments) >= 98) & F.regexp_like(arguments, F.lit(r"g[A-P]|\\u00")))
+    suspect = suspect & F.try_parse_json(arguments).isNotNull()
+    quoted = F.regexp_replace(F.to_json(F.array(arguments)), r"^\[|\]$", "")
+    body = F.when(F.try_parse_json(arguments).isNull() & arguments.isNotNull(), quoted).otherwise(arguments)
+    plain = F.struct(body.alias("body"), F.lit(0).cast("int").alias("hidden"))
     return F.when(suspect, redact_arguments(F.when(suspect, arguments))).otherwise(plain)
 
 

@@ -124,22 +124,33 @@ def verdicts(attached: DataFrame) -> DataFrame:
     return attached.select(*KEY, wire.alias("wire"), proxy.alias("proxy"), F.coalesce(wire != proxy, F.lit(False)).alias("disagree"))
 
 
-#: The alert rules: what is watched, above which value, and for how many steps of five minutes in a row.
+#: The alert rules: what is watched, above which value, and for how many steps of five minutes in a row. Rejections and refused
+#: connections are increases over the last fifteen minutes.
 ALERTS = {
-    "rate_limit_headroom": ("limit_used", 95.0, 2), "breaking_drift": ("breaking", 0.0, 1), "connection_limit": ("connection_limit", 0.0, 1), "log_rejections": ("rejected", 0.0, 1),
-    "error_rate": ("error_rate", 0.05, 2), "ingest_lag": ("lag_seconds", 300.0, 1),
+    "rate_limit_headroom": ("limit_used", 90.0, 2), "breaking_drift": ("breaking", 0.0, 1), "connection_limit": ("connection_limit", 0.0, 1), "log_rejections": ("rejected", 0.0, 1),
+    "error_rate": ("error_rate", 0.5, 2), "ingest_lag": ("lag_seconds", 300.0, 1),
 }
+INCREASE = "15 minutes"
+
+
+def increases(rows: DataFrame, ts: str, keys: list[str], value: Column, step: str = "5 minutes", over: str = INCREASE) -> DataFrame:
+    """``step, keys, value``: for each step, the sum over all that lies within ``over`` before the step's end."""
+    w = F.window(ts, over, step)
+    g = rows.groupBy(w.alias("w"), *keys).agg(F.sum(value).cast("double").alias("value"))
+    return g.select((F.col("w.end") - F.expr(f"interval {step}")).alias("step"), *keys, "value")
 
 
 def watched(turns: DataFrame, step: str = "5 minutes", seconds: int = 300) -> DataFrame:
-    """``step, name, subject, value``: what the rules on turns watch, for each step: the highest limit used and the connections refused of every
-    account, and the rate of errors of all. Readings of the pipeline itself and of drift come from elsewhere, in the same shape."""
+    """``step, name, subject, value``: what the rules on turns watch, for each step: the highest limit used by every account, its connections
+    refused within :data:`INCREASE` before the step's end, and the rate of errors of all. Readings of the pipeline itself and of drift come from
+    elsewhere, in the same shape (rejected lines by :func:`increases`)."""
     w = F.window("last_ts", step).start.alias("step")
-    refused = F.count_if(F.coalesce("error_code", F.col("error_type")) == "websocket_connection_limit_reached")
-    by_account = turns.where("account_id is not null").groupBy(w, F.col("account_id").alias("subject")).agg(F.max("limit_used").alias("limit_used"), refused.cast("double").alias("connection_limit"))
-    errors = turns.groupBy(w).agg((F.count_if(F.col("status") == "error") / seconds).alias("error_rate")).withColumn("subject", F.lit(""))
-    cells = lambda df, *names: df.select("step", "subject", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names])).alias("p")).select("step", "p.name", "subject", "p.value")
-    return cells(by_account, "limit_used", "connection_limit").unionByName(cells(errors, "error_rate")).where("value is not null")
+    owned = turns.where("account_id is not null").withColumn("subject", F.col("account_id"))
+    used = owned.groupBy(w, "subject").agg(F.max("limit_used").alias("value")).select("step", F.lit("limit_used").alias("name"), "subject", F.col("value").cast("double").alias("value"))
+    limit = owned.where(F.coalesce("error_code", F.col("error_type")) == "websocket_connection_limit_reached")
+    refused = increases(limit, "last_ts", ["subject"], F.lit(1), step).select("step", F.lit("connection_limit").alias("name"), "subject", "value")
+    errors = turns.groupBy(w).agg((F.count_if(F.col("status") == "error") / seconds).alias("value")).select("step", F.lit("error_rate").alias("name"), F.lit("").alias("subject"), "value")
+    return used.unionByName(refused).unionByName(errors).where("value is not null")
 
 
 def alerts(readings: DataFrame, seconds: int = 300, rules: dict[str, tuple[str, float, int]] = ALERTS) -> DataFrame:

@@ -36,10 +36,12 @@ def cap_values(rows: DataFrame, field: str, order: list[str], cap: int) -> DataF
     return out.withColumn(field, value).drop("_v")
 
 
-def cap_report(rows: DataFrame, field: str, cap: int) -> DataFrame:
-    """``field, distinct, rejected``: how many values there are and how many rows lie beyond the cap."""
-    seen = rows.where(F.col(field) != "").agg(F.countDistinct(field).alias("distinct"))
-    return seen.select(F.lit(field).alias("field"), "distinct", F.greatest(F.col("distinct") - cap, F.lit(0)).alias("rejected"))
+def cap_report(rows: DataFrame, field: str, order: list[str], cap: int) -> DataFrame:
+    """``field, distinct, rejected``: how many values were let through, no more than ``cap``, and how many rows :func:`cap_values` rewrote."""
+    values = rows.where(F.col(field) != "").groupBy(field).agg(F.min(F.struct(*order)).alias("o"), F.count("*").alias("n"))
+    kept = values.orderBy("o").limit(cap).agg(F.count("*").alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("kept"))
+    total = values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    return kept.crossJoin(total).select(F.lit(field).alias("field"), "distinct", (F.col("total") - F.col("kept")).alias("rejected"))  # one row each
 
 
 def bucket_of(value: Column, bounds: tuple[float, ...]) -> Column:

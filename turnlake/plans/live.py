@@ -145,7 +145,31 @@ union all select 'errors_high', '', min(step), max(step), count(*) from k group
 def alert_rules(spark: SparkSession, d: str) -> DataFrame:
     rules = {"limit_high": ("limit_used", 3.0, 2), "errors_high": ("error_rate", 0.003, 1)}
     out = live.alerts(live.watched(turns.assemble(sessions(spark, d))), rules=live.ALERTS | rules)
-    return out.where(F.col("alert").isin(*rules)).withColumns({c: F.unix_seconds(c) for c in ("begin", "last")})
+    return out.withColumns({c: F.unix_seconds(c) for c in ("begin", "last")})
+
+
+_RULES = {"rate_limit_headroom": ("click", "max(value)", 90, 2), "breaking_drift": ("purchase", "max(value) - 60", 0, 1), "error_rate": ("error", "count(*)::double", 0.5, 2), "ingest_lag": ("view", "max(value) * 4", 300, 1)}
+
+
+@query("""with e as (select *, floor(epoch(ts))::bigint // 300 * 300 as step, (user_id % 2)::varchar as subject from events),
+r as (""" + " union all ".join(f"select '{a}' as alert, step, case when '{a}' = 'error_rate' then '' else subject end as subject, {v} as v, {above} as above, {hold} as hold from e where event_type = '{k}' group by all" for a, (k, v, above, hold) in _RULES.items()) + """
+  union all select a, s * 300, subject, count(*), 0, 1 from (select case event_type when 'error' then 'log_rejections' else 'connection_limit' end as a, step // 300 + unnest([0, 1, 2]) as s, subject, event_id from e where value > 90 and user_id < 12) group by 1, 2, 3),
+h as (select *, step // 300 - row_number() over (partition by alert, subject order by step) as i from r where v > above)
+select alert, subject, min(step) as begin, max(step) as last, count(*) as steps from h group by alert, subject, i, hold having count(*) >= hold""")
+def alert_thresholds(spark: SparkSession, d: str) -> DataFrame:
+    """The built-in rules over readings made of events, so that each of them fires."""
+    e = table(spark, d, "events").withColumns({"ts": F.col("ts").cast("timestamp"), "subject": (F.col("user_id") % 2).cast("string")})
+    step = F.window("ts", "5 minutes").start.alias("step")
+    values = {"max(value)": F.max("value"), "max(value) - 60": F.max("value") - 60, "count(*)::double": F.count("*"), "max(value) * 4": F.max("value") * 4}
+    parts = []
+    for alert, (kind, value, _, _) in _RULES.items():
+        subject = F.lit("") if alert == "error_rate" else F.col("subject")
+        parts.append(e.where(F.col("event_type") == kind).groupBy(step, subject.alias("subject")).agg(values[value].cast("double").alias("value")).withColumn("name", F.lit(live.ALERTS[alert][0])))
+    some = e.where("value > 90 and user_id < 12").withColumn("name", F.when(F.col("event_type") == "error", "rejected").otherwise("connection_limit"))
+    readings = live.increases(some, "ts", ["subject", "name"], F.lit(1))
+    for p in parts:
+        readings = readings.unionByName(p)
+    return live.alerts(readings).withColumns({c: F.unix_seconds(c) for c in ("begin", "last")})
 
 
 @query(CAPTURE + SHOWN + """, g as (select request_id, string_agg(upper(role) || ': ' || case when length(text) > 100 then substr(text, 1, 100) || '…[' || (length(text) - 100) || ' chars elided]' else text end, chr(10) || chr(10) order by m) as asked

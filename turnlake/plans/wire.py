@@ -190,7 +190,7 @@ def metric_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     snapshot = enrich.account_snapshot(accounts, usage)
     poll = lambda df: df.withColumns({"ts": F.lit(None).cast("timestamp"), "o": F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("frame_seq"))})
     quota = turns.quota_windows(t.where("status = 'error'").withColumn("key", F.struct("request_id", "instance", "account_id")), "key", "error_headers").select("key.*", "family", "window", "used", "reset")
-    caps = metrics.cap_report(t, "thread_id", 50)
+    caps = metrics.cap_report(t, "thread_id", ["o"], 50)
     return {
         "turns": t, "tool_calls": content.tool_calls(f).withColumn("o", F.struct("file", "frame_seq")), "model_limits": of(turns.model_limits(t)), "quota": of(quota), "kinds": of(content.declared_kinds(f)),
         "accounts": poll(snapshot), "account_models": poll(snapshot.withColumn("quota_key", F.col("window"))), "keys": poll(rights), "caps": poll(caps),
@@ -226,7 +226,7 @@ u as (select l_suppkey, l_returnflag, max_by({'q': l_quantity, 't': l_tax}, (l_s
 m as (select l_suppkey, max_by(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber)) as money from lineitem where l_discount > 0.05 group by 1),
 s as (select supplier.*, u.l_returnflag, r, money from supplier left join u on s_suppkey = u.l_suppkey left join m on s_suppkey = m.l_suppkey),
 g as (""" + " union all ".join(f"select '{k}' as metric, ({v})::double as v from q where {w}" for k, (v, w) in POINTS.items()) + """
- union all select 'content_items', n from h, range(2) union all select 'attributes_rejected', greatest(count(distinct thread_id) - 50, 0) from a
+ union all select 'content_items', n from h, range(2) union all select 'attributes_rejected', sum(n) from (select count(*) as n, row_number() over (order by min((ms // 3600000, c * 1000000 + t * 100))) as i from a group by thread_id) where i > 50
  union all select 'account_quota_used', r['q'] from s where r is not null union all select 'account_quota_reset', r['t'] from s where r is not null union all select 'account_model_quota_used', r['q'] from s where r is not null
  union all select 'account_credits', money from s where money is not null union all select 'account_info', 1 from s
  union all select 'key_eligible', (r_regionkey > 2 or s_nationkey % 4 = r_regionkey)::int from supplier, region)
