@@ -12,7 +12,7 @@ from turnlake.plans.queries import EVENTS, query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
 from turnlake.sources import capture, index
 from turnlake.sources import frames as wire
-from turnlake.sources.tables import checkpointed, shared_dir, table
+from turnlake.sources.tables import checkpointed, committed, shared_dir, table
 from turnlake.streaming import jobs, state
 
 _END = "case when failed then ms + 1100 else ms + 5500 end"
@@ -334,6 +334,18 @@ def streamed_correlation(spark: SparkSession, d: str) -> DataFrame:
     return out.select("thread", "call_id", "event_id", "occurrence", "match", "matched_ref")
 
 
+@query("select event_type, count(*) as events, count(*) as counted, sum(event_id)::bigint as ids from events group by 1")
+def committed_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """Two tables of a stream of three batches, as their manifests show them: the rows, and counts of each batch."""
+    e = table(spark, d, "events")
+    stream, folder = _batches(spark, e, "event_id", 3)
+    tables = lambda df: {"rows": df.select("event_id", "event_type"), "counts": df.groupBy("event_type").agg(F.count("*").alias("n"))}
+    out = jobs.deliver(stream, tables, folder)
+    rows = committed(spark, out, "rows", "event_id long, event_type string").groupBy("event_type").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+    counts = committed(spark, out, "counts", "event_type string, n long").groupBy("event_type").agg(F.sum("n").alias("counted"))
+    return rows.join(counts, "event_type")
+
+
 @query(CAPTURE + """, k as (select count(*) as n, sum(11 + (t % 3 = 0)::int) as lines, count(*) filter (failed) as failed, count(distinct thread_id) as threads, count(distinct thread_id || kind) as series, max(ms + 1100) // 1000 as newest,
   count(*) filter ((c + t) % 11 > 0) as hits, count(*) filter ((c + t) % 11 = 0) as misses from a)
 select 'lines' as name, lines::bigint as value from k union all select 'undecodable', 0 from k union all select 'deltas', n from k union all select 'newest', newest::bigint from k union all select 'emitted', n from k union all select 'errors', failed from k

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +61,57 @@ def json_lines(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("to_json(struct(*)) as value")
 
 
-def write_batch(tables: dict[str, DataFrame], folder: str, batch: int) -> None:
-    """A sink for ``foreachBatch``: every table of a batch goes to its own partition, which a retry overwrites; progress follows when all did."""
+_MANIFEST = "_manifest"
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of a path: the file system it is on, and the path."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def write_batch(tables: dict[str, DataFrame], folder: str, batch: int) -> bool:
+    """A sink for ``foreachBatch``: all tables of a batch appear at once to :func:`committed`, or none of them; says whether they appeared now.
+
+    Every table is written to a place of its own that nothing refers to. When all are, one manifest that names these places is renamed into
+    view: that is the only step that counts. A batch that has a manifest isn't written again, so a retry gives it once; what an attempt left
+    that failed before its manifest is never read.
+    """
+    if not tables:
+        return False
+    spark = next(iter(tables.values())).sparkSession
+    base = folder.rstrip("/")
+    fs, final = _files(spark, f"{base}/{_MANIFEST}/{batch:012d}.json")
+    if fs.exists(final):
+        return False
+    attempt = uuid.uuid4().hex
+    places = {name: f"{name}/batch={batch}-{attempt}" for name in tables}
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}/batch={batch}")
+        df.write.parquet(f"{base}/{places[name]}")
+    _, draft = _files(spark, f"{base}/{_MANIFEST}/.{attempt}")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(places).encode()))
+    out.close()
+    if fs.rename(draft, final):
+        return True
+    fs.delete(draft, False)  # another attempt was first
+    if not fs.exists(final):
+        raise OSError(f"the manifest of batch {batch} could not be put in place")
+    return False
+
+
+def committed(spark: SparkSession, folder: str, name: str, schema: StructType | str) -> DataFrame:
+    """A table's rows of all batches with a manifest; without one it is empty. A batch that lacks the table adds nothing."""
+    base = folder.rstrip("/")
+    fs, at = _files(spark, f"{base}/{_MANIFEST}")
+    found = [s.getPath().toString() for s in fs.listStatus(at)] if fs.exists(at) else []
+    names = [f for f in found if f.endswith(".json")]
+    places = []
+    if names:
+        rows = spark.read.text(names, wholetext=True).select(F.get_json_object("value", f"$['{name}']").alias("place")).where("place is not null")
+        places = sorted(r[0] for r in rows.collect())  # one a batch
+    return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{p}" for p in places]).select(*[c for c in _names(schema)]) if places else spark.createDataFrame([], schema)
+
+
+def _names(schema: StructType | str) -> list[str]:
+    return (schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).names

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnlake.sources.tables import write_batch
+
 
 def tumbling_counts(stream: DataFrame, ts: str, step: str, keys: list[str], late: str = "10 minutes") -> DataFrame:
     """Counts in tumbling windows, closed by the watermark."""
@@ -95,6 +97,25 @@ def drain(
     return spark.read.schema(schema).parquet(f"{base}/out")
 
 
+def deliver(stream: DataFrame, tables: Callable[[DataFrame], dict[str, DataFrame]], folder: str, name: str | None = None) -> str:
+    """Run a stream over all that is there into several tables; returns their folder, for :func:`turnlake.sources.tables.committed`.
+
+    A batch's tables come into view together. A run that failed goes on, under its ``name``, with the batch that failed.
+    """
+    base = f"{folder.rstrip('/')}/turnlake-delivery-{name or uuid.uuid4().hex}"
+
+    def write(df: DataFrame, batch: int) -> None:
+        kept = df.persist()  # read once for each table
+        try:
+            write_batch(tables(kept), f"{base}/out", batch)
+        finally:
+            kept.unpersist()
+
+    sink: Callable[[DataFrame, int], None] = write
+    stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink).trigger(availableNow=True).start().awaitTermination()
+    return f"{base}/out"
+
+
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """``(file, frame_seq, raw)`` of archives as they land; files must be complete when they appear.
 
