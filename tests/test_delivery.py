@@ -38,3 +38,17 @@ def test_a_stream_goes_on_after_a_sink_that_failed(spark, tmp_path):
     assert seen(spark, folder, "x") == list(range(5)) and seen(spark, folder, "y") == list(range(0, 10, 2))
     assert jobs.deliver(stream(), good, str(tmp_path), "d") == folder
     assert seen(spark, folder, "x") == list(range(15)) and seen(spark, folder, "y") == list(range(0, 30, 2))
+
+
+def test_drift_history_keeps_the_last_good_run(spark, tmp_path):
+    from turnlake.operators import profile
+
+    folder = str(tmp_path / "runs")
+    a, b, odd = ("new", "path", "k", ".a", "string"), ("breaking", "type", "k", ".b", "number"), ("info", "absent", None, None, None)
+    made = [[a, b], [a], None, [a, b, b], [odd], [b], None]
+    for i, rows in enumerate(made):
+        profile.record_run(None if rows is None else spark.createDataFrame(rows, profile.FINDING), f"r{i}", folder, spark)
+    got = {tuple(r)[:5]: tuple(r)[5:] for r in profile.drift_history(*profile.recorded(spark, folder)).collect()}
+    assert got == {a: ("r0", "r3", 3, 0, 0, False), b: ("r0", "r5", 3, 2, 1, True), odd: ("r4", "r4", 1, 0, 0, False)}
+    nothing = spark.createDataFrame([], "run string, ok boolean")
+    assert profile.drift_history(profile.recorded(spark, folder)[0], nothing).count() == 0

@@ -8,7 +8,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnlake.functions import columns as X
@@ -152,9 +152,43 @@ def cross_tab(rows: DataFrame, kind: str, event: str, order: str) -> DataFrame:
     return rows.groupBy(F.col(kind).alias("kind"), F.col(event).alias("event")).agg(F.count("*").alias("n"), F.min(order).alias("sample"))
 
 
-def record_run(findings: DataFrame, run: str, folder: str) -> None:
-    """Append a run's findings; a run that fails writes nothing, and the last ones stand."""
-    findings.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(folder)
+FINDING = "severity string, what string, kind string, path string, json_type string"
+
+
+def record_run(findings: DataFrame | None, run: str, folder: str, spark: SparkSession | None = None) -> None:
+    """Append a run's findings, and a note that it ran. A run that failed has None (and names its session): it is noted, and has no findings.
+
+    The note comes last, so a run whose findings were written in part is none.
+    """
+    spark = findings.sparkSession if findings is not None else spark
+    if findings is not None:
+        findings.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(folder)
+    note = spark.range(1).select(F.lit(run).alias("run"), F.lit(findings is not None).alias("ok"))
+    note.coalesce(1).write.mode("append").parquet(f"{folder.rstrip('/')}/_runs")
+
+
+def recorded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``(findings, runs)`` as :func:`record_run` has left them: findings with ``run``, and ``(run, ok)``. A run noted twice counts as its better note."""
+    runs = spark.read.schema("run string, ok boolean").parquet(f"{folder.rstrip('/')}/_runs").groupBy("run").agg(F.max("ok").alias("ok"))
+    return spark.read.schema(f"{FINDING}, run string").parquet(folder), runs
+
+
+def drift_history(findings: DataFrame, runs: DataFrame) -> DataFrame:
+    """Each finding over all runs: ``first_seen, last_seen, runs, flaps, streak, current``. Runs are in the order of their names.
+
+    Only good runs count: one that failed neither ends a streak nor is part of it. ``runs`` is in how many the finding was, ``flaps`` how often it
+    came back after a good run without it, ``streak`` in how many in a row up to the last good run (0 if it is gone), and ``current`` whether it
+    is in that one: when the newest run failed, the last good one's findings stand. Equal findings of a run are one; nulls are values.
+    """
+    key = ["severity", "what", "kind", "path", "json_type"]
+    good = runs.where("ok").select("run", F.row_number().over(Window.orderBy("run")).alias("n"))  # one row a run
+    total = good.agg(F.coalesce(F.max("n"), F.lit(0)).alias("total"))
+    w = Window.partitionBy(*key).orderBy("n")
+    rows = findings.select(*key, "run").distinct().join(good, "run").withColumn("island", F.col("n") - F.row_number().over(w))
+    stays = rows.groupBy(*key, "island").agg(F.min("run").alias("begin"), F.max("run").alias("end"), F.count("*").alias("k"), F.max("n").alias("n"))
+    out = stays.groupBy(*key).agg(F.min("begin").alias("first_seen"), F.max("end").alias("last_seen"), F.sum("k").alias("runs"), (F.count("*") - 1).alias("flaps"), F.max(F.struct("n", "k")).alias("last"))
+    out = out.crossJoin(F.broadcast(total)).withColumn("current", F.col("last.n") == F.col("total"))  # one row
+    return out.select(*key, "first_seen", "last_seen", "runs", "flaps", F.when(F.col("current"), F.col("last.k")).otherwise(0).alias("streak"), "current")
 
 
 def sampled_windows(rows: DataFrame, file: str, position: str, windows: int, width: int) -> tuple[DataFrame, DataFrame]:

@@ -68,3 +68,13 @@ def call_estimate(chunks: DataFrame, thread: str, has_children: str) -> DataFram
     g = chunks.groupBy(thread).agg(F.max("chunk").alias("_c"), F.sum("n").alias("chars"), F.max(has_children).alias("_h"))
     passes = F.col("_c") + 1
     return g.select(thread, "chars", passes.alias("passes"), (passes + F.when(passes > 1, 1).otherwise(0) + F.when(F.col("_h"), 1).otherwise(0)).alias("calls"))
+
+
+def message_edges(messages: DataFrame, top: int = 20) -> DataFrame:
+    """``author, recipient, messages, threads``: who writes to whom in agents' messages, the ``top`` edges with most of them, ties by name.
+
+    A message without an author or a recipient is an edge from, or to, the empty name.
+    """
+    name = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    edges = messages.groupBy(name("author"), name("recipient")).agg(F.count("*").alias("messages"), F.countDistinct("thread_id").alias("threads"))
+    return edges.orderBy(F.desc("messages"), "author", "recipient").limit(top)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake.operators import content, enrich, fanout, live, metrics, profile, reports, timing, turns
-from turnlake.plans.queries import EVENTS, query
+from turnlake.plans.queries import EVENTS, PATHS, query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
 from turnlake.sources import capture, index
 from turnlake.sources import frames as wire
@@ -334,6 +334,31 @@ def streamed_correlation(spark: SparkSession, d: str) -> DataFrame:
     return out.select("thread", "call_id", "event_id", "occurrence", "match", "matched_ref")
 
 
+@query(CAPTURE + """, m as (select c, thread_id, '/root' as author, '/root/a' || (c % 3) as recipient from a where sub group by all)
+select author, recipient, count(*) as messages, count(distinct thread_id) as threads from m group by 1, 2 order by 3 desc, 1, 2 limit 20""")
+def message_graph(spark: SparkSession, d: str) -> DataFrame:
+    return reports.message_edges(content.agent_messages(sessions(spark, d)))
+
+
+#: The kind that each of six runs doesn't see; the fourth run fails.
+_GONE = ("click", "view", "click", None, "click", "error")
+
+
+@query(PATHS + f""", r as (select 'r' || i as run, (['click', 'view', 'click', '', 'click', 'error'])[i + 1] as gone from range({len(_GONE)}) t(i)),
+g as (select run, gone, row_number() over (order by run) as n from r where gone <> ''),
+f as (select 'info' as severity, 'absent' as what, kind, path, json_type, run, g.n from s join g on kind = gone),
+i as (select *, n - row_number() over (partition by kind, path, json_type order by n) as island from f),
+b as (select severity, what, kind, path, json_type, island, min(run) as first_seen, max(run) as last_seen, count(*) as k, max(n) as n from i group by all)
+select severity, what, kind, path, json_type, min(first_seen) as first_seen, max(last_seen) as last_seen, sum(k)::bigint as runs, count(*) - 1 as flaps,
+  case when max(n) = (select max(n) from g) then arg_max(k, n) else 0 end as streak, max(n) = (select max(n) from g) as current from b group by 1, 2, 3, 4, 5""")
+def drift_history(spark: SparkSession, d: str) -> DataFrame:
+    sig = checkpointed(profile.induce(profile.paths(table(spark, d, "events"), "event_type", "props")))
+    folder = f"{shared_dir(spark)}/turnlake-runs-{uuid.uuid4().hex}"
+    for i, gone in enumerate(_GONE):
+        profile.record_run(profile.drift(sig, sig.where(F.col("kind") != gone)) if gone else None, f"r{i}", folder, spark)
+    return profile.drift_history(*profile.recorded(spark, folder))
+
+
 @query("select event_type, count(*) as events, count(*) as counted, sum(event_id)::bigint as ids from events group by 1")
 def committed_sinks(spark: SparkSession, d: str) -> DataFrame:
     """Two tables of a stream of three batches, as their manifests show them: the rows, and counts of each batch."""
