@@ -52,3 +52,43 @@ def test_drift_history_keeps_the_last_good_run(spark, tmp_path):
     assert got == {a: ("r0", "r3", 3, 0, 0, False), b: ("r0", "r5", 3, 2, 1, True), odd: ("r4", "r4", 1, 0, 0, False)}
     nothing = spark.createDataFrame([], "run string, ok boolean")
     assert profile.drift_history(profile.recorded(spark, folder)[0], nothing).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[40], [1, 1, 13, 25], [20, 20]])
+def test_a_cap_on_a_stream_equals_a_sequential_fold(spark, tmp_path, sizes):
+    import random
+
+    rng = random.Random(8)
+    values = [rng.choice(["a", "b", "c", "d", "e", "f", "", None]) for _ in range(40)]
+    seen, expected = [], []
+    for v in values:
+        if v and v not in seen and len(seen) < 3:
+            seen.append(v)
+        expected.append(v if not v or v in seen else "_other")
+    start = 0
+    for n in sizes:
+        rows = [(i, values[i]) for i in range(start, start + n)]
+        spark.createDataFrame(rng.sample(rows, n), "i long, v string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        start += n
+    stream = spark.readStream.schema("i long, v string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    rows, report = jobs.cap_stream(stream, "v", ["i"], 3, str(tmp_path))
+    assert [r["v"] for r in rows.orderBy("i").collect()] == expected
+    assert report.first().asDict() == {"field": "v", "distinct": 3, "rejected": expected.count("_other")}
+
+
+def test_streams_of_turns_and_logs_join_and_late_logs_correct_them(spark, tmp_path):
+    from datetime import datetime, timedelta, timezone
+
+    at = lambda m: datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(minutes=m)
+    turns = [[("a", at(0)), ("b", at(1)), (None, at(2)), ("c", at(3))], [("d", at(60)), ("e", None)], [("z", at(300))], [("z2", at(600))]]
+    logs = [[("a", at(5), 1), ("a", at(6), 2), (None, at(2), 9)], [("d", at(59), 4)], [("b", at(200), 5), ("d", at(290), 6), ("x", at(300), 7)], [("z2", at(600), 8)]]
+    put = lambda rows, schema, where: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / where))
+    for t, g in zip(turns, logs, strict=True):
+        put(t, "k string, ts timestamp", "t")
+        put(g, "k string, at timestamp, id long", "l")
+    read = lambda schema, where: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / where))
+    out = jobs.drain(jobs.attach_stream(read("k string, ts timestamp", "t"), read("k string, at timestamp, id long", "l"), "k", "ts", "at"), str(tmp_path))
+    got = sorted((r["k"] or "-", r["log"] and r["log"]["id"]) for r in out.collect())
+    assert got == [("-", None), ("a", 1), ("a", 2), ("b", None), ("c", None), ("d", 4), ("z", None), ("z2", 8)]
+    everything = spark.createDataFrame([g for part in logs for g in part], "k string, at timestamp, id long")
+    assert {(r["k"], r["log"]["id"], r["was"]) for r in jobs.corrections(out, everything, "k", "id").collect()} == {("b", 5, "miss"), ("d", 6, "hit")}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnlake.operators import content, enrich, fanout, live, metrics, profile, reports, timing, turns
@@ -334,6 +334,43 @@ def streamed_correlation(spark: SparkSession, d: str) -> DataFrame:
     return out.select("thread", "call_id", "event_id", "occurrence", "match", "matched_ref")
 
 
+# Events joined with the request of the same number that a log has 0 to 40 minutes later, some twice and some never.
+_LOGGED = """with e as (select event_id, ts, case when event_id % 9 > 0 then event_id end as key from events), n as (select max(ts) as last from events),
+l as (select event_id as key, ts + (event_id % 5) * interval 10 minutes as at, event_id % 3 + v as version from events, range(2) r(v) where event_id % 4 > 0 and (v = 0 or event_id % 6 = 0)),"""
+
+
+def _log_of(events: DataFrame) -> DataFrame:
+    e = events.where("event_id % 4 > 0").select("*", F.explode(F.when(F.col("event_id") % 6 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("v"))
+    return e.select(F.col("event_id").alias("key"), F.expr("ts + make_interval(0, 0, 0, 0, 0, event_id % 5 * 10, 0)").alias("at"), (F.col("event_id") % 3 + F.col("v")).alias("version"))
+
+
+@query(_LOGGED + """ j as (select e.event_id, e.ts, l.version from e left join l on e.key = l.key and l.at >= e.ts - interval 15 minutes and l.at <= e.ts + interval 15 minutes)
+select event_id, version, coalesce(m.newest, version) as settled from j left join (select key, max(version) as newest from l group by 1) m on event_id = m.key and event_id % 9 > 0, n where ts < last - interval 3 hours""")
+def streamed_enrichment(spark: SparkSession, d: str) -> DataFrame:
+    """Events with their logs as two streams join them, and what late logs make of that; the last hours are left to the watermark."""
+    e = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    last = e.agg(F.max("ts") - F.expr("interval 3 hours")).first()[0]
+    left, folder = _batches(spark, e.withColumn("key", F.when(F.col("event_id") % 9 > 0, F.col("event_id"))), "event_id", 3)
+    logs = checkpointed(_log_of(e).withColumn("o", F.col("key")))
+    right, _ = _batches(spark, logs, "o", 3)
+    got = checkpointed(jobs.drain(jobs.attach_stream(left, right.drop("o"), "key", "ts", "at", late="1 hour"), folder))
+    late = jobs.corrections(got.where("key is not null"), logs.drop("o"), "key", "version").select("key", F.col("log.version").alias("_newest"))
+    rows = got.where(F.col("ts") < F.lit(last)).join(late, "key", "left")
+    held = F.max("log.version").over(Window.partitionBy("event_id"))
+    return rows.select("event_id", F.col("log.version").alias("version"), F.coalesce("_newest", held).alias("settled"))
+
+
+@query("""with o as (select event_id, (user_id % 23)::varchar as v from events), f as (select v, row_number() over (order by min(event_id)) as i from o group by v),
+r as (select event_id, case when i <= 9 then v else '_other' end as v from o join f using (v))
+select v, count(*) as n, min(event_id) as first, max(event_id) as last, least((select count(*) from f), 9) as "distinct", (select count(*) from r where v = '_other') as rejected from r group by 1""")
+def streamed_cap(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select("event_id", (F.col("user_id") % 23).cast("string").alias("v"))
+    stream, folder = _batches(spark, e, "event_id", 4)
+    rows, report = jobs.cap_stream(stream, "v", ["event_id"], 9, folder)
+    g = rows.groupBy("v").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    return g.crossJoin(F.broadcast(report.drop("field")))  # one row
+
+
 @query(CAPTURE + """, m as (select c, thread_id, '/root' as author, '/root/a' || (c % 3) as recipient from a where sub group by all)
 select author, recipient, count(*) as messages, count(distinct thread_id) as threads from m group by 1, 2 order by 3 desc, 1, 2 limit 20""")
 def message_graph(spark: SparkSession, d: str) -> DataFrame:

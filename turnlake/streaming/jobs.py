@@ -9,8 +9,9 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from turnlake.sources.tables import write_batch
+from turnlake.sources.tables import committed, write_batch
 
 
 def tumbling_counts(stream: DataFrame, ts: str, step: str, keys: list[str], late: str = "10 minutes") -> DataFrame:
@@ -116,6 +117,63 @@ def deliver(stream: DataFrame, tables: Callable[[DataFrame], dict[str, DataFrame
     return f"{base}/out"
 
 
+def attach_stream(turns: DataFrame, logs: DataFrame, key: str, ts: str, log_ts: str, within: str = "15 minutes", late: str = "10 minutes") -> DataFrame:
+    """Two streams, each row of ``turns`` with every row of ``logs`` of its key that is within so much of its time: the log's columns as ``log``.
+
+    A row without one comes with a null ``log`` once the watermark of both streams is past what could still match it; state is bounded by the
+    same. Null keys match nothing. Rows without a time, or beyond ``late``, are dropped by the watermark; logs that come too late to be joined
+    are for :func:`corrections`.
+    """
+    left = turns.where(F.col(ts).isNotNull()).withWatermark(ts, late)
+    right = logs.where(F.col(log_ts).isNotNull()).select(F.col(key).alias("_key"), F.col(log_ts).alias("_ts"), F.struct(*logs.columns).alias("log")).withWatermark("_ts", late)
+    gap = F.expr(f"interval {within}")
+    near = (F.col(key) == F.col("_key")) & (F.col("_ts") >= F.col(ts) - gap) & (F.col("_ts") <= F.col(ts) + gap)
+    return left.join(right, near, "leftOuter").drop("_key", "_ts")
+
+
+def corrections(attached: DataFrame, logs: DataFrame, key: str, newest: str) -> DataFrame:
+    """``key, log, was``: the newest log of every key in ``attached`` (what :func:`attach_stream` delivered) to which a later one has come.
+
+    ``was`` is what had been delivered: ``hit``, or ``miss``. Equal keys are one. With these laid over it, what was delivered is the batch join.
+    """
+    held = attached.groupBy(key).agg(F.max(F.col("log")[newest]).alias("_held"))
+    last = logs.groupBy(key).agg(F.max_by(F.struct(*logs.columns), newest).alias("log"))
+    out = held.join(last, key).where(F.col("_held").isNull() | (F.col("log")[newest] > F.col("_held")))
+    return out.select(key, "log", F.when(F.col("_held").isNull(), "miss").otherwise("hit").alias("was"))
+
+
+def cap_stream(stream: DataFrame, field: str, order: list[str], cap: int, folder: str, name: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`turnlake.operators.metrics.cap_values` on a stream, in order of arrival: its rows, and ``(field, distinct, rejected)``.
+
+    The first ``cap`` distinct values are let through and stay so; from then on every row with another one is rewritten to ``_other`` and counted.
+    Batches must come in order; inside a batch ``order`` decides. What was let through is a table of at most ``cap`` rows that a batch reads,
+    adds to and delivers with its rows, so a batch that is tried again finds it as it was. Null and empty values pass, and count for nothing.
+    """
+    spark = stream.sparkSession
+    base = f"{folder.rstrip('/')}/turnlake-cap-{name or uuid.uuid4().hex}"
+    admitted = StructType([StructField("_v", stream.schema[field].dataType)])
+    report = "field string, distinct long, rejected long"
+
+    def write(df: DataFrame, batch: int) -> None:
+        before = committed(spark, f"{base}/out", "admitted", admitted)
+        new = df.where(F.col(field) != "").groupBy(F.col(field).alias("_v")).agg(F.min(F.struct(*order)).alias("_o")).join(before, "_v", "left_anti")
+        new = new.orderBy("_o").limit(max(0, cap - before.count())).select("_v").persist()
+        known = before.union(new)
+        out = df.join(F.broadcast(known.withColumnRenamed("_v", "_known")), F.col(field) == F.col("_known"), "left")  # at most cap rows
+        plain = F.coalesce(F.col(field), F.lit("")) == ""
+        over = ~plain & F.col("_known").isNull()
+        rows = out.withColumn("_over", over).withColumn(field, F.when(over, "_other").otherwise(F.col(field))).drop("_known").persist()
+        counts = rows.agg(F.lit(field).alias("field"), F.lit(new.count()).cast("long").alias("distinct"), F.count_if("_over").alias("rejected"))
+        write_batch({"rows": rows.drop("_over"), "admitted": new, "report": counts}, f"{base}/out", batch)
+        rows.unpersist()
+        new.unpersist()
+
+    sink: Callable[[DataFrame, int], None] = write
+    stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink).trigger(availableNow=True).start().awaitTermination()
+    total = committed(spark, f"{base}/out", "report", report).groupBy("field").agg(F.sum("distinct").alias("distinct"), F.sum("rejected").alias("rejected"))
+    return committed(spark, f"{base}/out", "rows", stream.schema), total
+
+
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """``(file, frame_seq, raw)`` of archives as they land; files must be complete when they appear.
 
