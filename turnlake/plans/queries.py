@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from turnlake.functions import columns as X
 from turnlake.operators import content, deltas, enrich, fanout, metrics, profile, threads, timing, turns
 from turnlake.sources import frames as wire
-from turnlake.sources.tables import checkpointed, table
+from turnlake.sources.tables import checkpointed, shared_dir, table
 from turnlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,6 +491,5 @@ def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
 @query("select epoch(date_trunc('hour', ts))::bigint as step, event_type, count(*) as n from events group by all")
 def streamed_counts(spark: SparkSession, d: str) -> DataFrame:
     stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/turnlake-checkpoints"
     hours = stream.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("step"), "event_type", "n")
-    return jobs.drain(hours, folder, "complete").select(F.unix_seconds("step").alias("step"), "event_type", "n")
+    return jobs.drain(hours, shared_dir(spark), "complete").select(F.unix_seconds("step").alias("step"), "event_type", "n")

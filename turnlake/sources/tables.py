@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster that names none this raises, as executors would not see each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named and not spark.sparkContext.master.startswith("local["):
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (named or os.path.join(tempfile.gettempdir(), "turnlake-shared")).rstrip("/")
 
