@@ -174,16 +174,6 @@ def cap_stream(stream: DataFrame, field: str, order: list[str], cap: int, folder
     return committed(spark, f"{base}/out", "rows", stream.schema), total
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """``(file, frame_seq, raw)`` of archives as they land; files must be complete when they appear.
-
-    A file is read whole by one task of one batch, so inside it ``frame_seq`` grows with the position; files order by name, whatever batch they
-    are in. So ``(file, frame_seq)`` is an order, and ``frame_seq`` alone is none.
-    """
-    lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl.gz").format("text").load(folder)
-    return lines.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("frame_seq"), F.col("value").alias("raw"))
-
-
 def assemble(frames: DataFrame, late: str = "10 minutes", idle_ms: int = 1_800_000) -> DataFrame:
     """Responses as they end: ``request_id, status, frames, bytes, model, output_tokens``.
 
