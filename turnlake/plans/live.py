@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from turnlake.operators import content, enrich, fanout, live, metrics, profile, reports, timing, turns
 from turnlake.plans.queries import EVENTS, PATHS, query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
-from turnlake.sources import capture, index
+from turnlake.sources import capture, index, tail
 from turnlake.sources import frames as wire
-from turnlake.sources.tables import checkpointed, committed, shared_dir, table
+from turnlake.sources.tables import checkpointed, committed, land, shared_dir, table
 from turnlake.streaming import jobs, state
 
 _END = "case when failed then ms + 1100 else ms + 5500 end"
@@ -371,6 +371,21 @@ def streamed_cap(spark: SparkSession, d: str) -> DataFrame:
     return g.crossJoin(F.broadcast(report.drop("field")))  # one row
 
 
+@query(CAPTURE + """select request_id, 'resp_' || c || '_' || t as response_id, case when failed then 'error' else 'completed' end as status, 11::bigint + (t % 3 = 0)::int as frames, true as numbered from a""")
+def tailed_archives(spark: SparkSession, d: str) -> DataFrame:
+    """Responses of archives that land in two halves, read on by a stream that stops in between; every file's lines are numbered without a gap."""
+    lines = capture.capture(table(spark, d, "conversations")).repartitionByRange(8, "frame_seq").withColumn("part", F.spark_partition_id())
+    folder = f"{shared_dir(spark)}/turnlake-archives-{uuid.uuid4().hex}"
+    lines.sortWithinPartitions("part", "frame_seq").select("part", "raw").write.partitionBy("part").option("compression", "gzip").text(f"{folder}/coming")
+    for half in (range(4), range(4, 8)):
+        for k in half:
+            land(spark, f"{folder}/coming/part={k}", f"{folder}/a/{k}")
+        rows = jobs.drain(tail.stream(spark, f"{folder}/a", "*.txt.gz"), folder, name="tail")
+    gaps = rows.groupBy("file").agg((F.max("frame_seq") + 1 == F.count_distinct("frame_seq")).alias("numbered")).agg(F.coalesce(F.bool_and("numbered"), F.lit(True)).alias("numbered"))
+    out = turns.assemble(wire.decode(rows)).select("request_id", "response_id", "status", "frames")
+    return out.crossJoin(F.broadcast(gaps))  # one row
+
+
 @query(CAPTURE + """, m as (select c, thread_id, '/root' as author, '/root/a' || (c % 3) as recipient from a where sub group by all)
 select author, recipient, count(*) as messages, count(distinct thread_id) as threads from m group by 1, 2 order by 3 desc, 1, 2 limit 20""")
 def message_graph(spark: SparkSession, d: str) -> DataFrame:

@@ -71,6 +71,16 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def land(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to where a stream looks for it, as one step; says whether there was one."""
+    fs, at = _files(spark, source)
+    _, to = _files(spark, target)
+    if not fs.exists(at):
+        return False
+    fs.mkdirs(to.getParent())
+    return fs.rename(at, to)
+
+
 def write_batch(tables: dict[str, DataFrame], folder: str, batch: int) -> bool:
     """A sink for ``foreachBatch``: all tables of a batch appear at once to :func:`committed`, or none of them; says whether they appeared now.
 
