@@ -1,6 +1,7 @@
 """Reduction, correlation, metric and forest operators on small tables, against plain loops."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -163,3 +164,23 @@ def test_registry_reports_what_it_skips_and_buckets_negative_gaps(spark):
         got = {r["metric"] for r in registry.points(done, "first_ts", ["first_seq"]).collect()}
     assert {"responses", "tokens_output"} <= got <= set(runs)
     print("RUNS", runs)
+
+
+@pytest.mark.parametrize(("parts", "held", "small"), [(1, 10**6, 10**6), (6, 10**6, 10**6), (6, 50, 10**6), (6, 10**6, 0)])
+def test_frequent_values_are_exact_however_rows_are_spread(spark, parts, held, small):
+    rng = random.Random(3)
+    rows = [("a", "id", f"i{k}", 1) for k in range(400)] + [("a", "id", v, 1) for v in ("x", "y", "y") for _ in range(60)] + [(None, "few", f"f{k % 9}", 1 + k % 3) for k in range(60)]
+    rows += [("b", "zipf", f"z{int(rng.paretovariate(0.7))}", rng.randint(1, 3)) for _ in range(900)] + [("b", "nothing", None, 5), ("b", "exact", "v", 7)] + [("b", "twenty", f"t{k}", 1) for k in range(20)]
+    rng.shuffle(rows)
+    counts = Counter()
+    for kind, path, value, n in rows:
+        if value is not None:
+            counts[kind, path, value] += n
+    expected = set()
+    for kind, path in {k[:2] for k in counts}:
+        mine = {v: n for (k, p, v), n in counts.items() if (k, p) == (kind, path)}
+        kept = mine if len(mine) <= 20 else {v: n for v, n in mine.items() if n * 20 > sum(mine.values())}
+        expected |= {(kind, path, v, n, len(mine) > 5) for v, n in sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:5]}
+    walked = spark.createDataFrame(rows, "kind string, path string, value string, n long").repartition(parts)
+    assert {tuple(r) for r in profile.frequent_values(walked, 5, 20, held, small).collect()} == expected
+    assert profile.frequent_values(walked.limit(0), 5, 20).count() == 0

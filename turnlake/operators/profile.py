@@ -86,6 +86,77 @@ def value_counts(walked: DataFrame, most: int = 200) -> DataFrame:
     return _first_of(n, ["kind", "path"], "value", [F.desc("n"), F.col("value")], most).select("kind", "path", "value", "n", "capped")
 
 
+def _summaries(walked: DataFrame, counters: int, held: int) -> DataFrame:
+    """``(kind, path, value, low, lost, whole)``: what every task knows of a path's values, in at most ``2 * counters`` rows a path.
+
+    A value's count in the task's rows is from ``low`` to ``low + lost``. When a path has more values than that, what the one after the first
+    ``counters`` has is taken from each, and those that have nothing left go: so ``lost`` is at most the task's rows over ``counters``. The row
+    without a value says how many rows the path had, and whether nothing was taken.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple, list] = {}  # of a path: its counts, what was taken, its rows
+
+        def told() -> pd.DataFrame:
+            rows = []
+            for (kind, path), (counts, lost, n) in known.items():
+                rows.append((kind, path, None, n, lost, lost == 0))
+                rows.extend((kind, path, v, c, lost, lost == 0) for v, c in counts.items())
+            known.clear()
+            return pd.DataFrame(rows, columns=["kind", "path", "value", "low", "lost", "whole"])
+
+        size = 0
+        for df in frames:
+            for kind, path, value, n in zip(df["kind"], df["path"], df["value"], df["n"], strict=True):
+                entry = known.setdefault((kind, path), [{}, 0, 0])
+                counts = entry[0]
+                size += value not in counts
+                counts[value] = counts.get(value, 0) + n
+                entry[2] += n
+                if len(counts) > 2 * counters:
+                    take = sorted(counts.values(), reverse=True)[counters]
+                    entry[0] = {v: c - take for v, c in counts.items() if c > take}
+                    entry[1] += take
+                    size -= len(counts) - len(entry[0])
+            if size > held:  # of many paths: what is known goes on, and the next rows start anew
+                yield told()
+                size = 0
+        yield told()
+
+    rows = walked.where("value is not null").select("kind", "path", "value", "n")
+    return rows.mapInPandas(run, "kind string, path string, value string, low long, lost long, whole boolean")
+
+
+def frequent_values(walked: DataFrame, most: int = 200, counters: int = 2000, held: int = 1_000_000, small: int = 200_000) -> DataFrame:
+    """``kind, path, value, n, capped``: :func:`value_counts` without a shuffle of every distinct value.
+
+    A path of at most ``counters`` distinct values gives its first ``most`` by count, then value. Of one with more, which is ``capped`` in any
+    case, only values count that have more than one row in ``counters`` of the path's; they are counted exactly too, and the result depends on
+    the rows alone, not on how they are spread. So a path of ids gives those that come up often, and none if none does.
+
+    Each task sums a path up in at most ``4 * counters`` values (and goes on anew past ``held`` of them over all paths), and only these sums are
+    shuffled. What can be frequent by them, at most about ``2 * counters`` values a path, is counted in a second pass over the rows. It is
+    broadcast up to ``small`` values and joined beyond. Null values (long texts and the like) don't count. ``walked`` is read twice.
+    """
+    if most > counters:
+        raise ValueError("counters must not be fewer than the values asked for")
+    key = ["kind", "path"]
+    sums = checkpointed(_summaries(walked, 2 * counters, held))
+    values = sums.where("value is not null").groupBy(*key, "value").agg(F.sum("low").alias("low"))
+    paths_ = sums.where("value is null").groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.sum("low").alias("_rows"), F.sum("lost").alias("_lost"), F.bool_and("whole").alias("_whole"))
+    same = F.col("kind").eqNullSafe(F.col("_kind")) & (F.col("path") == F.col("_path"))
+    distinct = values.groupBy(*key).agg(F.count("*").alias("_distinct"))
+    paths_ = distinct.join(paths_, same).select("_kind", "_path", "_rows", "_lost", "_distinct", (F.col("_whole") & (F.col("_distinct") <= counters)).alias("_few"))
+    marked = checkpointed(values.join(paths_, same).select(*key, "value", "low", "_rows", "_lost", "_distinct", "_few").where(F.col("_few") | ((F.col("low") + F.col("_lost")) * counters > F.col("_rows"))))
+    few = marked.where("_few").select(*key, "value", F.col("low").alias("n"), (F.col("_distinct") > most).alias("capped"))
+    asked = marked.where("not _few").select(*[F.col(k).alias(f"_{k}") for k in (*key, "value")], F.col("_rows").alias("_all"))
+    asked = F.broadcast(asked) if asked.count() <= small else asked
+    again = walked.where("value is not null").join(asked, same & (F.col("value") == F.col("_value"))).groupBy(*key, "value").agg(F.sum("n").alias("n"), F.first("_all").alias("_all"))
+    many = again.where(F.col("n") * counters > F.col("_all")).select(*key, "value", "n", F.lit(True).alias("capped"))
+    order = Window.partitionBy(*key).orderBy(F.desc("n"), "value")  # at most `counters` rows a path
+    return few.unionByName(many).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most).drop("_r")
+
+
 def drift(base: DataFrame, now: DataFrame) -> DataFrame:
     """Findings ``(severity, what, kind, path, json_type)`` between two signatures of :func:`induce`.
 

@@ -386,6 +386,17 @@ def tailed_archives(spark: SparkSession, d: str) -> DataFrame:
     return out.crossJoin(F.broadcast(gaps))  # one row
 
 
+@query("""with e as (select *, case when event_id % 3 = 0 then 'hot' || event_id % 5 else 'e' || event_id end as mixed from events),
+v as (select event_type as kind, 'user' as path, user_id::varchar as value from e union all select event_type, 'id', event_id::varchar from e union all select event_type, 'mixed', mixed from e union all select event_type, 'day', dayofweek(ts)::varchar from e),
+g as (select kind, path, value, count(*) as n from v group by all), t as (select *, sum(n) over p as total, count(*) over p as d from g window p as (partition by kind, path)),
+f as (select *, row_number() over (partition by kind, path order by n desc, value) as r from t where d <= 120 or n * 120 > total) select kind, path, value, n, d > 20 as capped from f where r <= 20""")
+def frequent_values(spark: SparkSession, d: str) -> DataFrame:
+    e, text = table(spark, d, "events"), lambda c: F.col(c).cast("string")
+    mixed = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("hot"), (F.col("event_id") % 5).cast("string"))).otherwise(F.concat(F.lit("e"), text("event_id")))
+    doc = F.to_json(F.struct(text("user_id").alias("user"), text("event_id").alias("id"), mixed.alias("mixed"), (F.dayofweek("ts") - 1).cast("string").alias("day")))
+    return profile.frequent_values(profile.paths(e.select("event_type", doc.alias("doc")), "event_type", "doc"), most=20, counters=120)
+
+
 @query(CAPTURE + """, m as (select c, thread_id, '/root' as author, '/root/a' || (c % 3) as recipient from a where sub group by all)
 select author, recipient, count(*) as messages, count(distinct thread_id) as threads from m group by 1, 2 order by 3 desc, 1, 2 limit 20""")
 def message_graph(spark: SparkSession, d: str) -> DataFrame:
