@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnlake.operators import content, enrich, fanout, live, metrics, profile, reports, timing, turns
-from turnlake.plans.queries import EVENTS, PATHS, query
+from turnlake.operators import content, enrich, fanout, live, metrics, nesting, profile, reports, timing, turns
+from turnlake.plans.queries import EVENTS, PATHS, oracle_sql, query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
 from turnlake.sources import capture, index, tail
 from turnlake.sources import frames as wire
@@ -48,10 +48,41 @@ s as (select {_TRACE} as trace_id, {_ROOT} as span_id, null as parent_span_id, '
     from (select q.*, (select least(count(*), 3) from c where c.c = q.c and c.t < q.t) + (back2 is not null)::int as pos from q where back1 is not null))
 select * from s""")
 def span_forest(spark: SparkSession, d: str) -> DataFrame:
+    return _traces(spark, d).select("trace_id", "span_id", "parent_span_id", "name", F.unix_millis("start").alias("start"), F.unix_millis("end").alias("end"), "state", F.size("links").alias("links"))
+
+
+def _traces(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
     calls = content.tool_calls(f)
-    spans = fanout.trace(timing.complete(turns.assemble(f), timing.timings(f)), calls, content.matched_outputs(calls, content.tool_outputs(f)))
-    return spans.select("trace_id", "span_id", "parent_span_id", "name", F.unix_millis("start").alias("start"), F.unix_millis("end").alias("end"), "state", F.size("links").alias("links"))
+    return fanout.trace(timing.complete(turns.assemble(f), timing.timings(f)), calls, content.matched_outputs(calls, content.tool_outputs(f)))
+
+
+# The same spans walked from their roots, parents first.
+_WALK = oracle_sql()["span_forest"].replace("with ", "with recursive ", 1).removesuffix("select * from s") + """, walk as (
+  select *, 0 as depth, [("start", span_id)] as way, [span_id] as line from s where parent_span_id is null
+  union all select s.*, t.depth + 1, list_append(t.way, (s."start", s.span_id)), list_append(t.line, s.span_id) from s join walk t on s.trace_id = t.trace_id and s.parent_span_id = t.span_id),
+placed as (select *, row_number() over (partition by trace_id order by way) - 1 as enter from walk)
+"""
+
+
+@query(_WALK + """, ends as (select a.trace_id, a.span_id, max(b.enter) as leave from placed a join placed b on a.trace_id = b.trace_id and list_contains(b.line, a.span_id) group by all)
+select trace_id, span_id, parent_span_id as parent, depth, enter, leave from placed join ends using (trace_id, span_id)""")
+def span_intervals(spark: SparkSession, d: str) -> DataFrame:
+    return nesting.intervals(_traces(spark, d)).select("trace_id", "span_id", "parent", "depth", "enter", "leave")
+
+
+@query(_WALK + """, pairs as (select a.trace_id, a.span_id as upper, a.name as upper_name, a.state, a.depth as upper_depth, b.span_id, b.name, b.depth from placed a join placed b on a.trace_id = b.trace_id and a.span_id <> b.span_id and list_contains(b.line, a.span_id))
+select 'under' as relation, span_id, arg_min(upper, upper_depth) as other, max(depth - upper_depth)::bigint as n from pairs where upper_name = 'turn' and state = 'error' and starts_with(name, 'invoke_agent') group by 2
+union all select 'over', upper, null, count(*) from pairs where starts_with(upper_name, 'streamText') and starts_with(name, 'critical_path.') group by 2
+union all select 'beside', a.span_id, null, count(*) from placed a join placed b on a.trace_id = b.trace_id and a.parent_span_id = b.parent_span_id and a.span_id <> b.span_id where a.name = 'tool_result' and (b.name = 'tool_result' or starts_with(b.name, 'critical_path.')) group by 2""")
+def span_structure(spark: SparkSession, d: str) -> DataFrame:
+    """Calls under failed turns, responses over phases, and results beside phases or other results."""
+    n = checkpointed(nesting.intervals(_traces(spark, d)))
+    name, none = F.col("name"), F.lit(None).cast("string").alias("other")
+    calls, phases, result = name.startswith("invoke_agent"), name.startswith("critical_path."), name == "tool_result"
+    failed = nesting.under(n, (name == "turn") & (F.col("state") == "error"), calls).select(F.lit("under").alias("relation"), "span_id", F.col("ancestor").alias("other"), F.col("levels").cast("long").alias("n"))
+    timed = nesting.over(n, name.startswith("streamText"), phases).select(F.lit("over").alias("relation"), "span_id", none, "n")
+    return failed.unionByName(timed).unionByName(nesting.beside(n, result, result | phases).select(F.lit("beside").alias("relation"), "span_id", none, "n"))
 
 
 @query(CAPTURE + """select 'streamText ' || case when t % 8 = 0 then 'm1b' else 'm1' end as name, count(*) as n from a where not failed and t > 2 group by 1""")
