@@ -85,6 +85,32 @@ def span_structure(spark: SparkSession, d: str) -> DataFrame:
     return failed.unionByName(timed).unionByName(nesting.beside(n, result, result | phases).select(F.lit("beside").alias("relation"), "span_id", none, "n"))
 
 
+@query(CAPTURE + f""", u as (select distinct thread_id, c, t // 2 as turn, 'connection' as kind, md5(c::varchar) as target_trace, '00f067aa0ba902b7' as target from a),
+parent as (select distinct c, thread_id as own, 'conv-' || par as thread_id, par from a where sub),
+links as (select {_TRACE} as trace_id, kind, target_trace, target from u
+  union all select {_TRACE.replace("thread_id", "u.thread_id")}, 'spawning_turn', {_TRACE.replace("thread_id", "p.thread_id")}, {_SPAN("'turn'", "p.thread_id", "'turn_' || par || '_0'")} from u join parent p on p.c = u.c and p.own = u.thread_id
+  union all select {_TRACE}, 'origin_tool_call', {_TRACE}, {_CALL("back1")} from a where back1 is not null)
+select *, count(*) as n from links group by all""")
+def span_links(spark: SparkSession, d: str) -> DataFrame:
+    """What spans link to: a turn to its client's connection and to the first turn of the thread that spawned it, a result to the call it answers."""
+    f = checkpointed(sessions(spark, d))
+    calls = content.tool_calls(f)
+    first = F.concat(F.lit("turn_"), F.substring_index("parent_thread_id", "-", -1), F.lit("_0"))
+    spans = fanout.trace(turns.assemble(f).withColumn("parent_turn_id", first), calls, content.matched_outputs(calls, content.tool_outputs(f)))
+    linked = spans.select("trace_id", F.explode("links").alias("l")).select("trace_id", "l.kind", F.col("l.trace_id").alias("target_trace"), F.col("l.span_id").alias("target"))
+    return linked.groupBy(*linked.columns).agg(F.count("*").alias("n"))
+
+
+@query(CAPTURE + f"""select {_RESP} as span_id, 'model=' || case when not failed and t % 8 = 0 then 'm1b' else 'm1' end || ',operation=streamText,provider=openai,request_kind=' || kind || ',response_id=' || response_id || ',status=' || case when failed then 'error' else 'completed,temperature=1.0' end
+  || ',thread_id=' || thread_id || case when failed then '' else ',top_p=0.98' end || ',turn_id=turn_' || c || '_' || (t // 2) as attrs, 0::bigint as elsewhere from a""")
+def span_attributes(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes of the spans of responses, and how many other spans have one that only a response has."""
+    spans = _traces(spark, d).select("span_id", "attrs", F.col("name").rlike("^(stream|generate)Text").alias("_response"))
+    own = F.array(F.lit("temperature"), F.lit("top_p"), F.lit("operation"), F.lit("provider"))
+    elsewhere = spans.where(~F.col("_response") & F.arrays_overlap(F.map_keys("attrs"), own)).agg(F.count("*").alias("elsewhere"))
+    return spans.where("_response").select("span_id", metrics.stable(F.col("attrs")).alias("attrs")).crossJoin(F.broadcast(elsewhere))  # one row
+
+
 @query(CAPTURE + """select 'streamText ' || case when t % 8 = 0 then 'm1b' else 'm1' end as name, count(*) as n from a where not failed and t > 2 group by 1""")
 def span_search(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
