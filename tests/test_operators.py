@@ -184,3 +184,21 @@ def test_frequent_values_are_exact_however_rows_are_spread(spark, parts, held, s
     walked = spark.createDataFrame(rows, "kind string, path string, value string, n long").repartition(parts)
     assert {tuple(r) for r in profile.frequent_values(walked, 5, 20, held, small).collect()} == expected
     assert profile.frequent_values(walked.limit(0), 5, 20).count() == 0
+
+
+def test_labels_derived_from_several_columns(spark):
+    rows = [("error", None, None, 2, 1000, "subagent", "b", {"x-a-limit-name": "c", "x-b-limit-name": "a", "x-c-limit-name": ""}), ("completed", "", "late", 0, 1012, "user", "", None), ("completed", None, "", None, None, None, None, {})]
+    df = spark.createDataFrame(rows, "status string, type string, code string, errors int, close int, source string, active string, headers map<string, string>")
+    c = F.col
+    got = df.select(metrics.failure(c("status"), c("type"), c("code")), metrics.frame_class(c("errors"), c("close")), metrics.agent_identity(c("source")), metrics.quota_names(c("active"), c("headers"))).collect()
+    assert [tuple(r) for r in got] == [("sdk_error", "error", "codex/subagent", "a,b,c"), ("sdk_error", "close", "codex", ""), (None, None, "codex", "")]
+
+
+def test_digest_plan_counts_calls_of_sessions_and_the_whole(spark):
+    from turnlake.operators import reports
+
+    units = spark.createDataFrame([("a", 10, 1), ("b", 20, 3), ("c", 5, 2), ("d", 7, 1), ("x", 1, 1)], "node string, chars long, passes long")
+    trees = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "c"), ("d", "c"), ("x", None)], "node string, root string")
+    got = {r["session"]: tuple(r)[1:] for r in reports.digest_plan(units, trees).collect()}
+    assert got == {"a": (30, 1, 1, 6), "c": (12, 2, 1, 5), None: (42, 3, 2, 12)}
+    assert [tuple(r) for r in reports.digest_plan(units.limit(0), trees).collect()] == [(None, 0, 0, 0, 1)]

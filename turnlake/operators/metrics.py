@@ -115,6 +115,32 @@ def error_category(kind: Column, code: Column) -> Column:
     return out.otherwise("other")
 
 
+#: The names of an agent and of one that another spawned, and the only category of errors.
+AGENT, SUBAGENT, SDK_ERROR = "codex", "codex/subagent", "sdk_error"
+
+
+def failure(status: Column, error_type: Column, error_code: Column) -> Column:
+    """The category of a response that failed, or says an error; null for others."""
+    said = (F.coalesce(error_type, F.lit("")) != "") | (F.coalesce(error_code, F.lit("")) != "")
+    return F.when((status == "error") | said, F.lit(SDK_ERROR))
+
+
+def frame_class(errors: Column, close_code: Column) -> Column:
+    """What a connection's end was: an error wins over a close; null while it is open."""
+    return F.when(errors > 0, "error").when(close_code.isNotNull(), "close")
+
+
+def agent_identity(thread_source: Column) -> Column:
+    return F.when(thread_source == "subagent", SUBAGENT).otherwise(AGENT)
+
+
+def quota_names(active: Column, headers: Column) -> Column:
+    """The names of the limits of a quota failure, sorted and joined: the active one, and all that its headers (lower-case) name. Empty without any."""
+    named = F.map_values(F.map_filter(headers, lambda k, v: F.endswith(k, F.lit("-limit-name"))))
+    every = F.concat(F.array(active), F.coalesce(named, F.array().cast("array<string>")))
+    return F.array_join(F.array_sort(F.filter(every, lambda x: x.isNotNull() & (x != ""))), ",")
+
+
 def response_model(retry: Column, model: Column) -> Column:
     """The model that answered: a retry's wins."""
     return F.coalesce(F.nullif(retry, F.lit("")), model)

@@ -70,6 +70,24 @@ def call_estimate(chunks: DataFrame, thread: str, has_children: str) -> DataFram
     return g.select(thread, "chars", passes.alias("passes"), (passes + F.when(passes > 1, 1).otherwise(0) + F.when(F.col("_h"), 1).otherwise(0)).alias("calls"))
 
 
+def digest_plan(units: DataFrame, trees: DataFrame) -> DataFrame:
+    """``session, chars, passes, subagents, calls``: what a digest of every session reads and asks, and in the row without a session all of it.
+
+    ``units`` are ``(node, chars, passes)`` of each thread, ``trees`` its ``(node, root)`` from a forest. A thread takes a call a pass, and one more
+    to join several; a session takes all its threads' calls, and one more to fold its subagents in. The whole takes one more to roll up the
+    sessions, so without any it takes one. Threads without a root, that are on a cycle or under one, belong to no session.
+    """
+    calls = F.col("passes") + F.when(F.col("passes") > 1, 1).otherwise(0)
+    own = F.col("node") == F.col("root")
+    g = units.join(trees.where("root is not null").select("node", "root"), "node").groupBy(F.col("root").alias("session")).agg(
+        F.sum("chars").alias("chars"), F.max(F.when(own, F.col("passes"))).alias("passes"), F.count_if(~own).alias("subagents"), F.sum(calls).alias("calls"),
+    )
+    g = g.withColumn("calls", F.col("calls") + F.when(F.col("subagents") > 0, 1).otherwise(0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    whole = g.agg(total("chars"), total("passes"), total("subagents"), total("calls")).select(F.lit(None).cast(g.schema["session"].dataType).alias("session"), "chars", "passes", "subagents", (F.col("calls") + 1).alias("calls"))
+    return g.unionByName(whole)
+
+
 def message_edges(messages: DataFrame, top: int = 20) -> DataFrame:
     """``author, recipient, messages, threads``: who writes to whom in agents' messages, the ``top`` edges with most of them, ties by name.
 

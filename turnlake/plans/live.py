@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnlake.operators import content, enrich, fanout, live, metrics, nesting, profile, reports, timing, turns
+from turnlake.operators import content, enrich, fanout, live, metrics, nesting, profile, reports, threads, timing, turns
 from turnlake.plans.queries import EVENTS, PATHS, oracle_sql, query
 from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
 from turnlake.sources import capture, index, tail
@@ -454,6 +454,32 @@ def frequent_values(spark: SparkSession, d: str) -> DataFrame:
     return profile.frequent_values(profile.paths(e.select("event_type", doc.alias("doc")), "event_type", "doc"), most=20, counters=120)
 
 
+@query("""with recursive s as (select conv_id, length(coalesce(text, ''))::bigint as n, row_number() over (partition by conv_id order by turn) as rn from conversations),
+r as (select conv_id, n, rn, 0 as chunk, n as used from s where rn = 1 union all
+  select s.conv_id, s.n, s.rn, r.chunk + case when r.used > 0 and r.used + s.n > 1500 then 1 else 0 end, case when r.used > 0 and r.used + s.n > 1500 then s.n else r.used + s.n end from r join s on s.conv_id = r.conv_id and s.rn = r.rn + 1),
+u as (select conv_id, sum(n)::bigint as chars, (max(chunk) + 1)::bigint as passes, case when conv_id % 4 > 0 and conv_id // 3 <> conv_id then conv_id // 3 end as up from r group by conv_id),
+t as (select conv_id, conv_id as root from u where up is null or up not in (select conv_id from u) union all select u.conv_id, t.root from u join t on u.up = t.conv_id),
+g as (select root as session, sum(chars)::bigint as chars, max(passes) filter (root = conv_id) as passes, count(*) - 1 as subagents, (sum(passes + (passes > 1)::int) + (count(*) > 1)::int)::bigint as calls from u join t using (conv_id) group by 1)
+select * from g union all select null, coalesce(sum(chars), 0)::bigint, coalesce(sum(passes), 0)::bigint, coalesce(sum(subagents), 0)::bigint, coalesce(sum(calls), 0)::bigint + 1 from g""")
+def digest_plan(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "conversations").select("conv_id", "turn", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n"))
+    units = threads.pack_chunks(c, ["conv_id"], "turn", "n", 1500).groupBy(F.col("conv_id").alias("node")).agg(F.sum("n").alias("chars"), (F.max("chunk") + 1).cast("long").alias("passes"))
+    units = checkpointed(units)
+    up = F.when((F.col("node") % 4 > 0) & (F.expr("node div 3") != F.col("node")), F.expr("node div 3"))
+    return reports.digest_plan(units, threads.climb(units.select("node", up.alias("parent")), "node", "parent"))
+
+
+@query(CAPTURE + """select request_id, case when not failed and t % 10 = 3 then 'safe' when not failed and t % 8 = 0 then 'm1b' else 'm1' end as model, case when failed then 'sdk_error' end as category, 'codex' || case when sub then '/subagent' else '' end as agent,
+  case when failed then 'primary' else '' end as limits from a""")
+def turn_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The labels of a response that are derived from several of its columns."""
+    c, t = F.col, turns.assemble(sessions(spark, d))
+    limits = metrics.quota_names(turns.quota_failure(c("error_headers"))["active_limit"], c("error_headers"))
+    return t.select(
+        "request_id", metrics.response_model(c("safety_retry_model"), c("model")).alias("model"), metrics.failure(c("status"), c("error_type"), c("error_code")).alias("category"), metrics.agent_identity(c("thread_source")).alias("agent"), limits.alias("limits"),
+    )
+
+
 @query(CAPTURE + """, m as (select c, thread_id, '/root' as author, '/root/a' || (c % 3) as recipient from a where sub group by all)
 select author, recipient, count(*) as messages, count(distinct thread_id) as threads from m group by 1, 2 order by 3 desc, 1, 2 limit 20""")
 def message_graph(spark: SparkSession, d: str) -> DataFrame:
