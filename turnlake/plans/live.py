@@ -443,15 +443,17 @@ def tailed_archives(spark: SparkSession, d: str) -> DataFrame:
     return out.crossJoin(F.broadcast(gaps))  # one row
 
 
-@query("""with e as (select *, case when event_id % 3 = 0 then 'hot' || event_id % 5 else 'e' || event_id end as mixed from events),
-v as (select event_type as kind, 'user' as path, user_id::varchar as value from e union all select event_type, 'id', event_id::varchar from e union all select event_type, 'mixed', mixed from e union all select event_type, 'day', dayofweek(ts)::varchar from e),
-g as (select kind, path, value, count(*) as n from v group by all), t as (select *, sum(n) over p as total, count(*) over p as d from g window p as (partition by kind, path)),
+@query("""with e as (select role as kind, conv_id, turn, conv_id || '-' || turn as id, case when turn % 3 = 0 then 'hot' || conv_id % 5 else 'e' || conv_id || '-' || turn end as mixed from conversations),
+v as (select kind, 'conv' as path, conv_id::varchar as value from e union all select kind, 'id', id from e union all select kind, 'mixed', mixed from e union all select kind, 'place', (turn % 7)::varchar from e),
+g as (select kind, path, value, count(*) as n from v where value is not null group by all), t as (select *, sum(n) over p as total, count(*) over p as d from g window p as (partition by kind, path)),
 f as (select *, row_number() over (partition by kind, path order by n desc, value) as r from t where d <= 120 or n * 120 > total) select kind, path, value, n, d > 20 as capped from f where r <= 20""")
 def frequent_values(spark: SparkSession, d: str) -> DataFrame:
-    e, text = table(spark, d, "events"), lambda c: F.col(c).cast("string")
-    mixed = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("hot"), (F.col("event_id") % 5).cast("string"))).otherwise(F.concat(F.lit("e"), text("event_id")))
-    doc = F.to_json(F.struct(text("user_id").alias("user"), text("event_id").alias("id"), mixed.alias("mixed"), (F.dayofweek("ts") - 1).cast("string").alias("day")))
-    return profile.frequent_values(profile.paths(e.select("event_type", doc.alias("doc")), "event_type", "doc"), most=20, counters=120)
+    """Values of documents with an id that never repeats, one that repeats evenly, one with a few frequent values among ids, and a short enum."""
+    c, t, text = F.col("conv_id"), F.col("turn"), lambda x: x.cast("string")
+    name = F.concat(text(c), F.lit("-"), text(t))
+    mixed = F.when(t % 3 == 0, F.concat(F.lit("hot"), text(c % 5))).otherwise(F.concat(F.lit("e"), name))
+    doc = F.to_json(F.struct(text(c).alias("conv"), name.alias("id"), mixed.alias("mixed"), text(t % 7).alias("place")))
+    return profile.frequent_values(profile.paths(table(spark, d, "conversations").select("role", doc.alias("doc")), "role", "doc"), most=20, counters=120)
 
 
 @query("""with recursive s as (select conv_id, length(coalesce(text, ''))::bigint as n, row_number() over (partition by conv_id order by turn) as rn from conversations),
