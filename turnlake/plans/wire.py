@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlake.functions import columns as X
@@ -179,6 +179,41 @@ def _accounts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFr
     return s, u, enrich.eligibility(s.select("account_id"), keys, rights, "account_id", "api_key")
 
 
+def _ended(spark: SparkSession, d: str) -> DataFrame:
+    """Responses, two of three with a connection's last word in the place of a frame that they lack, and every fifth such word without a response."""
+    c, t, say = F.col("conv_id"), F.col("turn"), lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in p])
+    how = F.when(t % 3 == 1, "close").when(t % 3 == 2, "error")
+
+    def frame(request: Column, place: int, text: Column, kind: Column, code: Column) -> Column:
+        raw = F.to_json(F.struct(request.alias("request_id"), F.struct(text.alias("text")).alias("payload"), F.struct(kind.alias("frame_type"), code.alias("close_code")).alias("extra")))
+        return F.struct((c * 1_000_000 + t * 100 + place).alias("frame_seq"), raw.alias("raw"))
+
+    own = F.when(how.isNotNull(), frame(say("ws_", c, "_", t), 6, say("going ", t), how, F.when(how == "close", (c % 3 + 1000).cast("int"))))
+    lone = F.when(t % 5 == 0, frame(F.lit(""), 50, say("bye ", c), F.lit("close"), F.lit(1012)))
+    conversations = table(spark, d, "conversations")
+    ends = conversations.where("role = 'assistant'").select(F.explode(F.array(own, lone)).alias("e")).where("e is not null").select("e.*")
+    f = checkpointed(wire.decode(capture.capture(conversations).select("frame_seq", "raw").unionByName(ends).withColumn("file", F.lit("0"))))
+    loose = turns.assemble(turns.loose(f).withColumn("request_id", F.concat(F.lit("frame-"), F.col("frame_seq").cast("string"))))
+    return turns.assemble(f).unionByName(loose)
+
+
+@query(CAPTURE + """select request_id, 12::bigint as frames, case when t % 3 > 0 then 'going ' || t end as transport_event, case when t % 3 = 1 then (1000 + c % 3)::int end as close_code, (t % 3 = 2)::int::bigint as frame_errors,
+  case t % 3 when 1 then 'close' when 2 then 'error' end as frame_class from a
+union all select 'frame-' || (c * 1000000 + t * 100 + 50), 1, 'bye ' || c, 1012, 0, 'close' from a where t % 5 = 0""")
+def transport_ends(spark: SparkSession, d: str) -> DataFrame:
+    t = _ended(spark, d)
+    return t.select("request_id", "frames", "transport_event", "close_code", "frame_errors", metrics.frame_class(F.col("frame_errors"), F.col("close_code")).alias("frame_class"))
+
+
+@query(CAPTURE + """, e as (select case when t % 3 = 1 then (1000 + c % 3)::varchar end as close_code from a where t % 3 > 0 union all select '1012' from a where t % 5 = 0)
+select close_code, count(*)::double as n from e group by 1""")
+def transport_events(spark: SparkSession, d: str) -> DataFrame:
+    """The metric of the same, by the code of the close."""
+    only = [m for m in registry.METRICS if m.name == "transport_events"]
+    points = registry.points(_ended(spark, d), "last_ts", ["first_seq"], only)
+    return points.groupBy(F.col("attrs")["close_code"].alias("close_code")).agg(F.sum("value").alias("n"))
+
+
 def metric_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Everything that the registry reads, with ``ts`` and ``o`` in every table."""
     f = checkpointed(sessions(spark, d))
