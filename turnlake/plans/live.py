@@ -53,8 +53,8 @@ def span_forest(spark: SparkSession, d: str) -> DataFrame:
 
 def _traces(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
-    calls = content.tool_calls(f)
-    return fanout.trace(timing.complete(turns.assemble(f), timing.timings(f)), calls, content.matched_outputs(calls, content.tool_outputs(f)))
+    t, calls = checkpointed(timing.complete(turns.assemble(f), timing.timings(f))), checkpointed(content.tool_calls(f))  # each kind of span reads them
+    return fanout.trace(t, calls, content.matched_outputs(calls, content.tool_outputs(f)))
 
 
 # The same spans walked from their roots, parents first.
