@@ -9,7 +9,9 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from turnlake.operators import content
+from turnlake.plans import live as plans
 from turnlake.sources import frames as wire
+from turnlake.sources.tables import committed
 from turnlake.streaming import jobs, state
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -79,6 +81,37 @@ def test_a_stream_of_mixed_batches_correlates_as_a_batch_does_and_goes_on_after_
     assert Counter(tuple(r) for r in run().select(*content_columns()).collect()) == direct(rows, 20, 4)
 
 
+def test_a_fold_of_large_batches_holds_what_threads_hold_and_goes_on_after_a_stop(spark, tmp_path):
+    rows = made(5, 240, times=False) + [("d", "x", True, 240, T0 + timedelta(days=99), "r240"), ("d", "x", False, 241, T0 + timedelta(days=99), "r241")]
+    rng, parts = random.Random(2), [rows[:50], rows[50:51], rows[51:140], rows[140:240], rows[240:]]
+
+    def put(k):
+        spark.createDataFrame(rng.sample(parts[k], len(parts[k])), ROWS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = spark.readStream.schema(ROWS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        return jobs.correlate_stream(stream, *NAMES, folder=str(tmp_path), hours=20, most=4, name="calls")
+
+    for k in range(5):
+        put(k)
+        if k in (1, 4):
+            got = run()
+    assert Counter(tuple(r) for r in got.select(*content_columns()).collect()) == direct(rows, 20, 4)
+    held = committed(spark, str(tmp_path / "turnlake-calls-calls" / "out"), "rows", "thread string, ref string, _n long", newest=True).where("_n is not null")
+    assert 0 < held.where("_n > 0").groupBy("thread").count().agg({"count": "max"}).first()[0] <= 4  # and no results of other batches
+
+
+def test_batches_of_many_rows_are_files_of_several_tasks_and_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(plans, "BATCH_ROWS", 10)
+    some = [*range(120), *[500] * 3]  # the second and third batch are empty, the last has fewer rows than files
+    stream, folder = plans._batches(spark, spark.createDataFrame([(i,) for i in some], "i long"), "i", 4)
+    seen = []
+    write = stream.writeStream.option("checkpointLocation", f"{folder}/c").foreachBatch(lambda df, _: seen.append(sorted(r[0] for r in df.collect())))
+    write.trigger(availableNow=True).start().awaitTermination()
+    assert seen == [list(range(120)), [], [], [500] * 3]
+    assert spark.read.parquet(f"{folder}/rows").where("i < 120").select("_metadata.file_name").distinct().count() == 4
+
+
 def content_columns():
     return ["thread", "call_id", "is_call", "o", "ref", "occurrence", "match", "matched_ref"]
 

@@ -278,14 +278,23 @@ def _stream(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, str]:
     return spark.readStream.schema(kept.schema).parquet(folder), folder.rsplit("/", 1)[0]
 
 
+#: Rows that a file of a batch has; larger batches are written and read by several tasks.
+BATCH_ROWS = 250_000
+
+
 def _batches(spark: SparkSession, rows: DataFrame, by: str, n: int) -> tuple[DataFrame, str]:
     """A stream that gives a table's rows in ``n`` batches by a column's ranges, in no order inside a batch, and the folder it is below."""
-    low, high = rows.agg(F.min(by), F.max(by)).first()
+    low, high, count = rows.agg(F.min(by), F.max(by), F.count("*")).first()
     part = F.floor((F.col(by) - F.lit(low)) * n / F.lit((high or 0) - (low or 0) + 1))
     folder = f"{shared_dir(spark)}/turnlake-batches-{uuid.uuid4().hex}"
+    files = max(1, -(-count // (n * BATCH_ROWS)))
+    none = spark.createDataFrame([], rows.schema).coalesce(1)
     for k in range(n):  # a stream takes files in the order in which they were written
-        rows.where(part == k).coalesce(1).sortWithinPartitions(F.xxhash64(by)).write.mode("append").parquet(f"{folder}/rows")
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/rows"), folder
+        rows.where(part == k).repartition(files).sortWithinPartitions(F.xxhash64(by)).write.mode("append").parquet(f"{folder}/rows")
+        there = len(spark.read.schema(rows.schema).parquet(f"{folder}/rows").inputFiles())
+        for _ in range((k + 1) * files - there):  # a part without rows has no file, and would be made up for from the next batch
+            none.write.mode("append").parquet(f"{folder}/rows")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/rows"), folder
 
 
 @query("""with m as (select max(ts) as last from events) select epoch(date_trunc('hour', ts))::bigint as step, event_type, count(*) as n from events, m group by date_trunc('hour', ts), event_type, last
@@ -387,7 +396,7 @@ def call_correlation(spark: SparkSession, d: str) -> DataFrame:
 def streamed_correlation(spark: SparkSession, d: str) -> DataFrame:
     """The same from a stream of four batches, which follow each other in order and are mixed inside."""
     stream, folder = _batches(spark, table(spark, d, "events"), "event_id", 4)
-    out = jobs.drain(state.correlate(_calls(stream), "thread", "call_id", "is_call", "event_id", "ts", "ref"), folder, parts=True)
+    out = jobs.correlate_stream(_calls(stream), "thread", "call_id", "is_call", "event_id", "ts", "ref", folder)
     return out.select("thread", "call_id", "event_id", "occurrence", "match", "matched_ref")
 
 

@@ -111,12 +111,12 @@ def write_batch(tables: dict[str, DataFrame], folder: str, batch: int) -> bool:
     return False
 
 
-def committed(spark: SparkSession, folder: str, name: str, schema: StructType | str) -> DataFrame:
-    """A table's rows of all batches with a manifest; without one it is empty. A batch that lacks the table adds nothing."""
+def committed(spark: SparkSession, folder: str, name: str, schema: StructType | str, newest: bool = False) -> DataFrame:
+    """A table's rows of all batches with a manifest, or of the newest one; without one it is empty. A batch that lacks the table adds nothing."""
     base = folder.rstrip("/")
     fs, at = _files(spark, f"{base}/{_MANIFEST}")
     found = [s.getPath().toString() for s in fs.listStatus(at)] if fs.exists(at) else []
-    names = [f for f in found if f.endswith(".json")]
+    names = sorted(f for f in found if f.endswith(".json"))[-1 if newest else 0 :]
     places = []
     if names:
         rows = spark.read.text(names, wholetext=True).select(F.get_json_object("value", f"$['{name}']").alias("place")).where("place is not null")

@@ -7,10 +7,12 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from turnlake.operators.content import CORRELATED, CallIndex
 from turnlake.sources.tables import committed, write_batch
 
 
@@ -174,6 +176,71 @@ def cap_stream(stream: DataFrame, field: str, order: list[str], cap: int, folder
     return committed(spark, f"{base}/out", "rows", stream.schema), total
 
 
+def correlate_stream(stream: DataFrame, thread: str, call: str, is_call: str, order: str, ts: str, ref: str, folder: str, hours: int = 24, most: int = 512, late: str = "10 minutes", name: str | None = None) -> DataFrame:
+    """:func:`turnlake.operators.content.correlate` on a stream of large batches: a batch's threads are folded over sorted rows, as in a batch job.
+
+    What the threads still hold is part of what a batch delivers, and the next one reads it from there; so a batch that is tried again finds it as
+    it was. :func:`turnlake.streaming.state.correlate` keeps it in a state store instead, at several round trips for each thread of a batch: for
+    batches that touch few of many threads. Batches must come in the rows' order; inside a batch they are put in order. Rows whose time is null, or
+    that lie more than ``late`` before the newest time in the threads of the batches before, are dropped. A thread that has been silent for ``hours``
+    by that clock isn't held on. A task holds a batch of rows and one thread's calls, at most ``most``.
+    """
+    spark = stream.sparkSession
+    base = f"{folder.rstrip('/')}/turnlake-calls-{name or uuid.uuid4().hex}"
+    names = [thread, call, is_call, order, ref]
+    kinds = dict(stream.withColumn(ref, F.col(ref).cast("string")).dtypes)
+    # a row of what is held has a number: 0 for a thread's clock, else the call's
+    schema = ", ".join(f"{c} {kinds[c]}" for c in names) + f", {CORRELATED}, _n long, _us long, _answered boolean"
+
+    def fold(batches: Iterator[pa.RecordBatch], since: int | None) -> Iterator[pa.RecordBatch]:
+        def left(who, index: CallIndex | None) -> list[tuple]:
+            if index is None or since is not None and index.clock + hours * 3_600_000_000 <= since:
+                return []
+            calls = [(who, of, None, None, name, occurrence, None, None, n, at, answered) for n, (of, at, occurrence, name, answered) in index.entries.items()]
+            return [(who, None, None, None, None, None, None, None, 0, index.clock, None), *calls]
+
+        def pack(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * len(types), types, strict=True)], columns)
+
+        last, index, types, columns = None, None, [], []
+        for batch in batches:
+            types, columns, out = batch.schema.types, batch.schema.names, []
+            for who, of, calls, at, own, occurrence, _, _, n, us, answered in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if index is None or who != last:
+                    out += left(last, index)
+                    last, index = who, CallIndex(hours, most)
+                if n == 0:
+                    index.clock = us
+                elif n is not None:
+                    index.put(n, [of, us, occurrence, own, answered])
+                    index.made = n
+                elif calls:
+                    out.append((who, of, calls, at, own, index.record(of, us, own), None, None, None, None, None))
+                else:
+                    match, matched, occurrence = index.lookup(of, us)
+                    out.append((who, of, calls, at, own, occurrence, match, matched, None, None, None))
+            yield pack(out)
+        yield from [pack(left(last, index))] if types else []
+
+    def write(df: DataFrame, batch: int) -> None:
+        held = committed(spark, f"{base}/out", "rows", schema, newest=True).where("_n is not null")
+        since = held.agg(F.unix_micros(F.timestamp_micros(F.max(F.when(F.col("_n") == 0, F.col("_us")))) - F.expr(f"interval {late}"))).first()[0]
+        blank = {c: F.lit(None).cast(t) for c, t in (("occurrence", "int"), ("match", "string"), ("matched_ref", "string"), ("_n", "long"), ("_us", "long"), ("_answered", "boolean"))}
+        rows = df.where(F.col(is_call).isNotNull() & F.col(ts).isNotNull()).withColumn(ref, F.col(ref).cast("string")).select(*names, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+        if since is not None:
+            rows = rows.where(F.col("_us") > since)
+        known = (F.coalesce(thread, F.lit("")) != "") & (F.coalesce(call, F.lit("")) != "")
+        apart = rows.where(~known).withColumns(blank | {"match": F.when(~F.col(is_call), "none")})
+        rows = held.unionByName(rows.where(known).withColumns({c: v for c, v in blank.items() if c != "_us"}))
+        rows = rows.repartition(thread).sortWithinPartitions(thread, F.asc_nulls_last("_n"), order, ref)
+        done = rows.mapInArrow(lambda batches: fold(batches, since), schema)
+        write_batch({"rows": done.unionByName(apart)}, f"{base}/out", batch)
+
+    sink: Callable[[DataFrame, int], None] = write
+    stream.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink).trigger(availableNow=True).start().awaitTermination()
+    return committed(spark, f"{base}/out", "rows", schema).where("_n is null").drop("_n", "_us", "_answered")
+
+
 def assemble(frames: DataFrame, late: str = "10 minutes", idle_ms: int = 1_800_000) -> DataFrame:
     """Responses as they end: ``request_id, status, frames, bytes, model, output_tokens``.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -96,41 +96,58 @@ def closed(frames: DataFrame, late: str = "10 minutes", idle_ms: int = 1_800_000
 
 
 class _Calls(StatefulProcessor):
-    """A thread's call index, as a map from an entry's number to the entry: a batch writes the entries that it makes, answers or drops."""
+    """A thread's call index, as a map from an entry's number to the entry: a batch writes the entries that it makes, answers or drops.
+
+    Each use of state is a round trip to the JVM, so a thread has one small value beside the map: its clock, how many calls it made, and when its
+    timer is due. The timer isn't moved on by a batch. When it is due too early, it is set anew.
+    """
 
     def __init__(self, names: list[str], hours: int, most: int) -> None:
         self.names, self.hours, self.most = names, hours, most
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.row = handle, Row(*self.names)
         self.entries = handle.getMapState("entries", "n long", "call string, at long, occurrence int, ref string, answered boolean")
-        self.clock = handle.getValueState("clock", "at long, made long")
-        self.silence = _Silence(handle, "until")
+        self.clock = handle.getValueState("clock", "at long, made long, due long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        clock, made = self.clock.get() if self.clock.exists() else (None, 0)
+    def _until(self, clock: int, watermark: int) -> int:
+        return max(clock // 1000 + self.hours * 3_600_000, watermark + 1)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.clock.get()
+        clock, made, due = before or (None, 0, None)
         index = CallIndex(self.hours, self.most, clock, made)
-        for (n,), entry in sorted(self.entries.iterator()) if self.entries.exists() else ():
+        for (n,), entry in sorted(self.entries.iterator()) if before else ():
             index.put(n, list(entry))
         out = []
-        for call, is_call, order, ref, at in pd.concat(list(rows)).sort_values(["order", "ref"])[["call", "is_call", "order", "ref", "us"]].itertuples(index=False, name=None):
-            if is_call:
-                out.append((key[0], call, is_call, order, ref, index.record(call, int(at), ref), None, None))
+        for r in sorted(rows, key=lambda r: (r["order"], r["ref"])):
+            if r["is_call"]:
+                found = index.record(r["call"], r["us"], r["ref"]), None, None
             else:
-                match, matched, occurrence = index.lookup(call, int(at))
-                out.append((key[0], call, is_call, order, ref, occurrence, match, matched))
+                match, matched, occurrence = index.lookup(r["call"], r["us"])
+                found = occurrence, match, matched
+            out.append(self.row(key[0], r["call"], r["is_call"], r["order"], r["ref"], *found))
         for n in index.dropped:
             if n <= made:
                 self.entries.removeKey((n,))
         for n in index.changed & index.entries.keys():
             self.entries.updateValue((n,), tuple(index.entries[n]))
-        self.clock.update((index.clock, index.made))
-        self.silence.move(index.clock // 1000 + self.hours * 3_600_000, timerValues.getCurrentWatermarkInMs())
-        yield pd.DataFrame(out, columns=self.names).astype({self.names[5]: "Int32"})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.entries.clear()
-        self.clock.clear()
-        self.silence.at.clear()
+        if due is None:
+            due = self._until(index.clock, timerValues.getCurrentWatermarkInMs())
+            self.handle.registerTimer(due)
+        self.clock.update((index.clock, index.made, due))
+        yield from out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        clock, made, _ = self.clock.get()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if clock // 1000 + self.hours * 3_600_000 > watermark:
+            due = self._until(clock, watermark)
+            self.handle.registerTimer(due)
+            self.clock.update((clock, made, due))
+        else:
+            self.entries.clear()
+            self.clock.clear()
         yield from ()
 
     def close(self) -> None:
@@ -154,4 +171,4 @@ def correlate(stream: DataFrame, thread: str, call: str, is_call: str, order: st
     ).groupBy("thread")
     out = ", ".join(f"{c} {kinds[c]}" for c in names) + ", " + CORRELATED
     columns = [*names, "occurrence", "match", "matched_ref"]
-    return keyed.transformWithStateInPandas(_Calls(columns, hours, most), out, "Append", "EventTime").unionByName(apart)
+    return keyed.transformWithState(_Calls(columns, hours, most), out, "Append", "EventTime").unionByName(apart)
