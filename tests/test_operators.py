@@ -202,3 +202,16 @@ def test_digest_plan_counts_calls_of_sessions_and_the_whole(spark):
     got = {r["session"]: tuple(r)[1:] for r in reports.digest_plan(units, trees).collect()}
     assert got == {"a": (30, 1, 1, 6), "c": (12, 2, 1, 5), None: (42, 3, 2, 12)}
     assert [tuple(r) for r in reports.digest_plan(units.limit(0), trees).collect()] == [(None, 0, 0, 0, 1)]
+
+
+def test_the_registry_sorts_gauges_only_and_compiles_its_cells(spark):
+    made = [registry.Metric("n", "counter", "v", "v > 0", ("b", "a")), registry.Metric("h", "histogram", "cast(v as double)", "v is not null", ("a",), (1.0, 2.0)), registry.Metric("g", "gauge", "cast(v as double)", "true", ("a",))]
+    rows = registry.points(spark.createDataFrame([("x", "y", 1, 1), ("x", None, 2, 2), ("", "y", 3, 3), ("x", "y", None, 4), ("x", "y", 2, 0)], "a string, b string, v int, o int"), "o", ["o"], made)
+    got = registry.aggregate(rows, made)
+    assert sorted((r["metric"], r["labels"], r["value"], r["count"], r["buckets"]) for r in got.collect()) == [
+        ("g", "", 3.0, 1, None), ("g", "a=x", 2.0, 3, None), ("h", "", 3.0, 1, [0, 0, 1]), ("h", "a=x", 5.0, 3, [1, 2, 0]),
+        ("n", "a=x", 2.0, 1, None), ("n", "a=x,b=y", 3.0, 2, None), ("n", "b=y", 3.0, 1, None),
+    ]
+    assert sorted(r["labels"] for r in registry.aggregate(rows.drop("labels"), made).collect()) == sorted(r["labels"] for r in got.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[metric" in plan and "lambdafunction" not in plan.lower()

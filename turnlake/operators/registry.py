@@ -102,7 +102,8 @@ def _missing(columns: Iterable[str], registry: Iterable[Metric]) -> dict[str, li
 
 
 def points(turns: DataFrame, ts: str, order: list[str], registry: Iterable[Metric] = METRICS, table: str = "turns") -> DataFrame:
-    """``(metric, kind, ts, seq, attrs, value)``: one row for each metric that a turn has a value for, in a single pass over the turns.
+    """``(metric, kind, ts, seq, attrs, value, labels)``: one row for each metric that a turn has a value for, in a single pass over the turns.
+    ``labels`` is the stable text of ``attrs``.
 
     ``table`` names what the rows are, turns or one of their child tables. Warns of the metrics that the columns can't give, and names those that
     are missing. Null and not-a-number values are no points; labels without a value are left out; rows of equal order are all counted.
@@ -112,11 +113,14 @@ def points(turns: DataFrame, ts: str, order: list[str], registry: Iterable[Metri
     if skipped:
         warnings.warn(f"{len(skipped)} of {len(registry)} metrics are left out: " + "; ".join(f"{k} lacks {', '.join(v)}" for k, v in skipped.items()), stacklevel=2)
     for m in (m for m in registry if m.name not in skipped):
-        attrs = metrics.attributes(**{k: F.col(k) for k in m.labels})
-        cell = F.struct(F.lit(m.name).alias("metric"), F.lit(m.kind).alias("kind"), attrs.alias("attrs"), F.expr(m.value).cast("double").alias("value"))
+        names = sorted(m.labels)
+        text = F.concat_ws(",", *[F.when(F.col(k).cast("string") != "", F.concat(F.lit(f"{k}="), F.col(k).cast("string"))) for k in names])
+        values = F.array(*[F.col(k).cast("string") for k in names])
+        cell = F.struct(F.lit(m.name).alias("metric"), F.lit(m.kind).alias("kind"), F.array(*[F.lit(k) for k in names]).alias("names"), values.alias("values"), text.alias("labels"), F.expr(m.value).cast("double").alias("value"))
         cells.append(F.when(F.expr(m.when), cell))
-    rows = turns.select(F.col(ts).alias("ts"), F.struct(*order).alias("seq"), F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("p"))
-    return rows.where("p.value is not null and not isnan(p.value)").select("p.metric", "p.kind", "ts", "seq", "p.attrs", "p.value")
+    rows = turns.select(F.col(ts).alias("ts"), F.struct(*order).alias("seq"), F.explode(F.array(*cells)).alias("p"))  # nulls go in the next step, where no lambda keeps the cells from being compiled
+    some = F.map_filter(F.map_from_arrays("p.names", "p.values"), lambda k, v: v.isNotNull() & (v != ""))
+    return rows.where("p.value is not null and not isnan(p.value)").select("p.metric", "p.kind", "ts", "seq", some.alias("attrs"), "p.value", "p.labels")
 
 
 def all_points(tables: dict[str, DataFrame], ts: str, order: list[str], registry: Iterable[Metric] = METRICS) -> DataFrame:
@@ -129,16 +133,27 @@ def all_points(tables: dict[str, DataFrame], ts: str, order: list[str], registry
 
 
 def aggregate(rows: DataFrame, registry: Iterable[Metric] = METRICS) -> DataFrame:
-    """``(metric, kind, labels, value, count, buckets)``: counters add, histograms bucket, gauges keep the last value."""
-    bounds = {m.name: m.bounds for m in registry if m.bounds}
-    by_name = F.create_map(*[x for k, b in bounds.items() for x in (F.lit(k), F.array(*[F.lit(float(v)) for v in b]))])
-    keyed = rows.withColumns({"labels": metrics.stable(F.col("attrs")), "_b": F.size(F.filter(by_name[F.col("metric")], lambda b: b < F.col("value")))})
+    """``(metric, kind, labels, value, count, buckets)``: counters add, histograms bucket, gauges keep the last value.
+
+    Sums and buckets are counted by hashing; only gauges' points, whose last one is by a row's place, are sorted. Rows are read once for each.
+    """
+    bounds = {m.name: tuple(map(float, m.bounds)) for m in registry if m.bounds}
+    within = F.lit(0)
+    for b in set(bounds.values()):
+        above = sum((F.col("value") > v).cast("int") for v in b)
+        within = F.when(F.col("metric").isin([k for k, own in bounds.items() if own == b]), above).otherwise(within)
+    key = ["metric", "kind", "labels"]
+    keyed = rows if "labels" in rows.columns else rows.withColumn("labels", metrics.stable(F.col("attrs")))
+    parts = keyed.where("kind <> 'gauge'").groupBy(*key, F.when(F.col("kind") == "histogram", within).alias("_b")).agg(F.sum("value").alias("_s"), F.count("*").alias("_n"))
     most = max(map(len, bounds.values()), default=0) + 1
-    cells = F.array(*[F.count_if((F.col("kind") == "histogram") & (F.col("_b") == i)) for i in range(most)])
-    g = keyed.groupBy("metric", "kind", "labels").agg(F.sum("value").alias("sum"), F.count("*").alias("count"), F.max_by("value", "seq").alias("last"), cells.alias("cells"))
-    own = F.slice("cells", F.lit(1), F.size(by_name[F.col("metric")]) + 1)
-    value = F.when(F.col("kind") == "gauge", F.col("last")).otherwise(F.col("sum"))
-    return g.select("metric", "kind", "labels", value.alias("value"), "count", F.when(F.col("kind") == "histogram", own).alias("buckets"))
+    size = F.lit(1)
+    for n in {len(b) for b in bounds.values()}:
+        size = F.when(F.col("metric").isin([k for k, own in bounds.items() if len(own) == n]), n + 1).otherwise(size)
+    cells = F.array(*[F.sum(F.when(F.col("_b") == i, F.col("_n")).otherwise(0)) for i in range(most)])
+    sums = parts.groupBy(*key).agg(F.sum("_s").alias("value"), F.sum("_n").alias("count"), cells.alias("_c"))
+    sums = sums.select(*key, "value", "count", F.when(F.col("kind") == "histogram", F.slice("_c", F.lit(1), size)).alias("buckets"))
+    last = keyed.where("kind = 'gauge'").groupBy(*key).agg(F.max_by("value", "seq").alias("value"), F.count("*").alias("count"))
+    return sums.unionByName(last.withColumn("buckets", F.lit(None).cast(sums.schema["buckets"].dataType)))
 
 
 def series_counts(rows: DataFrame, registry: Iterable[Metric] = METRICS) -> DataFrame:
