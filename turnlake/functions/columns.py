@@ -28,9 +28,10 @@ def first_present(*cs: Column) -> Column:
 def lower_keys(headers: Column) -> Column:
     """Header names in lower case; of two that differ in case only, the later wins."""
     pairs = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    names = F.transform(pairs, lambda e: e["key"])
+    names = F.transform(F.map_keys(headers), F.lower)
     last = F.filter(pairs, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.greatest(F.size(names) - i - 1, F.lit(0))), e["key"]))
-    return F.map_from_entries(last)
+    # hardly any headers have two such names, and comparing all of them costs more than the rest of a frame's decoding
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, F.map_values(headers))).when(headers.isNotNull(), F.map_from_entries(last))
 
 
 def payload_text(text: Column, error: Column) -> Column:

@@ -255,7 +255,7 @@ union all select 'record.header', k, count(*) from e, (select unnest(['thread-id
 union all select 'record.field', k, count(*) from e, (select unnest(['kind=responses', 'transport=websocket', 'account_id=<set>']) as k) group by 2
 union all select 'record.header_value', 'version=1.2', count(*) from e union all select 'record.header_value', 'originator=' || case when c % 13 = 12 then 'probe' else 'cli' end, count(*) from e group by 2""")
 def capture_signature(spark: SparkSession, d: str) -> DataFrame:
-    return profile.capture_signature(sessions(spark, d)).where("section <> 'payload_shape'")
+    return profile.capture_signature(sessions(spark, d, raw=True)).where("section <> 'payload_shape'")
 
 
 @query(CAPTURE + """, b as (select * from a where c % 13 <> 12), u as (select count(*) as bad from conversations where role = 'user'),
@@ -263,7 +263,7 @@ n as (select sum(10 + (not failed)::int + (t % 3 = 0)::int) as lines, sum(10 + (
 select 'breaking' as severity, 'undecodable' as kind, 'per 10,000 lines' as subject, 0::bigint as was, (10000 * bad // (bad + lines))::bigint as "is" from n, u
 union all select 'new', 'record.header_value', 'originator=probe', null, probe::bigint from n union all select 'info', 'event.type.absent', 'error', (select count(*) from b where failed), null union all select 'new', 'filename', 'odd', null, bad from u""")
 def capture_drift(spark: SparkSession, d: str) -> DataFrame:
-    f = checkpointed(sessions(spark, d))
+    f = checkpointed(sessions(spark, d, raw=True))
     base = profile.capture_signature(f.where("headers['originator'] <> 'probe'"))
     broken = wire.decode(table(spark, d, "conversations").where("role = 'user'").select(F.lit("odd").alias("file"), F.col("turn").cast("long").alias("frame_seq"), F.lit("{broken").alias("raw")))
     now = profile.capture_signature(f.where("not ev_type <=> 'error'").unionByName(broken))
@@ -534,7 +534,7 @@ select 'lines' as name, lines::bigint as value from k union all select 'undecoda
 union all select 'open', 0 from k union all select 'evicted', 0 from k union all select 'threads', threads from k union all select 'series', series from k union all select 'enriched', hits from k union all select 'not_enriched', misses from k
 union all select 'drift_breaking', 0 from k union all select 'drift_new', 0 from k union all select 'drift_info', case when failed > 0 then 1 else 0 end from k""")
 def health_rows(spark: SparkSession, d: str) -> DataFrame:
-    f = checkpointed(sessions(spark, d))
+    f = checkpointed(sessions(spark, d, raw=True))
     t = checkpointed(turns.assemble(f))
     logged = enrich.attach_log(t, capture.request_logs(table(spark, d, "conversations")))
     drift = profile.capture_drift(profile.capture_signature(f), profile.capture_signature(f.where("not ev_type <=> 'error'"))).where("kind <> 'event.volume'")

@@ -24,9 +24,10 @@ a as (select *, row_number() over (partition by c, kind, part order by t) as cal
 """
 
 
-def sessions(spark: SparkSession, d: str) -> DataFrame:
-    """Decoded frames of the table's sessions."""
-    return wire.decode(capture.capture(table(spark, d, "conversations")))
+def sessions(spark: SparkSession, d: str, raw: bool = False) -> DataFrame:
+    """Decoded frames of the table's sessions; the lines that they came from stay only where they are asked for, as they would be written twice."""
+    frames = wire.decode(capture.capture(table(spark, d, "conversations")))
+    return frames if raw else frames.drop("raw")
 
 
 def completed(spark: SparkSession, d: str) -> DataFrame:
