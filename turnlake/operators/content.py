@@ -40,16 +40,34 @@ MAX_PROMPT, MAX_OUTPUT = 32_768, 4_096
 KEYS = ("request_id", "instance", "thread_id", "ts", *ORDER)
 
 
+def owned(frames: DataFrame) -> DataFrame:
+    """Segmented frames with their ``thread_id``, the one that a create event of the response names, else the header's, and ``response``, the id that
+    the server gave, else the request's. Frames that have these stay as they are, so a table of them serves all operators with one shuffle and sort.
+    """
+    if "response" in frames.columns:
+        return frames
+    df, so_far = segment(frames), Window.partitionBy("request_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+
+    def last(event_type: str, path: str) -> Column:
+        """The last such value in the request, where it is of the same response: in the order in which the frames already are."""
+        value = X.present(F.when(F.col("ev_type") == event_type, F.get_json_object("event", path)))
+        found = F.last(F.when(value.isNotNull(), F.struct("instance", value.alias("value"))), True).over(so_far)
+        return F.when(found["instance"] == F.col("instance"), found["value"])
+
+    df = df.withColumns({"_thread": last("response.create", "$.client_metadata.thread_id"), "response": F.coalesce(last("response.created", "$.response.id"), "request_id")})
+    return df.withColumn("thread_id", X.first_present(F.col("_thread"), F.col("headers")["thread-id"])).drop("_thread")
+
+
 def _owned(frames: DataFrame, event_type: str) -> DataFrame:
-    """A type's events with their response and thread: the one that a create event of the response names, else the header's."""
-    df = segment(frames)
-    named = F.when(F.col("ev_type") == "response.create", F.get_json_object("event", "$.client_metadata.thread_id"))
-    own = F.last(X.present(named), True).over(Window.partitionBy("request_id", "instance").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("thread_id", X.first_present(own, F.col("headers")["thread-id"])).where(F.col("ev_type") == event_type)
+    """A type's events with their response and thread."""
+    return owned(frames).where(F.col("ev_type") == event_type)
 
 
 def input_items(frames: DataFrame) -> DataFrame:
-    """Items of create frames: the keys, ``pos, item_id, item_type, role, call_id, author, recipient, body, content, tools, kinds``."""
+    """Items of create frames: the keys, ``pos, item_id, item_type, role, call_id, author, recipient, body, content, tools, kinds``. Items stay as they
+    are, so a table of them serves prompts, outputs and agents' messages with one parse."""
+    if "item_type" in frames.columns:
+        return frames
     df = _owned(frames, "response.create")
     items = F.from_json(F.get_json_object("event", "$.input"), f"array<{_ITEM}>")
     e = df.select(*KEYS, F.posexplode(items).alias("pos", "i"))
@@ -124,12 +142,9 @@ def tool_calls(frames: DataFrame) -> DataFrame:
     them in their thread: it starts again when the id wasn't called for a day, and is null without a thread. Functions' arguments are shown without encrypted values and within a budget; what a spawned agent gets is read of them.
     """
     item = F.from_json(F.get_json_object("event", "$.item"), "struct<id: string, type: string, name: string, call_id: string, status: string, input: string, arguments: string>")
-    response = F.last(X.present(F.when(F.col("ev_type") == "response.created", F.get_json_object("event", "$.response.id"))), True)
-    before = Window.partitionBy("request_id", "instance").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    tagged = segment(frames).withColumn("_resp", F.coalesce(response.over(before), "request_id")).drop("instance")
-    df = _owned(tagged, "response.output_item.done").withColumn("i", item).where(F.col("i.type").isin(*CALL_TYPES))
+    df = _owned(frames, "response.output_item.done").withColumn("i", item).where(F.col("i.type").isin(*CALL_TYPES))
     key = F.coalesce(X.present(F.col("i.call_id")), F.concat_ws(X.NUL, *[F.coalesce(f"i.{c}", F.lit("")) for c in ("name", "input", "arguments")]))
-    df = df.withColumns({"scope": F.coalesce("thread_id", F.lit("")), "_key": F.concat_ws(X.NUL, "_resp", key)})
+    df = df.withColumns({"scope": F.coalesce("thread_id", F.lit("")), "_key": F.concat_ws(X.NUL, "response", key)})
     calls = first_seen(df.select(*KEYS, "i", "scope", "_key"), ["scope"], F.col("_key"), list(ORDER))
     spawn = F.from_json("i.arguments", "struct<task_name: string, model: string, reasoning_effort: string>")
     function = F.col("i.type") == "function_call"

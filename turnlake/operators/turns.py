@@ -43,7 +43,10 @@ META = ", ".join(f"{c} string" for c in (*META_OWN, *META_EITHER, "turn_started_
 
 
 def segment(frames: DataFrame) -> DataFrame:
-    """Add ``instance``: a terminal event that decodes closes a response, and later frames of the same request open the next."""
+    """Add ``instance``: a terminal event that decodes closes a response, and later frames of the same request open the next. Frames that have one
+    stay as they are."""
+    if "instance" in frames.columns:
+        return frames
     w = Window.partitionBy("request_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     ends = F.when(F.col("ev_type").isin(*TERMINAL) & F.col("event").isNotNull(), 1).otherwise(0)
     keyed = frames.where("request_id <> ''")

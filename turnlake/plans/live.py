@@ -25,7 +25,8 @@ u as (select 'turn' as record_type, request_id, {_END} as ts from a union all se
 select record_type, request_id, count(*) as n, min(ts) as ts from u group by 1, 2""")
 def log_lines(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
-    lines, _ = fanout.log_lines(turns.assemble(f), items(f), content.instruction_bodies(f))
+    t = checkpointed(turns.assemble(f))  # each type of record of a turn reads it, and so do the times of its content
+    lines, _ = fanout.log_lines(t, items(f), content.instruction_bodies(f))
     return lines.groupBy("record_type", "request_id").agg(F.count("*").alias("n"), F.min(F.unix_millis("ts")).alias("ts"))
 
 
@@ -159,9 +160,9 @@ def live_threads(spark: SparkSession, d: str) -> DataFrame:
 @query(CAPTURE + """, o as (select * from a where (c + t) % 4 = 1), m as (select max(case when (c + t) % 4 = 1 then ms + 1000 else ms + 1100 end) as now from a)
 select request_id, thread_id, 'shell' as last_tool, nullif(text, '') as last_message, 'task' || t as spawned_task, now - (ms + 1000) as quiet_ms, now - (ms + 1000) > 7200000 as stalled from o, m where c % 13 <> 12""")
 def in_flight(spark: SparkSession, d: str) -> DataFrame:
-    f = sessions(spark, d)
+    f = sessions(spark, d, raw=True).drop("raw")
     c, t = F.expr("frame_seq div 1000000"), F.expr("frame_seq % 1000000 div 100")
-    f = checkpointed(f.where(((c + t) % 4 != 1) | (F.col("frame_seq") % 100 < 11)))  # some never end
+    f = checkpointed(content.owned(f.where(((c + t) % 4 != 1) | (F.col("frame_seq") % 100 < 11))))  # some never end
     out = live.in_flight(turns.assemble(f), content.tool_calls(f), content.messages(f), "2 hours")
     return out.select("request_id", "thread_id", "last_tool", "last_message", "spawned_task", "quiet_ms", "stalled")
 
@@ -330,7 +331,7 @@ def turn_report(spark: SparkSession, d: str) -> DataFrame:
   union all select c, t, 3, 0, 'tool_call', '{"cmd":"ls ' || t || '","secret_encrypted":"[encrypted]","task_name":"/root/task' || t || '","model":"m2","reasoning_effort":"low"}' from a union all select c, t, 4, 0, 'message', text from a)
 select 'conv-' || c as thread_id, string_agg(record || ': ' || text, chr(10) order by t, k, pos) as text from p group by c""")
 def session_transcripts(spark: SparkSession, d: str) -> DataFrame:
-    return reports.transcript(items(sessions(spark, d)), "thread_id", ["ts", "request_id", "ordinal"], F.concat_ws(": ", "record", "body"))
+    return reports.transcript(items(checkpointed(sessions(spark, d))), "thread_id", ["ts", "request_id", "ordinal"], F.concat_ws(": ", "record", "body"))
 
 
 @query(CAPTURE + """, l as (select request_id, case when not failed and t % 8 = 0 then 'm1b' else 'm1' end as model, kind, failed, c from a)

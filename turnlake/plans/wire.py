@@ -25,9 +25,9 @@ a as (select *, row_number() over (partition by c, kind, part order by t) as cal
 
 
 def sessions(spark: SparkSession, d: str, raw: bool = False) -> DataFrame:
-    """Decoded frames of the table's sessions; the lines that they came from stay only where they are asked for, as they would be written twice."""
+    """Decoded frames of the table's sessions, with what they belong to; or as they come, with the lines, which would be written twice."""
     frames = wire.decode(capture.capture(table(spark, d, "conversations")))
-    return frames if raw else frames.drop("raw")
+    return frames if raw else content.owned(frames.drop("raw"))
 
 
 def completed(spark: SparkSession, d: str) -> DataFrame:
@@ -151,7 +151,8 @@ def declared_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 def items(f: DataFrame) -> DataFrame:
     """All content of the frames, in one table with one ordinal."""
-    return content.ordered(content.prompts(f), content.messages(f), content.tool_calls(f), content.tool_outputs(f), content.agent_messages(f))
+    given = checkpointed(content.input_items(f))
+    return content.ordered(content.prompts(given), content.messages(f), content.tool_calls(f), content.tool_outputs(given), content.agent_messages(given))
 
 
 #: First appearance of each message in the sessions' inputs: the response that re-sends it first; empty ones are never shown.
@@ -165,7 +166,7 @@ shown as (select * from s where first_time = 1)"""
   union all select request_id, 3, 0, 'tool_call', 'shell' from a union all select request_id, 4, 0, 'message', null from a)
 select request_id, record, name, row_number() over (partition by request_id order by k, pos)::int as ordinal from u""")
 def content_ordinals(spark: SparkSession, d: str) -> DataFrame:
-    return items(sessions(spark, d)).select("request_id", "record", "name", "ordinal")
+    return items(checkpointed(sessions(spark, d))).select("request_id", "record", "name", "ordinal")
 
 
 def _accounts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
