@@ -136,7 +136,8 @@ def generation_documents(spark: SparkSession, d: str) -> DataFrame:
 
 def _shown(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     f = checkpointed(sessions(spark, d))
-    return turns.assemble(f), content.tool_calls(f), content.messages(f), content.prompts(f), content.agent_messages(f)
+    t, calls, given = [checkpointed(x) for x in (turns.assemble(f), content.tool_calls(f), content.input_items(f))]
+    return t, calls, content.messages(f), content.prompts(given), content.agent_messages(given)
 
 
 _LINE = "trim(regexp_replace({}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
