@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from turnlake.operators import content, enrich, fanout, live, metrics, nesting, profile, reports, threads, timing, turns
 from turnlake.plans.queries import EVENTS, PATHS, oracle_sql, query
-from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions
+from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions, timed
 from turnlake.sources import capture, index, tail
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, committed, land, shared_dir, table

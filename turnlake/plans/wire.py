@@ -32,8 +32,12 @@ def sessions(spark: SparkSession, d: str, raw: bool = False) -> DataFrame:
 
 def completed(spark: SparkSession, d: str) -> DataFrame:
     """Turns with timing, of the table's sessions."""
-    f = checkpointed(sessions(spark, d))
-    return timing.complete(turns.assemble(f), timing.timings(f))
+    return timed(checkpointed(sessions(spark, d)))
+
+
+def timed(frames: DataFrame) -> DataFrame:
+    """Turns with timing, of frames. Turns with and without timing events go different ways, and both read the turns."""
+    return timing.complete(checkpointed(turns.assemble(frames)), timing.timings(frames))
 
 
 @query(CAPTURE + """select request_id, thread_id, 'sess-' || c as session_id, case when sub then 'conv-' || par end as parent_thread_id, sub as is_subagent, 'turn_' || c || '_' || (t // 2) as turn_id,
@@ -219,7 +223,7 @@ def transport_events(spark: SparkSession, d: str) -> DataFrame:
 def metric_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Everything that the registry reads, with ``ts`` and ``o`` in every table."""
     f = checkpointed(sessions(spark, d))
-    t = timing.complete(turns.assemble(f), timing.timings(f))
+    t = timed(f)
     t = timing.measures(enrich.attach_log(t, capture.request_logs(table(spark, d, "conversations"))))
     t = checkpointed(t.withColumns({"ts": F.col("last_ts"), "o": F.struct("first_seq.file", "first_seq.frame_seq")}))
     of = lambda df: df.join(t.select("request_id", "instance", "ts", "o"), ["request_id", "instance"])
