@@ -115,8 +115,8 @@ def span_attributes(spark: SparkSession, d: str) -> DataFrame:
 @query(CAPTURE + """select 'streamText ' || case when t % 8 = 0 then 'm1b' else 'm1' end as name, count(*) as n from a where not failed and t > 2 group by 1""")
 def span_search(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
-    calls = content.tool_calls(f)
-    late = completed(spark, d).where("window_number > 2")
+    calls = checkpointed(content.tool_calls(f))
+    late = checkpointed(timed(f)).where("window_number > 2")
     found = fanout.find_spans(fanout.trace(late, calls, content.matched_outputs(calls, content.tool_outputs(f))), pattern="streamText .*", state="ok", longer_ms=5000)
     return found.groupBy("name").agg(F.count("*").alias("n"))
 
