@@ -54,7 +54,7 @@ def span_forest(spark: SparkSession, d: str) -> DataFrame:
 
 def _traces(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
-    t, calls = checkpointed(timing.complete(turns.assemble(f), timing.timings(f))), checkpointed(content.tool_calls(f))  # each kind of span reads them
+    t, calls = checkpointed(timed(f)), checkpointed(content.tool_calls(f))  # each kind of span reads them
     return fanout.trace(t, calls, content.matched_outputs(calls, content.tool_outputs(f)))
 
 
@@ -321,7 +321,7 @@ def streamed_deltas(spark: SparkSession, d: str) -> DataFrame:
 select request_id, field, value from (unpivot v on model, status, input_tokens, limit_used, error_message, first_token_ms, answer into name field value value)""")
 def turn_report(spark: SparkSession, d: str) -> DataFrame:
     f = checkpointed(sessions(spark, d))
-    t = timing.complete(turns.assemble(f), timing.timings(f))
+    t = timed(f)
     said = content.messages(f).groupBy("request_id", "instance").agg(F.max_by("body", F.struct("file", "frame_seq")).alias("answer"))
     fields = ["model", "status", "input_tokens", "limit_used", "error_message", "first_token_ms", "answer"]
     return reports.unpivot(t.join(said, ["request_id", "instance"], "left"), "request_id", fields)
