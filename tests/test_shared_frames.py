@@ -1,9 +1,13 @@
-"""Frames that are sorted once for all operators."""
+"""Frames that are sorted once for all operators, and responses that leave a stream of large batches."""
+
+import json
 
 from test_sessions import DONE, create, frames
 
 from turnlake.operators import content, turns
+from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed
+from turnlake.streaming import jobs
 
 
 def test_owned_frames_are_sorted_once(spark):
@@ -22,3 +26,21 @@ def test_owned_frames_are_sorted_once(spark):
         assert sorted(map(str, own.collect())) == sorted(map(str, shared.collect())) and own.count() > 0
     for df in (turns.assemble(table), content.messages(table), content.prompts(given)):
         assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_responses_leave_large_batches_whole(spark, tmp_path):
+    line = lambda rid, s, e: json.dumps({"request_id": rid, "timestamp": f"2024-01-01T{s // 3600:02d}:{s % 3600 // 60:02d}:{s % 60:02d}Z", "payload": {"text": json.dumps(e)}})
+    batches = [
+        [("f1", 0, line("a", 0, create())), ("f1", 1, line("b", 1, create())), ("f1", 2, line("", 2, {"type": "error"}))],
+        [("f2", 0, line("a", 60, DONE)), ("f2", 1, line("a", 61, create()))],  # the same request again
+        [("f3", 0, line("z", 3 * 3600, create()))], [("f4", 0, line("b", 5, DONE)), ("f4", 1, line("z", 3 * 3600 + 1, DONE)), ("f4", 2, line("y", 3 * 3600 + 2, create()))],  # b's end is late
+    ]
+    schema = "file string, frame_seq long, raw string"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = jobs.close_stream(wire.decode(stream).drop("raw"), turns.assemble, str(tmp_path), name="x")
+    rows = sorted((r["request_id"], r["first_seq"]["file"], r["frames"], r["status"]) for r in got.collect())
+    assert rows == [("a", "f1", 2, "completed"), ("a", "f2", 1, "incomplete"), ("b", "f1", 1, "incomplete"), ("z", "f3", 2, "completed")]  # y is open still
+    loose = jobs.close_stream(wire.decode(stream).drop("raw"), lambda f: f.where("coalesce(request_id, '') = ''").select("file", "ev_type"), str(tmp_path), name="y")
+    assert [tuple(r) for r in loose.collect()] == [("f1", "error")]

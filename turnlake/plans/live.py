@@ -13,7 +13,7 @@ from turnlake.plans.wire import CAPTURE, SHOWN, completed, items, sessions, time
 from turnlake.sources import capture, index, tail
 from turnlake.sources import frames as wire
 from turnlake.sources.tables import checkpointed, committed, land, shared_dir, table
-from turnlake.streaming import jobs, state
+from turnlake.streaming import jobs
 
 _END = "case when failed then ms + 1100 else ms + 5500 end"
 
@@ -347,7 +347,7 @@ def stream_labels(spark: SparkSession, d: str) -> DataFrame:
   case when not failed then size + 10 end as input_tokens, case when not failed and t % 8 = 0 then 'm1b' else 'm1' end as model, (t % 100)::double as limit_used, 'e' || c as models_etag from a""".replace("11 + (t % 3 = 0)::int", "(11 + (t % 3 = 0)::int)::bigint"))
 def streamed_sessions(spark: SparkSession, d: str) -> DataFrame:
     stream, folder = _stream(spark, capture.capture(table(spark, d, "conversations")))
-    done = jobs.drain(state.closed(wire.decode(stream)), folder, parts=True, each=lambda batch: turns.assemble(wire.decode(batch.select("file", "frame_seq", "raw"))))
+    done = jobs.close_stream(wire.decode(stream).drop("raw"), turns.assemble, folder)
     return done.select("request_id", "thread_id", "status", "frames", "request_kind", "turn_id", "input_tokens", "model", "limit_used", "models_etag")
 
 

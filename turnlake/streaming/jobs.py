@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from turnlake.operators.content import CORRELATED, CallIndex
-from turnlake.sources.tables import committed, write_batch
+from turnlake.operators.turns import segment
+from turnlake.sources.frames import TERMINAL
+from turnlake.sources.tables import checkpointed, committed, discard, write_batch
 
 
 def tumbling_counts(stream: DataFrame, ts: str, step: str, keys: list[str], late: str = "10 minutes") -> DataFrame:
@@ -241,6 +243,40 @@ def correlate_stream(stream: DataFrame, thread: str, call: str, is_call: str, or
     return committed(spark, f"{base}/out", "rows", schema).where("_n is null").drop("_n", "_us", "_answered")
 
 
+def close_stream(frames: DataFrame, each: Callable[[DataFrame], DataFrame], folder: str, late: str = "10 minutes", idle_ms: int = 1_800_000, name: str | None = None) -> DataFrame:
+    """What ``each`` gives of the decoded frames of responses that have ended, or been idle for ``idle_ms``, batch by batch, in large batches.
+
+    Open responses' frames are part of what a batch delivers, and the next one reads them from there; so a batch that is tried again finds them as
+    they were. :func:`turnlake.streaming.state.closed` keeps lines in a state store instead, at several round trips for each response: for batches
+    that touch few of many. The clock is the newest time of the batches so far. Frames whose time is null, or that lie ``late`` or more before the
+    clock of the batches before, are dropped; a response is idle when its newest frame lies that long before the clock less ``late``. Frames without a request go by at once.
+    """
+    spark = frames.sparkSession
+    base = f"{folder.rstrip('/')}/turnlake-open-{name or uuid.uuid4().hex}"
+    empty = spark.createDataFrame([], frames.schema)
+    none = F.coalesce("request_id", F.lit("")) == ""
+
+    def write(df: DataFrame, batch: int) -> None:
+        held = committed(spark, f"{base}/out", "held", frames.schema, newest=True)
+        before = committed(spark, f"{base}/out", "clock", "clock long", newest=True).agg(F.max("clock")).first()[0]
+        mark = lambda us: F.timestamp_micros(F.lit(us)) - F.expr(f"interval {late}")
+        fresh = df.where("ts is not null") if before is None else df.where(F.col("ts") > mark(before))
+        w = Window.partitionBy("request_id", "instance")
+        ends = F.coalesce(F.col("ev_type").isin(*TERMINAL) & F.col("event").isNotNull(), F.lit(False))
+        whole = segment(held.unionByName(fresh)).withColumns({"_ended": F.max(ends).over(w), "_last": F.max("ts").over(w)})
+        rows = checkpointed(whole.unionByName(fresh.where(none).withColumn("_ended", F.lit(True)), allowMissingColumns=True))
+        clock = max((us for us in (before, rows.agg(F.max(F.unix_micros("ts"))).first()[0]) if us is not None), default=None)
+        idle = F.lit(False) if clock is None else F.coalesce(F.unix_millis("_last") + idle_ms <= F.unix_millis(mark(clock)), F.lit(False))
+        over = F.col("_ended") | idle
+        kept = lambda x: rows.where(x).select(*frames.columns)
+        write_batch({"rows": each(kept(over)), "held": kept(~over), "clock": spark.createDataFrame([(clock,)], "clock long")}, f"{base}/out", batch)
+        discard(rows)
+
+    sink: Callable[[DataFrame, int], None] = write
+    frames.writeStream.option("checkpointLocation", f"{base}/checkpoint").foreachBatch(sink).trigger(availableNow=True).start().awaitTermination()
+    return committed(spark, f"{base}/out", "rows", each(empty).schema)
+
+
 def assemble(frames: DataFrame, late: str = "10 minutes", idle_ms: int = 1_800_000) -> DataFrame:
     """Responses as they end: ``request_id, status, frames, bytes, model, output_tokens``.
 
